@@ -56,3 +56,56 @@ HOURLY_MEDIAN_CTE = """hm AS (
         JOIN bounds b ON e.event_type = b.event_type) x
   WHERE dh >= -1 AND value BETWEEN lo_b AND hi_b
   GROUP BY user_id, feature, CAST(trunc(dh) AS BIGINT))"""
+
+
+def _daily_cols_sql() -> str:
+    from wardflow.plans.common import DAILY
+    return ",\n    ".join(f"round(median(CASE WHEN e.event_type = '{s}' THEN e.value END), 6) AS {f}"
+                          for s, f in DAILY)
+
+
+def daily_panel_ctes() -> str:
+    """CTEs ``t0``, ``dsparse``, ``dgrid``, ``dp`` (dense daily panel)."""
+    from wardflow.plans.common import DAILY
+    srcs = ", ".join(f"'{s}'" for s, _f in DAILY)
+    cols = ", ".join(f"s.{f}" for _s, f in DAILY)
+    return f"""t0 AS (SELECT user_id, min(ts) AS t0 FROM events GROUP BY user_id),
+dsparse AS (
+  SELECT e.user_id, CAST(floor(date_sub('minute', t0.t0, e.ts) / 1440.0) AS BIGINT) AS day,
+    {_daily_cols_sql()}
+  FROM events e JOIN t0 ON e.user_id = t0.user_id
+  WHERE e.event_type IN ({srcs})
+  GROUP BY e.user_id, CAST(floor(date_sub('minute', t0.t0, e.ts) / 1440.0) AS BIGINT)),
+dgrid AS (SELECT user_id, UNNEST(generate_series(0, mx)) AS day
+          FROM (SELECT user_id, max(day) AS mx FROM dsparse GROUP BY user_id) WHERE mx >= 0),
+dp AS (SELECT g.user_id, g.day, {cols}
+       FROM dgrid g LEFT JOIN dsparse s ON g.user_id = s.user_id AND g.day = s.day)"""
+
+
+def cohort_ctes() -> str:
+    """``daily_panel_ctes`` + ``dpm``, ``trimmed``, ``coh0``, ``cp`` (cohort)."""
+    from wardflow.plans.common import COHORT_DAYS, COHORT_MAX_MISSING, DAILY_COLS
+    nulls = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in DAILY_COLS)
+    mx = ", ".join(f"sum(CAST({c} IS NULL AS INTEGER))" for c in DAILY_COLS)
+    return f"""{daily_panel_ctes()},
+dpm AS (SELECT *, {nulls} AS total_missing FROM dp),
+lastv AS (SELECT user_id, max(CASE WHEN total_missing < {len(DAILY_COLS)} THEN day END) AS tl
+          FROM dpm GROUP BY user_id),
+trimmed AS (SELECT d.* FROM dpm d JOIN lastv l ON d.user_id = l.user_id
+            WHERE l.tl IS NOT NULL AND d.day <= l.tl),
+mvi AS (SELECT user_id, max(day) AS max_valid_interval FROM trimmed GROUP BY user_id),
+coh0 AS (SELECT t.*, m.max_valid_interval FROM trimmed t JOIN mvi m ON t.user_id = m.user_id
+         WHERE m.max_valid_interval > {COHORT_DAYS - 1} AND t.day < {COHORT_DAYS}),
+sparse_u AS (SELECT user_id FROM coh0 GROUP BY user_id HAVING greatest({mx}) > {COHORT_MAX_MISSING}),
+cp AS (SELECT * FROM coh0 WHERE user_id NOT IN (SELECT user_id FROM sparse_u))"""
+
+
+def hourly_ctes() -> str:
+    """bounds + origin + ``hm`` (trimmed hourly medians, long)."""
+    return f"{feature_ranges_ctes()},\n{ORIGIN_CTE},\n{HOURLY_MEDIAN_CTE}"
+
+
+def hourly_wide_cte(name: str = "hw") -> str:
+    from wardflow.plans.common import HOURLY_FEATURES
+    cols = ",\n  ".join(f"max(CASE WHEN feature = '{f}' THEN median_value END) AS {f}" for f in HOURLY_FEATURES)
+    return f"{name} AS (SELECT user_id, hour,\n  {cols}\n  FROM hm GROUP BY user_id, hour)"
