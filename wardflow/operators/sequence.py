@@ -19,12 +19,16 @@ from wardflow.functions.scalar import r6
 UNB = Window.unboundedPreceding
 
 
+def _keys(entity: str | list[str]) -> list[str]:
+    return [entity] if isinstance(entity, str) else list(entity)
+
+
 def _asc(entity: str, t: str, lo=UNB, hi=0) -> Window:
-    return Window.partitionBy(entity).orderBy(F.col(t).asc()).rowsBetween(lo, hi)
+    return Window.partitionBy(*_keys(entity)).orderBy(F.col(t).asc()).rowsBetween(lo, hi)
 
 
 def _desc(entity: str, t: str, lo=UNB, hi=0) -> Window:
-    return Window.partitionBy(entity).orderBy(F.col(t).desc()).rowsBetween(lo, hi)
+    return Window.partitionBy(*_keys(entity)).orderBy(F.col(t).desc()).rowsBetween(lo, hi)
 
 
 def ffill(df: DataFrame, entity: str, t: str, cols: list[str]) -> DataFrame:
@@ -46,7 +50,7 @@ def _neighbours(df: DataFrame, entity: str, t: str, cols: list[str], exclude_sel
     """Adds ``_i`` (row position) and, per column, ``_p_c``/``_n_c`` structs
     ``(i, v)`` of the previous/next observed row."""
     hi = -1 if exclude_self else 0
-    df = df.withColumn("_i", F.row_number().over(Window.partitionBy(entity).orderBy(t)))
+    df = df.withColumn("_i", F.row_number().over(Window.partitionBy(*_keys(entity)).orderBy(t)))
     prev = {f"_p_{c}": F.last(F.when(F.col(c).isNotNull(), F.struct(F.col("_i").alias("i"), F.col(c).alias("v"))),
                               ignorenulls=True).over(_asc(entity, t, UNB, hi)) for c in cols}
     df = df.withColumns(prev)
@@ -100,15 +104,15 @@ def run_ids(df: DataFrame, entity: str, t: str, flag: Column, name: str = "run")
     """Gaps-and-islands: ``run`` = row number in the entity minus row number
     among rows with the same flag; (entity, flag, run) identifies a run."""
     df = df.withColumn("_flag", flag)
-    rn_all = F.row_number().over(Window.partitionBy(entity).orderBy(t))
-    rn_flag = F.row_number().over(Window.partitionBy(entity, "_flag").orderBy(t))
+    rn_all = F.row_number().over(Window.partitionBy(*_keys(entity)).orderBy(t))
+    rn_flag = F.row_number().over(Window.partitionBy(*_keys(entity), "_flag").orderBy(t))
     return df.withColumn(name, rn_all - rn_flag)
 
 
 def run_lengths(df: DataFrame, entity: str, t: str, flag: Column) -> DataFrame:
     """``(entity, flag, run, start, length)`` for every run."""
     r = run_ids(df, entity, t, flag)
-    return (r.groupBy(entity, "_flag", "run")
+    return (r.groupBy(*_keys(entity), "_flag", "run")
             .agg(F.min(t).alias("start"), F.count(F.lit(1)).alias("length"))
             .withColumnRenamed("_flag", "flag"))
 
@@ -116,11 +120,15 @@ def run_lengths(df: DataFrame, entity: str, t: str, flag: Column) -> DataFrame:
 def position_in_run(df: DataFrame, entity: str, t: str, c: str, name: str) -> DataFrame:
     """1, 2, 3 ... along each run of missing ``c``; 0 on observed rows."""
     r = run_ids(df, entity, t, F.col(c).isNull(), "_run")
-    w = Window.partitionBy(entity, "_flag", "_run").orderBy(t).rowsBetween(UNB, 0)
+    w = Window.partitionBy(*_keys(entity), "_flag", "_run").orderBy(t).rowsBetween(UNB, 0)
     return (r.withColumn(name, F.sum(F.col(c).isNull().cast("int")).over(w))
             .drop("_flag", "_run"))
 
 
+def _field_is_null(c: str):
+    return lambda x: x[c].isNull()
+
+
 def sliding_windows(df: DataFrame, entity: str, t: str, cols: list[str], width: int) -> DataFrame:
     """Windows of ``width`` consecutive rows starting at every row; keeps the
     complete ones (``width`` rows, no null in any column).  ``win`` holds the
@@ -128,14 +136,14 @@ def sliding_windows(df: DataFrame, entity: str, t: str, cols: list[str], width:
     inside the struct, so completeness is tested explicitly)."""
     w = _asc(entity, t, 0, width - 1)
     st = F.struct(F.col(t).alias("t"), *[F.col(c).alias(c) for c in cols])
-    out = df.select(entity, F.col(t).alias("start"), F.collect_list(st).over(w).alias("win"))
+    out = df.select(*_keys(entity), F.col(t).alias("start"), F.collect_list(st).over(w).alias("win"))
     complete = F.size("win") == width
     for c in cols:
-        complete = complete & ~F.exists("win", lambda x, c=c: x[c].isNull())
+        complete = complete & ~F.exists("win", _field_is_null(c))
     return out.filter(complete)
 
 
-def volume_rate(df: DataFrame, entity: str, t: str, c: str, name: str) -> DataFrame:
+def volume_rate(df: DataFrame, entity, t: str, c: str, name: str) -> DataFrame:
     """Cumulative volume -> rate.  Readings are rows with a non-null, non-zero
     volume at t1 < t2 < ...; a row in (t_{k-1}, t_k] gets v_k / (t_k - t_{k-1});
     rows at or before t1 get v_1 / (t1 - t_first) (v_1 when t1 = t_first);
@@ -144,19 +152,15 @@ def volume_rate(df: DataFrame, entity: str, t: str, c: str, name: str) -> DataFr
     rd = F.when(reading, F.struct(F.col(t).alias("t"), F.col(c).alias("v")))
     # next reading at or after the row (descending running frame)
     nxt = F.last(rd, ignorenulls=True).over(_desc(entity, t))
-    # previous reading strictly before a reading
-    prv = F.last(rd, ignorenulls=True).over(_asc(entity, t, UNB, -1))
-    tfirst = F.min(t).over(Window.partitionBy(entity))
-    df = df.withColumns({"_nx": nxt, "_pv": prv, "_t0": tfirst})
-    # previous reading of the next reading = previous reading before this row's next
-    df = df.withColumn("_pvn", F.last(F.when(reading, F.struct(F.col("_pv").alias("p"))),
-                                      ignorenulls=True).over(_desc(entity, t))["p"])
-    seg_rate = F.when(F.col("_pvn").isNotNull(),
-                      F.col("_nx")["v"] / (F.col("_nx")["t"] - F.col("_pvn")["t"]))
-    first_rate = F.when(F.col("_nx")["t"] == F.col("_t0"), F.col("_nx")["v"]).otherwise(
-        F.col("_nx")["v"] / (F.col("_nx")["t"] - F.col("_t0")))
-    rate_here = F.when(F.col("_nx").isNotNull(), F.coalesce(seg_rate, first_rate))
-    df = df.withColumn("_r", rate_here)
+    # last reading strictly before the row = reading preceding the next one
+    prv = F.last(F.when(reading, F.col(t)), ignorenulls=True).over(_asc(entity, t, UNB, -1))
+    tfirst = F.min(t).over(Window.partitionBy(*_keys(entity)))
+    df = df.withColumns({"_nx": nxt, "_pt": prv, "_t0": tfirst})
+    nt, nv = F.col("_nx")["t"], F.col("_nx")["v"]
+    rate_here = (F.when(F.col("_nx").isNull(), F.lit(None))
+                 .when(F.col("_pt").isNotNull(), nv / (nt - F.col("_pt")))
+                 .when(nt == F.col("_t0"), nv)
+                 .otherwise(nv / (nt - F.col("_t0"))))
+    df = df.withColumn("_r", rate_here.cast("double"))
     held = F.last("_r", ignorenulls=True).over(_asc(entity, t))
-    return (df.withColumn(name, r6(F.coalesce(F.col("_r"), held)))
-            .drop("_nx", "_pv", "_t0", "_pvn", "_r"))
+    return df.withColumn(name, F.coalesce(F.col("_r"), held)).drop("_nx", "_pt", "_t0", "_r")

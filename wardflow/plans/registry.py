@@ -34,5 +34,6 @@ def load_all() -> tuple[dict[str, QueryFn], dict[str, str]]:
     # importing the modules fills the registry
     from wardflow.plans import (  # noqa: F401
         q_panel,
+        q_sequence,
     )
     return dict(QUERIES), dict(ORACLES)
