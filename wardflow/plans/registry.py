@@ -35,5 +35,6 @@ def load_all() -> tuple[dict[str, QueryFn], dict[str, str]]:
     from wardflow.plans import (  # noqa: F401
         q_panel,
         q_sequence,
+        q_relational,
     )
     return dict(QUERIES), dict(ORACLES)
