@@ -36,5 +36,6 @@ def load_all() -> tuple[dict[str, QueryFn], dict[str, str]]:
         q_panel,
         q_sequence,
         q_relational,
+        q_stats,
     )
     return dict(QUERIES), dict(ORACLES)
