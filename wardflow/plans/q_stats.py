@@ -11,7 +11,7 @@ from wardflow.functions.scalar import r6, whole_days_between
 from wardflow.operators import stats as ST
 from wardflow.plans import common as C
 from wardflow.plans.registry import query
-from wardflow.plans.sql_common import cohort_ctes
+from wardflow.plans.sql_common import cohort_ctes, daily_panel_ctes
 from wardflow.sources.tables import ENTITY, read_table
 
 D = C.DAILY_COLS
@@ -309,7 +309,7 @@ SELECT user_id, bool_or(heart_rate IS NOT NULL) AS any_hr, bool_and(fio2 IS NULL
        min(CASE WHEN heart_rate IS NOT NULL THEN day END) AS first_valid_day,
        max(CASE WHEN heart_rate IS NOT NULL THEN day END) AS last_valid_day,
        sum(CASE WHEN day BETWEEN 0 AND 7 THEN 1 ELSE 0 END) AS n_first_week
-FROM dp GROUP BY user_id""".replace("{dp}", __import__("wardflow.plans.sql_common", fromlist=["x"]).daily_panel_ctes()))
+FROM dp GROUP BY user_id""".replace("{dp}", daily_panel_ctes()))
 def entity_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """any/all over the entity, first/last valid bin,
     coverage count of the first week."""

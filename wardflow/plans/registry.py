@@ -37,5 +37,6 @@ def load_all() -> tuple[dict[str, QueryFn], dict[str, str]]:
         q_sequence,
         q_relational,
         q_stats,
+        q_impute,
     )
     return dict(QUERIES), dict(ORACLES)
