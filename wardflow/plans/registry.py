@@ -38,5 +38,6 @@ def load_all() -> tuple[dict[str, QueryFn], dict[str, str]]:
         q_relational,
         q_stats,
         q_impute,
+        q_suites,
     )
     return dict(QUERIES), dict(ORACLES)
