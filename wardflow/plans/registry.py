@@ -39,5 +39,6 @@ def load_all() -> tuple[dict[str, QueryFn], dict[str, str]]:
         q_stats,
         q_impute,
         q_suites,
+        q_models,
     )
     return dict(QUERIES), dict(ORACLES)
