@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # --- fixed values: plausible clinical range per feature (lo, hi), inclusive --
 CLINICAL_RANGES = [
@@ -54,7 +53,7 @@ def range_table(spark: SparkSession) -> DataFrame:
     """``(range_feature, lo, hi, range_only)``."""
     rows = [(f, lo, hi, f in RANGE_ONLY_FEATURES) for f, lo, hi in CLINICAL_RANGES]
     schema = "range_feature string, lo double, hi double, range_only boolean"
-    return spark.createDataFrame(rows, schema)
+    return literal_table(spark, rows, schema)
 
 
 def event_feature_table(spark: SparkSession) -> DataFrame:
@@ -62,7 +61,7 @@ def event_feature_table(spark: SparkSession) -> DataFrame:
     rows = [(src, feat, cls, col, range_key(feat)) for src, feat, cls, col in EVENT_FEATURES]
     schema = ("event_type string, feature string, reducer string, value_column string, "
               "range_feature string")
-    return spark.createDataFrame(rows, schema)
+    return literal_table(spark, rows, schema)
 
 
 def numeric_feature_ranges(spark: SparkSession) -> DataFrame:
@@ -74,5 +73,21 @@ def numeric_feature_ranges(spark: SparkSession) -> DataFrame:
                     F.coalesce("range_only", F.lit(False)).alias("range_only")))
 
 
-def literal_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+def _sql_lit(v, dtype: str) -> str:
+    if v is None:
+        return f"CAST(NULL AS {dtype})"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return f"CAST({v!r} AS {dtype})"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Small fixed table as a SQL ``VALUES`` relation: a JVM-side local scan
+    with exact size statistics (no Python-backed RDD), safe to broadcast."""
+    cols = [c.strip().split() for c in schema.split(",")]
+    names, types = [c[0] for c in cols], [c[1] for c in cols]
+    body = ", ".join("(" + ", ".join(_sql_lit(v, t) for v, t in zip(r, types)) + ")" for r in rows)
+    sel = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in zip(names, types))
+    return spark.sql(f"SELECT {sel} FROM VALUES {body} AS t({', '.join(names)})")

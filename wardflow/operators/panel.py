@@ -48,7 +48,8 @@ def feature_bounds(meas: DataFrame, feature_ranges: DataFrame, source: str, valu
              .groupBy(source).agg(F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s")))
     lo_stat = F.col("_m") - F.lit(sigma) * F.col("_s")
     hi_stat = F.col("_m") + F.lit(sigma) * F.col("_s")
-    return (feature_ranges.join(stats, source, "left")
+    # stats has at most one row per dictionary feature: bounded broadcast
+    return (feature_ranges.join(F.broadcast(stats), source, "left")
             .select(source, "feature",
                     F.when(F.col("range_only"), F.col("lo"))
                      .when(F.col("lo").isNull(), lo_stat)

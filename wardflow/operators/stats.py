@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wardflow.functions.dictionary import literal_table
 from wardflow.functions.scalar import r6, t_quantile_975
 
 UNB = Window.unboundedPreceding
@@ -100,8 +101,7 @@ def confusion(df: DataFrame, label: str | Column, pred: str | Column) -> DataFra
     lab = F.col(label) if isinstance(label, str) else label
     prd = F.col(pred) if isinstance(pred, str) else pred
     counts = df.groupBy(lab.cast("int").alias("label"), prd.cast("int").alias("pred")).agg(F.count(F.lit(1)).alias("n"))
-    grid = counts.sparkSession.createDataFrame([(a, b) for a in (0, 1) for b in (0, 1)],
-                                               "label int, pred int")
+    grid = literal_table(counts.sparkSession, [(a, b) for a in (0, 1) for b in (0, 1)], "label int, pred int")
     return (grid.join(counts, ["label", "pred"], "left")
             .select("label", "pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wardflow.functions.dictionary import literal_table
 from wardflow.functions.scalar import r6
 from wardflow.operators import models as MD
 from wardflow.operators import sequence as S
@@ -190,7 +191,8 @@ def vif_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     (p x p moment matrix from one aggregate, inverted on the driver)."""
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     v = MD.vif(read_table(spark, sf_dir, "lineitem"), cols)
-    return spark.createDataFrame([(c, round(x, 6), x < 10) for c, x in v], "column_name string, vif double, keep boolean")
+    return literal_table(spark, [(c, round(x, 6), x < 10) for c, x in v],
+                         "column_name string, vif double, keep boolean")
 
 
 @query("mice_regression")
@@ -273,5 +275,5 @@ def series_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     inertia (elbow)."""
     s = cohort_series(spark, sf_dir)
     res = MD.kmeans_sweep(s, "series", [2, 3, 4, 5])
-    return spark.createDataFrame([(k, round(sil, 6), round(cost, 6)) for k, sil, cost in res],
+    return literal_table(spark, [(k, round(sil, 6), round(cost, 6)) for k, sil, cost in res],
                                  "k int, silhouette double, inertia double")

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardflow.functions.dictionary import literal_table
 from wardflow.functions.scalar import (digits_only, first_char, first_token, hours_between,
                                        parse_percent, r6, safe_double, whole_days_between)
 from wardflow.operators import asof as A
@@ -238,7 +239,7 @@ SELECT p.p_partkey, p.material, b.category FROM p LEFT JOIN best b ON p.material
 def recode_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H9: raw value -> category through a broadcast mapping table with a
     priority (first matching list wins); unknown -> null."""
-    syn = spark.createDataFrame(SYNONYMS, "raw string, category string, priority int")
+    syn = literal_table(spark, SYNONYMS, "raw string, category string, priority int")
     best = syn.groupBy("raw").agg(F.min_by("category", "priority").alias("category"))
     p = read_table(spark, sf_dir, "part").select(
         "p_partkey", F.col("p_type").alias("material"))
