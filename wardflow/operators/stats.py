@@ -144,9 +144,10 @@ def profile(df: DataFrame, cols: list[str]) -> DataFrame:
             F.lit(c).alias("column_name"), F.count(c).alias("count"),
             F.count_if(F.col(c).isNull()).alias("null_count"), r6(F.avg(c)).alias("mean"),
             r6(F.stddev_samp(c)).alias("std"), F.min(c).cast("double").alias("min"),
-            r6(F.percentile(c, 0.25)).alias("p25"), r6(F.percentile(c, 0.5)).alias("p50"),
-            r6(F.percentile(c, 0.75)).alias("p75"), F.max(c).cast("double").alias("max")))
-    return df.agg(F.array(*aggs).alias("_a")).select(F.inline("_a"))
+            F.percentile(c, [0.25, 0.5, 0.75]).alias("_q"), F.max(c).cast("double").alias("max")))
+    out = df.agg(F.array(*aggs).alias("_a")).select(F.inline("_a"))
+    return out.select("column_name", "count", "null_count", "mean", "std", "min",
+                      *[r6(F.col("_q")[i]).alias(n) for i, n in enumerate(["p25", "p50", "p75"])], "max")
 
 
 def moments(df: DataFrame, group: list[str], x: str) -> DataFrame:
