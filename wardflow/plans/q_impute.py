@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardflow.functions.scalar import Z975, r6
+from wardflow.functions.scalar import r6, t_quantile_975_sql
 from wardflow.operators import masking as M
 from wardflow.operators import sequence as S
 from wardflow.operators import stats as ST
@@ -284,13 +284,7 @@ def tail_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _t975_sql(v: str) -> str:
-    z = f"CAST({Z975!r} AS DOUBLE)"
-    g1 = f"(({z}^3 + {z}) / 4)"
-    g2 = f"((5 * {z}^5 + 16 * {z}^3 + 3 * {z}) / 96)"
-    g3 = f"((3 * {z}^7 + 19 * {z}^5 + 17 * {z}^3 - 15 * {z}) / 384)"
-    g4 = f"((79 * {z}^9 + 776 * {z}^7 + 1482 * {z}^5 - 1920 * {z}^3 - 945 * {z}) / 92160)"
-    v = f"CAST({v} AS DOUBLE)"
-    return f"({z} + {g1} / {v} + {g2} / ({v} ^ 2) + {g3} / ({v} ^ 3) + {g4} / ({v} ^ 4))"
+    return t_quantile_975_sql(v)
 
 
 @query("regression_ci", sql=f"""WITH {_comparison_cte()},

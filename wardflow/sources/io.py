@@ -38,8 +38,11 @@ def read_feature_files(spark: SparkSession, directory: str, feature_col: str = "
     if schema is not None:
         r = r.schema(schema)
     df = r.parquet(directory)
-    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
-    return df.withColumn(feature_col, stem)
+    path = F.col("_metadata.file_path")
+    # <feature>.parquet as a single file, or as a folder of part files
+    dir_stem = F.regexp_extract(path, r"([^/]+?)(?:\.parquet)?/part-[^/]+$", 1)
+    file_stem = F.regexp_extract(path, r"([^/]+?)(?:\.[^./]+)?$", 1)
+    return df.withColumn(feature_col, F.when(dir_stem != "", dir_stem).otherwise(file_stem))
 
 
 def read_partitioned(spark: SparkSession, directory: str) -> DataFrame:
@@ -68,7 +71,7 @@ def read_json_config(spark: SparkSession, path: str, value_schema: str) -> DataF
     """A JSON object ``{name: {...}}`` (feature dictionary, range table) as a
     table ``(name, <value fields>)`` (A8): the whole file is read as text,
     parsed as ``map<string, value_schema>`` and exploded."""
-    txt = spark.read.option("wholetext", True).text(path)
+    txt = spark.read.text(path, wholetext=True)
     parsed = txt.select(F.explode(F.from_json("value", f"map<string, {value_schema}>")).alias("name", "v"))
     return parsed.select("name", "v.*")
 
