@@ -197,10 +197,10 @@ def vif_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mice_regression")
 def mice_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chained-equation imputation of the cohort panel with MLlib linear
+    """Chained-equation imputation of the cohort panel with linear
     regressions (until converged, at most 30 rounds, checkpointed)."""
     cp = C.cohort_panel(spark, sf_dir).select(ENTITY, "day", *D)
-    out = MD.chained_impute(cp, [ENTITY, "day"], D, max_rounds=30, tol=1e-2, estimator="linear")
+    out = MD.chained_impute(cp, [ENTITY, "day"], D, max_rounds=30, tol=1e-3, estimator="linear")
     return out.select(ENTITY, "day", *[r6(c).alias(c) for c in D])
 
 
