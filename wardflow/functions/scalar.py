@@ -58,6 +58,10 @@ def any_not_null(cols: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in cols])
 
 
+def all_not_null(cols: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+
+
 def all_null(cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNull() for c in cols])
 

@@ -40,5 +40,6 @@ def load_all() -> tuple[dict[str, QueryFn], dict[str, str]]:
         q_impute,
         q_suites,
         q_models,
+        q_cohorts,
     )
     return dict(QUERIES), dict(ORACLES)

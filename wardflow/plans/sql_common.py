@@ -109,3 +109,31 @@ def hourly_wide_cte(name: str = "hw") -> str:
     from wardflow.plans.common import HOURLY_FEATURES
     cols = ",\n  ".join(f"max(CASE WHEN feature = '{f}' THEN median_value END) AS {f}" for f in HOURLY_FEATURES)
     return f"{name} AS (SELECT user_id, hour,\n  {cols}\n  FROM hm GROUP BY user_id, hour)"
+
+
+def fill_ctes(src: str, name: str, specs: list[tuple[str, str]], keys: str = "user_id", t: str = "day") -> str:
+    """CTEs ``{name}_i``, ``{name}_n`` and ``{name}`` filling columns of
+    ``src`` per ``(column, mode)``: mode ``both`` / ``inside`` / ``forward``
+    (linear interpolation by row position) or ``locf`` (forward then
+    backward fill).  Other columns of ``src`` are kept."""
+    wa = f"PARTITION BY {keys} ORDER BY {t} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    wf = f"PARTITION BY {keys} ORDER BY {t} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING"
+    nb = ",\n  ".join(
+        f"last_value(CASE WHEN {c} IS NOT NULL THEN _i END IGNORE NULLS) OVER ({wa}) AS {c}_pi, "
+        f"last_value({c} IGNORE NULLS) OVER ({wa}) AS {c}_pv, "
+        f"first_value(CASE WHEN {c} IS NOT NULL THEN _i END IGNORE NULLS) OVER ({wf}) AS {c}_ni, "
+        f"first_value({c} IGNORE NULLS) OVER ({wf}) AS {c}_nv" for c, _m in specs)
+
+    def filled(c, mode):
+        inner = f"{c}_pv + ({c}_nv - {c}_pv) * (CAST(_i - {c}_pi AS DOUBLE) / ({c}_ni - {c}_pi))"
+        expr = {"both": f"coalesce({inner}, {c}_pv, {c}_nv)", "inside": inner,
+                "forward": f"coalesce({inner}, {c}_pv)", "locf": f"coalesce({c}_pv, {c}_nv)"}[mode]
+        return f"CASE WHEN {c} IS NOT NULL THEN {c} ELSE {expr} END AS {c}"
+
+    drop = ", ".join(f"{c}_pi, {c}_pv, {c}_ni, {c}_nv" for c, _m in specs)
+    cols = ", ".join(c for c, _m in specs)
+    return f"""{name}_i AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {t}) AS _i FROM {src}),
+{name}_n AS (SELECT *,
+  {nb}
+  FROM {name}_i),
+{name} AS (SELECT * EXCLUDE ({cols}, {drop}, _i), {", ".join(filled(c, m) for c, m in specs)} FROM {name}_n)"""
