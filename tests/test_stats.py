@@ -57,7 +57,7 @@ def test_best_f2_threshold(spark):
 def test_quantile_bins_right_closed(spark):
     xs = [float(i) for i in range(1, 101)] + [None]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
-    got = {r.x: r.bin for r in ST.quantile_bin(df, "x", 10).collect()}
+    got = {r.x: r.bin for r in ST.quantile_bin(df, "x", 10, chunk=F.floor(F.col("x") / 7)).collect()}
     edges = np.percentile([x for x in xs if x is not None], [10 * k for k in range(1, 10)])
     for x in xs:
         if x is None:
@@ -67,6 +67,16 @@ def test_quantile_bins_right_closed(spark):
     assert got[1.0] == 0 and got[100.0] == 9
 
 
+def test_exact_quantiles_match_numpy(spark):
+    rnd = random.Random(6)
+    xs = [round(rnd.gauss(50, 20), 1) for _ in range(997)] + [50.0] * 300     # a hot value
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    qs = [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.999]
+    got = ST.exact_quantiles(df, "x", qs, F.floor(F.col("x") / 5)).first().q
+    ref = np.percentile(xs, [q * 100 for q in qs])
+    assert all(abs(a - b) < 1e-9 for a, b in zip(got, ref)), (got, ref)
+
+
 def test_confusion_complete_grid(spark):
     df = spark.createDataFrame([(1, 0.9), (1, 0.8), (0, 0.95)], "y int, s double")
     got = {(r.label, r.pred): r.n for r in ST.confusion(df, "y", F.col("s") > 0.5).collect()}

@@ -39,14 +39,41 @@ def global_row_number(df: DataFrame, order: list[Column], chunk: Column, name: s
             .withColumn(name, F.col("_off") + local).drop("_chunk", "_off"))
 
 
-def auc_by_group(df: DataFrame, group: list[str], score: str, label: str) -> DataFrame:
+def chunked_cumsum(df: DataFrame, partition: list[str], order: str, values: list[str], chunk: Column,
+                   desc: bool = False, prefix: str = "cum_") -> DataFrame:
+    """Inclusive running sums of ``values`` along ``order`` within
+    ``partition`` without one window over a whole partition: rows are cut
+    into chunks (``chunk`` must be monotone in ``order``), chunk totals are
+    prefix-summed over the chunks (a few rows per partition key) and each
+    chunk runs its own window."""
+    d = df.withColumn("_chunk", chunk)
+    tot = d.groupBy(*partition, "_chunk").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    ck = F.col("_chunk").desc() if desc else F.col("_chunk").asc()
+    wc = (Window.partitionBy(*partition).orderBy(ck) if partition else Window.orderBy(ck)).rowsBetween(UNB, -1)
+    offs = tot.select(*partition, "_chunk",
+                      *[F.coalesce(F.sum(f"_t_{v}").over(wc), F.lit(0)).alias(f"_o_{v}") for v in values])
+    o = F.col(order).desc() if desc else F.col(order).asc()
+    wl = Window.partitionBy(*partition, "_chunk").orderBy(o).rowsBetween(UNB, 0)
+    out = d.join(offs, [*partition, "_chunk"])
+    return out.withColumns({f"{prefix}{v}": F.col(f"_o_{v}") + F.sum(v).over(wl) for v in values}).drop(
+        "_chunk", *[f"_o_{v}" for v in values])
+
+
+def score_chunk(score: str, n: int = 1024) -> Column:
+    """Monotone chunk id of a probability-like score (ordering key for the
+    chunked prefix sums)."""
+    return F.floor(F.col(score) * F.lit(n))
+
+
+def auc_by_group(df: DataFrame, group: list[str], score: str, label: str, chunk: Column | None = None) -> DataFrame:
     """Tie-corrected ROC AUC (Mann-Whitney) per group:
     ``sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N)``; null when a group
-    lacks either class.  The window runs over distinct scores per group."""
+    lacks either class.  Counts are aggregated per distinct score, then
+    prefix-summed in score chunks (no single-partition window)."""
     per = df.groupBy(*group, score).agg(F.sum(F.col(label)).alias("_pos"),
                                         F.sum(F.lit(1) - F.col(label)).alias("_neg"))
-    w = Window.partitionBy(*group).orderBy(score).rowsBetween(UNB, -1)
-    per = per.withColumn("_below", F.coalesce(F.sum("_neg").over(w), F.lit(0)))
+    per = chunked_cumsum(per, group, score, ["_neg"], chunk if chunk is not None else score_chunk(score))
+    per = per.withColumn("_below", F.col("cum__neg") - F.col("_neg"))
     g = per.groupBy(*group).agg(
         F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0)).alias("_u"),
         F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"))
@@ -55,14 +82,16 @@ def auc_by_group(df: DataFrame, group: list[str], score: str, label: str) -> Dat
     return g.select(*group, "n_pos", "n_neg", r6(auc).alias("auc"))
 
 
-def pr_curve(df: DataFrame, score: str, label: str) -> DataFrame:
+def pr_curve(df: DataFrame, score: str, label: str, chunk: Column | None = None) -> DataFrame:
     """Precision/recall/F2 at every distinct threshold s (positive =
-    ``score >= s``)."""
+    ``score >= s``), from per-score counts prefix-summed in descending score
+    chunks."""
     per = df.groupBy(score).agg(F.sum(F.col(label)).alias("_pos"),
                                 F.sum(F.lit(1) - F.col(label)).alias("_neg"))
-    w = Window.orderBy(F.col(score).desc()).rowsBetween(UNB, 0)
+    c = chunked_cumsum(per, [], score, ["_pos", "_neg"], chunk if chunk is not None else score_chunk(score),
+                       desc=True)
     tot = per.agg(F.sum("_pos").alias("_P"))
-    c = attach_row(per.withColumns({"_tp": F.sum("_pos").over(w), "_fp": F.sum("_neg").over(w)}), tot)
+    c = attach_row(c.withColumnsRenamed({"cum__pos": "_tp", "cum__neg": "_fp"}), tot)
     p = F.col("_tp") / (F.col("_tp") + F.col("_fp"))
     r = F.col("_tp") / F.col("_P")
     c = c.withColumns({"precision": p, "recall": r})
@@ -78,12 +107,35 @@ def best_threshold(curve: DataFrame) -> DataFrame:
     return b.select(*[r6(F.col("b")[c]).alias(c) for c in ["threshold", "precision", "recall", "f2"]])
 
 
-def quantile_bin(df: DataFrame, x: str, n_bins: int, name: str = "bin") -> DataFrame:
+def exact_quantiles(df: DataFrame, x: str, qs: list[float], chunk: Column | None = None) -> DataFrame:
+    """Exact, linearly interpolated quantiles (position ``(N - 1) q``, the
+    rule of ``percentile`` / ``quantile_cont``) as a one-row DataFrame with
+    an array column ``q``.  Counts per distinct value are prefix-summed in
+    value chunks, then one conditional aggregate picks the order statistics
+    around every target rank -- no task ever holds the whole column."""
+    counts = df.filter(F.col(x).isNotNull()).groupBy(x).agg(F.count(F.lit(1)).alias("_n"))
+    cum = chunked_cumsum(counts, [], x, ["_n"], chunk if chunk is not None else score_chunk(x))
+    n = counts.agg(F.sum("_n").alias("_total"))
+    c = attach_row(cum, n).withColumn("_lo", F.col("cum__n") - F.col("_n"))   # 0-based first rank
+    aggs = []
+    for i, q in enumerate(qs):
+        h = (F.col("_total") - 1) * F.lit(q)
+        k0, k1 = F.floor(h), F.ceil(h)
+        hit0 = (F.col("_lo") <= k0) & (k0 < F.col("cum__n"))
+        hit1 = (F.col("_lo") <= k1) & (k1 < F.col("cum__n"))
+        aggs += [F.max(F.when(hit0, F.col(x))).alias(f"_v0_{i}"), F.max(F.when(hit1, F.col(x))).alias(f"_v1_{i}"),
+                 F.max(h - k0).alias(f"_f_{i}")]
+    row = c.agg(*aggs)
+    vals = [F.col(f"_v0_{i}") + F.col(f"_f_{i}") * (F.col(f"_v1_{i}") - F.col(f"_v0_{i}")) for i in range(len(qs))]
+    return row.select(F.array(*vals).alias("q"))
+
+
+def quantile_bin(df: DataFrame, x: str, n_bins: int, name: str = "bin", chunk: Column | None = None) -> DataFrame:
     """Equal-frequency bins: edges = interpolated quantiles k/n; bin = number
     of distinct inner edges strictly below x (first bin includes the
     minimum, bins are right-closed); null x -> null bin."""
     qs = [k / n_bins for k in range(1, n_bins)]
-    edges = df.agg(F.percentile(x, qs).alias("_edges"))
+    edges = exact_quantiles(df, x, qs, chunk).select(F.col("q").alias("_edges"))
     d = attach_row(df, edges)
     b = F.when(F.col(x).isNotNull(),
                F.size(F.filter(F.array_distinct("_edges"), lambda e: e < F.col(x))))
