@@ -130,3 +130,23 @@ def test_series_features_vs_numpy(spark):
     assert abs(r.rms - np.sqrt((a ** 2).mean())) < 1e-6 and abs(r.slope - np.polyfit(range(7), a, 1)[0]) < 1e-6
     assert r.pos_turning == 3 and r.neg_turning == 2      # peaks 5, 8, 7; troughs 4, 6
     assert abs(r.sum_abs_diff - np.abs(np.diff(a)).sum()) < 1e-6
+
+
+def test_classifier_cv_and_persistence(spark):
+    """CV-tuned balanced classifier, saved and reloaded."""
+    import tempfile
+
+    from pyspark.ml.tuning import CrossValidatorModel
+    rnd = random.Random(11)
+    rows_ = []
+    for i in range(120):
+        y = int(rnd.random() < 0.3)
+        rows_.append((i, float(y), rnd.gauss(2.0 * y, 1.0), rnd.choice(["en", "fr"]), i % 5))
+    df = MD.balanced_weights(spark.createDataFrame(rows_, "k long, y double, x double, lang string, fold int"), "y")
+    model = MD.fit_classifier(df, "logreg", cat_cols=["lang"], num_cols=["x"])
+    path = tempfile.mkdtemp(prefix="wf-model-")
+    model.write().overwrite().save(path)
+    again = CrossValidatorModel.load(path)
+    a = [r.prediction for r in model.transform(df).orderBy("k").collect()]
+    b = [r.prediction for r in again.transform(df).orderBy("k").collect()]
+    assert a == b and max(model.avgMetrics) > 0.7

@@ -12,6 +12,7 @@ from wardflow.functions.scalar import all_not_null, hours_between, r6
 from wardflow.operators import models as MD
 from wardflow.operators import panel as P
 from wardflow.operators import sequence as S
+from wardflow.operators import stats as ST
 from wardflow.plans import common as C
 from wardflow.plans import q_impute as QI
 from wardflow.plans import q_models as QM
@@ -269,3 +270,108 @@ def qq_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (ranked.join(n, "feature")
             .select("feature", ENTITY, "day", "error", F.col("rank").cast("bigint").alias("rank"),
                     r6(pos).alias("position"), r6(_probit(pos)).alias("theoretical")))
+
+
+@query("cohort_static_attach", sql=f"""
+WITH {QM.cohort_ctes()},
+st AS (SELECT user_id, arg_min(event_type, (ts, event_id)) AS first_type, count(*) AS n_events FROM events GROUP BY user_id),
+enc AS (SELECT first_type, dense_rank() OVER (ORDER BY first_type) - 1 AS first_type_code FROM (SELECT DISTINCT first_type FROM st))
+SELECT cp.user_id, cp.day, cp.total_missing, st.n_events, enc.first_type_code
+FROM cp JOIN st ON cp.user_id = st.user_id LEFT JOIN enc ON st.first_type = enc.first_type""")
+def cohort_static_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label-encoded static columns attached to the fixed cohort."""
+    cp = C.cohort_panel(spark, sf_dir).select(ENTITY, "day", "total_missing")
+    ev = read_table(spark, sf_dir, "events")
+    st = ev.groupBy(ENTITY).agg(F.min_by(FEATURE, F.struct(TIME, "event_id")).alias("first_type"),
+                                F.count(F.lit(1)).alias("n_events"))
+    st = MD.label_encode(st, "first_type", "first_type_code").withColumn(
+        "first_type_code", F.col("first_type_code").cast("bigint"))
+    return cp.join(st, ENTITY).select(ENTITY, "day", "total_missing", "n_events", "first_type_code")
+
+
+@query("series_roundtrip", sql=f"""
+WITH {QM.cohort_ctes()}
+{" UNION ALL ".join(f"SELECT user_id, '{c}' AS feature, day AS pos, {c} AS value FROM cp" for c in D)}""")
+def series_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-(entity, feature) series packed as arrays (sorted
+    ``collect_list`` of structs, nulls kept inside the struct) and unpacked
+    with ``posexplode`` -- the long form is recovered exactly."""
+    long = C.cohort_long(spark, sf_dir)
+    arr = long.groupBy(ENTITY, "feature").agg(F.array_sort(F.collect_list(F.struct("day", "original"))).alias("s"))
+    return arr.select(ENTITY, "feature", F.posexplode("s").alias("pos", "cell")).select(
+        ENTITY, "feature", F.col("cell.day").alias("pos"), F.col("cell.original").alias("value"))
+
+
+@query("sequence_inputs", sql=f"""
+WITH {QM.cohort_ctes()},
+cl AS ({" UNION ALL ".join(f"SELECT user_id, day, '{c}' AS feature, {c} AS x FROM cp" for c in D)}),
+st AS (SELECT feature, avg(x) AS m, CASE WHEN stddev_pop(x) = 0 OR stddev_pop(x) IS NULL THEN 1.0 ELSE stddev_pop(x) END AS s
+       FROM cl WHERE {QM._key_hash_sql("user_id", 42, 100)} < 70 GROUP BY feature)
+SELECT cl.user_id, cl.day, cl.feature, round((x - m) / s, 6) AS z, {QM._split_sql("cl.user_id")} AS split,
+       CASE WHEN cl.day < 3 THEN 'early' WHEN cl.day >= {C.COHORT_DAYS - 3} THEN 'late' END AS slice
+FROM cl JOIN st ON cl.feature = st.feature
+WHERE cl.day < 3 OR cl.day >= {C.COHORT_DAYS - 3}""")
+def sequence_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence-model inputs -- train-fitted z-scores, entity split,
+    early/late bin slices of the fixed cohort."""
+    long = C.cohort_long(spark, sf_dir).withColumnRenamed("original", "x")
+    z = MD.standardise_long(long, "feature", "x", fit_on=MD.key_hash(F.col(ENTITY), 42, 100) < 70)
+    sl = (F.when(F.col("day") < 3, "early").when(F.col("day") >= C.COHORT_DAYS - 3, "late"))
+    return (z.withColumn("slice", sl).filter(F.col("slice").isNotNull())
+            .select(ENTITY, "day", "feature", r6("z").alias("z"), MD.hash_split(F.col(ENTITY)).alias("split"),
+                    "slice"))
+
+
+@query("outcome_features", sql=f"""
+WITH sf AS ({ORACLES["series_features"]}),
+st AS (SELECT user_id, count(*) AS n_events FROM events GROUP BY user_id)
+SELECT sf.user_id, sf.mean, sf.std, sf.slope, sf.mean_crossings, st.n_events, {QM._split_sql("sf.user_id")} AS split
+FROM sf JOIN st ON sf.user_id = st.user_id""")
+def outcome_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-entity frame joining series features, static columns and
+    the split on the entity key (never by position)."""
+    sf = QM.series_features(spark, sf_dir)
+    st = read_table(spark, sf_dir, "events").groupBy(ENTITY).agg(F.count(F.lit(1)).alias("n_events"))
+    return sf.join(st, ENTITY).select(ENTITY, "mean", "std", "slope", "mean_crossings", "n_events",
+                                      MD.hash_split(F.col(ENTITY)).alias("split"))
+
+
+@query("model_matrix")
+def model_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Modelling matrix -- 24 h summary features, binarised
+    volume, encoded text mode, train-fitted scaling, greedy drop of
+    |r| > 0.9 pairs and VIF >= 10 columns (p x p work on the driver), split."""
+    s = summary_24h(spark, sf_dir)
+    x = (s.withColumn("urine_any", (F.col("urine_output_sum") > 0).cast("double"))
+         .na.fill({"heart_rate_std": 0.0}))
+    x = MD.label_encode(x, "mode_vent_mode", "mode_code").withColumn("mode_code", F.col("mode_code").cast("double"))
+    num = ["heart_rate_max", "heart_rate_mean", "heart_rate_std", "urine_output_sum", "n_hours"]
+    x = x.withColumn("split", MD.hash_split(F.col(ENTITY)))
+    x = x.withColumns({c: F.col(c).cast("double") for c in num}).na.drop(subset=num)
+    corr = [(r.var_a, r.var_b, r.r) for r in MD.corr_matrix(x, num).collect()]     # p x p
+    kept = MD.drop_correlated(corr, num, 0.9)
+    vifs = dict(MD.vif(x, kept))
+    kept = [c for c in kept if vifs[c] < 10] or kept[:1]
+    train = F.col("split") == "train"
+    stats = x.filter(train).agg(*[F.avg(c).alias(f"m_{c}") for c in kept],
+                                *[F.stddev_pop(c).alias(f"s_{c}") for c in kept])
+    x = ST.attach_row(x, stats)
+    scaled = [r6((F.col(c) - F.col(f"m_{c}")) / F.when(F.col(f"s_{c}") > 0, F.col(f"s_{c}")).otherwise(1.0)).alias(c)
+              for c in kept]
+    return x.select(ENTITY, "split", *scaled, "urine_any", "mode_code")
+
+
+@query("cluster_error_box")
+def cluster_error_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-means clusters (k = 3) of entity series crossed with the
+    leave-one-out error: five-number summary of |error| per cluster."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+    s = QM.cohort_series(spark, sf_dir).withColumn("features", array_to_vector(F.col("series").cast("array<double>")))
+    model = KMeans(k=3, seed=42).fit(s)
+    cl = model.transform(s).select(ENTITY, F.col("prediction").alias("cluster"))
+    err = QS.loo_residual(spark, sf_dir).select(ENTITY, F.abs("error").alias("abs_error"))
+    j = err.join(cl, ENTITY)
+    q = F.percentile("abs_error", [0.0, 0.25, 0.5, 0.75, 1.0])
+    return j.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), q.alias("_q")).select(
+        "cluster", "n", *[r6(F.col("_q")[i]).alias(n) for i, n in enumerate(["min", "q1", "median", "q3", "max"])])
