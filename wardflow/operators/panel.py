@@ -145,8 +145,21 @@ def fixed_grid(entities: DataFrame, entity: str, t: str, n_bins: int) -> DataFra
 
 
 def densify(panel: DataFrame, entity: str, t: str, start: int | None = 0) -> DataFrame:
-    """Left join of the dense grid and the panel on ``(entity, t)``."""
-    return dense_grid(panel, entity, t, start).join(panel, [entity, t], "left")
+    """Dense grid ``start..max(t)`` per entity with the panel's values on
+    observed bins and nulls elsewhere (``start=None``: from the first bin).
+
+    One window over the entity: every row explodes the gap back to the
+    previous row (the first row back to ``start``), so no grid table is
+    built and nothing is joined back.  Rows before ``start`` are dropped;
+    an entity with no bin at or after ``start`` yields no rows."""
+    cols = [c for c in panel.columns if c not in (entity, t)]
+    p = panel if start is None else panel.filter(F.col(t) >= start)
+    prev = F.lag(t).over(Window.partitionBy(entity).orderBy(t))
+    first = F.lit(start).cast("bigint") if start is not None else F.col(t).cast("bigint")
+    lo = F.when(prev.isNull(), first).otherwise(prev.cast("bigint") + 1)
+    x = p.select(entity, F.col(t).cast("bigint").alias("_t"), *cols, lo.alias("_lo"))
+    x = x.select(entity, "_t", *cols, F.explode(F.sequence("_lo", "_t")).alias(t))
+    return x.select(entity, t, *[F.when(F.col(t) == F.col("_t"), F.col(c)).alias(c) for c in cols])
 
 
 def reorigin(panel: DataFrame, entity: str, t: str, valid: Column, keep_before: bool = False,
@@ -156,12 +169,11 @@ def reorigin(panel: DataFrame, entity: str, t: str, valid: Column, keep_before:
     ``valid`` is the validity predicate (e.g. any vital present).  Entities
     with no valid row are dropped when ``require_valid``.  Rows before the
     first valid row are dropped unless ``keep_before`` (they get negative t).
-    The origin is an aggregate joined back (skew-safe, one row per entity).
+    The origin is a window minimum over the entity's (binned) rows.
     """
-    t0 = panel.groupBy(entity).agg(F.min(F.when(valid, F.col(t))).alias("_t0"))
+    out = panel.withColumn("_t0", F.min(F.when(valid, F.col(t))).over(Window.partitionBy(entity)))
     if require_valid:
-        t0 = t0.filter(F.col("_t0").isNotNull())
-    out = panel.join(t0, entity, "inner" if require_valid else "left")
+        out = out.filter(F.col("_t0").isNotNull())
     if not keep_before:
         out = out.filter(F.col(t) >= F.col("_t0"))
     return out.withColumn(t, F.col(t) - F.col("_t0")).drop("_t0")
@@ -169,10 +181,10 @@ def reorigin(panel: DataFrame, entity: str, t: str, valid: Column, keep_before:
 
 def trim_trailing(panel: DataFrame, entity: str, t: str, keep: Column) -> DataFrame:
     """Drop rows after the last row where ``keep`` holds; entities without
-    any such row are dropped."""
-    last = panel.groupBy(entity).agg(F.max(F.when(keep, F.col(t))).alias("_tl"))
-    return (panel.join(last.filter(F.col("_tl").isNotNull()), entity)
-            .filter(F.col(t) <= F.col("_tl")).drop("_tl"))
+    any such row are dropped (window maximum over the entity's bins)."""
+    last = F.max(F.when(keep, F.col(t))).over(Window.partitionBy(entity))
+    return (panel.withColumn("_tl", last)
+            .filter(F.col("_tl").isNotNull() & (F.col(t) <= F.col("_tl"))).drop("_tl"))
 
 
 def add_null_count(panel: DataFrame, cols: list[str], name: str = "total_missing") -> DataFrame:

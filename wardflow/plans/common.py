@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wardflow.functions.dictionary import EVENT_FEATURES, numeric_feature_ranges
 from wardflow.functions.scalar import minutes_between
@@ -58,13 +59,13 @@ def cohort_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     more than ``COHORT_MAX_MISSING`` missing days in any variable excluded."""
     dp = P.add_null_count(daily_panel(spark, sf_dir), DAILY_COLS)
     trimmed = P.trim_trailing(dp, ENTITY, "day", F.col("total_missing") < len(DAILY_COLS))
-    mvi = trimmed.groupBy(ENTITY).agg(F.max("day").alias("max_valid_interval"))
-    cohort = (trimmed.join(mvi, ENTITY)
+    # per-entity windows over the binned panel: they share the entity
+    # partitioning of the panel (no join back, no re-computation)
+    w = Window.partitionBy(ENTITY)
+    cohort = (trimmed.withColumn("max_valid_interval", F.max("day").over(w))
               .filter((F.col("max_valid_interval") > COHORT_DAYS - 1) & (F.col("day") < COHORT_DAYS)))
-    too_sparse = (cohort.groupBy(ENTITY)
-                  .agg(F.greatest(*[F.sum(F.col(c).isNull().cast("int")) for c in DAILY_COLS]).alias("_mx"))
-                  .filter(F.col("_mx") > COHORT_MAX_MISSING))
-    return cohort.join(too_sparse, ENTITY, "left_anti")
+    worst = F.greatest(*[F.sum(F.col(c).isNull().cast("int")).over(w) for c in DAILY_COLS])
+    return cohort.withColumn("_mx", worst).filter(F.col("_mx") <= COHORT_MAX_MISSING).drop("_mx")
 
 
 def cohort_long(spark: SparkSession, sf_dir: str) -> DataFrame:
