@@ -107,16 +107,23 @@ def best_threshold(curve: DataFrame) -> DataFrame:
     return b.select(*[r6(F.col("b")[c]).alias(c) for c in ["threshold", "precision", "recall", "f2"]])
 
 
-def exact_quantiles(df: DataFrame, x: str, qs: list[float], chunk: Column | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, x: str, qs: list[float], chunk: Column | None = None,
+                    group: list[str] | None = None) -> DataFrame:
     """Exact, linearly interpolated quantiles (position ``(N - 1) q``, the
-    rule of ``percentile`` / ``quantile_cont``) as a one-row DataFrame with
+    rule of ``percentile`` / ``quantile_cont``): one row per ``group`` with
     an array column ``q``.  Counts per distinct value are prefix-summed in
-    value chunks, then one conditional aggregate picks the order statistics
-    around every target rank -- no task ever holds the whole column."""
-    counts = df.filter(F.col(x).isNotNull()).groupBy(x).agg(F.count(F.lit(1)).alias("_n"))
-    cum = chunked_cumsum(counts, [], x, ["_n"], chunk if chunk is not None else score_chunk(x))
-    n = counts.agg(F.sum("_n").alias("_total"))
-    c = attach_row(cum, n).withColumn("_lo", F.col("cum__n") - F.col("_n"))   # 0-based first rank
+    value chunks (``chunk`` monotone in ``x``; default: 1024 equal-width
+    chunks between the group's min and max), then one conditional aggregate
+    picks the order statistics around every target rank -- no task ever
+    holds a whole column or group."""
+    group = group or []
+    counts = df.filter(F.col(x).isNotNull()).groupBy(*group, x).agg(F.count(F.lit(1)).alias("_n"))
+    n = counts.groupBy(*group).agg(F.sum("_n").alias("_total"), F.min(x).alias("_vmin"), F.max(x).alias("_vmax"))
+    c = counts.join(n, group) if group else attach_row(counts, n)     # n: one row per group
+    if chunk is None:
+        span = F.col("_vmax") - F.col("_vmin")
+        chunk = F.when(span > 0, F.floor((F.col(x) - F.col("_vmin")) / span * F.lit(1023))).otherwise(F.lit(0))
+    c = chunked_cumsum(c, group, x, ["_n"], chunk).withColumn("_lo", F.col("cum__n") - F.col("_n"))
     aggs = []
     for i, q in enumerate(qs):
         h = (F.col("_total") - 1) * F.lit(q)
@@ -125,9 +132,9 @@ def exact_quantiles(df: DataFrame, x: str, qs: list[float], chunk: Column | None
         hit1 = (F.col("_lo") <= k1) & (k1 < F.col("cum__n"))
         aggs += [F.max(F.when(hit0, F.col(x))).alias(f"_v0_{i}"), F.max(F.when(hit1, F.col(x))).alias(f"_v1_{i}"),
                  F.max(h - k0).alias(f"_f_{i}")]
-    row = c.agg(*aggs)
+    row = c.groupBy(*group).agg(*aggs)
     vals = [F.col(f"_v0_{i}") + F.col(f"_f_{i}") * (F.col(f"_v1_{i}") - F.col(f"_v0_{i}")) for i in range(len(qs))]
-    return row.select(F.array(*vals).alias("q"))
+    return row.select(*group, F.array(*vals).alias("q"))
 
 
 def quantile_bin(df: DataFrame, x: str, n_bins: int, name: str = "bin", chunk: Column | None = None) -> DataFrame:
@@ -187,19 +194,21 @@ def regression_ci(df: DataFrame, group: list[str], y: str, x: str) -> DataFrame:
 
 
 def profile(df: DataFrame, cols: list[str]) -> DataFrame:
-    """describe()-style profile, one row per column, in ONE aggregation:
-    count, null count, mean, sample std, min, quartiles (exact,
-    interpolated), max."""
-    aggs = []
-    for c in cols:
-        aggs.append(F.struct(
-            F.lit(c).alias("column_name"), F.count(c).alias("count"),
-            F.count_if(F.col(c).isNull()).alias("null_count"), r6(F.avg(c)).alias("mean"),
-            r6(F.stddev_samp(c)).alias("std"), F.min(c).cast("double").alias("min"),
-            F.percentile(c, [0.25, 0.5, 0.75]).alias("_q"), F.max(c).cast("double").alias("max")))
-    out = df.agg(F.array(*aggs).alias("_a")).select(F.inline("_a"))
+    """describe()-style profile, one row per column: count, null count,
+    mean, sample std, min and max in ONE aggregation; exact interpolated
+    quartiles for all columns at once from the unpivoted values
+    (:func:`exact_quantiles` grouped by column)."""
+    aggs = [F.struct(F.lit(c).alias("column_name"), F.count(c).alias("count"),
+                     F.count_if(F.col(c).isNull()).alias("null_count"), r6(F.avg(c)).alias("mean"),
+                     r6(F.stddev_samp(c)).alias("std"), F.min(c).cast("double").alias("min"),
+                     F.max(c).cast("double").alias("max")) for c in cols]
+    basic = df.agg(F.array(*aggs).alias("_a")).select(F.inline("_a"))
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [], cols, "column_name", "_v")
+    qs = exact_quantiles(long, "_v", [0.25, 0.5, 0.75], group=["column_name"])
+    out = basic.join(qs, "column_name", "left")
     return out.select("column_name", "count", "null_count", "mean", "std", "min",
-                      *[r6(F.col("_q")[i]).alias(n) for i, n in enumerate(["p25", "p50", "p75"])], "max")
+                      *[r6(F.col("q")[i]).alias(n) for i, n in enumerate(["p25", "p50", "p75"])], "max")
 
 
 def moments(df: DataFrame, group: list[str], x: str) -> DataFrame:

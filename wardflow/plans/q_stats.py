@@ -182,10 +182,10 @@ FROM lineitem GROUP BY l_returnflag""")
 def box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five-number summary per group (exact interpolated quartiles)."""
     li = read_table(spark, sf_dir, "lineitem")
-    g = li.groupBy("l_returnflag").agg(F.min("l_quantity").alias("q0"),
-                                       F.percentile("l_quantity", [0.25, 0.5, 0.75]).alias("_q"),
-                                       F.max("l_quantity").alias("q4"))
-    return g.select("l_returnflag", "q0", *[r6(F.col("_q")[i]).alias(f"q{i + 1}") for i in range(3)], "q4")
+    g = li.groupBy("l_returnflag").agg(F.min("l_quantity").alias("q0"), F.max("l_quantity").alias("q4"))
+    q = ST.exact_quantiles(li, "l_quantity", [0.25, 0.5, 0.75], group=["l_returnflag"])
+    return g.join(q, "l_returnflag").select(
+        "l_returnflag", "q0", *[r6(F.col("q")[i]).alias(f"q{i + 1}") for i in range(3)], "q4")
 
 
 @query("value_counts", sql="""
