@@ -150,3 +150,30 @@ def test_classifier_cv_and_persistence(spark):
     a = [r.prediction for r in model.transform(df).orderBy("k").collect()]
     b = [r.prediction for r in again.transform(df).orderBy("k").collect()]
     assert a == b and max(model.avgMetrics) > 0.7
+
+
+def test_dtw_distance_and_clusters(spark):
+    from wardflow.operators.dtw import dtw_kmedoids, dtw_to
+
+    def brute(a, b):
+        n, m = len(a), len(b)
+        d = [[float("inf")] * (m + 1) for _ in range(n + 1)]
+        d[0][0] = 0.0
+        for i in range(1, n + 1):
+            for j in range(1, m + 1):
+                d[i][j] = (a[i - 1] - b[j - 1]) ** 2 + min(d[i - 1][j], d[i][j - 1], d[i - 1][j - 1])
+        return d[n][m] ** 0.5
+
+    rnd = np.random.default_rng(1)
+    x = rnd.normal(size=(5, 8))
+    ref = rnd.normal(size=6)
+    assert np.allclose(dtw_to(x, ref), [brute(r, ref) for r in x])
+    # two obvious shapes, shifted in time: DTW puts each shape in one cluster
+    rows_ = []
+    for i in range(12):
+        base = np.sin(np.linspace(0, 3, 15) + (i % 3) * 0.2) * (1 if i < 6 else -1) * 10 + 50
+        rows_.append((i, [float(v) for v in base]))
+    df = spark.createDataFrame(rows_, "e long, series array<double>")
+    got = {r.e: r.cluster for r in dtw_kmedoids(df, "e", 2).collect()}
+    assert len({got[i] for i in range(6)}) == 1 and len({got[i] for i in range(6, 12)}) == 1
+    assert got[0] != got[6]

@@ -12,7 +12,7 @@ from wardflow.operators import models as MD
 from wardflow.operators import sequence as S
 from wardflow.operators.masking import HASH_MULTIPLIERS
 from wardflow.plans import common as C
-from wardflow.plans.q_stats import scored
+from wardflow.plans.q_stats import SCORED_CTE, scored
 from wardflow.plans.registry import query
 from wardflow.plans.sql_common import cohort_ctes, daily_panel_ctes
 from wardflow.sources.tables import ENTITY, read_table
@@ -39,7 +39,7 @@ def patient_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("stratified_split", sql=f"""
-WITH {__import__("wardflow.plans.q_stats", fromlist=["x"]).SCORED_CTE},
+WITH {SCORED_CTE},
 r AS (SELECT doc_id, y, row_number() OVER (PARTITION BY y ORDER BY {_key_hash_sql("doc_id", 42, 1000003)}, doc_id) AS rk,
              count(*) OVER (PARTITION BY y) AS n FROM sc)
 SELECT doc_id, y, CASE WHEN (rk - 1) / n < 0.6 THEN 'train' WHEN (rk - 1) / n < 0.8 THEN 'val' ELSE 'test' END AS split
@@ -277,3 +277,12 @@ def series_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = MD.kmeans_sweep(s, "series", [2, 3, 4, 5])
     return literal_table(spark, [(k, round(sil, 6), round(cost, 6)) for k, sil, cost in res],
                                  "k int, silhouette double, inertia double")
+
+
+@query("series_dtw_clusters")
+def series_dtw_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DTW k-medoids (k = 3) of the entity series: cluster and DTW
+    distance to its medoid per entity (sum of squares = inertia)."""
+    from wardflow.operators.dtw import dtw_kmedoids
+    s = cohort_series(spark, sf_dir)
+    return dtw_kmedoids(s, ENTITY, 3).select(ENTITY, "cluster", r6("dist").alias("dist"))
