@@ -72,3 +72,30 @@ def test_asof_partition_independent(spark):
         res.append(sorted((r.e, r.i, r.stay.sid if r.stay else -1) for r in got.collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert res[0] == res[1]
+
+
+def test_hot_entity_is_split_across_chunks_and_top1_is_partial(spark):
+    """A key holding a third of all rows: the as-of window is partitioned by
+    (entity, time chunk) and keep-first runs a partial (map-side) min_by."""
+    from pyspark.sql import functions as F
+
+    from wardflow.operators import relational as R
+    hot = [(0, i, BASE + dt.timedelta(hours=7 * i)) for i in range(400)]
+    cold = [(e, i, BASE + dt.timedelta(hours=31 * i + e)) for e in range(1, 41) for i in range(20)]
+    events = spark.createDataFrame(hot + cold, "e long, i long, t timestamp")
+    stays = spark.createDataFrame([(e, s, BASE + dt.timedelta(days=10 * s), BASE + dt.timedelta(days=10 * s + 9))
+                                   for e in range(41) for s in range(15)], "e long, sid long, tin timestamp, tout timestamp")
+    out = A.asof_first_ending_after(events, A.effective_end(stays, "e", "tout"), "e", "t", ["tin", "sid"],
+                                    "eff_out", ["sid"], chunk_days=7)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "_chunk" in plan and "hashpartitioning(e#" in plan
+    chunks = events.filter("e = 0").select(F.floor(F.unix_micros(F.col("t")) / (7 * 86_400_000_000))).distinct().count()
+    assert chunks > 10                                   # the hot entity spans many window partitions
+    got = {(r.e, r.i): r.stay.sid for r in out.collect()}
+    ref = {}
+    for e, i, t in hot + cold:
+        ref[(e, i)] = min((s for s in range(15) if (BASE + dt.timedelta(days=10 * s + 9) >= t or s == 14)),
+                          default=None)
+    assert got == ref
+    top = R.first_per_key(events, ["e"], [("t", True), ("i", False)], ["i"])
+    assert "partial_min_by" in top._jdf.queryExecution().executedPlan().toString()

@@ -54,7 +54,7 @@ def _close(a, b):
 
 
 @pytest.mark.parametrize("edges", ["both", "inside", "forward"])
-def test_interpolate_matches_reference(spark, edges):
+def test_interpolate_matches_brute_force(spark, edges):
     data = _series(1)
     df = spark.createDataFrame(data, "e long, t long, x double")
     got = _by_entity([(r.e, r.t, r.x) for r in S.interpolate(df, "e", "t", ["x"], edges).collect()])

@@ -48,6 +48,26 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
+                   max_partitions: int = 200_000) -> int:
+    """Cluster sizing from the input volume: scan splits and shuffle
+    partitions of about ``target_partition_bytes`` (fits executor memory
+    with room for sort/aggregation buffers), AQE coalescing towards the same
+    advisory size, skew-join splitting of partitions 5x the median and above
+    the target.  Returns the shuffle partition count."""
+    n = max(8, min(max_partitions, input_bytes // target_partition_bytes + 1))
+    conf = {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return n
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 

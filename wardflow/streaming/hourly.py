@@ -1,5 +1,5 @@
 """Hourly reduction of a measurement stream (extension; the batch library
-covers the reference's operators).
+covers the inventory's operators).
 
 A file-source stream of measurement rows is binned into absolute event-time
 hours per (entity, feature) with a watermark, so state for an hour is
