@@ -177,3 +177,31 @@ def test_dtw_distance_and_clusters(spark):
     got = {r.e: r.cluster for r in dtw_kmedoids(df, "e", 2).collect()}
     assert len({got[i] for i in range(6)}) == 1 and len({got[i] for i in range(6, 12)}) == 1
     assert got[0] != got[6]
+
+
+def test_target_share_blocks_equal_sequential_rule(spark):
+    """J3 computed with window minima + prefix sums equals adding blocks one
+    by one in key order until the newly masked observed cells reach the
+    target."""
+    rnd = random.Random(17)
+    H, n, rate, seed, feats = 12, 3, 0.3, 5, ["a", "b"]
+    data = [(e, t, *(None if rnd.random() < 0.3 else float(rnd.randint(1, 9)) for _ in feats))
+            for e in range(1, 9) for t in range(H)]
+    df = spark.createDataFrame(data, "e long, t long, a double, b double")
+    got = {(r.e, r.t): (r.m_a, r.m_b) for r in M.target_share_block_mask(df, "e", "t", feats, n, H, rate, seed).collect()}
+    a, b = M.HASH_MULTIPLIERS[0], M.HASH_MULTIPLIERS[1]
+    keys = sorted((((e * a + t * b + seed) % 1_000_003) * 10 ** 12 + e * 1000 + t, e, t)
+                  for e in range(1, 9) for t in range(H - 1))
+    obs = {(e, t): [v is not None for v in vals] for e, t, *vals in data}
+    target = int(len(data) * len(feats) * rate)
+    masked, count = set(), 0
+    for _k, e, t0 in keys:
+        if count >= target:
+            break
+        for d in range(t0, min(t0 + n, H - 1)):
+            if (e, d) not in masked:
+                masked.add((e, d))
+                count += sum(obs[(e, d)])
+    for e, t, *vals in data:
+        exp = tuple(None if (e, t) in masked else v for v in vals)
+        assert got[(e, t)] == exp

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardflow.operators import sequence as S
+from wardflow.operators.stats import attach_row, chunked_cumsum
 
 # --- fixed values: multipliers of the integer mixing hash ---------------------
 HASH_MULTIPLIERS = (7919, 104729, 1299709, 15485863)
@@ -76,3 +77,38 @@ def errors(df: DataFrame, group: list[str], original: str, masked: str, imputed:
     return df.groupBy(*group).agg(
         F.count(d).alias("n"), F.round(F.avg(F.abs(d)), 6).alias("mae"),
         F.round(F.sqrt(F.avg(d * d)), 6).alias("rmse"))
+
+
+def target_share_block_mask(df: DataFrame, entity: str, t: str, feats: list[str], n: int, horizon: int,
+                            rate: float, seed: int, modulus: int = 1_000_003, name_prefix: str = "m_") -> DataFrame:
+    """Block masks added in hash order until the newly masked observed cells
+    reach ``floor(rows * len(feats) * rate)`` -- the sequential rule, computed
+    without a sequential loop.
+
+    ``df`` is a dense wide panel (one row per entity and bin).  Every bin
+    ``T0 < horizon - 1`` is a candidate block start with key
+    ``(hash(entity, T0), entity, T0)`` packed in one bigint (entity ids
+    below 1e9, bins below 1000); a block covers ``[T0, min(T0 + n,
+    horizon - 1))`` on all ``feats``.  A cell is masked by the earliest block
+    (smallest key) covering it -- a width-n window minimum over the entity's
+    bins -- so the blocks of a key prefix mask exactly the cells whose first
+    covering key lies in it.  Observed cells per first-covering key are
+    prefix-summed in key chunks; the threshold is the first key where the
+    running count reaches the target."""
+    a, b = HASH_MULTIPLIERS[0], HASH_MULTIPLIERS[1]
+    h = F.pmod(F.col(entity) * F.lit(a) + F.col(t) * F.lit(b) + F.lit(seed), F.lit(modulus))
+    key = h * F.lit(10 ** 12) + F.col(entity) * F.lit(1000) + F.col(t)
+    start = F.when(F.col(t) < F.lit(horizon - 1), key)
+    w = Window.partitionBy(entity).orderBy(t).rowsBetween(-(n - 1), 0)
+    obs = sum(F.col(c).isNotNull().cast("long") for c in feats)
+    x = df.withColumns({"_cover": F.when(F.col(t) < F.lit(horizon - 1), F.min(start).over(w)), "_obs": obs})
+    per_key = x.filter(F.col("_cover").isNotNull()).groupBy("_cover").agg(F.sum("_obs").alias("_new"))
+    cum = chunked_cumsum(per_key, [], "_cover", ["_new"], F.floor(F.col("_cover") / F.lit(10 ** 12 * 256)))
+    target = df.agg(F.floor(F.count(F.lit(1)) * F.lit(len(feats) * rate)).alias("_target"))
+    thr = attach_row(cum, target).agg(
+        F.min(F.when(F.col("cum__new") >= F.col("_target"), F.col("_cover"))).alias("_thr"),
+        F.max("_cover").alias("_all"))
+    x = attach_row(x, thr.select(F.coalesce("_thr", "_all").alias("_thr")))
+    hit = F.col("_cover").isNotNull() & (F.col("_cover") <= F.col("_thr"))
+    return x.select(*df.columns, *[F.when(hit, F.lit(None)).otherwise(F.col(c)).alias(f"{name_prefix}{c}")
+                                   for c in feats])

@@ -314,3 +314,27 @@ def density_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.floor(F.col("diff") / 10.0).alias("diff_bin")).agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("feature")
     return b.withColumn("rel_density", r6(F.col("n") / F.max("n").over(w)))
+
+
+J3_N, J3_SEED = 3, 42
+
+
+@query("mask_target_share", sql=f"""WITH {cohort_ctes()},
+k AS (SELECT *, CASE WHEN day < {H - 1} THEN ((user_id * {M.HASH_MULTIPLIERS[0]} + day * {M.HASH_MULTIPLIERS[1]} + {J3_SEED}) % 1000003)
+                     * 1000000000000 + user_id * 1000 + day END AS sk FROM cp),
+x AS (SELECT *, CASE WHEN day < {H - 1} THEN min(sk) OVER (PARTITION BY user_id ORDER BY day
+                     ROWS BETWEEN {J3_N - 1} PRECEDING AND CURRENT ROW) END AS cover,
+             {" + ".join(f"CAST({c} IS NOT NULL AS BIGINT)" for c in D)} AS obs FROM k),
+pk AS (SELECT cover, sum(obs) AS new_cells FROM x WHERE cover IS NOT NULL GROUP BY cover),
+c AS (SELECT cover, sum(new_cells) OVER (ORDER BY cover ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM pk),
+t AS (SELECT floor(count(*) * {len(D)} * {RATE!r}) AS target FROM cp),
+thr AS (SELECT coalesce(min(CASE WHEN cum >= target THEN cover END), max(cover)) AS thr FROM c, t)
+SELECT user_id, day, {", ".join(f"CASE WHEN cover IS NOT NULL AND cover <= thr THEN NULL ELSE {c} END AS m_{c}" for c in D)}
+FROM x, thr""")
+def mask_target_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3-bin blocks on all features added in hash order until 30 % of
+    the cells' count of observed values is newly masked (exact, no
+    sequential loop)."""
+    cp = C.cohort_panel(spark, sf_dir).select(ENTITY, "day", *D)
+    out = M.target_share_block_mask(cp, ENTITY, "day", D, J3_N, H, RATE, J3_SEED)
+    return out.select(ENTITY, "day", *[f"m_{c}" for c in D])
