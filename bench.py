@@ -35,11 +35,34 @@ HEADLINE = [
 ]
 
 
+def _driver_memory() -> str:
+    """Half of the machine's memory, at most 16 GB (local mode: the driver
+    JVM is the whole cluster)."""
+    total = None
+    try:
+        with open("/proc/meminfo") as f:
+            total = int(next(line for line in f if line.startswith("MemTotal")).split()[1]) * 1024
+    except (OSError, StopIteration, ValueError):
+        pass
+    for path in ("/sys/fs/cgroup/memory.max", "/sys/fs/cgroup/memory/memory.limit_in_bytes"):
+        try:
+            with open(path) as f:
+                v = f.read().strip()
+            if v.isdigit():
+                total = min(total or int(v), int(v))     # container limit, when set
+        except OSError:
+            continue
+    if not total:
+        return "4g"
+    return f"{max(1, min(16, total // (2 << 30)))}g"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="wardflow-bench")
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="wardflow-bench",
+                          driver_memory=_driver_memory())
     queries, _ = load_all()
     times: dict[str, float] = {}
     for name in names:

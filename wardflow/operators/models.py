@@ -19,6 +19,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from wardflow.functions.scalar import r6
@@ -96,11 +97,15 @@ def inverse_standardise(z: str, mean: str = "_mean", std: str = "_std") -> Colum
 
 
 def label_encode(df: DataFrame, c: str, name: str) -> DataFrame:
-    """Sorted-class ordinal code (0-based).  Classes are ranked over the
-    distinct values only (an aggregate), then joined back."""
+    """Sorted-class ordinal code (0-based).  Classes are the distinct values
+    (an aggregate), numbered in sort order by chunked prefix counts (chunk =
+    code point of the first character for text, which is monotone in the
+    binary string order; the value itself for numbers), then joined back."""
     classes = df.select(c).distinct().filter(F.col(c).isNotNull())
-    codes = classes.withColumn(name, F.dense_rank().over(Window.orderBy(c)) - 1)
-    return df.join(codes, c, "left")
+    is_text = isinstance(df.schema[c].dataType, T.StringType)
+    chunk = F.ascii(F.col(c)) if is_text else F.floor(F.col(c).cast("double"))
+    codes = grouped_row_number(classes.withColumn("_g", F.lit(0)), ["_g"], [F.col(c)], chunk, "_rk")
+    return df.join(codes.select(c, (F.col("_rk") - 1).alias(name)), c, "left")
 
 
 # --------------------------------------------------------------------------
