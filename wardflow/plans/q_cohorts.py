@@ -158,7 +158,7 @@ adm AS (SELECT o_custkey, count(*) AS n_stays, min(in_time) AS first_in, max(out
         FROM stays GROUP BY o_custkey)
 SELECT sha256(CAST(c.c_custkey AS VARCHAR) || '|wardflow') AS pseudo_id, n.n_name, c.c_mktsegment,
        a.n_stays, round(date_sub('minute', a.first_in, a.last_out) / 60.0, 2) AS los_hours,
-       year(a.first_in) AS first_year, month(a.first_in) AS first_month, a.died
+       CAST(year(a.first_in) AS INTEGER) AS first_year, CAST(month(a.first_in) AS INTEGER) AS first_month, a.died
 FROM customer c JOIN adm a ON c.c_custkey = a.o_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 WHERE c.c_acctbal > 0 AND c.c_mktsegment IN ({", ".join(f"'{u}'" for u in UNITS)})""")
 def static_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:

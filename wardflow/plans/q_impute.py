@@ -293,7 +293,7 @@ g AS (SELECT feature, regr_count(diff, mean) AS n, regr_slope(diff, mean) AS b1,
              regr_avgx(diff, mean) AS mx FROM cmp GROUP BY feature),
 h AS (SELECT *, sqrt(((syy - b1 * sxy) / (n - 2)) / sxx) AS se1,
              sqrt(((syy - b1 * sxy) / (n - 2)) * (1.0 / n + mx * mx / sxx)) AS se0, {_t975_sql("n - 2")} AS t FROM g)
-SELECT feature, n, round(b1, 6) AS slope, round(b0, 6) AS intercept, round(se1, 6) AS se_slope,
+SELECT feature, CAST(n AS BIGINT) AS n, round(b1, 6) AS slope, round(b0, 6) AS intercept, round(se1, 6) AS se_slope,
        round(se0, 6) AS se_intercept, round(b1 - t * se1, 6) AS slope_lo, round(b1 + t * se1, 6) AS slope_hi,
        round(b0 - t * se0, 6) AS intercept_lo, round(b0 + t * se0, 6) AS intercept_hi FROM h""")
 def regression_ci(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -315,7 +315,8 @@ def correspondence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("first_token", sql="""
-SELECT o_orderkey, split_part(o_orderpriority, '-', 1) AS code, year(o_orderdate) AS yr, month(o_orderdate) AS mo
+SELECT o_orderkey, split_part(o_orderpriority, '-', 1) AS code, CAST(year(o_orderdate) AS INTEGER) AS yr,
+       CAST(month(o_orderdate) AS INTEGER) AS mo
 FROM orders""")
 def first_token_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H8/H7: first element of a split text; year/month extraction."""

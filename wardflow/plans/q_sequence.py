@@ -198,8 +198,8 @@ def run_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pos_sql() -> str:
     cols = []
     for c in D:
-        cols.append(f"""sum(CAST({c} IS NULL AS INTEGER)) OVER (PARTITION BY user_id, {c} IS NULL, {c}_run
-                ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pos_{c}""")
+        cols.append(f"""CAST(sum(CAST({c} IS NULL AS INTEGER)) OVER (PARTITION BY user_id, {c} IS NULL, {c}_run
+                ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS pos_{c}""")
     runs = ",\n  ".join(f"""row_number() OVER (PARTITION BY user_id ORDER BY day)
      - row_number() OVER (PARTITION BY user_id, {c} IS NULL ORDER BY day) AS {c}_run""" for c in D)
     return f"""WITH {cohort_ctes()},
@@ -223,7 +223,7 @@ y AS (SELECT user_id, day, heart_rate IS NOT NULL AS f,
         row_number() OVER (PARTITION BY user_id ORDER BY day)
         - row_number() OVER (PARTITION BY user_id, heart_rate IS NOT NULL ORDER BY day) AS run FROM dp),
 runs AS (SELECT user_id, run, count(*) AS length FROM y WHERE f GROUP BY user_id, run)
-SELECT n, sum(greatest(length - n + 1, 0)) AS n_windows
+SELECT n, CAST(sum(greatest(length - n + 1, 0)) AS BIGINT) AS n_windows
 FROM runs CROSS JOIN range(1, {C.COHORT_DAYS + 1}) r(n) GROUP BY n""")
 def complete_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of full windows of n consecutive observed bins, n = 1..20,

@@ -36,7 +36,7 @@ r AS (SELECT lang, y, (2 * rank() OVER (PARTITION BY lang ORDER BY score)
                        + count(*) OVER (PARTITION BY lang, score) - 1) / 2.0 AS avg_rank FROM sc),
 g AS (SELECT lang, sum(y) AS n_pos, sum(1 - y) AS n_neg, sum(CASE WHEN y = 1 THEN avg_rank ELSE 0 END) AS rs
       FROM r GROUP BY lang)
-SELECT lang, n_pos, n_neg,
+SELECT lang, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg,
        round(CASE WHEN n_pos > 0 AND n_neg > 0 THEN (rs - n_pos * (n_pos + 1) / 2.0) / (n_pos * n_neg) END, 6) AS auc
 FROM g""")
 def roc_auc_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +65,7 @@ def pr_f2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("quantile_bins_calibration", sql=f"""
 WITH {SCORED_CTE},
 e AS (SELECT quantile_cont(score, [{", ".join(str(k / 10) for k in range(1, 10))}]) AS edges FROM sc),
-b AS (SELECT sc.*, len(list_filter(list_distinct(e.edges), lambda x: x < sc.score)) AS bin FROM sc CROSS JOIN e)
+b AS (SELECT sc.*, CAST(len(list_filter(list_distinct(e.edges), lambda x: x < sc.score)) AS INTEGER) AS bin FROM sc CROSS JOIN e)
 SELECT lang, bin, count(*) AS n, round(avg(y), 6) AS observed, round(avg(score), 6) AS predicted
 FROM b GROUP BY lang, bin""")
 def quantile_bins_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +94,7 @@ k AS (SELECT c.cls, sum(CASE WHEN pred = c.cls AND y = c.cls THEN 1 ELSE 0 END)
              sum(CASE WHEN y = c.cls THEN 1 ELSE 0 END) AS support,
              avg(CASE WHEN pred = y THEN 1.0 ELSE 0.0 END) AS accuracy
       FROM p CROSS JOIN (VALUES (0), (1)) c(cls) GROUP BY c.cls)
-SELECT cls, support, round(CASE WHEN npred > 0 THEN tp / npred END, 6) AS precision,
+SELECT cls, CAST(support AS BIGINT) AS support, round(CASE WHEN npred > 0 THEN tp / npred END, 6) AS precision,
        round(CASE WHEN support > 0 THEN tp / support END, 6) AS recall,
        round(CASE WHEN tp > 0 THEN 2.0 * tp / (npred + support) END, 6) AS f1, round(accuracy, 6) AS accuracy
 FROM k""")
@@ -253,8 +253,8 @@ def _cp(spark, sf_dir) -> DataFrame:
 
 @query("missing_stats", sql=f"""
 WITH {cohort_ctes()}
-{" UNION ALL ".join(f"SELECT '{c}' AS variable, sum(CAST({c} IS NULL AS BIGINT)) AS n_missing, round(avg(CAST({c} IS NULL AS DOUBLE)) * 100, 1) AS pct_missing FROM cp" for c in D)}
-UNION ALL SELECT 'all', sum(CAST(total_missing AS BIGINT)), round(avg(total_missing) / {len(D)} * 100, 1) FROM cp""")
+{" UNION ALL ".join(f"SELECT '{c}' AS variable, CAST(sum(CAST({c} IS NULL AS BIGINT)) AS BIGINT) AS n_missing, round(avg(CAST({c} IS NULL AS DOUBLE)) * 100, 1) AS pct_missing FROM cp" for c in D)}
+UNION ALL SELECT 'all', CAST(sum(CAST(total_missing AS BIGINT)) AS BIGINT), round(avg(total_missing) / {len(D)} * 100, 1) FROM cp""")
 def missing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1/K2: missing count and share per variable plus the global share."""
     cp = _cp(spark, sf_dir)
@@ -308,7 +308,7 @@ WITH {dp}
 SELECT user_id, bool_or(heart_rate IS NOT NULL) AS any_hr, bool_and(fio2 IS NULL) AS all_fio2_null,
        min(CASE WHEN heart_rate IS NOT NULL THEN day END) AS first_valid_day,
        max(CASE WHEN heart_rate IS NOT NULL THEN day END) AS last_valid_day,
-       sum(CASE WHEN day BETWEEN 0 AND 7 THEN 1 ELSE 0 END) AS n_first_week
+       CAST(sum(CASE WHEN day BETWEEN 0 AND 7 THEN 1 ELSE 0 END) AS BIGINT) AS n_first_week
 FROM dp GROUP BY user_id""".replace("{dp}", daily_panel_ctes()))
 def entity_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """any/all over the entity, first/last valid bin,

@@ -74,21 +74,21 @@ def drop_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("joins_suite", sql="""
-SELECT 'inner' AS shape, count(*) AS n, sum(o.o_orderkey) AS key_sum
+SELECT 'inner' AS shape, count(*) AS n, CAST(sum(o.o_orderkey) AS BIGINT) AS key_sum
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 UNION ALL
-SELECT 'left', count(*), sum(coalesce(o.o_orderkey, 0))
+SELECT 'left', count(*), CAST(sum(coalesce(o.o_orderkey, 0)) AS BIGINT)
   FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey
 UNION ALL
-SELECT 'lookup', count(*), sum(l.l_partkey)
+SELECT 'lookup', count(*), CAST(sum(l.l_partkey) AS BIGINT)
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE p.p_size IS NOT NULL AND l.l_quantity > 10
 UNION ALL
-SELECT 'multi_key_left', count(*), sum(coalesce(a.n, 0))
+SELECT 'multi_key_left', count(*), CAST(sum(coalesce(a.n, 0)) AS BIGINT)
   FROM lineitem l LEFT JOIN (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
                              WHERE l_returnflag = 'R' GROUP BY l_orderkey, l_linenumber) a
     ON l.l_orderkey = a.l_orderkey AND l.l_linenumber = a.l_linenumber
 UNION ALL
-SELECT 'chained_inner', count(*), sum(r.r_regionkey)
+SELECT 'chained_inner', count(*), CAST(sum(r.r_regionkey) AS BIGINT)
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def joins_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
