@@ -24,6 +24,7 @@ from pyspark.sql.window import Window
 
 from wardflow.functions.scalar import r6
 from wardflow.operators.masking import HASH_MULTIPLIERS
+from wardflow.operators.stats import array_quantile
 from wardflow.session import ensure_checkpoint_dir
 
 UNB = Window.unboundedPreceding
@@ -123,7 +124,8 @@ def series_features(df: DataFrame, entity: str, t: str, x: str) -> DataFrame:
     turn_pos = (F.col("_prev") < F.col(x)) & (F.col(x) > F.col("_next"))
     turn_neg = (F.col("_prev") > F.col(x)) & (F.col(x) < F.col("_next"))
     cross = F.signum(F.col(x) - F.col("_m")) != F.signum(F.col("_prev") - F.col("_m"))
-    q = F.percentile(x, [0.25, 0.5, 0.75])
+    # bounded per-entity series: quantiles from the sorted values
+    q = F.array_sort(F.collect_list(x))
     g = d.groupBy(entity).agg(
         F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.var_samp(x).alias("var"),
         F.min(x).alias("min"), F.max(x).alias("max"), q.alias("_q"),
@@ -137,7 +139,8 @@ def series_features(df: DataFrame, entity: str, t: str, x: str) -> DataFrame:
         F.sum((F.col(x) + F.col("_prev")) / 2.0).alias("area"),
         F.try_divide(F.sum(F.col(t) * F.col(x)), F.sum(x)).alias("centroid"),
         F.corr(x, "_prev").alias("autocorr_lag1"))
-    out = g.withColumns({"median": F.col("_q")[1], "iqr": F.col("_q")[2] - F.col("_q")[0]}).drop("_q")
+    out = g.withColumns({"median": array_quantile(F.col("_q"), 0.5),
+                         "iqr": array_quantile(F.col("_q"), 0.75) - array_quantile(F.col("_q"), 0.25)}).drop("_q")
     return out.select(entity, *[r6(c).alias(c) if c not in ("pos_turning", "neg_turning", "mean_crossings")
                                 else F.col(c) for c in out.columns if c != entity])
 

@@ -39,6 +39,17 @@ def global_row_number(df: DataFrame, order: list[Column], chunk: Column, name: s
             .withColumn(name, F.col("_off") + local).drop("_chunk", "_off"))
 
 
+def array_quantile(sorted_arr: Column, q: float) -> Column:
+    """Interpolated quantile of an ascending array without nulls (position
+    ``(n - 1) q``; ``lo + (hi - lo) * d``, the same arithmetic as
+    :func:`exact_quantiles`).  For bounded per-entity arrays."""
+    n = F.size(sorted_arr)
+    h = (n - 1) * F.lit(q)
+    lo = F.element_at(sorted_arr, (F.floor(h) + 1).cast("int"))
+    hi = F.element_at(sorted_arr, (F.ceil(h) + 1).cast("int"))
+    return F.when(n > 0, lo + (hi - lo) * (h - F.floor(h)))
+
+
 def chunked_cumsum(df: DataFrame, partition: list[str], order: str, values: list[str], chunk: Column,
                    desc: bool = False, prefix: str = "cum_") -> DataFrame:
     """Inclusive running sums of ``values`` along ``order`` within

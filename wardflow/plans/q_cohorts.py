@@ -256,7 +256,7 @@ WITH l AS ({ORACLES["loo_residual"]}),
 r AS (SELECT feature, user_id, day, error,
              row_number() OVER (PARTITION BY feature ORDER BY error, user_id, day) AS rank,
              count(*) OVER (PARTITION BY feature) AS n FROM l)
-SELECT feature, user_id, day, error, rank, round((rank - 0.5) / n, 6) AS position,
+SELECT feature, user_id, day, error, rank, (rank - 0.5) / n AS position,
        round({_probit_sql("((rank - 0.5) / n)")}, 6) AS theoretical FROM r""")
 def qq_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sorted position of every leave-one-out error within its
@@ -269,7 +269,7 @@ def qq_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     pos = (F.col("rank") - 0.5) / F.col("_n")
     return (ranked.join(n, "feature")
             .select("feature", ENTITY, "day", "error", F.col("rank").cast("bigint").alias("rank"),
-                    r6(pos).alias("position"), r6(_probit(pos)).alias("theoretical")))
+                    pos.alias("position"), r6(_probit(pos)).alias("theoretical")))
 
 
 @query("cohort_static_attach", sql=f"""
