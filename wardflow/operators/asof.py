@@ -19,6 +19,11 @@ Plan (no pairwise join, skew-safe):
 
 A hot entity is therefore spread over as many window partitions as it has
 time chunks; no task ever holds an entity's events x stays.
+
+Cost: the event lineage is read twice -- in full for the matching windows,
+and key-only (entity, chunk) for the carry table.  When the events are an
+expensive derivation rather than a scan, materialise them first
+(``sources.io.cut_lineage``).
 """
 
 from __future__ import annotations
@@ -78,6 +83,8 @@ def asof_first_ending_after(events: DataFrame, stays: DataFrame, entity: str, ev
     best = (s.groupBy(entity, "_chunk")
             .agg(F.min_by("_stay", F.struct("_key", "_ord")).alias("_best"))
             .withColumn("_k", F.lit(1)))
+    # chunk ids of the events (partial-aggregated; column pruning makes this
+    # a second, key-only read of the event lineage)
     ev_chunks = ev.select(entity, "_chunk").distinct().withColumn("_k", F.lit(0))
     wc = (Window.partitionBy(entity).orderBy(F.col("_chunk").desc(), F.col("_k").asc())
           .rowsBetween(UNB, 0))
