@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 
 from wardflow.functions.scalar import r6
 from wardflow.operators.masking import HASH_MULTIPLIERS
-from wardflow.operators.stats import array_quantile
+from wardflow.operators.stats import array_quantile, attach_row
 from wardflow.session import ensure_checkpoint_dir
 
 UNB = Window.unboundedPreceding
@@ -260,9 +260,8 @@ def balanced_weights(df: DataFrame, label: str, name: str = "w") -> DataFrame:
     """Class weight n / (2 n_c) (the 'balanced' rule), from an aggregate."""
     cnt = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     tot = df.agg(F.count(F.lit(1)).alias("_n"))
-    w = cnt.join(F.broadcast(tot), on=F.lit(True)).select(
-        label, (F.col("_n") / (F.lit(2.0) * F.col("_nc"))).alias(name))
-    return df.join(F.broadcast(w), label)
+    w = attach_row(cnt, tot).select(label, (F.col("_n") / (F.lit(2.0) * F.col("_nc"))).alias(name))
+    return df.join(F.broadcast(w), label)          # one row per class
 
 
 def fit_classifier(df: DataFrame, kind: str, label: str = "y", cat_cols: list[str] = (),

@@ -20,9 +20,11 @@ UNB = Window.unboundedPreceding
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row (broadcast;
-    the right side is an aggregate without grouping keys, i.e. one row)."""
-    return df.join(F.broadcast(one_row), on=F.lit(True), how="inner")
+    """Attach the columns of a one-row aggregate (an aggregate without
+    grouping keys) to every row as ONE scalar subquery: evaluated once,
+    inlined as a literal -- no join of any kind."""
+    sc = one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()
+    return df.withColumns({c: sc[c] for c in one_row.columns})
 
 
 def global_row_number(df: DataFrame, order: list[Column], chunk: Column, name: str = "row_index") -> DataFrame:

@@ -11,6 +11,7 @@ from wardflow.functions.scalar import (digits_only, first_char, first_token, hou
                                        parse_percent, r6, safe_double, whole_days_between)
 from wardflow.operators import asof as A
 from wardflow.operators import relational as R
+from wardflow.operators.stats import attach_row
 from wardflow.plans import common as C
 from wardflow.plans.registry import query
 from wardflow.sources.tables import read_table
@@ -131,8 +132,8 @@ def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     per = (ev.join(cohort, "user_id", "left_semi").groupBy("event_type")
            .agg(F.countDistinct("user_id").alias("n_entities")))
     n = cohort.agg(F.count(F.lit(1)).alias("n_cohort"))
-    # one-row aggregate attached by broadcast
-    out = per.join(F.broadcast(n), how="inner", on=F.lit(True))
+    # one-row aggregate attached as a scalar subquery
+    out = attach_row(per, n)
     return out.select("event_type", "n_entities", "n_cohort",
                       r6(F.col("n_entities") * 100.0 / F.col("n_cohort")).alias("pct_covered"))
 

@@ -203,14 +203,19 @@ SELECT r.i AS threshold, count(l.los) AS n_below
 FROM range(1, 11) r(i) LEFT JOIN l ON l.los < r.i GROUP BY r.i""")
 def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For thresholds 1..10 days, the number of closed stays shorter
-    than the threshold -- a histogram of lengths prefix-summed over the
-    (fixed, 10-row) threshold list, no row x threshold product."""
+    than the threshold -- a histogram of lengths whose rows explode the
+    thresholds they count toward (equi-joins only)."""
     st = C.stays(spark, sf_dir).filter(F.col("out_time").isNotNull())
     los = whole_days_between("in_time", "out_time")
     hist = st.groupBy(los.alias("los")).agg(F.count(F.lit(1)).alias("_n"))
+    # each length counts toward thresholds los+1..10 (generator, no range join)
+    lo = F.greatest(F.col("los") + 1, F.lit(1)).cast("bigint")
+    contrib = (hist.filter(lo <= 10)
+               .select(F.explode(F.sequence(lo, F.lit(10).cast("bigint"))).alias("threshold"), "_n")
+               .groupBy("threshold").agg(F.sum("_n").alias("_n")))
     thr = spark.range(1, 11).withColumnRenamed("id", "threshold")
-    j = thr.join(hist, F.col("los") < F.col("threshold"), "left")
-    return j.groupBy("threshold").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_below"))
+    return (thr.join(contrib, "threshold", "left")
+            .select("threshold", F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("n_below")))
 
 
 @query("multi_agg", sql="""
