@@ -205,3 +205,22 @@ def test_target_share_blocks_equal_sequential_rule(spark):
     for e, t, *vals in data:
         exp = tuple(None if (e, t) in masked else v for v in vals)
         assert got[(e, t)] == exp
+
+
+def test_global_scope_fill_and_materialised_imputations(spark):
+    import os
+    import tempfile
+
+    from conftest import SMALL
+    from wardflow.plans import q_impute as QI
+    data = [(e, t, "a", v) for e, vals in [(1, [1.0, None, 3.0]), (2, [10.0, None, None])] for t, v in enumerate(vals)]
+    df = spark.createDataFrame(data, "e long, t long, f string, m double")
+    per = {(r.e, r.t): r.imp_mean for r in M.impute_all(df, ["e", "f"], "t", "m").collect()}
+    glob = {(r.e, r.t): r.imp_mean for r in M.impute_all(df, ["e", "f"], "t", "m", global_keys=["f"]).collect()}
+    assert per[(1, 1)] == 2.0 and per[(2, 1)] == 10.0
+    assert glob[(1, 1)] == glob[(2, 2)] == (1.0 + 3.0 + 10.0) / 3
+    out = os.path.join(tempfile.mkdtemp(prefix="wf-imp-"), "imputed")
+    QI.materialise_imputations(spark, SMALL, out)
+    back = spark.read.parquet(out).filter("scenario = 'random' AND method = 'imp_linear'")
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and back.count() > 0

@@ -53,15 +53,26 @@ def block_mask(df: DataFrame, keys: list[str], t: str, value: str, start_u: Colu
     return df.withColumn(name, F.when(hit, F.lit(None)).otherwise(F.col(value)))
 
 
-def impute_all(df: DataFrame, keys: list[str], t: str, masked: str) -> DataFrame:
-    """Adds ``imp_mean``, ``imp_median`` (per-series statistics),
-    ``imp_locf`` (forward then backward fill) and ``imp_linear`` (linear
-    interpolation, edges held) for the ``masked`` column."""
-    w_all = Window.partitionBy(*keys)
-    df = df.withColumns({
-        "imp_mean": F.coalesce(F.col(masked), F.avg(masked).over(w_all)),
-        "imp_median": F.coalesce(F.col(masked), F.median(masked).over(w_all)),
-        "imp_locf": F.col(masked), "imp_linear": F.col(masked)})
+def impute_all(df: DataFrame, keys: list[str], t: str, masked: str,
+               global_keys: list[str] | None = None) -> DataFrame:
+    """Adds ``imp_mean``, ``imp_median``, ``imp_locf`` (forward then
+    backward fill) and ``imp_linear`` (linear interpolation, edges held) for
+    the ``masked`` column.  Mean/median are per series (``keys``) by
+    default; with ``global_keys`` (e.g. scenario and feature, without the
+    entity) they are pooled over all entities -- an aggregate with one row
+    per global key, joined back."""
+    if global_keys is None:
+        w_all = Window.partitionBy(*keys)
+        stats = {"imp_mean": F.coalesce(F.col(masked), F.avg(masked).over(w_all)),
+                 "imp_median": F.coalesce(F.col(masked), F.median(masked).over(w_all))}
+    else:
+        g = df.groupBy(*global_keys).agg(F.avg(masked).alias("_gmean"), F.median(masked).alias("_gmed"))
+        df = df.join(g, global_keys, "left")
+        stats = {"imp_mean": F.coalesce(F.col(masked), F.col("_gmean")),
+                 "imp_median": F.coalesce(F.col(masked), F.col("_gmed"))}
+    df = df.withColumns({**stats, "imp_locf": F.col(masked), "imp_linear": F.col(masked)})
+    if global_keys is not None:
+        df = df.drop("_gmean", "_gmed")
     df = S.ffill_bfill(df, keys, t, ["imp_locf"])
     return S.interpolate(df, keys, t, ["imp_linear"], "both")
 

@@ -338,3 +338,13 @@ def mask_target_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     cp = C.cohort_panel(spark, sf_dir).select(ENTITY, "day", *D)
     out = M.target_share_block_mask(cp, ENTITY, "day", D, J3_N, H, RATE, J3_SEED)
     return out.select(ENTITY, "day", *[f"m_{c}" for c in D])
+
+
+def materialise_imputations(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """All scenarios x methods as ONE Parquet table partitioned by
+    (scenario, method) -- readers prune to the combination they need."""
+    from wardflow.sources.io import write_parquet
+    imp = imputed_scenarios(spark, sf_dir)
+    long = imp.unpivot(["scenario", ENTITY, "day", "feature", "original", "masked"], M.METHODS, "method",
+                       "imputed")
+    write_parquet(long, path, partition_by=["scenario", "method"])
