@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,14 +41,40 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings the operators assume."""
+    """Apply the runtime SQL settings the operators assume and make the
+    package importable by the executors' Python workers."""
     for k, v in BASE_CONF.items():
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Zip this package once per Spark application and add it with
+    ``addPyFile`` (what ``--py-files`` does at submit time), so functions
+    running in Python workers (``mapInPandas``) can import it on every
+    executor."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="wardflow-pyfiles-"), "wardflow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
                    max_partitions: int = 200_000) -> int:
     """Cluster sizing from the input volume: scan splits and shuffle
