@@ -226,8 +226,9 @@ def _doc_features(spark, sf_dir) -> DataFrame:
 
 
 def _classify(spark, sf_dir, kind) -> DataFrame:
-    x = _doc_features(spark, sf_dir).cache()
+    x = _doc_features(spark, sf_dir).cache()          # re-read by every CV fold and grid point
     model = MD.fit_classifier(x, kind, cat_cols=["lang"], num_cols=["log_len", "n_words", "n_lines", "upper_share"])
+    x.unpersist()
     pred = model.transform(x)
     out = pred.select("doc_id", "y", r6(MD.positive_probability(pred)).alias("prob"),
                       F.col("prediction").cast("int").alias("pred"))
