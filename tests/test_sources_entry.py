@@ -96,3 +96,28 @@ def test_oracle_small(spark, name):
         return sorted((tuple(norm(r[i]) for i in idx) for r in recs), key=repr)
 
     assert canon(sdf.columns, [tuple(r) for r in sdf.collect()]) == canon(cols, res.fetchall())
+
+
+def test_flagship_plan_prunes_pushes_and_combines(spark):
+    """The flagship reads only the needed columns, pushes the admission
+    filter into the scan and combines the median map-side."""
+    import __spark_entry__ as E
+    plan = E.queries()["hourly_median"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
+    assert "EqualTo(event_type,signup)" in plan
+    assert "partial_percentile" in plan and "CartesianProduct" not in plan
+
+
+def test_size_for_input(spark):
+    from wardflow.session import size_for_input
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        n = size_for_input(spark, 100 * (1 << 40))
+        assert n == 200_000 and spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 << 20)
+        assert size_for_input(spark, 10 << 20) == 8
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
