@@ -78,6 +78,7 @@ def first_token(c: str | Column, sep: str) -> Column:
     return F.substring_index(col(c), sep, 1)
 
 
+# --- fixed values: Abramowitz & Stegun 7.1.26 coefficients (in erf below) ----
 def erf(x: str | Column) -> Column:
     """Error function, Abramowitz & Stegun 7.1.26 (|error| < 1.5e-7)."""
     x = col(x)
