@@ -116,7 +116,7 @@ def test_size_for_input(spark):
     old = {k: spark.conf.get(k) for k in keys}
     try:
         n = size_for_input(spark, 100 * (1 << 40))
-        assert n == 200_000 and spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 << 20)
+        assert n == 100 * (1 << 40) // (256 << 20) + 1 and spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 << 20)
         assert size_for_input(spark, 10 << 20) == 8
     finally:
         for k, v in old.items():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -42,11 +43,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings the operators assume and make the
-    package importable by the executors' Python workers."""
+    package importable by the executors' Python workers.  The checkpoint
+    folder is looked up only by the operators that write to it."""
     for k, v in BASE_CONF.items():
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
-    ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
 
@@ -75,14 +76,13 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
-                   max_partitions: int = 200_000) -> int:
+def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20) -> int:
     """Cluster sizing from the input volume: scan splits and shuffle
     partitions of about ``target_partition_bytes`` (fits executor memory
     with room for sort/aggregation buffers), AQE coalescing towards the same
     advisory size, skew-join splitting of partitions 5x the median and above
     the target.  Returns the shuffle partition count."""
-    n = max(8, min(max_partitions, input_bytes // target_partition_bytes + 1))
+    n = max(8, input_bytes // target_partition_bytes + 1)
     conf = {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(n),
@@ -99,8 +99,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     The setting is read from the session (``spark.checkpoint.dir`` or the
-    context's directory).  Only when nothing is configured -- a test run on a
-    laptop -- a scratch folder is created.
+    context's directory).  When nothing is configured, a scratch folder is
+    created in local mode only (tests on one machine); elsewhere a
+    machine-local folder would be invisible to the other executors, so this
+    raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -108,6 +110,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="wardflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="wardflow-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
