@@ -4,8 +4,9 @@ their DuckDB oracles, where SQL can express them."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardflow.llm import chat, exact_dedup, mixing, url_filter
+from wardflow.llm import chat, decontaminate, exact_dedup, line_dedup, mixing, url_filter
 from wardflow.llm.shared import prepare
 from wardflow.sources.tables import read_table
 
@@ -32,6 +33,20 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.poisson_mix(table(spark, sf_dir, "documents"))
 
 
+@query("op2_line_dedup", line_dedup.line_dedup_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the later copies of repeated runs of lines."""
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", "n_lines", F.array_join(F.col("deleted").cast("array<string>"), ",").alias("deleted"))
+
+
+@query("op5_decontaminate", decontaminate.overlaps_sql())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every overlap of a document with a benchmark item."""
+    out = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), F.col("at").alias("start"), "n_words", "n_match", "share")
+
+
 @query("op6_preference_format", chat.CHAT_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompt and masked completions of every conversation against the same
