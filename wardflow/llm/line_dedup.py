@@ -43,6 +43,8 @@ from wardflow.llm.shared import NOT_SPACE, materialise
 
 MIN_WORDS = 50
 KEYS = ["d", "t1", "t2"]
+#: a line end with the blank lines after it
+LINE_END = r"\n(?:[ \t\x0B\f\r]*\n)*"
 
 
 def _keys() -> list[Column]:
@@ -54,13 +56,13 @@ def _keys() -> list[Column]:
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """``d, t1, t2, seq, line, h1, h2, words``: non-blank lines; ``seq``
-    counts them in a document, ``line`` is the place in the text."""
-    cells = F.filter(F.transform(F.split("text", "\n"), lambda s, i: F.struct(
-        i.alias("line"), F.xxhash64(s).alias("h1"), F.xxhash64(F.lit(7), s).alias("h2"),
-        F.regexp_count(s, F.lit(NOT_SPACE)).alias("words"))), lambda c: c["words"] > 0)
-    x = docs.filter(F.col("text").isNotNull()).select(*_keys(), F.posexplode(cells).alias("seq", "c"))
-    return x.select(*KEYS, "seq", "c.line", "c.h1", "c.h2", "c.words")
+    """``d, t1, t2, seq, h1, h2, words``: the non-blank lines; ``seq``
+    counts the pieces between line ends, blank lines in between skipped (a
+    text that starts with a blank line has it as piece 0)."""
+    x = docs.filter(F.col("text").isNotNull()).select(*_keys(), "text")
+    x = x.select(*KEYS, F.posexplode(F.split("text", LINE_END)).alias("seq", "s"))
+    return x.select(*KEYS, "seq", F.xxhash64("s").alias("h1"), F.xxhash64(F.lit(7), "s").alias("h2"),
+                    F.regexp_count("s", F.lit(NOT_SPACE)).alias("words")).filter("words > 0")
 
 
 def ranked(distinct: DataFrame, by: list[str], name: str) -> DataFrame:
@@ -78,7 +80,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     again = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     ids = materialise(ranked(again, ["h1", "h2"], "r0"), "line_ids")
     x = (lines.join(ids, ["h1", "h2"]).groupBy(*KEYS, "seq")      # one row per place, also for repeated rows
-         .agg(F.first("line").alias("line"), F.first("words").cast("long").alias("words"), F.first("r0").alias("r0")))
+         .agg(F.first("words").cast("long").alias("words"), F.first("r0").alias("r0")))
     in_doc = Window.partitionBy(*KEYS).orderBy("seq")
     x = x.withColumn("run", F.col("seq") - F.row_number().over(in_doc))
     in_run = Window.partitionBy(*KEYS, "run").orderBy("seq")
@@ -131,7 +133,8 @@ def windows(lines: DataFrame, min_words: int) -> DataFrame:
 
 
 def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``d, t1, t2, line``: the lines to delete."""
+    """``d, t1, t2, cut``: for each document with later copies the spans
+    ``[start, end)`` of ``seq`` to delete."""
     lines = repeated_lines(docs)
     ranks = suffix_array(lines, min_words)
     # 2**k <= m < 2**(k+1): two ranks of 2**k lines, at the window's start and 2**k lines before its end
@@ -145,33 +148,36 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     names = materialise(names.filter(whole).select(*KEYS, "run", "w.seq", "w.m", "a", "b"), "intervals")
     start = F.struct(*KEYS, "seq")
     first = names.groupBy("m", "a", "b").agg(F.min(start).alias("first"), F.max(start).alias("last")).filter("first < last").drop("last")
-    later = names.join(first, ["m", "a", "b"]).filter(start != F.col("first"))
-    # windows of a document overlap: mark starts and ends, and keep the lines where a window is open
-    spans = later.select(*KEYS, F.col("seq"), (F.col("seq") + F.col("m")).alias("end"))
-    marks = spans.select(*KEYS, "seq", "end").groupBy(*KEYS, "seq").agg(F.max("end").alias("end"))
+    # windows of a document overlap: those that touch become one span
+    ends = (names.join(first, ["m", "a", "b"]).filter(start != F.col("first"))
+            .groupBy(*KEYS, "seq").agg(F.max(F.col("seq") + F.col("m")).alias("end")))
     in_doc = Window.partitionBy(*KEYS).orderBy("seq")
-    covered = lines.select(*KEYS, "seq", "line").join(marks, [*KEYS, "seq"], "left")
-    return covered.withColumn("open", F.max("end").over(in_doc)).filter("open > seq").select(*KEYS, "line")
+    before = F.max("end").over(in_doc.rowsBetween(Window.unboundedPreceding, -1))
+    block = F.sum(F.when(F.col("seq") <= F.col("before"), 0).otherwise(1)).over(in_doc)
+    spans = ends.withColumn("before", before).withColumn("block", block)
+    return (spans.groupBy(*KEYS, "block").agg(F.struct(F.min("seq").alias("start"), F.max("end").alias("end")).alias("span"))
+            .groupBy(*KEYS).agg(F.sort_array(F.collect_list("span")).alias("cut")))
 
 
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with later copies deleted from ``text``, and ``n_lines`` and
     ``deleted`` (places of the deleted lines, ascending)."""
     docs = docs.drop("n_lines", "deleted")
-    cut = later_copies(docs, min_words)
-    in_doc = Window.partitionBy(*KEYS).orderBy("line")
-    spans = (cut.withColumn("block", F.col("line") - F.row_number().over(in_doc)).groupBy(*KEYS, "block")
-             .agg(F.struct(F.min("line").alias("first"), F.max("line").alias("last")).alias("span"))
-             .groupBy(*KEYS).agg(F.sort_array(F.collect_list("span")).alias("cut")))
     own = docs.select(F.struct(*docs.columns).alias("row"), *_keys())
-    j = own.join(spans, KEYS, "left")
+    j = own.join(later_copies(docs, min_words), KEYS, "left")
     lines = F.split("row.text", "\n")
-    kept = F.filter(lines, lambda s, i: ~F.exists("cut", lambda c: (c["first"] <= i) & (i <= c["last"])))
-    text = F.when(F.col("cut").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
-    none = F.array().cast("array<int>")
-    return j.select(*[(text if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns],
+    filled = F.filter(F.transform(lines, lambda s, i: F.when(s.rlike(NOT_SPACE), i)), lambda i: i.isNotNull())
+    first = F.when(F.get(lines, F.lit(0)).rlike(NOT_SPACE), 0).otherwise(1)
+    j = j.withColumn("filled", F.when(F.col("cut").isNotNull(), F.struct(filled.alias("at"), first.alias("first"))))
+    gone = F.flatten(F.transform("cut", lambda c: F.slice("filled.at", c["start"] - F.col("filled.first") + 1, c["end"] - c["start"])))
+    j = j.withColumn("gone", F.when(F.col("cut").isNotNull(), gone))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+    text = F.array_join(F.transform("kept", lambda i: F.get("pieces", i)), "\n")
+    j = j.withColumns({"kept": F.when(F.col("cut").isNotNull(), left), "pieces": F.when(F.col("cut").isNotNull(), lines)})
+    return j.select(*[(F.when(F.col("cut").isNull(), F.col("row.text")).otherwise(text) if c == "text" else F.col("row")[c]).alias(c)
+                      for c in docs.columns],
                     F.when(F.col("row.text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
-                    F.coalesce(F.flatten(F.transform("cut", lambda c: F.sequence(c["first"], c["last"]))), none).alias("deleted"))
+                    F.coalesce("gone", F.array().cast("array<int>")).alias("deleted"))
 
 
 def line_dedup_sql(min_words: int = MIN_WORDS) -> str:
