@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import chat, decontaminate, exact_dedup, line_dedup, mixing, url_filter
+from wardflow.llm import chat, decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, quality, url_filter
 from wardflow.llm.shared import prepare
 from wardflow.sources.tables import read_table
 
@@ -40,6 +40,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", "n_lines", F.array_join(F.col("deleted").cast("array<string>"), ",").alias("deleted"))
 
 
+@query("op4_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "class_size")
+
+
 @query("op5_decontaminate", decontaminate.overlaps_sql())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every overlap of a document with a benchmark item."""
@@ -66,3 +72,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row that stays of its group of equal texts."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op10_quality_classifier")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
