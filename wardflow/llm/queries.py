@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import chat, decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, quality, url_filter
+from wardflow.llm import chat, decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, ngram_lm, quality, token_counts, url_filter
 from wardflow.llm.shared import prepare
 from wardflow.sources.tables import read_table
 
@@ -40,6 +40,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", "n_lines", F.array_join(F.col("deleted").cast("array<string>"), ",").alias("deleted"))
 
 
+@query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram tokens of every document."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 @query("op4_jaccard_join")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class and number of links of every document."""
@@ -61,6 +67,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({c: chat.spans_text(out[c]) for c in ("chosen_spans", "rejected_spans")})
 
 
+@query("op7_lm_scores")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document."""
+    return ngram_lm.score_corpus(table(spark, sf_dir, "documents"))
+
+
 @query("op8_url_filter")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict for every page url: rules first, else the n-gram model."""
