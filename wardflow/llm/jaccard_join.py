@@ -194,12 +194,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int =
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tkey", "keys")).alias("f")
     nodes = materialise(signed.filter("n_words > 0").groupBy("sid").agg(F.count(F.lit(1)).alias("n"), first)
                         .select("sid", "n", "f.*"), "nodes")
-    spots = nodes.select("sid", "n", "doc_id", "tkey", "keys", F.posexplode("keys").alias("tree", "key"))
-    shared = spots.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = (spots.join(shared, ["tree", "key"]).groupBy("sid", "n", "doc_id", "tkey", "keys")
+    spots = nodes.select("sid", F.posexplode("keys").alias("tree", "key"))
+    # trie nodes of the same documents hold the same pairs: the first is enough
+    who = [F.bit_xor(F.xxhash64(F.lit(k), F.col("sid"))).alias(f"who{k}") for k in (0, 1)]
+    shared = spots.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("size"), *who).filter("size > 1")
+    shared = shared.groupBy("size", "who0", "who1").agg(F.min(F.struct("tree", "key")).alias("t")).select("t.tree", "t.key", "size")
+    members = (spots.join(shared, ["tree", "key"]).groupBy("sid")
                .agg(F.collect_list(F.struct("tree", "key", "size")).alias("spots")))   # one per trie at most
     members = materialise(members, "members")
-    m = members.select("sid", "n", F.col("doc_id").alias("md"), F.col("tkey").alias("mt"), "keys", "spots")
+    m = members.join(nodes, "sid").select("sid", "n", F.col("doc_id").alias("md"), F.col("tkey").alias("mt"), "keys", "spots")
     texts = d.join(m, F.col("doc_id").eqNullSafe(F.col("md")) & (F.col("tkey") == F.col("mt")))
     blocks = F.ceil(F.col("s.size") / F.lit(BLOCK)).cast("int")
     x = texts.select("sid", "n", "keys", "text", F.explode("spots").alias("s"))
