@@ -35,7 +35,7 @@ from wardflow.llm.graph import components
 from wardflow.llm.shared import materialise
 from wardflow.llm.tokens import LANES, Words, mix, shingles, slices, text_buffers
 
-WIDTH, THRESHOLD, RECALL = 5, 0.8, 0.995
+WIDTH, THRESHOLD, RECALL = 5, 0.8, 0.999
 TREES, MAX_DEPTH = 24, 10
 #: documents of a block; a task holds two blocks
 BLOCK = 256
