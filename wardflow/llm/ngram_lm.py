@@ -46,12 +46,14 @@ from wardflow.llm.shared import crc_mod, materialise
 from wardflow.llm.tokens import LANES, Words, mix, slices, text_buffers
 
 MU = 4.0
-SHARD_TOKENS = 3_000_000
-FLUSH_TOKENS = 1_500_000
+SHARD_TOKENS = 2_000_000
+FLUSH_TOKENS = 1_000_000
 FLUSH_DOCS = 30_000
 END, BEGIN = np.uint64(0xE4D), np.uint64(0xB36)
 #: bits of a context number within its word, and of a quantised probability
 CONTEXT_BITS, LEVELS = 40, 1 << 16
+#: values encoded at a time (a multiple of 8)
+CHUNK = 1 << 14
 
 
 class EliasFano:
@@ -66,8 +68,10 @@ class EliasFano:
         n = len(values)
         low = max(0, (max(universe, 1) // max(n, 1)).bit_length() - 1)
         v = values.astype(np.uint64)
-        bits = (v[:, None] >> np.arange(low, dtype=np.uint64)) & np.uint64(1) if n and low else np.zeros((0, 0), np.uint64)
-        lower = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little")
+        place = np.arange(low, dtype=np.uint64)
+        parts = [np.packbits(((v[i:i + CHUNK, None] >> place) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
+                 for i in range(0, n if low else 0, CHUNK)]
+        lower = np.concatenate([*parts, np.zeros(8, np.uint8)])      # a word can be read from every byte
         high = (v >> np.uint64(low)).astype(np.int64) + np.arange(n)
         upper = np.zeros((int(high[-1]) + 1 if n else 0) // 8 + 1, np.uint8)
         np.bitwise_or.at(upper, high // 8, (1 << (high % 8)).astype(np.uint8))
@@ -84,9 +88,9 @@ class EliasFano:
         at = at[a - int(self.rank[lo]):b - int(self.rank[lo])] + lo * 512
         out = (at - np.arange(a, b)).astype(np.uint64) << np.uint64(self.low)
         if self.low:
-            first, last = a * self.low // 8, (b * self.low + 7) // 8
-            bits = np.unpackbits(self.lower[first:last], bitorder="little")[a * self.low - first * 8:][:(b - a) * self.low]
-            out |= bits.reshape(-1, self.low).astype(np.uint64) @ (np.uint64(1) << np.arange(self.low, dtype=np.uint64))
+            at = np.arange(a, b, dtype=np.int64) * self.low
+            word = np.ndarray((len(self.lower) - 7,), "<u8", self.lower, strides=(1,))
+            out |= (word[at >> 3] >> (at & 7).astype(np.uint64)) & np.uint64((1 << self.low) - 1)
         return out
 
 
@@ -122,7 +126,7 @@ class Trie:
         m = _mapped([*a1, *a2, code])
         self.pointer, self.child, self.code = EliasFano(n1, l1, tuple(m[:3])), EliasFano(n2, l2, tuple(m[3:6])), m[6]
 
-    def find(self, word: np.ndarray, context: np.ndarray, chunk: int = 1 << 18) -> np.ndarray:
+    def find(self, word: np.ndarray, context: np.ndarray, chunk: int = 1 << 17) -> np.ndarray:
         """Value of each queried pair (sorted by word), NaN if not stored."""
         out = np.full(len(word), np.nan)
         for a in range(0, len(word), chunk):
@@ -141,9 +145,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words of a batch and their counts."""
     for b in batches:
         data, off = text_buffers(b.column("text"))
-        for i, j in slices(off, 8 << 20):
-            h, n = np.unique(Words(data[off[i]:off[j]], off[i:j + 1] - off[i], lower=True).hashes(), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
+        parts = [np.unique(Words(data[off[i]:off[j]], off[i:j + 1] - off[i], lower=True).hashes(), return_counts=True) for i, j in slices(off)]
+        h, which = np.unique(np.concatenate([np.zeros(0, np.uint64), *[p[0] for p in parts]]), return_inverse=True)
+        n = np.bincount(which, np.concatenate([np.zeros(0), *[p[1] for p in parts]]), len(h))
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
