@@ -3,6 +3,7 @@ brute force."""
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 import numpy as np
@@ -30,12 +31,32 @@ def test_random_mask_only_removes(spark):
     assert 0.2 < share < 0.4
 
 
-def test_block_mask_clips_last_bin(spark):
-    _data, df = _panel(spark, n_t=10)
-    u = M.uniform_hash(F.col("e"), F.col("t"), M.feature_index("f", ["a", "b"]), 7)
-    out = M.block_mask(df, ["e", "f"], "t", "x", u, 0.9, 3, 10).collect()
-    assert all(r.masked == r.x for r in out if r.t == 9)          # last bin never masked
-    assert all(r.masked is None or r.masked == r.x for r in out)
+def test_draws_are_independent_and_take_any_key(spark):
+    n, bins, rate = 3000, 20, 0.3
+    x = spark.range(n).selectExpr("id * 50 AS e", f"explode(sequence(0, {bins - 1})) AS t")
+    u = [M.uniform_hash(F.col("e"), F.col("t"), F.lit(f), 42) < rate for f in (1, 2)]
+    x = x.select("e", "t", u[0].alias("a"), u[1].alias("b"))
+    near = x.alias("x").join(x.selectExpr("e", "t - 1 AS t", "a AS after"), ["e", "t"])
+    r = x.agg(F.avg(F.col("a").cast("int")), F.avg((F.col("a") & F.col("b")).cast("int"))).first()
+    adjacent = near.agg(F.avg((F.col("a") & F.col("after")).cast("int"))).first()[0]
+    assert abs(r[0] - rate) < 0.01 and abs(r[1] - rate ** 2) < 0.006 and abs(adjacent - rate ** 2) < 0.006
+    for step in (1, 10, 50, 100):
+        ids = spark.range(4000).select((F.col("id") * step + 9 * 10 ** 18 // 100 * 100 - 4000 * step).alias("k"))
+        share = {q[0]: q[1] / 4000 for q in ids.groupBy(MD.hash_split(F.col("k"))).count().collect()}
+        assert abs(share["train"] - 0.70) < 0.03 and abs(share["val"] - 0.15) < 0.025
+    text = spark.createDataFrame([(f"patient-{i}",) for i in range(50)], "k string")
+    assert text.select(MD.hash_split(F.col("k")).alias("s")).distinct().count() > 1
+
+
+def test_block_scenarios_reach_the_target_share(spark):
+    rnd = random.Random(5)
+    data = [(2 ** 60 + e, t, float(e), None if rnd.random() < 0.2 else 1.0) for e in range(40) for t in range(20)]
+    df = spark.createDataFrame(data, "e long, t long, a double, b double")
+    sc = [{"scenario": "two", "n": 2, "only": None, "rate": 0.3, "seed": 1}, {"scenario": "b4", "n": 4, "only": "b", "rate": 0.3, "seed": 2}]
+    long = M.masked_long(M.target_share_masks(df, "e", "t", ["a", "b"], sc, 20), "e", "t", ["a", "b"]).collect()
+    gone = {s: sum(r.original is not None and r.masked is None for r in long if r.scenario == s) for s in ("two", "b4")}
+    assert 480 <= gone["two"] < 480 + 4 and 240 <= gone["b4"] < 240 + 4
+    assert all(r.masked == r.original for r in long if r.t == 19 or (r.scenario == "b4" and r.feature == "a"))
 
 
 def test_imputers_keep_observed_and_fill(spark):
@@ -189,8 +210,7 @@ def test_target_share_blocks_equal_sequential_rule(spark):
             for e in range(1, 9) for t in range(H)]
     df = spark.createDataFrame(data, "e long, t long, a double, b double")
     got = {(r.e, r.t): (r.m_a, r.m_b) for r in M.target_share_block_mask(df, "e", "t", feats, n, H, rate, seed).collect()}
-    a, b = M.HASH_MULTIPLIERS[0], M.HASH_MULTIPLIERS[1]
-    keys = sorted((((e * a + t * b + seed) % 1_000_003) * 10 ** 12 + e * 1000 + t, e, t)
+    keys = sorted((int(hashlib.md5(f"{seed}|{e}|{t}".encode()).hexdigest()[:13], 16), e, t)
                   for e in range(1, 9) for t in range(H - 1))
     obs = {(e, t): [v is not None for v in vals] for e, t, *vals in data}
     target = int(len(data) * len(feats) * rate)

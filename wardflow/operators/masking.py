@@ -1,8 +1,8 @@
 """Deterministic missing-data masks, simple imputers and error metrics.
 
-Masks are driven by an integer hash of (entity, bin, feature index, seed),
-so a mask is reproducible, independent of partitioning, and identical in a
-SQL oracle.  All operators work on a long panel ``(keys..., bin, value)``
+Masks are driven by a digest of (entity, bin, feature index, seed), so a
+mask is reproducible, independent of partitioning, and identical in a SQL
+oracle.  All operators work on a long panel ``(keys..., bin, value)``
 with one row per bin (a dense grid).
 """
 
@@ -13,19 +13,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardflow.operators import sequence as S
-from wardflow.operators.stats import attach_row, chunked_cumsum
+from wardflow.operators.stats import chunked_cumsum
 
-# --- fixed values: multipliers of the integer mixing hash ---------------------
-HASH_MULTIPLIERS = (7919, 104729, 1299709, 15485863)
-HASH_MODULUS = 1000
+#: draws have 52 bits
+DRAW_BITS = 52
+
+
+def digest(*key: Column | int) -> Column:
+    """52-bit integer from the MD5 digest of the key's parts: any key type
+    and size, independent between neighbouring keys, reproducible in SQL."""
+    parts = [(F.lit(k) if isinstance(k, int) else k).cast("string") for k in key]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, DRAW_BITS // 4), 16, 10).cast("long")
+
+
+def digest_sql(*key: str) -> str:
+    """:func:`digest` in DuckDB SQL."""
+    parts = ", ".join(f"CAST({k} AS VARCHAR)" for k in key)
+    return f"CAST('0x' || substr(md5(concat_ws('|', {parts})), 1, {DRAW_BITS // 4}) AS BIGINT)"
 
 
 def uniform_hash(entity: Column, t: Column, feature_idx: Column, seed: Column | int) -> Column:
-    """Uniform draw in [0, 1) from integer keys."""
-    seed = F.lit(seed) if isinstance(seed, int) else seed
-    a, b, c, d = HASH_MULTIPLIERS
-    h = entity * a + t * b + feature_idx * c + seed * d
-    return F.pmod(h, F.lit(HASH_MODULUS)) / F.lit(float(HASH_MODULUS))
+    """Uniform draw in [0, 1) per (entity, bin, feature, seed)."""
+    return digest(entity, t, feature_idx, seed) / F.lit(float(1 << DRAW_BITS))
 
 
 def feature_index(feature: str, features: list[str]) -> Column:
@@ -38,21 +47,6 @@ def random_mask(value: str, u: Column, rate: float | Column) -> Column:
     return F.when(u < rate, F.lit(None)).otherwise(F.col(value))
 
 
-def block_mask(df: DataFrame, keys: list[str], t: str, value: str, start_u: Column, rate: float,
-               n: int, horizon: int, applies: Column | None = None, name: str = "masked") -> DataFrame:
-    """Blocks of ``n`` consecutive bins: a bin starts a block when
-    ``start_u < rate / n``; a block covers ``[T0, min(T0 + n, horizon - 1))``
-    (the last bin is never masked).  Evaluated as a fixed-width sliding
-    window over start flags -- no explode, no join."""
-    start = (start_u < F.lit(rate / n))
-    if applies is not None:
-        start = start & applies
-    w = Window.partitionBy(*keys).orderBy(t).rowsBetween(-(n - 1), 0)
-    covered = F.max(start.cast("int")).over(w) == 1
-    hit = covered & (F.col(t) < F.lit(horizon - 1))
-    return df.withColumn(name, F.when(hit, F.lit(None)).otherwise(F.col(value)))
-
-
 def impute_all(df: DataFrame, keys: list[str], t: str, masked: str,
                global_keys: list[str] | None = None) -> DataFrame:
     """Adds ``imp_mean``, ``imp_median``, ``imp_locf`` (forward then
@@ -90,36 +84,63 @@ def errors(df: DataFrame, group: list[str], original: str, masked: str, imputed:
         F.round(F.sqrt(F.avg(d * d)), 6).alias("rmse"))
 
 
-def target_share_block_mask(df: DataFrame, entity: str, t: str, feats: list[str], n: int, horizon: int,
-                            rate: float, seed: int, modulus: int = 1_000_003, name_prefix: str = "m_") -> DataFrame:
+def target_share_masks(df: DataFrame, entity: str, t: str, feats: list[str], scenarios: list[dict],
+                       horizon: int) -> DataFrame:
     """Block masks added in hash order until the newly masked observed cells
-    reach ``floor(rows * len(feats) * rate)`` -- the sequential rule, computed
-    without a sequential loop.
-
-    ``df`` is a dense wide panel (one row per entity and bin).  Every bin
-    ``T0 < horizon - 1`` is a candidate block start with key
-    ``(hash(entity, T0), entity, T0)`` packed in one bigint (entity ids
-    below 1e9, bins below 1000); a block covers ``[T0, min(T0 + n,
-    horizon - 1))`` on all ``feats``.  A cell is masked by the earliest block
-    (smallest key) covering it -- a width-n window minimum over the entity's
-    bins -- so the blocks of a key prefix mask exactly the cells whose first
-    covering key lies in it.  Observed cells per first-covering key are
-    prefix-summed in key chunks; the threshold is the first key where the
-    running count reaches the target."""
-    a, b = HASH_MULTIPLIERS[0], HASH_MULTIPLIERS[1]
-    h = F.pmod(F.col(entity) * F.lit(a) + F.col(t) * F.lit(b) + F.lit(seed), F.lit(modulus))
-    key = h * F.lit(10 ** 12) + F.col(entity) * F.lit(1000) + F.col(t)
-    start = F.when(F.col(t) < F.lit(horizon - 1), key)
-    w = Window.partitionBy(entity).orderBy(t).rowsBetween(-(n - 1), 0)
-    obs = sum(F.col(c).isNotNull().cast("long") for c in feats)
-    x = df.withColumns({"_cover": F.when(F.col(t) < F.lit(horizon - 1), F.min(start).over(w)), "_obs": obs})
-    per_key = x.filter(F.col("_cover").isNotNull()).groupBy("_cover").agg(F.sum("_obs").alias("_new"))
-    cum = chunked_cumsum(per_key, [], "_cover", ["_new"], F.floor(F.col("_cover") / F.lit(10 ** 12 * 256)))
-    target = df.agg(F.floor(F.count(F.lit(1)) * F.lit(len(feats) * rate)).alias("_target"))
-    thr = attach_row(cum, target).agg(
-        F.min(F.when(F.col("cum__new") >= F.col("_target"), F.col("_cover"))).alias("_thr"),
-        F.max("_cover").alias("_all"))
-    x = attach_row(x, thr.select(F.coalesce("_thr", "_all").alias("_thr")))
-    hit = F.col("_cover").isNotNull() & (F.col("_cover") <= F.col("_thr"))
-    return x.select(*df.columns, *[F.when(hit, F.lit(None)).otherwise(F.col(c)).alias(f"{name_prefix}{c}")
-                                   for c in feats])
+    reach ``floor(rows * features * rate)`` -- the sequential rule for many
+    scenarios at once, computed without a sequential loop.
+
+    ``df`` is a dense wide panel (one row per entity and bin); a scenario has
+    ``scenario`` (name), ``n`` (block length), ``only`` (one feature, or None
+    for all together), ``rate`` and ``seed``.  Every bin ``T0 < horizon - 1``
+    is a candidate block start with key ``(digest(seed, entity, T0), entity,
+    T0)``; a block covers ``[T0, min(T0 + n, horizon - 1))``.  A cell is masked
+    by the earliest block covering it -- a width-n window minimum over the
+    entity's bins -- so the blocks of a key prefix mask exactly the cells whose
+    first covering key lies in it.  Observed cells per first-covering key are
+    prefix-summed in ranges of the (uniform) digest; the threshold is the first
+    key where the running count reaches the target.
+
+    Returns the rows of every scenario with ``scenario, only`` and ``_hit``."""
+    rows = F.array(*[F.struct(F.lit(s["scenario"]).alias("scenario"), F.lit(s["n"]).alias("_n"),
+                              F.lit(s["only"]).cast("string").alias("only"), F.lit(float(s["rate"])).alias("_rate"),
+                              F.lit(s["seed"]).alias("_seed")) for s in scenarios])
+    x = df.select(entity, t, *feats, F.inline(rows))
+    inside = F.col(t) < F.lit(horizon - 1)
+    start = F.when(inside, F.struct(digest(F.col("_seed"), F.col(entity), F.col(t)).alias("h"), F.col(entity).alias("e"),
+                                    F.col(t).alias("t")))
+    w = Window.partitionBy("scenario", entity).orderBy(t)
+    cover = F.lit(None)
+    for n in sorted({s["n"] for s in scenarios}):
+        cover = F.when(F.col("_n") == n, F.min("_start").over(w.rowsBetween(-(n - 1), 0))).otherwise(cover)
+    counts = [(F.col(c).isNotNull() & (F.col("only").isNull() | (F.col("only") == c))).cast("long") for c in feats]
+    x = x.withColumn("_start", start).withColumns({"_cover": F.when(inside, cover), "_obs": sum(counts)}).drop("_start")
+    per_key = x.filter(F.col("_cover").isNotNull()).groupBy("scenario", "_cover").agg(F.sum("_obs").alias("_new"))
+    ranges = max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cum = chunked_cumsum(per_key, ["scenario"], "_cover", ["_new"],
+                         F.floor(F.col("_cover.h") / F.lit(float(1 << DRAW_BITS)) * F.lit(ranges)))
+    width = F.when(F.col("only").isNull(), len(feats)).otherwise(1)
+    goal = x.groupBy("scenario").agg(F.floor(F.sum(width) * F.first("_rate")).alias("_goal"))
+    thr = cum.join(F.broadcast(goal), "scenario").groupBy("scenario").agg(       # one row per scenario
+        F.min(F.when(F.col("cum__new") >= F.col("_goal"), F.col("_cover"))).alias("_thr"), F.max("_cover").alias("_all"))
+    x = x.join(F.broadcast(thr.select("scenario", F.coalesce("_thr", "_all").alias("_thr"))), "scenario", "left")
+    hit = F.coalesce(F.col("_cover") <= F.col("_thr"), F.lit(False))
+    return x.select("scenario", "only", entity, t, *feats, hit.alias("_hit"))
+
+
+def masked_long(masks: DataFrame, entity: str, t: str, feats: list[str]) -> DataFrame:
+    """``(scenario, only, entity, t, feature, original, masked)`` of
+    :func:`target_share_masks`."""
+    x = masks.unpivot(["scenario", "only", entity, t, "_hit"], feats, "feature", "original")
+    own = F.col("only").isNull() | (F.col("only") == F.col("feature"))
+    return x.withColumn("masked", F.when(F.col("_hit") & own, F.lit(None)).otherwise(F.col("original"))).drop("_hit")
+
+
+def target_share_block_mask(df: DataFrame, entity: str, t: str, feats: list[str], n: int, horizon: int,
+                            rate: float, seed: int, name_prefix: str = "m_") -> DataFrame:
+    """One scenario of :func:`target_share_masks` on all ``feats``, as
+    ``df`` with masked copies of its columns."""
+    x = target_share_masks(df.select(entity, t, *feats), entity, t, feats,
+                           [{"scenario": "s", "n": n, "only": None, "rate": rate, "seed": seed}], horizon)
+    return x.select(entity, t, *feats, *[F.when(F.col("_hit"), F.lit(None)).otherwise(F.col(c)).alias(f"{name_prefix}{c}")
+                                         for c in feats])

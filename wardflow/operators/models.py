@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from wardflow.functions.scalar import r6
-from wardflow.operators.masking import HASH_MULTIPLIERS
+from wardflow.operators.masking import DRAW_BITS, digest
 from wardflow.operators.stats import array_quantile, attach_row
 from wardflow.session import ensure_checkpoint_dir
 
@@ -49,9 +49,9 @@ def grouped_row_number(df: DataFrame, group: list[str], order: list[Column], chu
 
 
 def key_hash(key: Column, seed: int, modulus: int) -> Column:
-    """Integer hash of a key in ``[0, modulus)``."""
-    a, b = HASH_MULTIPLIERS[0], HASH_MULTIPLIERS[1]
-    return F.pmod(key * F.lit(a) + F.lit(seed * b), F.lit(modulus))
+    """Uniform integer in ``[0, modulus)`` from a digest of the key (any
+    type, any size)."""
+    return F.floor(digest(key, seed) / F.lit(float(1 << DRAW_BITS)) * F.lit(float(modulus))).cast("long")
 
 
 def hash_split(key: Column, seed: int = 42, train: int = 70, val: int = 15) -> Column:

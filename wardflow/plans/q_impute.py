@@ -19,7 +19,6 @@ from wardflow.sources.tables import ENTITY
 D = C.DAILY_COLS
 H = C.COHORT_DAYS
 RATE = 0.3
-MAX_BLOCK = 4
 # scenario name, kind, block length, only feature (None = all), seed
 SCENARIOS = ([("random", "random", 1, None), ("block1", "block", 1, None), ("block2", "block", 2, None),
               ("block3", "block", 3, None)] +
@@ -33,30 +32,18 @@ KEYS = ["scenario", ENTITY, "feature"]
 # Spark side
 # --------------------------------------------------------------------------
 
-def _scenario_rows(spark, sf_dir) -> DataFrame:
-    long = C.cohort_long(spark, sf_dir)
-    sc = F.array(*[F.struct(F.lit(s).alias("scenario"), F.lit(k).alias("kind"), F.lit(n).alias("n"),
-                            F.lit(f).cast("string").alias("only_feature"), F.lit(seed).alias("seed"),
-                            F.lit(RATE / n).alias("start_rate"))
-                   for s, k, n, f, seed in SCENARIOS])
-    x = long.select("*", F.inline(sc))
-    u = M.uniform_hash(F.col(ENTITY), F.col("day"), M.feature_index("feature", D), F.col("seed"))
-    return x.withColumn("u", u)
-
-
 def masked_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(scenario, user_id, day, feature, original, masked)`` for all
-    scenarios in one pass (scenario list exploded per row, one window)."""
-    x = _scenario_rows(spark, sf_dir)
-    start = ((F.col("kind") == "block") & (F.col("u") < F.col("start_rate"))
-             & (F.col("only_feature").isNull() | (F.col("feature") == F.col("only_feature"))))
-    w = (Window.partitionBy(*KEYS).orderBy("day").rowsBetween(-(MAX_BLOCK - 1), 0))
-    x = x.withColumn("_ls", F.max(F.when(start, F.col("day"))).over(w))
-    hit = (((F.col("kind") == "random") & (F.col("u") < F.lit(RATE)))
-           | ((F.col("kind") == "block") & F.col("_ls").isNotNull()
-              & (F.col("day") - F.col("_ls") < F.col("n")) & (F.col("day") < F.lit(H - 1))))
-    return x.select("scenario", ENTITY, "day", "feature", "original",
-                    F.when(hit, F.lit(None)).otherwise(F.col("original")).alias("masked"))
+    """``(scenario, user_id, day, feature, original, masked)``: the random
+    cell mask, and the block scenarios, each masking blocks until the target
+    share of all its cells is gone."""
+    random, *blocks = SCENARIOS
+    u = M.uniform_hash(F.col(ENTITY), F.col("day"), M.feature_index("feature", D), random[-1])
+    cells = C.cohort_long(spark, sf_dir).select(F.lit(random[0]).alias("scenario"), ENTITY, "day", "feature", "original",
+                                                M.random_mask("original", u, RATE).alias("masked"))
+    cp = C.cohort_panel(spark, sf_dir).select(ENTITY, "day", *D)
+    rows = [{"scenario": s, "n": n, "only": f, "rate": RATE, "seed": seed} for s, _k, n, f, seed in blocks]
+    long = M.masked_long(M.target_share_masks(cp, ENTITY, "day", D, rows, H), ENTITY, "day", D)
+    return cells.unionByName(long.select(*cells.columns))
 
 
 def imputed_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,9 +74,29 @@ def _feat_list() -> str:
 
 
 def _u_sql(seed: str) -> str:
-    a, b, c, d = M.HASH_MULTIPLIERS
-    return (f"((cl.user_id * {a} + cl.day * {b} + list_position({_feat_list()}, cl.feature) * {c} + {seed} * {d})"
-            f" % {M.HASH_MODULUS}) / {float(M.HASH_MODULUS)}")
+    key = M.digest_sql("cl.user_id", "cl.day", f"list_position({_feat_list()}, cl.feature)", seed)
+    return f"({key} / {float(1 << M.DRAW_BITS)})"
+
+
+def _target_share_ctes(rows: str, lengths: list[int], panel: str = "cp") -> str:
+    """CTEs up to ``bm(scenario, only_feature, user_id, day, <features>, hit)``
+    for scenario rows ``(scenario, n, only_feature, rate, seed)``."""
+    w = "PARTITION BY scenario, user_id ORDER BY day ROWS BETWEEN {} PRECEDING AND CURRENT ROW"
+    cover = " ".join(f"WHEN {n} THEN min(sk) OVER ({w.format(n - 1)})" for n in lengths)
+    obs = " + ".join(f"CAST({c} IS NOT NULL AND (only_feature IS NULL OR only_feature = '{c}') AS BIGINT)" for c in D)
+    return f"""sb(scenario, n, only_feature, rate, seed) AS (VALUES {rows}),
+bk AS (SELECT sb.*, p.user_id, p.day, {", ".join(f"p.{c}" for c in D)}, CASE WHEN p.day < {H - 1} THEN
+         {{'h': {M.digest_sql("sb.seed", "p.user_id", "p.day")}, 'e': p.user_id, 't': p.day}} END AS sk FROM {panel} p CROSS JOIN sb),
+bx AS (SELECT *, CASE WHEN day < {H - 1} THEN CASE n {cover} END END AS cover, {obs} AS obs FROM bk),
+bc AS (SELECT scenario, cover, sum(sum(obs)) OVER (PARTITION BY scenario ORDER BY cover) AS cum FROM bx
+       WHERE cover IS NOT NULL GROUP BY scenario, cover),
+bg AS (SELECT scenario, floor(sum(CASE WHEN only_feature IS NULL THEN {len(D)} ELSE 1 END) * max(rate)) AS goal FROM bk GROUP BY scenario),
+bt AS (SELECT scenario, coalesce(min(CASE WHEN cum >= goal THEN cover END), max(cover)) AS thr FROM bc JOIN bg USING (scenario) GROUP BY scenario),
+bm AS (SELECT bx.*, coalesce(cover <= thr, FALSE) AS hit FROM bx LEFT JOIN bt USING (scenario))"""
+
+
+def _masked_cell(c: str) -> str:
+    return f"CASE WHEN hit AND (only_feature IS NULL OR only_feature = '{c}') THEN NULL ELSE {c} END"
 
 
 def _cl_cte() -> str:
@@ -98,20 +105,15 @@ cl AS ({" UNION ALL ".join(f"SELECT user_id, day, '{c}' AS feature, {c} AS origi
 
 
 def _masked_ctes() -> str:
-    rows = ", ".join(f"('{s}', '{k}', {n}, {'NULL' if f is None else repr(f)}, {seed}, {_dbl(RATE / n)})"
-                     for s, k, n, f, seed in SCENARIOS)
+    random, *blocks = SCENARIOS
+    rows = ", ".join(f"('{s}', {n}, {'NULL' if f is None else repr(f)}, {_dbl(RATE)}, {seed})" for s, _k, n, f, seed in blocks)
+    long = " UNION ALL ".join(f"SELECT scenario, user_id, day, '{c}' AS feature, {c} AS original, {_masked_cell(c)} AS masked FROM bm"
+                              for c in D)
     return f"""{_cl_cte()},
-sc(scenario, kind, n, only_feature, seed, start_rate) AS (VALUES {rows}),
-x AS (SELECT sc.scenario, sc.kind, sc.n, sc.only_feature, sc.start_rate, cl.*, {_u_sql("sc.seed")} AS u
-      FROM cl CROSS JOIN sc),
-y AS (SELECT *, max(CASE WHEN kind = 'block' AND u < start_rate AND (only_feature IS NULL OR feature = only_feature)
-                         THEN day END)
-        OVER (PARTITION BY scenario, user_id, feature ORDER BY day
-              ROWS BETWEEN {MAX_BLOCK - 1} PRECEDING AND CURRENT ROW) AS ls FROM x),
-m AS (SELECT scenario, user_id, day, feature, original,
-        CASE WHEN kind = 'random' AND u < {_dbl(RATE)} THEN NULL
-             WHEN kind = 'block' AND ls IS NOT NULL AND day - ls < n AND day < {H - 1} THEN NULL
-             ELSE original END AS masked FROM y)"""
+{_target_share_ctes(rows, sorted({b[2] for b in blocks}))},
+m AS (SELECT '{random[0]}' AS scenario, user_id, day, feature, original,
+        CASE WHEN {_u_sql(str(random[-1]))} < {_dbl(RATE)} THEN NULL ELSE original END AS masked FROM cl
+      UNION ALL {long})"""
 
 
 def _impute_ctes(src: str = "m", keys: str = "scenario, user_id, feature") -> str:
@@ -162,8 +164,9 @@ def mask_random(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("mask_blocks", sql=f"""WITH {_masked_ctes()}
 SELECT scenario, user_id, day, feature, original, masked FROM m WHERE scenario LIKE 'block%'""")
 def mask_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Block masks of 1-3 bins on all features and 4-bin blocks on one
-    feature at a time (last bin never masked)."""
+    """Block masks of 1-3 bins on all features and 4-bin blocks on
+    one feature at a time, until 30 % of the cells are gone (last bin never
+    masked)."""
     return masked_scenarios(spark, sf_dir).filter(F.col("scenario").startswith("block"))
 
 
@@ -193,11 +196,12 @@ def feature_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sweep_sql() -> str:
-    rates = ", ".join(f"({_dbl(r)})" for r in SWEEP_RATES)
-    return f"""WITH {_cl_cte()},
-r(rate) AS (VALUES {rates}),
-m AS (SELECT r.rate, cl.user_id, cl.day, cl.feature, cl.original,
-        CASE WHEN {_u_sql("42")} < r.rate THEN NULL ELSE cl.original END AS masked FROM cl CROSS JOIN r),
+    rows = ", ".join(f"('{r}|{f}', 1, '{f}', {_dbl(r)}, 42)" for r in SWEEP_RATES for f in D)
+    long = " UNION ALL ".join(f"SELECT rate, user_id, day, '{c}' AS feature, {c} AS original, {_masked_cell(c)} AS masked FROM bm "
+                              f"WHERE only_feature = '{c}'" for c in D)
+    return f"""WITH {cohort_ctes()},
+{_target_share_ctes(rows, [1])},
+m AS ({long}),
 {_impute_ctes("m", "rate, user_id, feature")},
 e AS (SELECT rate, feature, CASE WHEN original IS NOT NULL AND masked IS NULL THEN imp_linear - original END AS d
       FROM imp)
@@ -206,11 +210,12 @@ e AS (SELECT rate, feature, CASE WHEN original IS NOT NULL AND masked IS NULL TH
 
 @query("rate_sweep", sql=_sweep_sql())
 def rate_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MCAR rate 0.1..0.8 x feature, linear-imputation error."""
-    long = C.cohort_long(spark, sf_dir)
-    x = long.select("*", F.explode(F.array(*[F.lit(r) for r in SWEEP_RATES])).alias("rate"))
-    u = M.uniform_hash(F.col(ENTITY), F.col("day"), M.feature_index("feature", D), 42)
-    x = x.withColumn("masked", M.random_mask("original", u, F.col("rate")))
+    """One-bin blocks on one feature at a time until 0.1..0.8 of its
+    cells are gone; linear-imputation error per rate and feature."""
+    cp = C.cohort_panel(spark, sf_dir).select(ENTITY, "day", *D)
+    rows = [{"scenario": f"{r}|{f}", "n": 1, "only": f, "rate": r, "seed": 42} for r in SWEEP_RATES for f in D]
+    long = M.masked_long(M.target_share_masks(cp, ENTITY, "day", D, rows, H), ENTITY, "day", D).filter("only = feature")
+    x = long.withColumn("rate", F.substring_index("scenario", "|", 1).cast("double")).drop("scenario", "only")
     imp = M.impute_all(x, ["rate", ENTITY, "feature"], "day", "masked")
     return M.errors(imp, ["rate", "feature"], "original", "masked", "imp_linear")
 
@@ -287,19 +292,25 @@ def _t975_sql(v: str) -> str:
     return t_quantile_975_sql(v)
 
 
+#: range of true values of the regression
+LO_TRUE, HI_TRUE = 20.0, 160.0
+
+
 @query("regression_ci", sql=f"""WITH {_comparison_cte()},
-g AS (SELECT feature, regr_count(diff, mean) AS n, regr_slope(diff, mean) AS b1, regr_intercept(diff, mean) AS b0,
-             regr_sxx(diff, mean) AS sxx, regr_syy(diff, mean) AS syy, regr_sxy(diff, mean) AS sxy,
-             regr_avgx(diff, mean) AS mx FROM cmp GROUP BY feature),
+g AS (SELECT feature, regr_count(diff, original) AS n, regr_slope(diff, original) AS b1, regr_intercept(diff, original) AS b0,
+             regr_sxx(diff, original) AS sxx, regr_syy(diff, original) AS syy, regr_sxy(diff, original) AS sxy,
+             regr_avgx(diff, original) AS mx FROM cmp WHERE original BETWEEN {LO_TRUE} AND {HI_TRUE} GROUP BY feature),
 h AS (SELECT *, sqrt(((syy - b1 * sxy) / (n - 2)) / sxx) AS se1,
              sqrt(((syy - b1 * sxy) / (n - 2)) * (1.0 / n + mx * mx / sxx)) AS se0, {_t975_sql("n - 2")} AS t FROM g)
 SELECT feature, CAST(n AS BIGINT) AS n, round(b1, 6) AS slope, round(b0, 6) AS intercept, round(se1, 6) AS se_slope,
        round(se0, 6) AS se_intercept, round(b1 - t * se1, 6) AS slope_lo, round(b1 + t * se1, 6) AS slope_hi,
        round(b0 - t * se0, 6) AS intercept_lo, round(b0 + t * se0, 6) AS intercept_hi FROM h""")
-def regression_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regression of the difference on the mean with standard
-    errors and 95 % intervals (one pass of regr_* aggregates)."""
-    return ST.regression_ci(comparison(spark, sf_dir), ["feature"], "diff", "mean")
+def regression_ci(spark: SparkSession, sf_dir: str, lo: float = LO_TRUE, hi: float = HI_TRUE) -> DataFrame:
+    """Regression of the difference on the true (masked) value within
+    ``[lo, hi]``, with standard errors and 95 % intervals (one pass of regr_*
+    aggregates)."""
+    c = comparison(spark, sf_dir).filter(F.col("original").between(lo, hi))
+    return ST.regression_ci(c, ["feature"], "diff", "original")
 
 
 @query("density_2d", sql=f"""WITH {_comparison_cte()},
@@ -320,17 +331,8 @@ J3_N, J3_SEED = 3, 42
 
 
 @query("mask_target_share", sql=f"""WITH {cohort_ctes()},
-k AS (SELECT *, CASE WHEN day < {H - 1} THEN ((user_id * {M.HASH_MULTIPLIERS[0]} + day * {M.HASH_MULTIPLIERS[1]} + {J3_SEED}) % 1000003)
-                     * 1000000000000 + user_id * 1000 + day END AS sk FROM cp),
-x AS (SELECT *, CASE WHEN day < {H - 1} THEN min(sk) OVER (PARTITION BY user_id ORDER BY day
-                     ROWS BETWEEN {J3_N - 1} PRECEDING AND CURRENT ROW) END AS cover,
-             {" + ".join(f"CAST({c} IS NOT NULL AS BIGINT)" for c in D)} AS obs FROM k),
-pk AS (SELECT cover, sum(obs) AS new_cells FROM x WHERE cover IS NOT NULL GROUP BY cover),
-c AS (SELECT cover, sum(new_cells) OVER (ORDER BY cover ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM pk),
-t AS (SELECT floor(count(*) * {len(D)} * {RATE!r}) AS target FROM cp),
-thr AS (SELECT coalesce(min(CASE WHEN cum >= target THEN cover END), max(cover)) AS thr FROM c, t)
-SELECT user_id, day, {", ".join(f"CASE WHEN cover IS NOT NULL AND cover <= thr THEN NULL ELSE {c} END AS m_{c}" for c in D)}
-FROM x, thr""")
+{_target_share_ctes(f"('s', {J3_N}, NULL, {_dbl(RATE)}, {J3_SEED})", [J3_N])}
+SELECT user_id, day, {", ".join(f"{_masked_cell(c)} AS m_{c}" for c in D)} FROM bm""")
 def mask_target_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """3-bin blocks on all features added in hash order until 30 % of
     the cells' count of observed values is newly masked (exact, no

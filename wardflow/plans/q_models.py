@@ -10,7 +10,7 @@ from wardflow.functions.dictionary import literal_table
 from wardflow.functions.scalar import r6
 from wardflow.operators import models as MD
 from wardflow.operators import sequence as S
-from wardflow.operators.masking import HASH_MULTIPLIERS
+from wardflow.operators.masking import DRAW_BITS, digest_sql
 from wardflow.plans import common as C
 from wardflow.plans.q_stats import SCORED_CTE, scored
 from wardflow.plans.registry import query
@@ -18,11 +18,10 @@ from wardflow.plans.sql_common import cohort_ctes, daily_panel_ctes
 from wardflow.sources.tables import ENTITY, read_table
 
 D = C.DAILY_COLS
-A_, B_ = HASH_MULTIPLIERS[0], HASH_MULTIPLIERS[1]
 
 
 def _key_hash_sql(key: str, seed: int, modulus: int) -> str:
-    return f"(({key} * {A_} + {seed * B_}) % {modulus})"
+    return f"CAST(floor({digest_sql(key, str(seed))} / {float(1 << DRAW_BITS)} * CAST({modulus} AS DOUBLE)) AS BIGINT)"
 
 
 def _split_sql(key: str) -> str:

@@ -276,7 +276,7 @@ SELECT day, {", ".join(f"round(avg(CAST({c} IS NULL AS DOUBLE)) * 100, 6) AS pct
        round(avg(total_missing) / {len(D)} * 100, 6) AS pct_total
 FROM cp GROUP BY day""")
 def missing_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K3/K4: missing share per bin and variable, and overall per bin."""
+    """K3: missing share per bin and variable, and overall per bin."""
     cp = _cp(spark, sf_dir)
     return cp.groupBy("day").agg(*[r6(F.avg(F.col(c).isNull().cast("double")) * 100).alias(f"pct_{c}") for c in D],
                                  r6(F.avg("total_missing") / len(D) * 100).alias("pct_total"))
