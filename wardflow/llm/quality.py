@@ -161,9 +161,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, keep: Column, max_rows: in
 
 def fit_quality(train: DataFrame) -> tuple[np.ndarray, float, float, float]:
     """Weights, bias, slope and intercept, fitted in one task on the bounded
-    sample; 2**BITS weights reach the driver."""
+    sample; 2**BITS weights reach the driver.  Only the sample's features are
+    shuffled to that task (the table is read by all), in an order of their own."""
     rows = train.mapInArrow(_extract, "y double, fold long, f array<int>")
-    m = rows.coalesce(1).mapInArrow(_fit, "w binary, b array<double>").first()
+    m = rows.repartition(1).sortWithinPartitions("fold", "y", "f").mapInArrow(_fit, "w binary, b array<double>").first()
     if m is None:
         return np.zeros(1 << BITS), 0.0, 0.0, 0.0
     return np.frombuffer(m["w"], np.float64), *m["b"]
