@@ -43,7 +43,7 @@ g AS (SELECT user_id, max(heart_rate) AS heart_rate_max, round(avg(heart_rate),
       FROM w GROUP BY user_id)
 SELECT g.*, mv.mode_vent AS mode_vent_mode FROM g LEFT JOIN mv ON g.user_id = mv.user_id AND mv.rn = 1""")
 def summary_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stays reaching hour 16, hours 0..24 summarised per entity:
+    """D11 and part of T16 (two variables, no static join or outcome): stays reaching hour 16, hours 0..24 summarised per entity:
     max / mean / sample std / sum and the most frequent text value (ties ->
     smallest, nulls ignored)."""
     hp = QP.hourly_panel_classwise(spark, sf_dir)
@@ -162,7 +162,8 @@ SELECT sha256(CAST(c.c_custkey AS VARCHAR) || '|wardflow') AS pseudo_id, n.n_nam
 FROM customer c JOIN adm a ON c.c_custkey = a.o_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 WHERE c.c_acctbal > 0 AND c.c_mktsegment IN ({", ".join(f"'{u}'" for u in UNITS)})""")
 def static_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Static per-entity table -- eligibility filters
+    """T20 and parts of T19/T27/T28 (no identity export, BMI or days of
+    stay): static per-entity table -- eligibility filters
     (listed units, adult rule), stay roll-up, death from the last stay,
     admission year/month, pseudonymised key, identifying columns dropped."""
     st = C.stays(spark, sf_dir)
@@ -209,7 +210,7 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 WHERE coalesce(regexp_matches(d.text, '{SEPSIS_PATTERN}'), FALSE) AND d.n_chars IS NOT NULL
 ORDER BY h, pseudo_id LIMIT 50""")
 def sepsis_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text-selected cohort joined to outcomes, pseudonymised,
+    """Part of T18 (no panel or fill step): text-selected cohort joined to outcomes, pseudonymised,
     null rows dropped, reproducible sample."""
     d = read_table(spark, sf_dir, "documents").filter(F.coalesce(F.col("text").rlike(SEPSIS_PATTERN), F.lit(False)))
     lab = read_table(spark, sf_dir, "labels")

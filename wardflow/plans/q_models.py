@@ -95,7 +95,7 @@ def early_late_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT o_orderkey, o_custkey, {_key_hash_sql("o_orderkey", 42, 1000003)} AS h FROM orders
 ORDER BY h, o_orderkey LIMIT 100""")
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """reproducible sample of 100 rows (smallest key hashes); a
+    """F3, and F5/F6 without replacement or single entities: reproducible sample of 100 rows (smallest key hashes); a
     top-k per partition then a merge, never a full sort in one task."""
     o = read_table(spark, sf_dir, "orders")
     h = MD.key_hash(F.col("o_orderkey"), 42, 1_000_003)
@@ -164,7 +164,7 @@ WITH {cohort_ctes()}
 {" UNION ALL ".join(f"SELECT '{a}' AS var_a, '{b}' AS var_b, round(corr({a}, {b}), 6) AS r FROM cp"
                     for i, a in enumerate(D) for b in D[i + 1:])}""")
 def corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairwise Pearson correlation matrix (one aggregate); the
+    """D24, and the matrix step of L4: pairwise Pearson correlation matrix (one aggregate); the
     greedy high-correlation drop works on this p x p result."""
     return MD.corr_matrix(C.cohort_panel(spark, sf_dir), D)
 
@@ -176,7 +176,7 @@ SELECT column_name, round(v, 6) AS variance, v > 0 AS keep FROM (
   UNION ALL SELECT 'l_tax', var_pop(l_tax) FROM lineitem
   UNION ALL SELECT 'const_one', var_pop(1.0) FROM lineitem)""")
 def variance_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zero-variance filter (population variance > 0)."""
+    """Zero-variance filter of L5, without its suffix rule (population variance > 0)."""
     li = read_table(spark, sf_dir, "lineitem").withColumn("const_one", F.lit(1.0))
     cols = ["l_quantity", "l_discount", "l_tax", "const_one"]
     rows = [F.struct(F.lit(c).alias("column_name"), F.var_pop(c).alias("v")) for c in cols]

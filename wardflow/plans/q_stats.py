@@ -316,7 +316,7 @@ SELECT user_id, bool_or(heart_rate IS NOT NULL) AS any_hr, bool_and(fio2 IS NULL
        CAST(sum(CASE WHEN day BETWEEN 0 AND 7 THEN 1 ELSE 0 END) AS BIGINT) AS n_first_week
 FROM dp GROUP BY user_id""".replace("{dp}", daily_panel_ctes()))
 def entity_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """any/all over the entity, first/last valid bin,
+    """D8/D9/J15, and E18 without its restriction to long stays: any/all over the entity, first/last valid bin,
     coverage count of the first week."""
     dp = C.daily_panel(spark, sf_dir)
     return dp.groupBy(ENTITY).agg(

@@ -288,7 +288,7 @@ SELECT f.o_custkey, l.died, f.main_code, substr(f.main_code, 1, 1) AS category,
        date_sub('day', f.in_time, f.out_time) AS first_los_days
 FROM firstst f JOIN lastst l ON f.o_custkey = l.o_custkey""")
 def diagnosis_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Died flag from the last discharge, main code and its
+    """T22/H11, and T26 without its initial-unit rule: died flag from the last discharge, main code and its
     category from the first stay, length of the first stay in days."""
     s = C.stays(spark, sf_dir)
     last = R.first_per_key(s, ["o_custkey"], [("in_time", True), ("o_orderkey", True)], ["o_orderstatus"])
