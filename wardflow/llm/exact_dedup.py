@@ -27,11 +27,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.shared import SPACE, materialise
+from wardflow.llm.shared import SPACE, bounded_broadcast, materialise
 
 KEY_BITS = 60
 #: distinct texts of a bucket before it is split; about 100 MB of text at 3 kB each
 CAPACITY = 32_768
+#: directory slots up to this many are broadcast; more are joined by a shuffle
+MAX_BROADCAST_SLOTS = 1_000_000
 
 
 def normalised(text: Column) -> Column:
@@ -147,8 +149,7 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY) -> ExactIndex:
     buckets = 1 + max(b for _, _, b in slots)
     combined = d.mapInArrow(_combine, "key long, sha string, norm string, doc_id long, n long")
     slot = F.shiftright("key", KEY_BITS - depth).cast("int") if depth else F.lit(0)
-    # the directory has one slot per half-full bucket or so: bounded by rows / capacity
-    owned = (combined.join(F.broadcast(directory.select("prefix", "bucket")), slot == F.col("prefix"))
+    owned = (combined.join(bounded_broadcast(directory.select("prefix", "bucket"), MAX_BROADCAST_SLOTS), slot == F.col("prefix"))
              .repartition(max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))), "bucket")
              .sortWithinPartitions("bucket", "key"))
     entries = owned.select("bucket", "key", "sha", "norm", "doc_id", "n").mapInArrow(
