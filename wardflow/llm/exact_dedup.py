@@ -147,11 +147,13 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY) -> ExactIndex:
     spark = docs.sparkSession
     directory = materialise(spark.createDataFrame(slots, "prefix int, local_depth int, bucket int"), "directory")
     buckets = 1 + max(b for _, _, b in slots)
+    # owners: a power of two, so that each has the keys of one leading bit pattern
+    owner_bits = (max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))) - 1).bit_length()
+    owner = F.shiftright("key", KEY_BITS - owner_bits).cast("int")
     combined = d.mapInArrow(_combine, "key long, sha string, norm string, doc_id long, n long")
     slot = F.shiftright("key", KEY_BITS - depth).cast("int") if depth else F.lit(0)
     owned = (combined.join(bounded_broadcast(directory.select("prefix", "bucket"), MAX_BROADCAST_SLOTS), slot == F.col("prefix"))
-             .repartition(max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))), "bucket")
-             .sortWithinPartitions("bucket", "key"))
+             .repartitionById(1 << owner_bits, owner).sortWithinPartitions("key"))
     entries = owned.select("bucket", "key", "sha", "norm", "doc_id", "n").mapInArrow(
         _chain, "bucket int, key long, chain_no int, sha string, keep_id long, group_size long")
     return ExactIndex(rows, materialise(entries, "entries"), directory, depth)
