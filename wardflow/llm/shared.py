@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 
 from wardflow.session import configure, ensure_checkpoint_dir
 
+#: rows and bytes of an Arrow batch: whole texts of any length pass in batches of a few MB
+ARROW_CONF = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
+
 #: the white space of every operator's tokens: space and the control characters 9 to 13
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
@@ -17,6 +23,8 @@ NOT_SPACE = r"[^\x20\x09-\x0D]+"
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings, and the package on the executors' Python path."""
+    for k, v in ARROW_CONF.items():
+        spark.conf.set(k, v)
     return configure(spark)
 
 
