@@ -148,6 +148,7 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     names = materialise(names.filter(whole).select(*KEYS, "run", "w.seq", "w.m", "a", "b"), "intervals")
     start = F.struct(*KEYS, "seq")
     first = names.groupBy("m", "a", "b").agg(F.min(start).alias("first"), F.max(start).alias("last")).filter("first < last").drop("last")
+    first = materialise(first, "firsts")       # a table of its own: AQE can split a frequent interval's rows in the join
     # windows of a document overlap: those that touch become one span
     ends = (names.join(first, ["m", "a", "b"]).filter(start != F.col("first"))
             .groupBy(*KEYS, "seq").agg(F.max(F.col("seq") + F.col("m")).alias("end")))
