@@ -141,3 +141,13 @@ def test_bland_altman_and_profile(spark):
     assert abs(r.bias - d.mean()) < 1e-6 and abs(r.sd - d.std(ddof=1)) < 1e-6
     p = ST.profile(df, ["a"]).first()
     assert p["count"] == 40 and abs(p.p50 - np.percentile([a for a, _ in pairs], 50)) < 1e-6
+
+
+def test_probit_matches_the_standard_library(spark):
+    from statistics import NormalDist
+
+    from wardflow.plans.q_cohorts import _probit
+    ps = [1e-300, 1e-20, 1e-12, 1e-6, 0.01, 0.0749, 0.0751, 0.3, 0.5, 0.7, 0.92499, 0.92501, 0.999, 1 - 1e-9, 1 - 1e-15]
+    rows = spark.createDataFrame([(p,) for p in ps], "p double").select("p", _probit(F.col("p")).alias("z")).collect()
+    for r in rows:
+        assert abs(r.z - NormalDist().inv_cdf(r.p)) < 1e-9

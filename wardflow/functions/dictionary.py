@@ -39,8 +39,6 @@ EVENT_FEATURES = [
     ("error", "mode_vent", "string", "props"),
 ]
 
-NUMERIC_EVENT_TYPES = ["view", "click", "purchase", "error"]
-ALL_EVENT_TYPES = ["view", "click", "purchase", "error", "signup"]
 
 
 def range_key(feature: str) -> str:

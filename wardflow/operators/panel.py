@@ -189,7 +189,3 @@ def trim_trailing(panel: DataFrame, entity: str, t: str, keep: Column) -> DataFr
 
 def add_null_count(panel: DataFrame, cols: list[str], name: str = "total_missing") -> DataFrame:
     return panel.withColumn(name, null_count(cols))
-
-
-def entity_window(entity: str, t: str) -> Window:
-    return Window.partitionBy(entity).orderBy(t)

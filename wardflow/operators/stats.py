@@ -222,8 +222,3 @@ def profile(df: DataFrame, cols: list[str]) -> DataFrame:
     out = basic.join(qs, "column_name", "left")
     return out.select("column_name", "count", "null_count", "mean", "std", "min",
                       *[r6(F.col("q")[i]).alias(n) for i, n in enumerate(["p25", "p50", "p75"])], "max")
-
-
-def moments(df: DataFrame, group: list[str], x: str) -> DataFrame:
-    """Population skewness and excess kurtosis."""
-    return df.groupBy(*group).agg(r6(F.skewness(x)).alias("skewness"), r6(F.kurtosis(x)).alias("kurtosis"))

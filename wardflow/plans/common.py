@@ -90,7 +90,3 @@ def stays(spark: SparkSession, sf_dir: str) -> DataFrame:
 STAYS_CTE = """stays AS (SELECT o_custkey, o_orderkey, o_orderdate AS in_time,
   CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + to_days(CAST(1 + o_orderkey % 7 AS INTEGER)) END AS out_time,
   o_orderpriority, o_totalprice, o_orderstatus FROM orders)"""
-
-
-def text_value_col() -> str:
-    return TEXT_VALUE

@@ -229,27 +229,53 @@ def per_sample_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         r6(F.sqrt(F.avg(F.col("diff") * F.col("diff")))).alias("rmse"))
 
 
-# --- fixed values: rational approximation of the normal quantile (A&S 26.2.23)
-PROBIT_C = (2.515517, 0.802853, 0.010328)
-PROBIT_D = (1.432788, 0.189269, 0.001308)
+# --- fixed values: published rational approximations of the normal quantile (AS 241),
+# coefficients from the highest power down: centre, tails, far tails
+CENTRE_N = (2509.0809287301227, 33430.57558358813, 67265.7709270087, 45921.95393154987,
+            13731.69376550946, 1971.5909503065513, 133.14166789178438, 3.3871328727963665)
+CENTRE_D = (5226.495278852854, 28729.085735721943, 39307.89580009271, 21213.794301586597,
+            5394.196021424751, 687.1870074920579, 42.31333070160091, 1.0)
+TAIL_N = (0.0007745450142783414, 0.022723844989269184, 0.2417807251774506, 1.2704582524523684,
+          3.6478483247632045, 5.769497221460691, 4.630337846156546, 1.4234371107496835)
+TAIL_D = (1.0507500716444169e-09, 0.0005475938084995345, 0.015198666563616457, 0.14810397642748008,
+          0.6897673349851, 1.6763848301838038, 2.053191626637759, 1.0)
+FAR_N = (2.0103343992922881e-07, 2.7115555687434876e-05, 0.0012426609473880784, 0.026532189526576124,
+         0.29656057182850487, 1.7848265399172913, 5.463784911164114, 6.657904643501103)
+FAR_D = (2.0442631033899397e-15, 1.421511758316446e-07, 1.8463183175100548e-05, 0.0007868691311456133,
+         0.014875361290850615, 0.1369298809227358, 0.599832206555888, 1.0)
+
+
+def _ratio(num, den, x):
+    """Quotient of two polynomials in ``x``; works on columns and numbers."""
+    top, bottom = num[0], den[0]
+    for n, d in zip(num[1:], den[1:]):
+        top, bottom = top * x + n, bottom * x + d
+    return top / bottom
+
+
+def _ratio_sql(num, den, x: str) -> str:
+    top, bottom = f"{num[0]!r}::DOUBLE", f"{den[0]!r}::DOUBLE"
+    for n, d in zip(num[1:], den[1:]):
+        top, bottom = f"({top} * {x} + {n!r}::DOUBLE)", f"({bottom} * {x} + {d!r}::DOUBLE)"
+    return f"({top} / {bottom})"
 
 
 def _probit(p):
-    q = F.least(p, F.lit(1.0) - p)
-    t = F.sqrt(F.lit(-2.0) * F.log(q))
-    c0, c1, c2 = PROBIT_C
-    d1, d2, d3 = PROBIT_D
-    x = t - (c0 + c1 * t + c2 * t * t) / (1 + d1 * t + d2 * t * t + d3 * t * t * t)
-    return F.when(p < 0.5, -x).otherwise(x)
+    """Normal quantile of 0 < p < 1, good to 1e-15 of its value."""
+    q = p - F.lit(0.5)
+    r = F.sqrt(-F.log(F.least(p, F.lit(1.0) - p)))
+    outer = F.when(r <= 5.0, _ratio(TAIL_N, TAIL_D, r - 1.6)).otherwise(_ratio(FAR_N, FAR_D, r - 5.0))
+    return (F.when(F.abs(q) <= 0.425, q * _ratio(CENTRE_N, CENTRE_D, F.lit(0.180625) - q * q))
+            .when(q < 0, -outer).otherwise(outer))
 
 
 def _probit_sql(p: str) -> str:
-    q = f"least({p}, 1.0 - {p})"
-    t = f"sqrt(-2.0 * ln({q}))"
-    c0, c1, c2 = PROBIT_C
-    d1, d2, d3 = PROBIT_D
-    x = f"({t} - ({c0} + {c1} * {t} + {c2} * {t} * {t}) / (1 + {d1} * {t} + {d2} * {t} * {t} + {d3} * {t} * {t} * {t}))"
-    return f"(CASE WHEN {p} < 0.5 THEN -{x} ELSE {x} END)"
+    q = f"({p} - 0.5::DOUBLE)"
+    r = f"sqrt(-ln(least({p}, 1.0::DOUBLE - {p})))"
+    centre = f"{q} * {_ratio_sql(CENTRE_N, CENTRE_D, f'(0.180625::DOUBLE - {q} * {q})')}"
+    outer = (f"(CASE WHEN {r} <= 5 THEN {_ratio_sql(TAIL_N, TAIL_D, f'({r} - 1.6::DOUBLE)')} "
+             f"ELSE {_ratio_sql(FAR_N, FAR_D, f'({r} - 5.0::DOUBLE)')} END)")
+    return f"(CASE WHEN abs({q}) <= 0.425 THEN {centre} WHEN {q} < 0 THEN -{outer} ELSE {outer} END)"
 
 
 @query("qq_positions", sql=f"""
@@ -258,7 +284,7 @@ r AS (SELECT feature, user_id, day, error,
              row_number() OVER (PARTITION BY feature ORDER BY error, user_id, day) AS rank,
              count(*) OVER (PARTITION BY feature) AS n FROM l)
 SELECT feature, user_id, day, error, rank, (rank - 0.5) / n AS position,
-       round({_probit_sql("((rank - 0.5) / n)")}, 6) AS theoretical FROM r""")
+       round({_probit_sql("((rank - 0.5::DOUBLE) / n)")}, 6) AS theoretical FROM r""")
 def qq_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sorted position of every leave-one-out error within its
     feature and the matching normal quantile (Q-Q data); ranks are chunked
