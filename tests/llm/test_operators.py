@@ -199,6 +199,24 @@ def test_decontamination_tolerates_substitutions(spark, docs, none):
     assert decontaminate.overlaps(none, b).count() == 0 and decontaminate.overlaps(docs, b.filter("false")).count() == 0
 
 
+def test_decontamination_finds_quotations_and_shifted_copies(spark):
+    rng = random.Random(8)
+    long, mid, odd, small, huge = (sentence(rng, n).split() for n in (59, 45, 15, 5, 200))
+    shifted = mid[:15] + mid[16:30] + mid[31:]
+    inserted = mid[:15] + ["added"] + mid[15:30] + ["words"] + mid[30:]
+    pad = [sentence(rng, 40) for _ in range(2)]
+    texts = {1: long[10:35], 2: shifted, 3: inserted, 4: odd[:7] + odd[8:], 5: small, 6: huge[20:60], 7: odd[:5] + odd[6:10] + odd[11:],
+             8: long[10:22], 9: small[:4], 10: odd[:7], 11: odd[:5] + ["a"] + odd[5:10] + ["b"] + odd[10:]}
+    rows = [(k, f"{pad[0]} {' '.join(w)} {pad[1]}") for k, w in texts.items()] + [(20, " ".join(small)), (21, " ".join(odd[:8]))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    b = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate((long, mid, odd, small, huge))], "item_id long, text string")
+    got = {(r["doc"], r["item"]): (r["at"], r["n_words"], r["n_match"]) for r in decontaminate.overlaps(d, b).collect()}
+    assert got[1, 0] == (40, 25, 25) and got[6, 4] == (40, 40, 40) and got[5, 3] == (40, 5, 5) and got[20, 3] == (0, 5, 5)
+    assert got[4, 2] == (40, 14, 14) and got[7, 2] == (40, 13, 13) and got[11, 2] == (40, 17, 15) and got[21, 2] == (0, 8, 8)
+    assert set(got) == {(1, 0), (2, 1), (3, 1), (4, 2), (5, 3), (6, 4), (7, 2), (11, 2), (20, 3), (21, 2)}
+    assert sorted(r[0] for r in decontaminate.decontaminate(d, b).collect()) == [8, 9, 10]
+
+
 def test_chat_prefix_masks_and_edges(spark):
     t = [(1, 0, "user", "hi"), (1, 1, "assistant", "hello"), (1, 2, "user", "more"), (1, 3, "assistant", "yes"), (1, 4, "user", "bye"),
          (0, 0, "user", "hi"), (0, 1, "assistant", "no"), (5, 0, "user", None), (None, 0, "user", "x"), (7, 0, "assistant", "same"), (6, 0, "assistant", "same")]
