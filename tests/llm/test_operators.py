@@ -310,3 +310,13 @@ def test_quality_learns_and_handles_edges(spark, docs, none):
     assert edge.count() == docs.count() and edge.filter("score IS NULL OR score < 0 OR score > 1").count() == 0
     assert quality.keep_quality(docs, labels.filter("quality = 1")).columns == docs.columns
     assert quality.quality_scores(none, labels).count() == 0
+
+
+def test_quality_trains_on_one_text_of_each_id(spark):
+    rows = [(1, f"text number {k}") for k in range(50)] + [(1, "text number 3"), (2, "other"), (2, None), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    got = quality.training_rows(df, labels, F.lit(True)).collect()
+    assert len(got) == 3 and len({r["fold"] for r in got}) == 3 and sorted(r["y"] for r in got) == [-1.0, 1.0, 1.0]
+    again = quality.training_rows(df.repartition(7), labels, F.lit(True)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))

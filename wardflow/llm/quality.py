@@ -7,8 +7,8 @@ hinge-loss model is fitted on them by dual coordinate descent, and its margin
 is mapped to a probability on rows set aside for that.
 
 The model is fitted on at most ``MAX_TRAINING`` labelled documents, those of
-smallest hash of the id: the one bound, the same at every size.  Whole texts
-are used, in training and scoring.  Only the text is an input of the score.
+smallest hash of the id, and of rows repeated with an id on the text of
+smallest hash: the one bound, the same at every size.  Whole texts are used, in training and scoring.  Only the text is an input of the score.
 
 Defined cases: null text is empty and is scored by the bias alone; labels
 that are null, conflicting (the larger counts) or of unknown documents are
@@ -152,11 +152,14 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, keep: Column, max_rows: int = MAX_TRAINING) -> DataFrame:
-    """``text, y, fold``: at most ``max_rows`` labelled documents."""
+    """``text, y, fold``: at most ``max_rows`` labelled documents, one text
+    (of smallest hash) of each id."""
     ids = (labels.filter(keep & F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("_q"))
            .select("_id", "_q", F.xxhash64("_id").alias("_h")).orderBy("_h", "_id").limit(max_rows))
     x = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))   # bounded by max_rows
-    return x.select("text", F.when(F.col("_q") > 0, 1.0).otherwise(-1.0).alias("y"), F.xxhash64(F.lit(3), "_id").alias("fold"))
+    text = F.coalesce("text", F.lit(""))
+    x = x.groupBy("_id", "_q").agg(F.min(F.struct(F.xxhash64(text).alias("h"), text.alias("text"))).alias("t"))   # reduced where it is read
+    return x.select("t.text", F.when(F.col("_q") > 0, 1.0).otherwise(-1.0).alias("y"), F.xxhash64(F.lit(3), "_id").alias("fold"))
 
 
 def fit_quality(train: DataFrame) -> tuple[np.ndarray, float, float, float]:
