@@ -1,13 +1,14 @@
 """N-gram Jaccard join: pairs of documents whose sets of five-word shingles
-have Jaccard similarity 0.8 or more, found by a MinHash LSH forest and verified
+have Jaccard similarity 0.8 or more, found by MinHash banding and verified
 exactly.
 
-Each of ``TREES`` prefix tries holds the documents by the leading MinHash
-values of its own signature.  The matched prefix starts at ``MAX_DEPTH`` values
-and is shortened until documents at the threshold meet in some trie with the
-target recall; the documents of one trie node at that depth are candidates.
+This is banding, not an LSH forest: each of ``TREES`` bands (called tries
+below) has as many MinHash values as ``prefix_depth`` computes from threshold
+and target recall, at most ``MAX_DEPTH`` (6 with the given constants), hashed
+to one key.  No prefix depends on the data; the documents of one key are
+candidates.
 
-Copies (equal word sequences) are one node of the join.  A trie node of many
+Copies (equal word sequences) are one node of the join.  A band's key of many
 documents is split into blocks, and pairs of blocks are verified in separate
 tasks; a task compares its documents by a product of their incidence
 matrices, block of shingles by block, and returns one row per document: the
@@ -45,8 +46,8 @@ SEED = 20240229
 
 
 def prefix_depth(threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES, max_depth: int = MAX_DEPTH) -> int:
-    """Longest prefix at which documents at the threshold meet in at least
-    one of the tries with the target recall."""
+    """Most values of a band at which documents at the threshold meet in at
+    least one of the bands with the target recall."""
     depth = max_depth
     while depth > 1 and 1 - (1 - threshold ** depth) ** trees < recall:
         depth -= 1
