@@ -274,6 +274,15 @@ def test_url_rules_and_model(spark):
     assert url_filter.judge_urls(df.filter("false"), url_filter.labelled_urls(spark)).count() == 0
 
 
+def test_url_model_learns_from_paths(spark):
+    block = ["library.example.net/online-casino/free-spins", "museum.example.net/en/cheap-pills/77", "garden.example.net/slots-win.html"]
+    allow = ["library.example.net/reading/travel-stories", "museum.example.net/en/500", "garden.example.net/", "history.example.net/maps/old-towns.html"]
+    df = spark.createDataFrame([(k, f"https://{u}") for k, u in enumerate(block + allow)], "page_id long, url string")
+    got = {r["page_id"]: r for r in url_filter.judge_urls(df, url_filter.labelled_urls(spark)).collect()}
+    assert all(r["rule"] is None for r in got.values())
+    assert [got[k]["verdict"] for k in sorted(got)] == ["block"] * len(block) + ["allow"] * len(allow)
+
+
 def test_exact_dedup_matches_hashing(docs, texts, none):
     norm = [SPACE.sub(" ", t or "") for _, t in texts]
     for capacity in (2, exact_dedup.CAPACITY):

@@ -43,7 +43,9 @@ ALLOWED = """news library museum university school weather garden history scienc
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """Small labelled table ``(url, label)``: each host under several
-    prefixes, domains and paths, so that only the name tells."""
+    prefixes, domains and neutral paths, so that only the name tells; and
+    ordinary hosts with blocked or ordinary words in paths of the same forms,
+    so that only the path tells."""
     rows = []
     for label, names in ((1.0, BLOCKED), (0.0, ALLOWED)):
         for i, n in enumerate(names):
@@ -53,6 +55,14 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
                 lang = ("en", "fr", "de", "es")[(i // 2 + j) % 4]
                 tail = ("", "/", ".html", "?page=2", "#top")[(i + 2 * j) % 5]
                 rows.append((f"https://{prefix}{n}.example.{top}/{lang}/{(i * 7919 + j * 104729) % 9000 + 100}{tail}", label))
+    forms = ("/{}", "/{}/{n}", "/en/{}/{}", "/{}/{}.html", "/pages/{}-{n}", "/{}/{}/", "/a/{n}/{}", "/{}?id={n}")
+    for label, names in ((1.0, BLOCKED), (0.0, ALLOWED)):
+        for i, n in enumerate(names):
+            for j in range(len(forms)):
+                host = ALLOWED[(i * 5 + j * 11 + 1) % len(ALLOWED)]
+                top = ("com", "org", "net")[(i + j) % 3]
+                path = forms[j].format(n, names[(i * 3 + j * 7 + 2) % len(names)], n=(i * 7919 + j * 104729) % 9000 + 100)
+                rows.append((f"https://{('', 'www.')[j % 2]}{host}.example.{top}{path}", label))
     return spark.createDataFrame(rows, "url string, label double")
 
 
