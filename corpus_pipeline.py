@@ -62,7 +62,7 @@ STAGES = [
     ("poisson_mixing", mixing_stage),
 ]
 
-#: a fitted classifier and MinHash can't be stated in SQL; tests compare the stages with brute force
+#: a fitted classifier and MinHash can't be stated in SQL; tests/llm/test_pipeline.py compares the stages with plain Python
 ORACLE_SQL = None
 
 
