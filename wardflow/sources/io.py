@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,3 +129,14 @@ def cut_lineage(df: DataFrame, how: str = "checkpoint", name: str | None = None)
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     raise ValueError(how)
+
+
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table of its own in the shared folder named by
+    ``spark.checkpoint.dir``, read back with the same schema: what is
+    partition-dependent in it is fixed from then on, and later stages or
+    retried tasks start from the files."""
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), "scratch", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
