@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import chat, decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, ngram_lm, quality, token_counts, url_filter
+from wardflow.llm import (chat, decontaminate, exact_dedup, jaccard_join, lexical_search, license_scan, line_dedup, merkle, mixing,
+                          ngram_lm, quality, token_counts, url_filter)
 from wardflow.llm.shared import prepare
 from wardflow.sources.tables import read_table
 
@@ -90,3 +91,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_license_scan")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases, tags and labels of every document."""
+    return license_scan.license_report(table(spark, sf_dir, "documents"))
+
+
+@query("op12_lexical_search", lexical_search.SEARCH_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_merkle_manifest", merkle.merkle_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and check of every document."""
+    return merkle.verify(merkle.manifest(table(spark, sf_dir, "documents"), merkle.lowered_text()))
