@@ -6,11 +6,12 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from wardflow.functions import scalar as SC
-from wardflow.operators import models as MD
 from wardflow.operators import stats as ST
+from wardflow.operators.ranks import number_rows, running, running_sums, sorted_ranges
 
 
 def _scored(seed, n=300, groups=("x", "y", "z")):
@@ -57,7 +58,7 @@ def test_best_f2_threshold(spark):
 def test_quantile_bins_right_closed(spark):
     xs = [float(i) for i in range(1, 101)] + [None]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
-    got = {r.x: r.bin for r in ST.quantile_bin(df, "x", 10, chunk=F.floor(F.col("x") / 7)).collect()}
+    got = {r.x: r.bin for r in ST.quantile_bin(df, "x", 10).collect()}
     edges = np.percentile([x for x in xs if x is not None], [10 * k for k in range(1, 10)])
     for x in xs:
         if x is None:
@@ -72,7 +73,7 @@ def test_exact_quantiles_match_numpy(spark):
     xs = [round(rnd.gauss(50, 20), 1) for _ in range(997)] + [50.0] * 300     # a hot value
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     qs = [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.999]
-    got = ST.exact_quantiles(df, "x", qs, F.floor(F.col("x") / 5)).first().q
+    got = ST.exact_quantiles(df, "x", qs).first().q
     ref = np.percentile(xs, [q * 100 for q in qs])
     assert all(abs(a - b) < 1e-9 for a, b in zip(got, ref)), (got, ref)
 
@@ -117,19 +118,48 @@ def test_regression_ci_matches_numpy(spark):
     assert abs((r.slope_hi - r.slope) / se1 - 2.010634758) < 1e-3   # t(0.975, 48)
 
 
-def test_global_and_grouped_row_numbers(spark):
+def test_row_numbers_and_running_sums(spark):
     rnd = random.Random(4)
-    data = [(rnd.randint(0, 3), rnd.randint(0, 50), i) for i in range(200)]
-    df = spark.createDataFrame(data, "g long, v long, id long")
-    out = MD.grouped_row_number(df, ["g"], [F.col("v"), F.col("id")], F.floor(F.col("v") / 7), "rk")
-    got = {r.id: r.rk for r in out.collect()}
-    for g in range(4):
-        grp = sorted((v, i) for gg, v, i in data if gg == g)
-        assert [got[i] for _v, i in grp] == list(range(1, len(grp) + 1))
-    glob = ST.global_row_number(df, [F.col("v"), F.col("id")], F.floor(F.col("v") / 10), "rn")
-    order = [i for _v, i in sorted((v, i) for _g, v, i in data)]
-    g2 = {r.id: r.rn for r in glob.collect()}
-    assert [g2[i] for i in order] == list(range(1, 201))
+    data = [(rnd.choice([0, 1, 2, None]), rnd.choice([None, *range(50)]), i) for i in range(200)]
+    df = spark.createDataFrame(data, "g long, v long, id long").repartition(3)
+    out = {r.id: r for r in number_rows(df, [F.col("v").asc_nulls_first(), F.col("id").asc()], ["g"], "rk", "n").collect()}
+    sums = {r.id: r.cum_id for r in running_sums(df, [F.col("v").asc_nulls_first(), F.col("id").asc()], ["id"], ["g"]).collect()}
+    for g in (0, 1, 2, None):
+        grp = sorted((v is not None, v or 0, i) for gg, v, i in data if gg == g)
+        assert [out[i].rk for *_v, i in grp] == list(range(len(grp))) and {out[i].n for *_v, i in grp} == {len(grp)}
+        assert [sums[i] for *_v, i in grp] == list(np.cumsum([i for *_v, i in grp]))
+    glob = {r.id: r.number for r in number_rows(df, [F.col("v").desc_nulls_last(), F.col("id").asc()]).collect()}
+    order = [i for *_v, i in sorted((v is None, -(v or 0), i) for _g, v, i in data)]
+    assert [glob[i] for i in order] == list(range(200))
+    assert number_rows(df.filter("false"), [F.col("id").asc()], ["g"]).count() == 0
+
+
+def test_running_maximum_and_last_value(spark):
+    rnd = random.Random(9)
+    data = [(rnd.choice(["a", "b", None]), i, rnd.choice([None, rnd.random()])) for i in range(300)]
+    df = spark.createDataFrame(data, "g string, i long, x double").repartition(4)
+    got = {r.i: r for r in running(df, [F.col("i").desc()], {"top": ("max", "x"), "low": ("min", "x"), "held": ("last", "x"), "prev": ("lag", "x")}, ["g"]).collect()}
+    for g in ("a", "b", None):
+        seen, prev = [], None
+        for _g, i, x in sorted((d for d in data if d[0] == g), key=lambda d: -d[1]):
+            assert got[i].prev == prev
+            prev = x
+            seen += [x] if x is not None else []
+            assert (got[i].top, got[i].low, got[i].held) == ((max(seen), min(seen), seen[-1]) if seen else (None, None, None))
+
+
+@pytest.mark.parametrize("case", ["outlier", "equal scores"])
+def test_sampled_ranges_stay_even(spark, case):
+    """One far outlier, or nine tenths of the rows equal: no range holds more
+    than twice the mean."""
+    n = 20_000
+    value = F.when(F.col("id") == 0, 1e12).otherwise(F.rand(1)) if case == "outlier" else F.when(F.col("id") % 10 > 0, 0.5).otherwise(F.rand(1))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r[0] for r in sorted_ranges(spark.range(n, numPartitions=5).withColumn("x", value), [F.col("x").asc()]).groupBy("_part").count().select("count").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == n and len(sizes) == 4 and max(sizes) <= 2 * n / 4
 
 
 def test_bland_altman_and_profile(spark):

@@ -10,30 +10,26 @@ Plan (no pairwise join, skew-safe):
 * ``M_k`` = running max of the stay end along the stay order.  ``M`` is
   non-decreasing, and the first stay ``k`` with ``end_k >= t`` is exactly the
   first ``k`` with ``M_k >= t``: a sorted-search problem.
-* Stays (keyed by ``M``) and events (keyed by ``t``) are unioned and split by
-  ``(entity, time chunk of the key)``.  Inside a chunk, a running window in
-  descending key order hands every event the nearest stay at or above it.
-* Events whose chunk holds no such stay take the best stay of the next
-  non-empty stay chunk from a per-(entity, chunk) carry table, itself an
-  as-of over chunk ids (a handful of rows per entity).
-
-A hot entity is therefore spread over as many window partitions as it has
-time chunks; no task ever holds an entity's events x stays.
-
-Cost: the event lineage is read twice -- in full for the matching windows,
-and key-only (entity, chunk) for the carry table.  When the events are an
-expensive derivation rather than a scan, materialise them first
-(``sources.io.cut_lineage``).
+* Stays (keyed by ``M``) and events (keyed by ``t``) are one table, sorted by
+  entity and descending key, stays before events; the stay of an event is the
+  last one before it in that order.
+
+Both running values are computed in blocks: the rows are cut into ranges of
+the order with bounds sampled from the data, each range has its own window,
+and what is carried into a range comes from a scan over the list of ranges
+(:func:`wardflow.operators.ranks.running`).  So an entity with many stays, or
+with all its events on one day, is spread over as many tasks as its rows
+need, and the events are read once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from wardflow.operators.ranks import running
 
 FAR_FUTURE = "2050-12-31 00:00:00"
-UNB = Window.unboundedPreceding
 
 
 def effective_end(stays: DataFrame, entity: str, end: str, name: str = "eff_out",
@@ -49,50 +45,17 @@ def effective_end(stays: DataFrame, entity: str, end: str, name: str = "eff_out"
     return stays.join(mx, entity).withColumn(name, eff).drop("_mx")
 
 
-def _chunk(c: Column, chunk_days: int) -> Column:
-    micros = F.unix_micros(c.cast("timestamp"))
-    return F.floor(micros / F.lit(chunk_days * 86_400_000_000))
-
-
 def asof_first_ending_after(events: DataFrame, stays: DataFrame, entity: str, event_time: str,
-                            stay_order: list[str], stay_end: str, payload: list[str],
-                            out: str = "stay", chunk_days: int = 30) -> DataFrame:
+                            stay_order: list[str], stay_end: str, payload: list[str], out: str = "stay") -> DataFrame:
     """Attach to every event row the payload struct of its stay (see module
-    doc).  ``stay_order`` must be a total order of the entity's stays."""
-    order = F.struct(*[F.col(c) for c in stay_order])
-    m = F.max(stay_end).over(Window.partitionBy(entity).orderBy(*stay_order).rowsBetween(UNB, 0))
-    s = (stays.select(entity, stay_end, *sorted(set(stay_order) | set(payload)))
-         .withColumn("_key", m)
-         .select(entity, "_key", order.alias("_ord"),
-                 F.struct(*[F.col(c) for c in payload]).alias("_stay")))
-    s = s.withColumn("_chunk", _chunk(F.col("_key"), chunk_days)).withColumn("_kind", F.lit(0))
-
-    ev = (events.withColumn("_key", F.col(event_time))
-          .withColumn("_chunk", _chunk(F.col("_key"), chunk_days))
-          .withColumn("_kind", F.lit(1)))
-
-    # local: nearest stay key >= t inside the same (entity, chunk)
-    w = (Window.partitionBy(entity, "_chunk")
-         .orderBy(F.col("_key").desc(), F.col("_kind").asc(), F.col("_ord").desc())
-         .rowsBetween(UNB, 0))
-    both = ev.unionByName(s, allowMissingColumns=True)
-    local = (both.withColumn("_local", F.last("_stay", ignorenulls=True).over(w))
-             .filter(F.col("_kind") == 1))
-
-    # carry: best stay of the first stay chunk strictly after the event chunk
-    best = (s.groupBy(entity, "_chunk")
-            .agg(F.min_by("_stay", F.struct("_key", "_ord")).alias("_best"))
-            .withColumn("_k", F.lit(1)))
-    # chunk ids of the events (partial-aggregated; column pruning makes this
-    # a second, key-only read of the event lineage)
-    ev_chunks = ev.select(entity, "_chunk").distinct().withColumn("_k", F.lit(0))
-    wc = (Window.partitionBy(entity).orderBy(F.col("_chunk").desc(), F.col("_k").asc())
-          .rowsBetween(UNB, 0))
-    carry = (ev_chunks.unionByName(best, allowMissingColumns=True)
-             .withColumn("_carry", F.last("_best", ignorenulls=True).over(wc))
-             .filter(F.col("_k") == 0).select(entity, "_chunk", "_carry"))
-
-    res = local.join(carry, [entity, "_chunk"], "left")
-    matched = F.when(F.col(event_time).isNotNull(), F.coalesce("_local", "_carry"))
-    return (res.withColumn(out, matched)
-            .drop("_key", "_chunk", "_kind", "_ord", "_stay", "_local", "_carry"))
+    doc).  ``stay_order`` must be a total order of the entity's stays.  Events
+    without a time have no stay."""
+    s = stays.select(entity, stay_end, *sorted((set(stay_order) | set(payload)) - {stay_end, entity}))
+    s = running(s, [F.col(c).asc() for c in stay_order], {"_key": ("max", stay_end)}, [entity])
+    s = s.select(entity, "_key", F.struct(*[F.col(c) for c in stay_order]).alias("_ord"),
+                 F.struct(*[F.col(c) for c in payload]).alias("_stay"), F.lit(0).alias("_kind"))
+    both = events.withColumns({"_key": F.col(event_time), "_kind": F.lit(1)}).unionByName(s, allowMissingColumns=True)
+    order = [F.col("_key").desc(), F.col("_kind").asc(), F.col("_ord").desc()]
+    found = running(both, order, {"_found": ("last", "_stay")}, [entity]).filter(F.col("_kind") == 1)
+    return (found.withColumn(out, F.when(F.col(event_time).isNotNull(), F.col("_found")))
+            .drop("_key", "_kind", "_ord", "_stay", "_found"))

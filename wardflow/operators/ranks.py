@@ -51,3 +51,37 @@ def number_rows(df: DataFrame, order: list[Column], group: list[str] | None = No
     if size:
         out = out.withColumn(size, F.col("_size"))
     return out.select(*df.columns, name, *([size] if size else []))
+
+
+def running(df: DataFrame, order: list[Column], values: dict[str, tuple[str, str]], group: list[str] | None = None) -> DataFrame:
+    """``df`` with running aggregates along ``order`` (total within each
+    group), the row itself included: ``values`` maps a new column to ``(how,
+    column)``, ``how`` one of ``sum, max, min``, ``last`` (the last value that
+    is not null) or ``lag`` (the value of the row before).  Aggregates per range, those of the ranges before put
+    together over the list of ranges, and a window within each range."""
+    group = group or []
+    d = sorted_ranges(df, [*[F.col(g).asc_nulls_first() for g in group], *order])
+    total = {"sum": lambda v: F.sum(v), "max": lambda v: F.max(v), "min": lambda v: F.min(v),
+             "last": lambda v: F.max_by(v, F.when(F.col(v).isNotNull(), F.col("_place"))),
+             "lag": lambda v: F.struct(F.max_by(v, "_place").alias("v"))}
+    over = {"sum": F.sum, "max": F.max, "min": F.min, "last": lambda v: F.last(v, ignorenulls=True), "lag": lambda v: F.last(v)}
+    both = {"sum": lambda b, v: F.coalesce(b + v, v, b), "max": F.greatest, "min": F.least, "last": lambda b, v: F.coalesce(v, b),
+            "lag": lambda b, v: F.when(v["there"], v["v"]).otherwise(b["v"])}
+    here = d.groupBy("_part", *group).agg(*[total[how](c).alias(f"_all_{name}") for name, (how, c) in values.items()])
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    here = here.select(*[F.col(c).alias(f"_h_{c}") for c in ["_part", *group]],
+                       *[over[how](f"_all_{name}").over(before).alias(f"_before_{name}") for name, (how, _c) in values.items()])
+    same = F.col("_part") == F.col("_h__part")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_h_{g}"))
+    along = Window.partitionBy("_part", *group).orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    lag = Window.partitionBy("_part", *group).orderBy("_place")
+    local = d.withColumns({f"_local_{name}": F.struct(F.lag(c).over(lag).alias("v"), F.lag(F.lit(True), 1, False).over(lag).alias("there"))
+                           if how == "lag" else over[how](c).over(along) for name, (how, c) in values.items()})
+    return local.join(here, same).select(*df.columns, *[both[how](F.col(f"_before_{name}"), F.col(f"_local_{name}")).alias(name)
+                                                        for name, (how, _c) in values.items()])
+
+
+def running_sums(df: DataFrame, order: list[Column], values: list[str], group: list[str] | None = None, prefix: str = "cum_") -> DataFrame:
+    """:func:`running` sums of ``values``, named with ``prefix``."""
+    return running(df, order, {f"{prefix}{v}": ("sum", v) for v in values}, group)

@@ -1,23 +1,20 @@
 """Statistics operators: ranking, classifier metrics, calibration,
 agreement, regression intervals, profiles and cohort tables.
 
-Global orderings (ROC/PR curves, ranks) are computed over *distinct order
-values* first (an aggregation), so the single ordered pass only sees one row
-per distinct score; row-level ranks use chunked prefix counts so no task
-ever receives a whole table.
+Global orderings (ROC/PR curves, quantiles) are computed over *distinct order
+values* first (an aggregation), so the ordered pass only sees one row per
+distinct value; it runs along sampled ranges (:mod:`wardflow.operators.ranks`),
+so no task ever receives a whole table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from wardflow.functions.dictionary import literal_table
 from wardflow.functions.scalar import r6, t_quantile_975
-
-UNB = Window.unboundedPreceding
-
+from wardflow.operators.ranks import running, running_sums
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate (an aggregate without
@@ -27,20 +24,6 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumns({c: sc[c] for c in one_row.columns})
 
 
-def global_row_number(df: DataFrame, order: list[Column], chunk: Column, name: str = "row_index") -> DataFrame:
-    """Consecutive 1-based row numbers in ``order`` without a single-partition
-    window: rows are grouped by ``chunk`` (a non-decreasing function of the
-    order), chunk sizes are prefix-summed over the (few) chunks, and each
-    chunk is numbered in its own partition."""
-    d = df.withColumn("_chunk", chunk)
-    sizes = d.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    offs = sizes.withColumn("_off", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_chunk").rowsBetween(UNB, -1)), F.lit(0)))
-    local = F.row_number().over(Window.partitionBy("_chunk").orderBy(*order))
-    return (d.join(F.broadcast(offs.select("_chunk", "_off")), "_chunk")
-            .withColumn(name, F.col("_off") + local).drop("_chunk", "_off"))
-
-
 def array_quantile(sorted_arr: Column, q: float) -> Column:
     """Interpolated quantile of an ascending array without nulls (position
     ``(n - 1) q``; ``lo + (hi - lo) * d``, the same arithmetic as
@@ -52,40 +35,14 @@ def array_quantile(sorted_arr: Column, q: float) -> Column:
     return F.when(n > 0, lo + (hi - lo) * (h - F.floor(h)))
 
 
-def chunked_cumsum(df: DataFrame, partition: list[str], order: str, values: list[str], chunk: Column,
-                   desc: bool = False, prefix: str = "cum_") -> DataFrame:
-    """Inclusive running sums of ``values`` along ``order`` within
-    ``partition`` without one window over a whole partition: rows are cut
-    into chunks (``chunk`` must be monotone in ``order``), chunk totals are
-    prefix-summed over the chunks (a few rows per partition key) and each
-    chunk runs its own window."""
-    d = df.withColumn("_chunk", chunk)
-    tot = d.groupBy(*partition, "_chunk").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-    ck = F.col("_chunk").desc() if desc else F.col("_chunk").asc()
-    wc = (Window.partitionBy(*partition).orderBy(ck) if partition else Window.orderBy(ck)).rowsBetween(UNB, -1)
-    offs = tot.select(*partition, "_chunk",
-                      *[F.coalesce(F.sum(f"_t_{v}").over(wc), F.lit(0)).alias(f"_o_{v}") for v in values])
-    o = F.col(order).desc() if desc else F.col(order).asc()
-    wl = Window.partitionBy(*partition, "_chunk").orderBy(o).rowsBetween(UNB, 0)
-    out = d.join(offs, [*partition, "_chunk"])
-    return out.withColumns({f"{prefix}{v}": F.col(f"_o_{v}") + F.sum(v).over(wl) for v in values}).drop(
-        "_chunk", *[f"_o_{v}" for v in values])
-
-
-def score_chunk(score: str, n: int = 1024) -> Column:
-    """Monotone chunk id of a probability-like score (ordering key for the
-    chunked prefix sums)."""
-    return F.floor(F.col(score) * F.lit(n))
-
-
-def auc_by_group(df: DataFrame, group: list[str], score: str, label: str, chunk: Column | None = None) -> DataFrame:
+def auc_by_group(df: DataFrame, group: list[str], score: str, label: str) -> DataFrame:
     """Tie-corrected ROC AUC (Mann-Whitney) per group:
     ``sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N)``; null when a group
     lacks either class.  Counts are aggregated per distinct score, then
-    prefix-summed in score chunks (no single-partition window)."""
+    summed along sampled ranges of the scores."""
     per = df.groupBy(*group, score).agg(F.sum(F.col(label)).alias("_pos"),
                                         F.sum(F.lit(1) - F.col(label)).alias("_neg"))
-    per = chunked_cumsum(per, group, score, ["_neg"], chunk if chunk is not None else score_chunk(score))
+    per = running_sums(per, [F.col(score).asc()], ["_neg"], group)
     per = per.withColumn("_below", F.col("cum__neg") - F.col("_neg"))
     g = per.groupBy(*group).agg(
         F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0)).alias("_u"),
@@ -95,14 +52,36 @@ def auc_by_group(df: DataFrame, group: list[str], score: str, label: str, chunk:
     return g.select(*group, "n_pos", "n_neg", r6(auc).alias("auc"))
 
 
-def pr_curve(df: DataFrame, score: str, label: str, chunk: Column | None = None) -> DataFrame:
+def roc_curve(df: DataFrame, group: list[str], score: str, label: str) -> DataFrame:
+    """``group, threshold, fpr, tpr``: the ROC curve of every group from
+    counts per distinct score.  A point is kept where the curve turns (the
+    step to the next lower score has another slope) and at the end; the origin
+    has no threshold.  A rate without its class is null."""
+    per = df.groupBy(*group, score).agg(F.sum(F.col(label)).cast("long").alias("_pos"), F.sum(F.lit(1) - F.col(label)).cast("long").alias("_neg"))
+    per = per.withColumn("_step", F.struct("_pos", "_neg"))
+    c = running(per, [F.col(score).asc()], {"_cp": ("sum", "_pos"), "_cn": ("sum", "_neg"), "_lower": ("lag", "_step")}, group)
+    n = c.groupBy(*group).agg(F.max("_cp").alias("_p"), F.max("_cn").alias("_n"))                     # one row per group
+    n = n.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_p", "_n")
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    low = F.col("_lower")
+    turns = low.isNull() | (low["_pos"] * F.col("_neg") != F.col("_pos") * low["_neg"])
+    points = c.filter(turns).join(n, same).select(
+        *group, r6(score).alias("threshold"), r6(F.try_divide(F.col("_n") - F.col("_cn") + F.col("_neg"), F.col("_n"))).alias("fpr"),
+        r6(F.try_divide(F.col("_p") - F.col("_cp") + F.col("_pos"), F.col("_p"))).alias("tpr"))
+    origin = n.select(*[F.col(f"_g_{g}").alias(g) for g in group], F.lit(None).cast("double").alias("threshold"),
+                      F.when(F.col("_n") > 0, 0.0).alias("fpr"), F.when(F.col("_p") > 0, 0.0).alias("tpr"))
+    return points.unionByName(origin)
+
+
+def pr_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     """Precision/recall/F2 at every distinct threshold s (positive =
-    ``score >= s``), from per-score counts prefix-summed in descending score
-    chunks."""
+    ``score >= s``), from per-score counts summed along sampled ranges of the
+    descending scores."""
     per = df.groupBy(score).agg(F.sum(F.col(label)).alias("_pos"),
                                 F.sum(F.lit(1) - F.col(label)).alias("_neg"))
-    c = chunked_cumsum(per, [], score, ["_pos", "_neg"], chunk if chunk is not None else score_chunk(score),
-                       desc=True)
+    c = running_sums(per, [F.col(score).desc()], ["_pos", "_neg"])
     tot = per.agg(F.sum("_pos").alias("_P"))
     c = attach_row(c.withColumnsRenamed({"cum__pos": "_tp", "cum__neg": "_fp"}), tot)
     p = F.col("_tp") / (F.col("_tp") + F.col("_fp"))
@@ -120,23 +99,25 @@ def best_threshold(curve: DataFrame) -> DataFrame:
     return b.select(*[r6(F.col("b")[c]).alias(c) for c in ["threshold", "precision", "recall", "f2"]])
 
 
-def exact_quantiles(df: DataFrame, x: str, qs: list[float], chunk: Column | None = None,
-                    group: list[str] | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, x: str, qs: list[float], group: list[str] | None = None) -> DataFrame:
     """Exact, linearly interpolated quantiles (position ``(N - 1) q``, the
     rule of ``percentile`` / ``quantile_cont``): one row per ``group`` with
-    an array column ``q``.  Counts per distinct value are prefix-summed in
-    value chunks (``chunk`` monotone in ``x``; default: 1024 equal-width
-    chunks between the group's min and max), then one conditional aggregate
-    picks the order statistics around every target rank -- no task ever
-    holds a whole column or group."""
+    an array column ``q``.  Counts per distinct value are summed along sampled
+    ranges of (group, value), then one conditional aggregate picks the order
+    statistics around every target rank -- no task ever holds a whole column
+    or group, however the values are spread."""
     group = group or []
     counts = df.filter(F.col(x).isNotNull()).groupBy(*group, x).agg(F.count(F.lit(1)).alias("_n"))
-    n = counts.groupBy(*group).agg(F.sum("_n").alias("_total"), F.min(x).alias("_vmin"), F.max(x).alias("_vmax"))
-    c = counts.join(n, group) if group else attach_row(counts, n)     # n: one row per group
-    if chunk is None:
-        span = F.col("_vmax") - F.col("_vmin")
-        chunk = F.when(span > 0, F.floor((F.col(x) - F.col("_vmin")) / span * F.lit(1023))).otherwise(F.lit(0))
-    c = chunked_cumsum(c, group, x, ["_n"], chunk).withColumn("_lo", F.col("cum__n") - F.col("_n"))
+    c = running_sums(counts, [F.col(x).asc()], ["_n"], group).withColumn("_lo", F.col("cum__n") - F.col("_n"))
+    n = c.groupBy(*group).agg(F.max("cum__n").alias("_total"))
+    if group:                                            # one row per group
+        n = n.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_total")
+        same = F.lit(True)
+        for g in group:
+            same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+        c = c.join(n, same).drop(*[f"_g_{g}" for g in group])
+    else:
+        c = attach_row(c, n)
     aggs = []
     for i, q in enumerate(qs):
         h = (F.col("_total") - 1) * F.lit(q)
@@ -150,12 +131,12 @@ def exact_quantiles(df: DataFrame, x: str, qs: list[float], chunk: Column | None
     return row.select(*group, F.array(*vals).alias("q"))
 
 
-def quantile_bin(df: DataFrame, x: str, n_bins: int, name: str = "bin", chunk: Column | None = None) -> DataFrame:
+def quantile_bin(df: DataFrame, x: str, n_bins: int, name: str = "bin") -> DataFrame:
     """Equal-frequency bins: edges = interpolated quantiles k/n; bin = number
     of distinct inner edges strictly below x (first bin includes the
     minimum, bins are right-closed); null x -> null bin."""
     qs = [k / n_bins for k in range(1, n_bins)]
-    edges = exact_quantiles(df, x, qs, chunk).select(F.col("q").alias("_edges"))
+    edges = exact_quantiles(df, x, qs).select(F.col("q").alias("_edges"))
     d = attach_row(df, edges)
     b = F.when(F.col(x).isNotNull(),
                F.size(F.filter(F.array_distinct("_edges"), lambda e: e < F.col(x))))
@@ -222,3 +203,23 @@ def profile(df: DataFrame, cols: list[str]) -> DataFrame:
     out = basic.join(qs, "column_name", "left")
     return out.select("column_name", "count", "null_count", "mean", "std", "min",
                       *[r6(F.col("q")[i]).alias(n) for i, n in enumerate(["p25", "p50", "p75"])], "max")
+
+
+def multi_agg(df: DataFrame, keys: list[str], spec: dict[str, list[str]]) -> DataFrame:
+    """Several functions (``max``, ``min``, ``mean``) per column, flattened to
+    ``column_function``."""
+    fns = {"max": F.max, "min": F.min, "mean": lambda c: r6(F.avg(c))}
+    return df.groupBy(*keys).agg(*[fns[f](c).alias(f"{c}_{f}") for c, fs in spec.items() for f in fs])
+
+
+def table_one(df: DataFrame, categorical: list[str], numeric: list[str]) -> DataFrame:
+    """Cohort table in one pass over the categories and one over the numbers:
+    ``(variable, level, n, pct, mean, sd)``; shares are of the rows with a
+    value."""
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in categorical]).unpivot([], categorical, "variable", "level").filter("level IS NOT NULL")
+    n = long.groupBy("variable", "level").agg(F.count(F.lit(1)).alias("n"))
+    total = long.groupBy("variable").agg(F.count(F.lit(1)).alias("_n"))
+    cat = n.join(F.broadcast(total), "variable").select("variable", "level", "n", F.round(F.col("n") * 100.0 / F.col("_n"), 1).alias("pct"))  # a row per variable
+    rows = [F.struct(F.lit(c).alias("variable"), F.count(c).alias("n"), r6(F.avg(c)).alias("mean"), r6(F.stddev_samp(c)).alias("sd")) for c in numeric]
+    num = df.agg(F.array(*rows).alias("_a")).select(F.inline("_a")).withColumn("level", F.lit(None).cast("string"))
+    return cat.unionByName(num, allowMissingColumns=True).select("variable", "level", "n", "pct", "mean", "sd")
