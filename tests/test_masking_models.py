@@ -77,7 +77,7 @@ def test_stratified_split_exact_and_disjoint(spark):
     rnd = random.Random(3)
     data = [(i, int(rnd.random() < 0.3)) for i in range(500)]
     df = spark.createDataFrame(data, "k long, y int")
-    out = MD.stratified_split(df, "k", "y", n_chunks=8).collect()
+    out = MD.stratified_split(df, "k", "y").collect()
     assert len(out) == 500 and len({r.k for r in out}) == 500
     for y in (0, 1):
         grp = [r for r in out if r.y == y]
@@ -115,23 +115,12 @@ def test_vif_matches_numpy(spark):
         assert abs(got[c] - s[k, k] * inv[k, k]) < 1e-6
 
 
-def test_chained_impute_keeps_observed(spark):
-    rnd = random.Random(9)
-    rows_ = []
-    for i in range(60):
-        a = rnd.uniform(0, 10)
-        b = 2 * a + rnd.gauss(0, 0.1)
-        rows_.append((i, None if i % 7 == 0 else a, None if i % 5 == 0 else b))
-    df = spark.createDataFrame(rows_, "k long, a double, b double")
-    out = {r.k: r for r in MD.chained_impute(df, ["k"], ["a", "b"], max_rounds=3).collect()}
-    for k, a, b in rows_:
-        if a is not None:
-            assert abs(out[k].a - a) < 1e-12
-        if b is not None:
-            assert abs(out[k].b - b) < 1e-12
-        assert out[k].a is not None and out[k].b is not None
-    # b = 2a: imputed b where a observed should be near 2a
-    assert all(abs(out[k].b - 2 * a) < 1.0 for k, a, b in rows_ if b is None and a is not None)
+def test_stratified_folds_are_even_in_every_class(spark):
+    df = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(103)], "k long, y int").repartition(5)
+    out = MD.stratified_folds(df, "k", "y").collect()
+    for y in (0, 1):
+        sizes = [sum(r.y == y and r.fold == f for r in out) for f in range(5)]
+        assert max(sizes) - min(sizes) <= 1 and sum(sizes) == sum(r.y == y for r in out)
 
 
 def test_first_per_key_mixed_directions_nulls_first(spark):
@@ -174,7 +163,7 @@ def test_classifier_cv_and_persistence(spark):
 
 
 def test_dtw_distance_and_clusters(spark):
-    from wardflow.operators.dtw import dtw_kmedoids, dtw_to
+    from wardflow.operators.dtw import dtw_kmedoids, dtw_sweep, dtw_to, lower_bound, two_nearest
 
     def brute(a, b):
         n, m = len(a), len(b)
@@ -189,6 +178,23 @@ def test_dtw_distance_and_clusters(spark):
     x = rnd.normal(size=(5, 8))
     ref = rnd.normal(size=6)
     assert np.allclose(dtw_to(x, ref), [brute(r, ref) for r in x])
+    for w in (1, 3):                                     # within the window, and never under the bound
+        def banded(a, b, w=w):
+            n = len(a)
+            d = {(-1, -1): 0.0}
+            for i in range(n):
+                for j in range(max(0, i - w), min(n, i + w + 1)):
+                    d[i, j] = (a[i] - b[j]) ** 2 + min(d.get((i - 1, j), np.inf), d.get((i, j - 1), np.inf), d.get((i - 1, j - 1), np.inf))
+            return d[n - 1, n - 1] ** 0.5
+        assert np.allclose(dtw_to(x, x[0], w), [banded(r, x[0]) for r in x])
+        assert (lower_bound(x, x[0], w) <= dtw_to(x, x[0], w) + 1e-9).all()
+    y = np.vstack([np.cumsum(rnd.normal(size=(60, 12)), axis=1) + 5 * k for k in range(4)])
+    medoids = y[[3, 70, 130, 200]]
+    for w in (None, 2):
+        want = np.column_stack([dtw_to(y, m, w) for m in medoids])
+        k, near, second, full = two_nearest(y, medoids, w)
+        assert (k == want.argmin(axis=1)).all() and np.allclose(near, want.min(axis=1)) and np.allclose(second, np.sort(want, axis=1)[:, 1])
+        assert full < want.size or w is None
     # two obvious shapes, shifted in time: DTW puts each shape in one cluster
     rows_ = []
     for i in range(12):
@@ -198,6 +204,11 @@ def test_dtw_distance_and_clusters(spark):
     got = {r.e: r.cluster for r in dtw_kmedoids(df, "e", 2).collect()}
     assert len({got[i] for i in range(6)}) == 1 and len({got[i] for i in range(6, 12)}) == 1
     assert got[0] != got[6]
+    out, ended = dtw_sweep(df, "e", [2, 3, 40], window=4)
+    assert set(ended) == {2, 3} and all(ok for _n, ok in ended.values())
+    rows2 = [r for r in out.collect() if r.k == 2]
+    assert len(rows2) == 12 and all(r.dist <= r.second for r in rows2) and len({r.cluster for r in rows2}) == 2
+    assert dtw_sweep(df.filter("false"), "e", [2])[0].count() == 0
 
 
 def test_target_share_blocks_equal_sequential_rule(spark):

@@ -8,12 +8,16 @@ with one row per bin (a dense grid).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardflow.operators import sequence as S
-from wardflow.operators.stats import chunked_cumsum
+from wardflow.sources.io import write_scratch
+
+UNB = Window.unboundedPreceding
 
 #: draws have 52 bits
 DRAW_BITS = 52
@@ -84,8 +88,24 @@ def errors(df: DataFrame, group: list[str], original: str, masked: str, imputed:
         F.round(F.sqrt(F.avg(d * d)), 6).alias("rmse"))
 
 
-def target_share_masks(df: DataFrame, entity: str, t: str, feats: list[str], scenarios: list[dict],
-                       horizon: int) -> DataFrame:
+def impute_wide(df: DataFrame, keys: list[str], t: str, cols: list[str], name: str = "{method}_{col}") -> DataFrame:
+    """The four simple imputations of the masked columns ``cols`` of a wide
+    panel, each as a column ``name``: per series (``keys``) one ascending and
+    one descending window find the observed neighbours, from which both the
+    fills and the interpolation follow."""
+    whole = Window.partitionBy(*keys)
+    d = S.neighbours(df.withColumns({k: v for c in cols for k, v in ((f"_avg_{c}", F.avg(c).over(whole)), (f"_med_{c}", F.median(c).over(whole)))}),
+                     keys, t, cols)
+    out = {}
+    for c in cols:
+        x, p, n = F.col(c), F.col(f"_p_{c}")["v"], F.col(f"_n_{c}")["v"]
+        for method, value in (("imp_mean", F.coalesce(x, f"_avg_{c}")), ("imp_median", F.coalesce(x, f"_med_{c}")), ("imp_locf", F.coalesce(p, n)),
+                              ("imp_linear", F.when(x.isNotNull(), x).otherwise(F.coalesce(S.between(c), p, n)))):
+            out[name.format(method=method, col=c)] = value
+    return d.withColumns(out).drop("_i", *[f"_{k}_{c}" for c in cols for k in ("avg", "med", "p", "n")])
+
+
+def target_share_hits(df: DataFrame, entity: str, t: str, feats: list[str], scenarios: list[dict], horizon: int) -> DataFrame:
     """Block masks added in hash order until the newly masked observed cells
     reach ``floor(rows * features * rate)`` -- the sequential rule for many
     scenarios at once, computed without a sequential loop.
@@ -97,35 +117,63 @@ def target_share_masks(df: DataFrame, entity: str, t: str, feats: list[str], sce
     T0)``; a block covers ``[T0, min(T0 + n, horizon - 1))``.  A cell is masked
     by the earliest block covering it -- a width-n window minimum over the
     entity's bins -- so the blocks of a key prefix mask exactly the cells whose
-    first covering key lies in it.  Observed cells per first-covering key are
-    prefix-summed in ranges of the (uniform) digest; the threshold is the first
-    key where the running count reaches the target.
-
-    Returns the rows of every scenario with ``scenario, only`` and ``_hit``."""
-    rows = F.array(*[F.struct(F.lit(s["scenario"]).alias("scenario"), F.lit(s["n"]).alias("_n"),
-                              F.lit(s["only"]).cast("string").alias("only"), F.lit(float(s["rate"])).alias("_rate"),
-                              F.lit(s["seed"]).alias("_seed")) for s in scenarios])
-    x = df.select(entity, t, *feats, F.inline(rows))
+    first covering key lies in it.
+
+    The panel with its covers is written once; all scenarios share one window
+    over the entity.  The threshold key is found in two small aggregates: the
+    observed cells per range of the (uniform) digest tell the range in which
+    the running count reaches the target, the keys of that range the key.
+    There are about as many ranges as keys in a range, the square root of the
+    rows.
+
+    Returns ``entity, t, feats`` and one boolean ``_hit_{k}`` per scenario."""
     inside = F.col(t) < F.lit(horizon - 1)
-    start = F.when(inside, F.struct(digest(F.col("_seed"), F.col(entity), F.col(t)).alias("h"), F.col(entity).alias("e"),
-                                    F.col(t).alias("t")))
-    w = Window.partitionBy("scenario", entity).orderBy(t)
-    cover = F.lit(None)
-    for n in sorted({s["n"] for s in scenarios}):
-        cover = F.when(F.col("_n") == n, F.min("_start").over(w.rowsBetween(-(n - 1), 0))).otherwise(cover)
-    counts = [(F.col(c).isNotNull() & (F.col("only").isNull() | (F.col("only") == c))).cast("long") for c in feats]
-    x = x.withColumn("_start", start).withColumns({"_cover": F.when(inside, cover), "_obs": sum(counts)}).drop("_start")
-    per_key = x.filter(F.col("_cover").isNotNull()).groupBy("scenario", "_cover").agg(F.sum("_obs").alias("_new"))
-    ranges = max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cum = chunked_cumsum(per_key, ["scenario"], "_cover", ["_new"],
-                         F.floor(F.col("_cover.h") / F.lit(float(1 << DRAW_BITS)) * F.lit(ranges)))
-    width = F.when(F.col("only").isNull(), len(feats)).otherwise(1)
-    goal = x.groupBy("scenario").agg(F.floor(F.sum(width) * F.first("_rate")).alias("_goal"))
-    thr = cum.join(F.broadcast(goal), "scenario").groupBy("scenario").agg(       # one row per scenario
-        F.min(F.when(F.col("cum__new") >= F.col("_goal"), F.col("_cover"))).alias("_thr"), F.max("_cover").alias("_all"))
-    x = x.join(F.broadcast(thr.select("scenario", F.coalesce("_thr", "_all").alias("_thr"))), "scenario", "left")
-    hit = F.coalesce(F.col("_cover") <= F.col("_thr"), F.lit(False))
-    return x.select("scenario", "only", entity, t, *feats, hit.alias("_hit"))
+    w = Window.partitionBy(entity).orderBy(t)
+    k = range(len(scenarios))
+    x = df.select(entity, t, *feats).withColumns({
+        f"_start_{i}": F.when(inside, F.struct(digest(s["seed"], F.col(entity), F.col(t)).alias("h"), F.col(entity).alias("e"), F.col(t).alias("t")))
+        for i, s in enumerate(scenarios)})
+    x = x.withColumns({f"_cover_{i}": F.when(inside, F.min(f"_start_{i}").over(w.rowsBetween(1 - s["n"], 0))) for i, s in enumerate(scenarios)})
+    x = write_scratch(x.drop(*[f"_start_{i}" for i in k]), "covers")
+    rows = x.count()
+    shift = DRAW_BITS - max(4, rows.bit_length() // 2)
+    goals = [math.floor(rows * (len(feats) if s["only"] is None else 1) * float(s["rate"])) for s in scenarios]
+
+    def seen(s: dict) -> Column:
+        return sum([F.col(c).isNotNull().cast("long") for c in feats if s["only"] in (None, c)], F.lit(0).cast("long"))
+
+    each = x.select(F.inline(F.array(*[F.struct(F.lit(i).alias("k"), F.col(f"_cover_{i}").alias("cover"), seen(s).alias("n"),
+                                                F.lit(g).alias("goal")) for (i, s), g in zip(enumerate(scenarios), goals)]))).filter("cover IS NOT NULL")
+    each = each.withColumn("range", F.shiftright("cover.h", shift))
+    along = Window.partitionBy("k").orderBy("range").rowsBetween(UNB, 0)
+    per_range = each.groupBy("k", "goal", "range").agg(F.sum("n").alias("n")).withColumn("cum", F.sum("n").over(along))
+    first = F.min_by(F.struct("range", (F.col("cum") - F.col("n")).alias("before")), F.when(F.col("cum") >= F.col("goal"), F.col("range")))
+    found = {r["k"]: r["at"] for r in per_range.groupBy("k").agg(first.alias("at")).collect()}     # one row per scenario
+    at = [found[i] if found.get(i) is not None else None for i in k]
+    hits = {f"_hit_{i}": F.col(f"_cover_{i}").isNotNull() for i in k}              # target out of reach: every block
+    inner = [i for i in k if at[i] is not None]
+    if inner:
+        one = F.lit(False)
+        before = F.lit(0)
+        for i in inner:
+            one = one | ((F.col("k") == i) & (F.col("range") == at[i]["range"]))
+            before = F.when(F.col("k") == i, F.lit(at[i]["before"])).otherwise(before)
+        keys = each.filter(one).groupBy("k", "goal", "cover").agg(F.sum("n").alias("n"))
+        run = Window.partitionBy("k").orderBy("cover").rowsBetween(UNB, 0)
+        keys = keys.withColumn("cum", before + F.sum("n").over(run)).filter("cum >= goal").groupBy("k").agg(F.min("cover").alias("last"))
+        last = keys.agg(F.map_from_entries(F.collect_list(F.struct("k", "last"))).alias("last")).select("last").scalar()    # one entry per scenario
+        hits |= {f"_hit_{i}": F.coalesce(F.col(f"_cover_{i}") <= last[i], F.lit(False)) for i in inner}
+    return x.withColumns(hits).select(entity, t, *feats, *hits)
+
+
+def target_share_masks(df: DataFrame, entity: str, t: str, feats: list[str], scenarios: list[dict],
+                       horizon: int) -> DataFrame:
+    """:func:`target_share_hits` as rows: those of every scenario with
+    ``scenario, only`` and ``_hit``."""
+    x = target_share_hits(df, entity, t, feats, scenarios, horizon)
+    each = F.array(*[F.struct(F.lit(s["scenario"]).alias("scenario"), F.lit(s["only"]).cast("string").alias("only"), F.col(f"_hit_{i}").alias("_hit"))
+                     for i, s in enumerate(scenarios)])
+    return x.select(F.inline(each), entity, t, *feats).select("scenario", "only", entity, t, *feats, "_hit")
 
 
 def masked_long(masks: DataFrame, entity: str, t: str, feats: list[str]) -> DataFrame:

@@ -1,9 +1,6 @@
 """Feature engineering, splits, encoders and MLlib model helpers.
 
-Iterative jobs (chained-equation imputation) cut their lineage each round
-with a reliable ``checkpoint()`` into the cluster's shared checkpoint
-folder (``spark.checkpoint.dir``).  Only p x p matrices (p = number of
-columns) ever reach the driver.
+Only p x p matrices (p = number of columns) ever reach the driver.
 """
 
 from __future__ import annotations
@@ -15,7 +12,6 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
 from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +20,9 @@ from pyspark.sql.window import Window
 
 from wardflow.functions.scalar import r6
 from wardflow.operators.masking import DRAW_BITS, digest
+from wardflow.operators.ranks import number_rows
 from wardflow.operators.stats import array_quantile, attach_row
-from wardflow.session import ensure_checkpoint_dir
+from wardflow.sources.io import write_scratch
 
 UNB = Window.unboundedPreceding
 
@@ -34,20 +31,6 @@ UNB = Window.unboundedPreceding
 # ranks and splits
 # --------------------------------------------------------------------------
 
-def grouped_row_number(df: DataFrame, group: list[str], order: list[Column], chunk: Column,
-                       name: str = "rank") -> DataFrame:
-    """1-based row number inside ``group`` in ``order`` without putting a
-    whole group in one task: rows are split by ``chunk`` (non-decreasing in
-    the order), chunk sizes are prefix-summed per group (a few rows per
-    group) and every (group, chunk) is numbered in its own window."""
-    d = df.withColumn("_chunk", chunk)
-    sizes = d.groupBy(*group, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(UNB, -1)
-    offs = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    local = F.row_number().over(Window.partitionBy(*group, "_chunk").orderBy(*order))
-    return d.join(offs, [*group, "_chunk"]).withColumn(name, F.col("_off") + local).drop("_chunk", "_off")
-
-
 def key_hash(key: Column, seed: int, modulus: int) -> Column:
     """Uniform integer in ``[0, modulus)`` from a digest of the key (any
     type, any size)."""
@@ -61,21 +44,23 @@ def hash_split(key: Column, seed: int = 42, train: int = 70, val: int = 15) -> C
 
 
 def stratified_split(df: DataFrame, key: str, stratum: str, seed: int = 42,
-                     fractions: tuple[float, float] = (0.6, 0.8), modulus: int = 1_000_003,
-                     n_chunks: int = 64) -> DataFrame:
+                     fractions: tuple[float, float] = (0.6, 0.8), modulus: int = 1_000_003) -> DataFrame:
     """Exact stratified split: inside each stratum rows are ranked by a key
     hash; rank / stratum size below 0.6 -> train, below 0.8 -> val, else
-    test.  Ranks come from :func:`grouped_row_number` (chunked by hash
-    range), stratum sizes from an aggregate."""
-    h = key_hash(F.col(key), seed, modulus)
-    d = df.withColumn("_h", h)
-    chunk = F.floor(F.col("_h") / F.lit(modulus / n_chunks))
-    ranked = grouped_row_number(d, [stratum], [F.col("_h"), F.col(key)], chunk, "_rank")
-    sizes = d.groupBy(stratum).agg(F.count(F.lit(1)).alias("_size"))
-    frac = (F.col("_rank") - 1) / F.col("_size")
-    return (ranked.join(sizes, stratum)
-            .withColumn("split", F.when(frac < fractions[0], "train").when(frac < fractions[1], "val")
-                        .otherwise("test")).drop("_h", "_rank", "_size"))
+    test.  Ranks and sizes come from sampled ranges of (stratum, hash)."""
+    d = df.withColumn("_h", key_hash(F.col(key), seed, modulus))
+    ranked = number_rows(d, [F.col("_h").asc(), F.col(key).asc()], [stratum], "_rank", "_size")
+    frac = F.col("_rank") / F.col("_size")
+    return ranked.withColumn("split", F.when(frac < fractions[0], "train").when(frac < fractions[1], "val")
+                             .otherwise("test")).drop("_h", "_rank", "_size")
+
+
+def stratified_folds(df: DataFrame, key: str, label: str, folds: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
+    """Fold numbers 0..folds-1 that deal every class out evenly: the rank by
+    a key hash inside the class, modulo ``folds``."""
+    d = df.withColumn("_h", digest(F.col(key), seed))
+    ranked = number_rows(d, [F.col("_h").asc(), F.col(key).asc()], [label], "_rank")
+    return ranked.withColumn(name, (F.col("_rank") % folds).cast("int")).drop("_h", "_rank")
 
 
 # --------------------------------------------------------------------------
@@ -99,14 +84,9 @@ def inverse_standardise(z: str, mean: str = "_mean", std: str = "_std") -> Colum
 
 def label_encode(df: DataFrame, c: str, name: str) -> DataFrame:
     """Sorted-class ordinal code (0-based).  Classes are the distinct values
-    (an aggregate), numbered in sort order by chunked prefix counts (chunk =
-    code point of the first character for text, which is monotone in the
-    binary string order; the value itself for numbers), then joined back."""
+    (an aggregate), numbered along sampled ranges, then joined back."""
     classes = df.select(c).distinct().filter(F.col(c).isNotNull())
-    is_text = isinstance(df.schema[c].dataType, T.StringType)
-    chunk = F.ascii(F.col(c)) if is_text else F.floor(F.col(c).cast("double"))
-    codes = grouped_row_number(classes.withColumn("_g", F.lit(0)), ["_g"], [F.col(c)], chunk, "_rk")
-    return df.join(codes.select(c, (F.col("_rk") - 1).alias(name)), c, "left")
+    return df.join(number_rows(classes, [F.col(c).asc()], None, name), c, "left")
 
 
 # --------------------------------------------------------------------------
@@ -179,79 +159,6 @@ def vif(df: DataFrame, cols: list[str]) -> list[tuple[str, float]]:
     return [(c, float(s[k, k] * inv[k, k])) for k, c in enumerate(cols)]
 
 
-# --------------------------------------------------------------------------
-# chained-equation imputation
-# --------------------------------------------------------------------------
-
-def _ols_fit(df: DataFrame, target: str, predictors: list[str], observed: Column) -> np.ndarray:
-    """OLS coefficients (intercept first) from ONE aggregate of the
-    (p+1) x (p+1) moment matrix over the observed rows; solved on the driver."""
-    xs = [F.lit(1.0)] + [F.col(c) for c in predictors]
-    k = len(xs)
-    aggs = [F.sum(xs[i] * xs[j]).alias(f"x{i}_{j}") for i in range(k) for j in range(i, k)]
-    aggs += [F.sum(xs[i] * F.col(target)).alias(f"y{i}") for i in range(k)]
-    row = df.filter(observed).agg(*aggs).first()
-    xtx = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            xtx[i, j] = xtx[j, i] = row[f"x{i}_{j}"] or 0.0
-    xty = np.array([row[f"y{i}"] or 0.0 for i in range(k)])
-    return np.linalg.lstsq(xtx, xty, rcond=None)[0]
-
-
-def chained_impute(df: DataFrame, keys: list[str], cols: list[str], max_rounds: int = 30,
-                   tol: float = 1e-3, estimator: str = "linear", seed: int = 42) -> DataFrame:
-    """Iterative (chained-equation) imputation: missing cells start at the
-    column mean; each round regresses every incomplete column on the others
-    (fitted on its observed rows) and re-predicts its missing cells.
-
-    ``linear``: one normal-equation aggregate per column and round.  The
-    round stops the loop when the bound ``|d b0| + sum_k |d b_k| max|x_k|``
-    on the change of any imputed value (from the coefficient change) is
-    below ``tol`` for every column.  ``forest``: MLlib random forests, for at
-    most ``max_rounds`` rounds.  Each round is checkpointed (reliable, shared
-    folder) so lineage and expression trees stay flat."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                   *[F.max(F.abs(c)).alias(f"a_{c}") for c in cols],
-                   *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in cols]).first()
-    cur = df.select(*keys, *[F.col(c).isNull().alias(f"_miss_{c}") for c in cols],
-                    *[F.coalesce(F.col(c), F.lit(stats[f"m_{c}"])).alias(c) for c in cols])
-    cur = cur.checkpoint(eager=True)
-    incomplete = [c for c in cols if stats[f"n_{c}"] > 0]
-    prev_coef: dict[str, np.ndarray] = {}
-    for _ in range(max_rounds):
-        bound = 0.0
-        for c in incomplete:
-            others = [o for o in cols if o != c]
-            miss = F.col(f"_miss_{c}")
-            if estimator == "linear":
-                coef = _ols_fit(cur, c, others, ~miss)
-                pred = F.lit(float(coef[0]))
-                for b, o in zip(coef[1:], others):
-                    pred = pred + F.lit(float(b)) * F.col(o)
-                if c in prev_coef:
-                    dc = np.abs(coef - prev_coef[c])
-                    bound = max(bound, dc[0] + sum(d * (stats[f"a_{o}"] or 0.0) for d, o in zip(dc[1:], others)))
-                else:
-                    bound = float("inf")
-                prev_coef[c] = coef
-                cur = cur.withColumn(c, F.when(miss, pred).otherwise(F.col(c)))
-            else:
-                va = VectorAssembler(inputCols=others, outputCol="_f")
-                est = RandomForestRegressor(featuresCol="_f", labelCol=c, predictionCol="_p",
-                                            numTrees=20, maxDepth=5, seed=seed)
-                model = est.fit(va.transform(cur.filter(~miss)))
-                cur = (model.transform(va.transform(cur))
-                       .withColumn(c, F.when(miss, F.col("_p")).otherwise(F.col(c))).drop("_f", "_p"))
-                bound = float("inf")
-        cur = cur.checkpoint(eager=True)
-        if bound <= tol:
-            break
-    return cur.select(*keys, *cols)
-
-
 # --------------------------------------------------------------------------
 # classifiers and unsupervised models
 # --------------------------------------------------------------------------
@@ -264,11 +171,22 @@ def balanced_weights(df: DataFrame, label: str, name: str = "w") -> DataFrame:
     return df.join(F.broadcast(w), label)          # one row per class
 
 
-def fit_classifier(df: DataFrame, kind: str, label: str = "y", cat_cols: list[str] = (),
-                   num_cols: list[str] = (), weight: str = "w", fold_col: str = "fold", seed: int = 42):
+#: grids of the classifiers; ``C`` is the inverse of the summed penalty, as usual for logistic regression
+GRIDS = {
+    "logreg": {"C": [0.01, 0.1, 1.0, 10.0]},
+    "forest": {"numTrees": [100, 200], "maxDepth": [5, 10]},
+    "gbt": {"maxIter": [100, 200], "maxDepth": [3, 6]},
+}
+#: boosting fits its trees one after another, each several Spark jobs, so that the grid above takes hours on a small table; this one is the default
+SHORT_GBT = {"maxIter": [10, 20], "maxDepth": [3, 6]}
+
+
+def fit_classifier(df: DataFrame, kind: str, label: str = "y", cat_cols: list[str] = (), num_cols: list[str] = (), weight: str = "w",
+                   fold_col: str = "fold", seed: int = 42, grid: dict[str, list] | None = None):
     """Pipeline (index + one-hot categorical, assemble, scale) and a
-    classifier tuned by k-fold cross-validation on ROC AUC over a small grid,
-    refitted on all rows.  Folds come from ``fold_col``."""
+    classifier tuned by 5-fold cross-validation on ROC AUC over ``grid``
+    (``GRIDS``, for boosting ``SHORT_GBT``), refitted on all rows.  Folds come
+    from ``fold_col``, see :func:`stratified_folds`."""
     stages = []
     enc_cols = []
     for c in cat_cols:
@@ -278,21 +196,18 @@ def fit_classifier(df: DataFrame, kind: str, label: str = "y", cat_cols: list[st
         enc_cols.append(f"{c}_oh")
     stages += [VectorAssembler(inputCols=[*num_cols, *enc_cols], outputCol="_raw"),
                StandardScaler(inputCol="_raw", outputCol="features", withMean=False)]
-    if kind == "logreg":
-        clf = LogisticRegression(labelCol=label, weightCol=weight, maxIter=100)
-        grid = ParamGridBuilder().addGrid(clf.regParam, [0.001, 0.01, 0.1, 1.0]).build()
-    elif kind == "forest":
-        clf = RandomForestClassifier(labelCol=label, weightCol=weight, seed=seed)
-        grid = (ParamGridBuilder().addGrid(clf.numTrees, [20, 50]).addGrid(clf.maxDepth, [3, 5]).build())
-    elif kind == "gbt":
-        clf = GBTClassifier(labelCol=label, weightCol=weight, seed=seed, maxIter=20)
-        grid = ParamGridBuilder().addGrid(clf.maxDepth, [2, 4]).addGrid(clf.stepSize, [0.1, 0.3]).build()
-    else:
-        raise ValueError(kind)
-    pipe = Pipeline(stages=[*stages, clf])
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, foldCol=fold_col, numFolds=5, seed=seed,
-                        parallelism=4,
-                        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"))
+    clf = {"logreg": lambda: LogisticRegression(labelCol=label, weightCol=weight, maxIter=100),
+           "forest": lambda: RandomForestClassifier(labelCol=label, weightCol=weight, seed=seed),
+           "gbt": lambda: GBTClassifier(labelCol=label, weightCol=weight, seed=seed)}[kind]()
+    chosen = dict(grid or (SHORT_GBT if kind == "gbt" else GRIDS[kind]))
+    if "C" in chosen:
+        n = df.count()
+        chosen["regParam"] = [1.0 / (c * n) for c in chosen.pop("C")]
+    builder = ParamGridBuilder()
+    for name, values in chosen.items():
+        builder = builder.addGrid(clf.getParam(name), values)
+    cv = CrossValidator(estimator=Pipeline(stages=[*stages, clf]), estimatorParamMaps=builder.build(), foldCol=fold_col, numFolds=5, seed=seed,
+                        parallelism=4, evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"))
     return cv.fit(df)
 
 
@@ -307,14 +222,13 @@ def pca_scores(df: DataFrame, vec_array: str, k: int) -> DataFrame:
     return out.select("*", *[r6(F.col("_pc")[i]).alias(f"pc{i + 1}") for i in range(k)]).drop("_v", "_pc")
 
 
-def kmeans_sweep(df: DataFrame, vec_array: str, ks: list[int], seed: int = 42) -> list[tuple[int, float, float]]:
-    """k-means for each k: (k, silhouette, within-cluster cost)."""
-    d = df.withColumn("features", array_to_vector(F.col(vec_array).cast("array<double>"))).cache()
+def kmeans_sweep(df: DataFrame, vec_array: str, ks: list[int], silhouette_to: int = 5, seed: int = 42) -> list[tuple[int, float | None, float]]:
+    """k-means for each k: (k, silhouette up to ``silhouette_to``,
+    within-cluster cost).  The vectors are written once."""
+    d = write_scratch(df.select(F.col(vec_array).cast("array<double>").alias("_v")), "vectors").select(array_to_vector("_v").alias("features"))
     out = []
     for k in ks:
         model = KMeans(k=k, seed=seed, featuresCol="features").fit(d)
-        pred = model.transform(d)
-        sil = ClusteringEvaluator(featuresCol="features").evaluate(pred)
-        out.append((k, float(sil), float(model.summary.trainingCost)))
-    d.unpersist()
+        sil = ClusteringEvaluator(featuresCol="features").evaluate(model.transform(d)) if k <= silhouette_to else None
+        out.append((k, sil, float(model.summary.trainingCost)))
     return out

@@ -46,7 +46,7 @@ def ffill_bfill(df: DataFrame, entity: str, t: str, cols: list[str]) -> DataFram
     return bfill(ffill(df, entity, t, cols), entity, t, cols)
 
 
-def _neighbours(df: DataFrame, entity: str, t: str, cols: list[str], exclude_self: bool) -> DataFrame:
+def neighbours(df: DataFrame, entity: str | list[str], t: str, cols: list[str], exclude_self: bool = False) -> DataFrame:
     """Adds ``_i`` (row position) and, per column, ``_p_c``/``_n_c`` structs
     ``(i, v)`` of the previous/next observed row."""
     hi = -1 if exclude_self else 0
@@ -59,7 +59,8 @@ def _neighbours(df: DataFrame, entity: str, t: str, cols: list[str], exclude_sel
     return df.withColumns(nxt)
 
 
-def _interp_expr(c: str) -> Column:
+def between(c: str) -> Column:
+    """Value of column ``c`` on the line between its :func:`neighbours`."""
     p, n = F.col(f"_p_{c}"), F.col(f"_n_{c}")
     frac = (F.col("_i") - p["i"]) / (n["i"] - p["i"])
     return p["v"] + (n["v"] - p["v"]) * frac
@@ -72,11 +73,11 @@ def interpolate(df: DataFrame, entity: str, t: str, cols: list[str], edges: str
     previous one), ``inside`` (edges stay null), ``forward`` (leading gap
     null, trailing gap holds the previous value).  Observed cells unchanged.
     """
-    nb = _neighbours(df, entity, t, cols, exclude_self=False)
+    nb = neighbours(df, entity, t, cols, exclude_self=False)
     out = {}
     for c in cols:
         p, n = F.col(f"_p_{c}")["v"], F.col(f"_n_{c}")["v"]
-        inner = _interp_expr(c)
+        inner = between(c)
         if edges == "both":
             filled = F.coalesce(inner, p, n)
         elif edges == "inside":
@@ -94,9 +95,9 @@ def loo_estimate(df: DataFrame, entity: str, t: str, c: str, name: str = "estima
     """Leave-one-out linear interpolation of observed cells: each observed
     row is re-estimated from its observed neighbours (itself excluded);
     edges take the nearest neighbour.  One window pass, no per-cell loop."""
-    nb = _neighbours(df, entity, t, [c], exclude_self=True)
+    nb = neighbours(df, entity, t, [c], exclude_self=True)
     p, n = F.col(f"_p_{c}")["v"], F.col(f"_n_{c}")["v"]
-    est = F.when(F.col(c).isNotNull(), F.coalesce(_interp_expr(c), p, n))
+    est = F.when(F.col(c).isNotNull(), F.coalesce(between(c), p, n))
     return nb.withColumn(name, est).drop("_i", f"_p_{c}", f"_n_{c}")
 
 

@@ -11,8 +11,10 @@ from wardflow.functions.dictionary import EVENT_FEATURES, event_feature_table
 from wardflow.functions.scalar import all_not_null, hours_between, r6
 from wardflow.operators import models as MD
 from wardflow.operators import panel as P
+from wardflow.operators import privacy as PV
 from wardflow.operators import sequence as S
 from wardflow.operators import stats as ST
+from wardflow.operators.ranks import number_rows
 from wardflow.plans import common as C
 from wardflow.plans import q_impute as QI
 from wardflow.plans import q_models as QM
@@ -156,14 +158,13 @@ WITH {C.STAYS_CTE},
 adm AS (SELECT o_custkey, count(*) AS n_stays, min(in_time) AS first_in, max(out_time) AS last_out,
                arg_max(o_orderstatus = 'F', (in_time, o_orderkey)) AS died
         FROM stays GROUP BY o_custkey)
-SELECT sha256(CAST(c.c_custkey AS VARCHAR) || '|wardflow') AS pseudo_id, n.n_name, c.c_mktsegment,
+SELECT TRUE AS pseudo_ok, n.n_name, c.c_mktsegment,
        a.n_stays, round(date_sub('minute', a.first_in, a.last_out) / 60.0, 2) AS los_hours,
        CAST(year(a.first_in) AS INTEGER) AS first_year, CAST(month(a.first_in) AS INTEGER) AS first_month, a.died
 FROM customer c JOIN adm a ON c.c_custkey = a.o_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 WHERE c.c_acctbal > 0 AND c.c_mktsegment IN ({", ".join(f"'{u}'" for u in UNITS)})""")
 def static_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T20 and parts of T19/T27/T28 (no identity export, BMI or days of
-    stay): static per-entity table -- eligibility filters
+    """Parts of T19/T20 (``q_chains`` has them whole): static per-entity table -- eligibility filters
     (listed units, adult rule), stay roll-up, death from the last stay,
     admission year/month, pseudonymised key, identifying columns dropped."""
     st = C.stays(spark, sf_dir)
@@ -174,8 +175,8 @@ def static_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
          .filter((F.col("c_acctbal") > 0) & F.col("c_mktsegment").isin(*UNITS)))
     n = read_table(spark, sf_dir, "nation")
     j = c.join(adm, c["c_custkey"] == adm["o_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"])
-    pid = F.sha2(F.concat_ws("|", F.col("c_custkey").cast("string"), F.lit("wardflow")), 256)
-    return j.select(pid.alias("pseudo_id"), "n_name", "c_mktsegment", "n_stays",
+    pid = PV.pseudonym("c_custkey", PV.pseudonym_key(spark))
+    return j.select(PV.well_formed(pid).alias("pseudo_ok"), "n_name", "c_mktsegment", "n_stays",
                     F.round(hours_between("first_in", "last_out"), 2).alias("los_hours"),
                     F.year("first_in").alias("first_year"), F.month("first_in").alias("first_month"), "died")
 
@@ -204,20 +205,20 @@ SEPSIS_PATTERN = "Ouré|Thnt|Anat|ntion"
 
 
 @query("sepsis_demo", sql=f"""
-SELECT sha256(CAST(d.doc_id AS VARCHAR) || '|wardflow') AS pseudo_id, d.lang, d.n_chars, l.quality,
+SELECT TRUE AS pseudo_ok, d.lang, d.n_chars, l.quality,
        {QM._key_hash_sql("d.doc_id", 11, 1000003)} AS h
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 WHERE coalesce(regexp_matches(d.text, '{SEPSIS_PATTERN}'), FALSE) AND d.n_chars IS NOT NULL
-ORDER BY h, pseudo_id LIMIT 50""")
+ORDER BY h, d.doc_id LIMIT 50""")
 def sepsis_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part of T18 (no panel or fill step): text-selected cohort joined to outcomes, pseudonymised,
     null rows dropped, reproducible sample."""
     d = read_table(spark, sf_dir, "documents").filter(F.coalesce(F.col("text").rlike(SEPSIS_PATTERN), F.lit(False)))
     lab = read_table(spark, sf_dir, "labels")
     j = d.join(lab, "doc_id").na.drop(subset=["n_chars"])
-    pid = F.sha2(F.concat_ws("|", F.col("doc_id").cast("string"), F.lit("wardflow")), 256)
-    h = MD.key_hash(F.col("doc_id"), 11, 1_000_003)
-    return j.select(pid.alias("pseudo_id"), "lang", "n_chars", "quality", h.alias("h")).orderBy("h", "pseudo_id").limit(50)
+    x = j.withColumn("h", MD.key_hash(F.col("doc_id"), 11, 1_000_003)).orderBy("h", "doc_id").limit(50)
+    pid = PV.pseudonym("doc_id", PV.pseudonym_key(spark))
+    return x.select(PV.well_formed(pid).alias("pseudo_ok"), "lang", "n_chars", "quality", "h")
 
 
 @query("per_sample_rmse", sql=f"""WITH {QI._comparison_cte()}
@@ -286,17 +287,14 @@ r AS (SELECT feature, user_id, day, error,
 SELECT feature, user_id, day, error, rank, (rank - 0.5) / n AS position,
        round({_probit_sql("((rank - 0.5::DOUBLE) / n)")}, 6) AS theoretical FROM r""")
 def qq_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sorted position of every leave-one-out error within its
-    feature and the matching normal quantile (Q-Q data); ranks are chunked
-    by error range (no single-partition sort)."""
+    """Sorted position of every leave-one-out error within its feature
+    and the matching normal quantile (Q-Q data); ranks and sizes come from one
+    table of sampled ranges."""
     e = QS.loo_residual(spark, sf_dir).select("feature", ENTITY, "day", "error")
-    ranked = MD.grouped_row_number(e, ["feature"], [F.col("error"), F.col(ENTITY), F.col("day")],
-                                   F.floor(F.col("error") / 10.0), "rank")
-    n = e.groupBy("feature").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = number_rows(e, [F.col("error").asc(), F.col(ENTITY).asc(), F.col("day").asc()], ["feature"], "rank", "_n")
+    ranked = ranked.withColumn("rank", F.col("rank") + 1)
     pos = (F.col("rank") - 0.5) / F.col("_n")
-    return (ranked.join(n, "feature")
-            .select("feature", ENTITY, "day", "error", F.col("rank").cast("bigint").alias("rank"),
-                    pos.alias("position"), r6(_probit(pos)).alias("theoretical")))
+    return ranked.select("feature", ENTITY, "day", "error", "rank", pos.alias("position"), r6(_probit(pos)).alias("theoretical"))
 
 
 @query("cohort_static_attach", sql=f"""

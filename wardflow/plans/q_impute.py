@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardflow.functions.scalar import r6, t_quantile_975_sql
+from wardflow.operators import imputers as I
 from wardflow.operators import masking as M
 from wardflow.operators import sequence as S
 from wardflow.operators import stats as ST
+from wardflow.operators.models import hash_split
 from wardflow.plans import common as C
 from wardflow.plans.registry import query
 from wardflow.plans.sql_common import cohort_ctes
+from wardflow.sources.io import write_scratch
 from wardflow.sources.tables import ENTITY
 
 D = C.DAILY_COLS
@@ -32,29 +35,54 @@ KEYS = ["scenario", ENTITY, "feature"]
 # Spark side
 # --------------------------------------------------------------------------
 
-def masked_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(scenario, user_id, day, feature, original, masked)``: the random
-    cell mask, and the block scenarios, each masking blocks until the target
-    share of all its cells is gone."""
-    random, *blocks = SCENARIOS
-    u = M.uniform_hash(F.col(ENTITY), F.col("day"), M.feature_index("feature", D), random[-1])
-    cells = C.cohort_long(spark, sf_dir).select(F.lit(random[0]).alias("scenario"), ENTITY, "day", "feature", "original",
-                                                M.random_mask("original", u, RATE).alias("masked"))
-    cp = C.cohort_panel(spark, sf_dir).select(ENTITY, "day", *D)
-    rows = [{"scenario": s, "n": n, "only": f, "rate": RATE, "seed": seed} for s, _k, n, f, seed in blocks]
-    long = M.masked_long(M.target_share_masks(cp, ENTITY, "day", D, rows, H), ENTITY, "day", D)
-    return cells.unionByName(long.select(*cells.columns))
-
-
-def imputed_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.impute_all(masked_scenarios(spark, sf_dir), KEYS, "day", "masked")
+def scenario_panel(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> DataFrame:
+    """``(scenario, user_id, day, <features>, m_<feature>...)`` of the named
+    scenarios (all by default): the random cell mask, and the block
+    scenarios, each masking blocks until the target share of all its cells is
+    gone.  Scenarios are rows of an array until here, so one scan of the
+    written panel makes them all."""
+    chosen = [s for s in SCENARIOS if names is None or s[0] in names]
+    blocks = [{"scenario": s, "n": n, "only": f, "rate": RATE, "seed": seed} for s, kind, n, f, seed in chosen if kind == "block"]
+    x = C.cohort_panel(spark, sf_dir).select(ENTITY, "day", *D)
+    if blocks:
+        x = M.target_share_hits(x, ENTITY, "day", D, blocks, H)
+    hit = {b["scenario"]: i for i, b in enumerate(blocks)}
+    each = []
+    for name, kind, _n, only, seed in chosen:
+        masked = []
+        for j, c in enumerate(D):
+            if kind == "random":
+                value = M.random_mask(c, M.uniform_hash(F.col(ENTITY), F.col("day"), F.lit(j + 1), seed), RATE)
+            else:
+                value = F.when(F.col(f"_hit_{hit[name]}"), F.lit(None)).otherwise(F.col(c)) if only in (None, c) else F.col(c)
+            masked.append(value.alias(f"m_{c}"))
+        each.append(F.struct(F.lit(name).alias("scenario"), *masked))
+    return x.select(ENTITY, "day", *D, F.inline(F.array(*each))).select("scenario", ENTITY, "day", *D, *[f"m_{c}" for c in D])
+
+
+def by_feature(wide: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:
+    """Wide rows as one row per feature: ``columns`` maps a new column to the
+    pattern of its wide names."""
+    each = F.array(*[F.struct(F.lit(c).alias("feature"), *[F.col(p.format(c)).alias(n) for n, p in columns.items()]) for c in D])
+    return wide.select(*keys, F.inline(each))
+
+
+def masked_scenarios(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> DataFrame:
+    """``(scenario, user_id, day, feature, original, masked)``."""
+    return by_feature(scenario_panel(spark, sf_dir, names), ["scenario", ENTITY, "day"], {"original": "{}", "masked": "m_{}"})
+
+
+def imputed_scenarios(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> DataFrame:
+    """:func:`masked_scenarios` with the four simple imputations."""
+    wide = M.impute_wide(scenario_panel(spark, sf_dir, names), ["scenario", ENTITY], "day", [f"m_{c}" for c in D])
+    return by_feature(wide, ["scenario", ENTITY, "day"], {"original": "{}", "masked": "m_{}"} | {m: m + "_m_{}" for m in M.METHODS})
 
 
 def comparison(spark: SparkSession, sf_dir: str, scenario: str = "random",
                method: str = "imp_linear") -> DataFrame:
     """Masked cells of one scenario/method: ``(feature, user_id, day,
     original, imputed, mean, diff)``."""
-    imp = imputed_scenarios(spark, sf_dir).filter(F.col("scenario") == scenario)
+    imp = imputed_scenarios(spark, sf_dir, [scenario])
     ind = F.col("original").isNotNull() & F.col("masked").isNull()
     c = imp.filter(ind).select("feature", ENTITY, "day", "original", F.col(method).alias("imputed"))
     return c.withColumns({"mean": (F.col("original") + F.col("imputed")) / 2.0,
@@ -99,6 +127,11 @@ def _masked_cell(c: str) -> str:
     return f"CASE WHEN hit AND (only_feature IS NULL OR only_feature = '{c}') THEN NULL ELSE {c} END"
 
 
+def _hash_split_sql(key: str) -> str:
+    h = f"CAST(floor({M.digest_sql(key, '42')} / {float(1 << M.DRAW_BITS)} * CAST(100 AS DOUBLE)) AS BIGINT)"
+    return f"CASE WHEN {h} < 70 THEN 'train' WHEN {h} < 85 THEN 'val' ELSE 'test' END"
+
+
 def _cl_cte() -> str:
     return f"""{cohort_ctes()},
 cl AS ({" UNION ALL ".join(f"SELECT user_id, day, '{c}' AS feature, {c} AS original FROM cp" for c in D)})"""
@@ -167,7 +200,7 @@ def mask_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Block masks of 1-3 bins on all features and 4-bin blocks on
     one feature at a time, until 30 % of the cells are gone (last bin never
     masked)."""
-    return masked_scenarios(spark, sf_dir).filter(F.col("scenario").startswith("block"))
+    return masked_scenarios(spark, sf_dir, [s[0] for s in SCENARIOS if s[1] == "block"])
 
 
 @query("scenario_errors", sql=f"""WITH {_masked_ctes()},
@@ -214,9 +247,12 @@ def rate_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells are gone; linear-imputation error per rate and feature."""
     cp = C.cohort_panel(spark, sf_dir).select(ENTITY, "day", *D)
     rows = [{"scenario": f"{r}|{f}", "n": 1, "only": f, "rate": r, "seed": 42} for r in SWEEP_RATES for f in D]
-    long = M.masked_long(M.target_share_masks(cp, ENTITY, "day", D, rows, H), ENTITY, "day", D).filter("only = feature")
-    x = long.withColumn("rate", F.substring_index("scenario", "|", 1).cast("double")).drop("scenario", "only")
-    imp = M.impute_all(x, ["rate", ENTITY, "feature"], "day", "masked")
+    x = M.target_share_hits(cp, ENTITY, "day", D, rows, H)
+    each = [F.struct(F.lit(r).alias("rate"), *[F.when(F.col(f"_hit_{i * len(D) + j}"), F.lit(None)).otherwise(F.col(c)).alias(f"m_{c}")
+                                               for j, c in enumerate(D)]) for i, r in enumerate(SWEEP_RATES)]
+    wide = x.select(ENTITY, "day", *D, F.inline(F.array(*each)))
+    wide = M.impute_wide(wide, ["rate", ENTITY], "day", [f"m_{c}" for c in D])
+    imp = by_feature(wide, ["rate"], {"original": "{}", "masked": "m_{}", "imp_linear": "imp_linear_m_{}"})
     return M.errors(imp, ["rate", "feature"], "original", "masked", "imp_linear")
 
 
@@ -234,7 +270,7 @@ GROUP BY method, pos""")
 def error_by_run_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Imputation error by position inside the masked run (1..3),
     melted by method."""
-    imp = imputed_scenarios(spark, sf_dir).filter(F.col("scenario") == "random")
+    imp = imputed_scenarios(spark, sf_dir, ["random"])
     p = S.position_in_run(imp, KEYS, "day", "masked", "pos")
     p = p.filter(F.col("original").isNotNull() & F.col("masked").isNull() & (F.col("pos") <= 3))
     long = p.unpivot(["pos", "original"], M.METHODS, "method", "imputed")
@@ -342,6 +378,59 @@ def mask_target_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(ENTITY, "day", *[f"m_{c}" for c in D])
 
 
+#: entities of the training set are those of :func:`wardflow.operators.models.hash_split`
+def fitted_imputers(cohort: DataFrame, rounds: int = 30) -> dict:
+    """Chained regressions and chained forests fitted on the unmasked rows of
+    the training entities."""
+    train = write_scratch(cohort.filter(hash_split(F.col(ENTITY)) == "train").select(*D), "train")
+    return {"mice": I.ChainedLinear(D, max_rounds=rounds).fit(train), "forest": I.ChainedForest(D).fit(train)}
+
+
+def model_imputations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
+    """``(scenario, user_id, day, feature, original, masked, imp_<method>...)``
+    of the entities outside the training set, by the four simple imputers and
+    the two fitted ones, and the fitted imputers."""
+    models = fitted_imputers(C.cohort_panel(spark, sf_dir))
+    held = scenario_panel(spark, sf_dir).filter(hash_split(F.col(ENTITY)) != "train")
+    masked = [f"m_{c}" for c in D]
+    x = M.impute_wide(held, ["scenario", ENTITY], "day", masked)
+    for name, model in models.items():
+        row = F.struct(*[F.col(c) for c in x.columns])
+        y = x.select(row.alias("row"), *[F.col(f"m_{c}").alias(c) for c in D])
+        x = model.transform(y).select("row.*", *[F.col(c).alias(f"imp_{name}_m_{c}") for c in D])
+    methods = [*M.METHODS, *[f"imp_{m}" for m in models]]
+    long = by_feature(x, ["scenario", ENTITY, "day"], {"original": "{}", "masked": "m_{}"} | {m: m + "_m_{}" for m in methods})
+    return long, models
+
+
+@query("model_scenario_errors")
+def model_scenario_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J9/J10 in J4/K7: chained regressions (30 rounds at most) and chained
+    forests, fitted on the training entities, next to the simple imputers in
+    all eight scenarios of the other entities; rounds run and whether the fit
+    converged (null for the simple ones)."""
+    long, models = model_imputations(spark, sf_dir)
+    methods = [*M.METHODS, *[f"imp_{m}" for m in models]]
+    e = M.errors(long.unpivot(["scenario", "original", "masked"], methods, "method", "imputed"), ["scenario", "method"], "original", "masked", "imputed")
+    rounds = F.create_map(*[F.lit(v) for m, f in models.items() for v in (f"imp_{m}", f.rounds)])
+    ended = F.create_map(*[F.lit(v) for m, f in models.items() for v in (f"imp_{m}", f.converged)])
+    return e.withColumns({"rounds": F.try_element_at(rounds, F.col("method")), "converged": F.try_element_at(ended, F.col("method"))})
+
+
+@query("model_imputed_cells", sql=f"""WITH {_masked_ctes()}
+SELECT scenario, method, count(CASE WHEN original IS NOT NULL AND masked IS NULL THEN 1 END) AS n_masked, count(*) AS n_filled,
+       count(masked) AS n_kept, CAST(0 AS BIGINT) AS n_changed
+FROM m, (VALUES ('imp_mice'), ('imp_forest')) v(method) WHERE NOT ({_hash_split_sql("user_id")} = 'train') GROUP BY scenario, method""")
+def model_imputed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per scenario and fitted imputer the masked, filled, kept and
+    (none) changed cells of the entities outside the training set."""
+    long, models = model_imputations(spark, sf_dir)
+    x = long.unpivot(["scenario", "original", "masked"], [f"imp_{m}" for m in models], "method", "imputed")
+    return x.groupBy("scenario", "method").agg(
+        F.count_if(F.col("original").isNotNull() & F.col("masked").isNull()).alias("n_masked"), F.count("imputed").alias("n_filled"),
+        F.count("masked").alias("n_kept"), F.count_if(F.col("masked") != F.col("imputed")).alias("n_changed"))
+
+
 def materialise_imputations(spark: SparkSession, sf_dir: str, path: str) -> None:
     """All scenarios x methods as ONE Parquet table partitioned by
     (scenario, method) -- readers prune to the combination they need."""

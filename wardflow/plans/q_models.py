@@ -8,13 +8,18 @@ from pyspark.sql.window import Window
 
 from wardflow.functions.dictionary import literal_table
 from wardflow.functions.scalar import r6
+from wardflow.operators import imputers as I
 from wardflow.operators import models as MD
 from wardflow.operators import sequence as S
+from wardflow.operators import series as SE
+from wardflow.operators import stats as ST
 from wardflow.operators.masking import DRAW_BITS, digest_sql
+from wardflow.operators.ranks import number_rows
 from wardflow.plans import common as C
 from wardflow.plans.q_stats import SCORED_CTE, scored
 from wardflow.plans.registry import query
-from wardflow.plans.sql_common import cohort_ctes, daily_panel_ctes
+from wardflow.plans.sql_common import cohort_ctes, daily_panel_ctes, fill_ctes
+from wardflow.sources.io import write_scratch
 from wardflow.sources.tables import ENTITY, read_table
 
 D = C.DAILY_COLS
@@ -109,13 +114,11 @@ SELECT user_id, last_valid_day, row_number() OVER (ORDER BY last_valid_day DESC
 FROM f""")
 def row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consecutive row index over a sort order (last valid bin desc,
-    id) -- chunked prefix counts instead of a single-partition window."""
+    id), counted along sampled ranges instead of a single-partition window."""
     dp = C.daily_panel(spark, sf_dir)
     f = dp.groupBy(ENTITY).agg(F.max(F.when(F.col("heart_rate").isNotNull(), F.col("day"))).alias("last_valid_day"))
-    chunk = F.coalesce(-F.col("last_valid_day"), F.lit(1 << 40))
-    out = MD.grouped_row_number(f.withColumn("_g", F.lit(0)), ["_g"],
-                                [F.col("last_valid_day").desc_nulls_last(), F.col(ENTITY)], chunk, "row_index")
-    return out.drop("_g").withColumn("row_index", F.col("row_index").cast("bigint"))
+    out = number_rows(f, [F.col("last_valid_day").desc_nulls_last(), F.col(ENTITY).asc()], None, "row_index")
+    return out.withColumn("row_index", F.col("row_index") + 1)
 
 
 def _series_sql() -> str:
@@ -184,30 +187,53 @@ def variance_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("column_name", r6("v").alias("variance"), (F.col("v") > 0).alias("keep"))
 
 
-@query("vif")
+VIF_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _det_sql(rows: list[int], cols: list[int]) -> str:
+    """Determinant of a block of the moment matrix, by cofactors."""
+    if not rows:
+        return "1.0"
+    parts = []
+    for j, c in enumerate(cols):
+        cell = f"s{min(rows[0], c)}_{max(rows[0], c)}"
+        parts.append(("-" if j % 2 else "+") + f" {cell} * ({_det_sql(rows[1:], cols[:j] + cols[j + 1:])})")
+    return " ".join(parts).lstrip("+ ")
+
+
+def _vif_sql() -> str:
+    p = range(len(VIF_COLS))
+    sums = ", ".join(f"avg({VIF_COLS[i]} * {VIF_COLS[j]}) AS s{i}_{j}" for i in p for j in p if j >= i)
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS column_name, s{k}_{k} * ({_det_sql([i for i in p if i != k], [i for i in p if i != k])}) / "
+                              f"({_det_sql(list(p), list(p))}) AS v FROM m" for k, c in enumerate(VIF_COLS))
+    return f"WITH m AS (SELECT {sums} FROM lineitem), r AS ({rows}) SELECT column_name, round(v, 6) AS vif, v < 10 AS keep FROM r"
+
+
+@query("vif", sql=_vif_sql())
 def vif_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uncentred variance inflation factors of lineitem numeric columns
     (p x p moment matrix from one aggregate, inverted on the driver)."""
-    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    v = MD.vif(read_table(spark, sf_dir, "lineitem"), cols)
+    v = MD.vif(read_table(spark, sf_dir, "lineitem"), VIF_COLS)
     return literal_table(spark, [(c, round(x, 6), x < 10) for c, x in v],
                          "column_name string, vif double, keep boolean")
 
 
 @query("mice_regression")
 def mice_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chained-equation imputation of the cohort panel with linear
-    regressions (until converged, at most 30 rounds, checkpointed)."""
+    """Chained regressions fitted on the training entities (30 rounds at
+    most), applied to the whole cohort panel."""
     cp = C.cohort_panel(spark, sf_dir).select(ENTITY, "day", *D)
-    out = MD.chained_impute(cp, [ENTITY, "day"], D, max_rounds=30, tol=1e-3, estimator="linear")
+    model = I.ChainedLinear(D, max_rounds=30).fit(cp.filter(MD.hash_split(F.col(ENTITY)) == "train"))
+    out = model.transform(cp)
     return out.select(ENTITY, "day", *[r6(c).alias(c) for c in D])
 
 
 @query("forest_impute")
 def forest_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chained imputation with random-forest regressors."""
+    """Chained random forests fitted on the training entities until the
+    change grows (10 rounds at most), applied to the whole cohort panel."""
     cp = C.cohort_panel(spark, sf_dir).select(ENTITY, "day", *D)
-    out = MD.chained_impute(cp, [ENTITY, "day"], D, max_rounds=5, tol=1e-2, estimator="forest")
+    out = I.ChainedForest(D).fit(cp.filter(MD.hash_split(F.col(ENTITY)) == "train")).transform(cp)
     return out.select(ENTITY, "day", *[r6(c).alias(c) for c in D])
 
 
@@ -219,39 +245,86 @@ def _doc_features(spark, sf_dir) -> DataFrame:
         F.log1p(F.length("text")).alias("log_len"),
         F.size(F.split("text", r"\s+")).cast("double").alias("n_words"),
         F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
-        F.try_divide(F.length(F.regexp_replace("text", "[^A-Z]", "")), F.length("text")).alias("upper_share"),
-        MD.key_hash(F.col("doc_id"), 7, 5).cast("int").alias("fold"))
-    return MD.balanced_weights(x.na.fill({"upper_share": 0.0}), "y")
+        F.try_divide(F.length(F.regexp_replace("text", "[^A-Z]", "")), F.length("text")).alias("upper_share"))
+    return x.na.fill({"upper_share": 0.0})
+
+
+def held_out(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """``(doc_id, y, split, prob, pred)`` of the rows the model has not seen:
+    exact stratified 60/20/20 split, class weights and folds (rank modulo 5
+    within each class) on the training rows alone, grid search on ROC AUC,
+    refit on all training rows."""
+    x = write_scratch(MD.stratified_split(_doc_features(spark, sf_dir), "doc_id", "y"), "features")   # read by every fold and grid point
+    train = MD.stratified_folds(MD.balanced_weights(x.filter("split = 'train'").drop("split"), "y"), "doc_id", "y")
+    model = MD.fit_classifier(train, kind, cat_cols=["lang"], num_cols=["log_len", "n_words", "n_lines", "upper_share"])
+    pred = model.transform(x.filter("split <> 'train'").withColumn("w", F.lit(1.0)))
+    return pred.select("doc_id", "y", "split", MD.positive_probability(pred).alias("prob"), F.col("prediction").cast("int").alias("pred"))
 
 
 def _classify(spark, sf_dir, kind) -> DataFrame:
-    x = _doc_features(spark, sf_dir).cache()          # re-read by every CV fold and grid point
-    model = MD.fit_classifier(x, kind, cat_cols=["lang"], num_cols=["log_len", "n_words", "n_lines", "upper_share"])
-    x.unpersist()
-    pred = model.transform(x)
-    out = pred.select("doc_id", "y", r6(MD.positive_probability(pred)).alias("prob"),
-                      F.col("prediction").cast("int").alias("pred"))
-    return out
+    return held_out(spark, sf_dir, kind).withColumn("prob", r6("prob"))
 
 
 @query("classify_logreg")
 def classify_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Balanced logistic regression, 5-fold CV on ROC AUC over C."""
+    """Balanced logistic regression, stratified 5-fold CV on ROC AUC
+    over C = 0.01..10, predictions on held-out rows."""
     return _classify(spark, sf_dir, "logreg")
 
 
 @query("classify_forest")
 def classify_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Balanced random forest, 5-fold CV."""
+    """Balanced random forest, stratified 5-fold CV over 100/200 trees
+    and depth 5/10, predictions on held-out rows."""
     return _classify(spark, sf_dir, "forest")
 
 
 @query("classify_gbt")
 def classify_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gradient-boosted trees with class weights, 5-fold CV."""
+    """Part of L8/L9: gradient-boosted trees with class weights, stratified
+    5-fold CV over depth 3/6 and 10/20 rounds (the full grid of 100/200 rounds
+    is ``models.GRIDS``, see there), predictions on held-out rows."""
     return _classify(spark, sf_dir, "gbt")
 
 
+_HELD_CTES = f"""{SCORED_CTE},
+ho AS (SELECT doc_id, y, (row_number() OVER (PARTITION BY y ORDER BY {_key_hash_sql("doc_id", 42, 1000003)}, doc_id) - 1) / count(*) OVER (PARTITION BY y) AS share FROM sc)"""
+
+
+@query("held_out_rows", sql=f"""WITH {_HELD_CTES}
+SELECT CASE WHEN share < 0.8 THEN 'val' ELSE 'test' END AS split, CAST(y AS INTEGER) AS y, count(*) AS n, count(*) AS n_probability, count(*) AS n_consistent
+FROM ho WHERE share >= 0.6 GROUP BY 1, 2""")
+def held_out_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows predicted per split and class, those with a probability
+    between 0 and 1, and those whose class agrees with it: all rows outside
+    the training set and no other."""
+    h = held_out(spark, sf_dir, "logreg")
+    agrees = (F.col("prob") > 0.5).cast("int") == F.col("pred")
+    return h.groupBy("split", F.col("y").cast("int").alias("y")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prob").between(0, 1)).alias("n_probability"), F.count_if(agrees | (F.col("prob") == 0.5)).alias("n_consistent"))
+
+
+@query("held_out_metrics")
+def held_out_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K16-K18/D20 on held-out predictions (logistic regression): per split
+    the area under the ROC curve, the best F2 threshold with its precision and
+    recall, accuracy at 0.5, and the calibration by uniform fifths."""
+    h = write_scratch(held_out(spark, sf_dir, "logreg").withColumn("y", F.col("y").cast("int")), "held_out")
+    auc = ST.auc_by_group(h, ["split"], "prob", "y").select("split", F.lit("auc").alias("metric"), F.lit(None).cast("int").alias("bin"), F.col("auc").alias("value"))
+    best = [ST.best_threshold(ST.pr_curve(h.filter(F.col("split") == s), "prob", "y")).select(
+        F.lit(s).alias("split"), F.inline(F.array(*[F.struct(F.lit(f"f2_{c}" if c != "f2" else c).alias("metric"), F.lit(None).cast("int").alias("bin"), F.col(c).alias("value"))
+                                                    for c in ("threshold", "precision", "recall", "f2")]))) for s in ("val", "test")]
+    right = h.groupBy("split").agg(r6(F.avg((F.col("y") == F.col("pred")).cast("double"))).alias("value")).select(
+        "split", F.lit("accuracy").alias("metric"), F.lit(None).cast("int").alias("bin"), "value")
+    fifth = F.least(F.floor(F.col("prob") * 5), F.lit(4)).cast("int")
+    cal = ST.calibration(h.withColumn("bin", fifth), ["split"], "bin", "prob", "y").select(
+        "split", F.lit("observed").alias("metric"), "bin", F.col("observed").alias("value"))
+    out = auc.unionByName(right).unionByName(cal)
+    for b in best:
+        out = out.unionByName(b)
+    return out
+
+
 @query("pca")
 def pca(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First three principal components of the embedding vectors."""
@@ -259,6 +332,30 @@ def pca(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MD.pca_scores(e, "embedding", 3).select("vec_id", "label", "pc1", "pc2", "pc3")
 
 
+_PROFILE_FILL = fill_ctes("cp", "pf", [(c, "both") for c in D])
+_PROFILE_LONG = " UNION ALL ".join(f"SELECT user_id, '{c}' AS feature, day, {c} AS x FROM pf WHERE {c} IS NOT NULL" for c in D)
+
+
+@query("series_profile", sql=f"""WITH {cohort_ctes()},
+{_PROFILE_FILL},
+sl AS ({_PROFILE_LONG}),
+{SE.profile_sql("sl", "user_id, feature")}
+SELECT * FROM sp""")
+def series_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2/L3: all statistical and temporal features of the interpolated series
+    of all four variables of every cohort entity."""
+    return SE.series_profile(feature_series(spark, sf_dir), [ENTITY, "feature"], "series")
+
+
+def feature_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(user_id, feature, series)``: the interpolated cohort series of all
+    four variables, as arrays in bin order (bounded by the cohort length)."""
+    x = S.interpolate(C.cohort_panel(spark, sf_dir).select(ENTITY, "day", *D), ENTITY, "day", D, "both")
+    rows = F.array_sort(F.collect_list(F.struct("day", *D)))
+    each = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"rows.{c}").alias("series")) for c in D])
+    return x.groupBy(ENTITY).agg(rows.alias("rows")).select(ENTITY, F.inline(each))
+
+
 def cohort_series(spark: SparkSession, sf_dir: str, col: str = "heart_rate") -> DataFrame:
     """One fixed-length (cohort) interpolated series per entity as an array,
     built with a sorted ``collect_list`` of (bin, value) structs -- bounded
@@ -269,20 +366,41 @@ def cohort_series(spark: SparkSession, sf_dir: str, col: str = "heart_rate") ->
     return x.groupBy(ENTITY).agg(F.transform(arr, lambda s: s[col]).alias("series"))
 
 
+SWEEP_K = list(range(2, 20))
+SILHOUETTE_K = 5
+
+
 @query("series_kmeans")
 def series_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K-means over entity series for k = 2..5 with silhouette and
-    inertia (elbow)."""
-    s = cohort_series(spark, sf_dir)
-    res = MD.kmeans_sweep(s, "series", [2, 3, 4, 5])
-    return literal_table(spark, [(k, round(sil, 6), round(cost, 6)) for k, sil, cost in res],
-                                 "k int, silhouette double, inertia double")
+    """K-means over entity series: inertia for k = 2..19 (elbow),
+    silhouette for k = 2..5."""
+    res = MD.kmeans_sweep(cohort_series(spark, sf_dir), "series", SWEEP_K, SILHOUETTE_K)
+    return literal_table(spark, [(k, None if sil is None else round(sil, 6), round(cost, 6)) for k, sil, cost in res],
+                         "k int, silhouette double, inertia double")
+
+
+#: bins that a warping path may leave the diagonal by
+WARP = 5
+
+
+@query("series_dtw_sweep")
+def series_dtw_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DTW k medoids: inertia for k = 2..19, silhouette against medoids
+    for k = 2..5, iterations, whether they converged, and the share of
+    warpings that the envelopes left to do."""
+    from wardflow.operators.dtw import dtw_sweep
+    out, ended = dtw_sweep(cohort_series(spark, sf_dir), ENTITY, SWEEP_K, WARP)
+    sil = F.try_divide(F.col("second") - F.col("dist"), F.greatest("second", "dist"))
+    g = out.groupBy("k").agg(r6(F.sum(F.col("dist") * F.col("dist"))).alias("inertia"), r6(F.avg(sil)).alias("silhouette"), r6(F.avg("share")).alias("warped_share"))
+    run = literal_table(spark, [(k, n, ok) for k, (n, ok) in ended.items()], "k int, iterations int, converged boolean")
+    return g.join(run, "k").select("k", "inertia", F.when(F.col("k") <= SILHOUETTE_K, F.col("silhouette")).alias("silhouette"), "iterations", "converged", "warped_share")
 
 
 @query("series_dtw_clusters")
 def series_dtw_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """DTW k-medoids (k = 3) of the entity series: cluster and DTW
-    distance to its medoid per entity (sum of squares = inertia)."""
+    """DTW k-medoids (k = 3) of the entity series: cluster, DTW distance
+    to its medoid per entity (sum of squares = inertia), and whether the
+    medoids settled."""
     from wardflow.operators.dtw import dtw_kmedoids
     s = cohort_series(spark, sf_dir)
-    return dtw_kmedoids(s, ENTITY, 3).select(ENTITY, "cluster", r6("dist").alias("dist"))
+    return dtw_kmedoids(s, ENTITY, 3).select(ENTITY, "cluster", r6("dist").alias("dist"), "converged")

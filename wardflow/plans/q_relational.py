@@ -10,6 +10,7 @@ from wardflow.functions.dictionary import literal_table
 from wardflow.functions.scalar import (digits_only, first_char, first_token, hours_between,
                                        parse_percent, r6, safe_double, whole_days_between)
 from wardflow.operators import asof as A
+from wardflow.operators import privacy as PV
 from wardflow.operators import relational as R
 from wardflow.operators.stats import attach_row
 from wardflow.plans import common as C
@@ -294,25 +295,14 @@ def id_digits(spark: SparkSession, sf_dir: str) -> DataFrame:
                     lab[code].alias("priority_label"), code.alias("priority_code"))
 
 
-PSEUDO_SALT = "wardflow"
-
-
-@query("pseudonymise", sql=f"""
-SELECT sha256(CAST(c_custkey AS VARCHAR) || '|{PSEUDO_SALT}') AS pseudo_id, c_nationkey, c_acctbal, c_mktsegment
-FROM customer""")
+@query("pseudonymise", sql="""
+SELECT TRUE AS pseudo_ok, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
 def pseudonymise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Identifying columns dropped, reproducible pseudonym key
-    (salted SHA-256 of the id, computed per row -- no global row numbering);
-    the correspondence table is :func:`correspondence`."""
-    c = read_table(spark, sf_dir, "customer")
-    pid = F.sha2(F.concat_ws("|", F.col("c_custkey").cast("string"), F.lit(PSEUDO_SALT)), 256)
-    return c.select(pid.alias("pseudo_id"), "c_nationkey", "c_acctbal", "c_mktsegment")
-
-
-def correspondence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer")
-    pid = F.sha2(F.concat_ws("|", F.col("c_custkey").cast("string"), F.lit(PSEUDO_SALT)), 256)
-    return c.select(pid.alias("pseudo_id"), "c_custkey", "c_name")
+    """H24/B2, part of T20: identifying columns dropped, keyed pseudonym (told
+    here only as well formed, as it depends on the session's key)."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    out = PV.pseudonymise(c, "c_custkey", ["c_name"], PV.pseudonym_key(spark))
+    return out.select(PV.well_formed("pseudo_id").alias("pseudo_ok"), "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
 @query("first_token", sql="""

@@ -217,21 +217,30 @@ def run_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(ENTITY, "day", *[F.col(f"pos_{c}").cast("bigint").alias(f"pos_{c}") for c in D])
 
 
+MAX_WINDOW = 48
+
+
 @query("complete_windows", sql=f"""
 WITH {daily_panel_ctes()},
 y AS (SELECT user_id, day, heart_rate IS NOT NULL AS f,
         row_number() OVER (PARTITION BY user_id ORDER BY day)
         - row_number() OVER (PARTITION BY user_id, heart_rate IS NOT NULL ORDER BY day) AS run FROM dp),
 runs AS (SELECT user_id, run, count(*) AS length FROM y WHERE f GROUP BY user_id, run)
-SELECT n, CAST(sum(greatest(length - n + 1, 0)) AS BIGINT) AS n_windows
-FROM runs CROSS JOIN range(1, {C.COHORT_DAYS + 1}) r(n) GROUP BY n""")
+SELECT n, CAST(coalesce(sum(greatest(length - n + 1, 0)), 0) AS BIGINT) AS n_windows
+FROM range(1, {MAX_WINDOW + 1}) r(n) LEFT JOIN runs ON TRUE GROUP BY n""")
 def complete_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Number of full windows of n consecutive observed bins, n = 1..20,
-    from the island lengths: sum over runs of max(0, L - n + 1)."""
+    """Number of full windows of n consecutive observed bins, n = 1..48:
+    a run of L bins holds L - n + 1 of them.  Runs are first counted by length,
+    capped at 48 with the excess kept as a sum, so at most 48 rows are left
+    for the closed form, whatever the data."""
     runs = S.run_lengths(C.daily_panel(spark, sf_dir), ENTITY, "day",
                          F.col("heart_rate").isNotNull()).filter(F.col("flag"))
-    x = runs.select("length", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(C.COHORT_DAYS).cast("bigint"))).alias("n"))
-    return x.groupBy("n").agg(F.sum(F.greatest(F.col("length") - F.col("n") + 1, F.lit(0))).alias("n_windows"))
+    by_length = runs.groupBy(F.least("length", F.lit(MAX_WINDOW)).alias("at_least")).agg(F.count(F.lit(1)).alias("runs"), F.sum("length").alias("bins"))
+    h = by_length.agg(F.collect_list(F.struct("at_least", "runs", "bins")).alias("h"))
+    n = F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(MAX_WINDOW).cast("bigint"))).alias("n")
+    windows = F.aggregate(F.filter("h", lambda r: r["at_least"] >= F.col("n")), F.lit(0).cast("bigint"),
+                          lambda s, r: s + r["bins"] - (F.col("n") - 1) * r["runs"])
+    return h.select("h", n).select("n", windows.alias("n_windows"))
 
 
 SW = 5

@@ -41,5 +41,7 @@ def load_all() -> tuple[dict[str, QueryFn], dict[str, str]]:
         q_suites,
         q_models,
         q_cohorts,
+        q_evaluation,
+        q_chains,
     )
     return dict(QUERIES), dict(ORACLES)
