@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardflow.session import configure, ensure_checkpoint_dir
 
@@ -38,11 +39,31 @@ def materialise(df: DataFrame, name: str, mode_options: dict | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows
-    (counted); otherwise unchanged, and Spark shuffles the join.  ``df``
-    should be materialised or cheap."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+#: a broadcast side holds at most so many bytes of values
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def _bytes(c: Column, kind: T.DataType) -> Column:
+    """About the bytes that a value takes."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(c)
+    elif isinstance(kind, T.ArrayType):
+        fixed = not isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType))
+        size = F.size(c) * 8 if fixed else F.aggregate(c, F.lit(0).cast("long"), lambda n, x: n + _bytes(x, kind.elementType))
+    elif isinstance(kind, T.StructType):
+        size = sum((_bytes(c[f.name], f.dataType) for f in kind.fields), F.lit(0))
+    else:
+        size = F.lit(0)
+    return F.coalesce(size.cast("long"), F.lit(0)) + 8
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``max_rows`` rows and
+    about ``max_bytes`` of values (both counted); otherwise unchanged, and
+    Spark shuffles the join.  ``df`` should be materialised or cheap."""
+    size = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0))
+    n, b = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return F.broadcast(df) if n <= max_rows and (b or 0) <= max_bytes else df
 
 
 def uniform(seed: int | Column, *cols: Column) -> Column:
