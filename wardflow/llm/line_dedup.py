@@ -160,10 +160,11 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             .groupBy(*KEYS).agg(F.sort_array(F.collect_list("span")).alias("cut")))
 
 
-def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with later copies deleted from ``text``, and ``n_lines`` and
-    ``deleted`` (places of the deleted lines, ascending)."""
-    docs = docs.drop("n_lines", "deleted")
+def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, n_lines: str = "n_lines", deleted: str = "deleted") -> DataFrame:
+    """``docs`` with later copies deleted from ``text``, and two columns (of
+    these names; replaced, if there): the lines of a document, and the places
+    of the deleted ones, ascending."""
+    docs = docs.drop(n_lines, deleted)
     own = docs.select(F.struct(*docs.columns).alias("row"), *_keys())
     j = own.join(later_copies(docs, min_words), KEYS, "left")
     lines = F.split("row.text", "\n")
@@ -177,8 +178,8 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     j = j.withColumns({"kept": F.when(F.col("cut").isNotNull(), left), "pieces": F.when(F.col("cut").isNotNull(), lines)})
     return j.select(*[(F.when(F.col("cut").isNull(), F.col("row.text")).otherwise(text) if c == "text" else F.col("row")[c]).alias(c)
                       for c in docs.columns],
-                    F.when(F.col("row.text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
-                    F.coalesce("gone", F.array().cast("array<int>")).alias("deleted"))
+                    F.when(F.col("row.text").isNull(), 0).otherwise(F.size(lines)).alias(n_lines),
+                    F.coalesce("gone", F.array().cast("array<int>")).alias(deleted))
 
 
 def line_dedup_sql(min_words: int = MIN_WORDS) -> str:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow.llm.shared import crc_mod
+from wardflow.llm.shared import crc_mod, free_name
 from wardflow.llm.tokens import LANES, Words, mix, slices, text_buffers
 
 BITS = 18
@@ -173,9 +173,10 @@ def fit_quality(train: DataFrame) -> tuple[np.ndarray, float, float, float]:
     return np.frombuffer(m["w"], np.float64), *m["b"]
 
 
-def score_documents(docs: DataFrame, model: tuple[np.ndarray, float, float, float]) -> DataFrame:
-    """``docs`` with ``score``, the probability of label 1."""
-    docs = docs.drop("score")
+def score_documents(docs: DataFrame, model: tuple[np.ndarray, float, float, float], name: str = "score") -> DataFrame:
+    """``docs`` with the column ``name`` (replaced, if there), the probability
+    of label 1."""
+    docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast((np.asarray(model[0], np.float64), *model[1:]))   # 2**BITS numbers
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,9 +189,9 @@ def score_documents(docs: DataFrame, model: tuple[np.ndarray, float, float, floa
                 total = np.concatenate([[0.0], np.cumsum(w[f])])
                 parts.append(total[fo[1:]] - total[fo[:-1]] + b)
             s = 1 / (1 + np.exp(-np.clip(a0 * np.concatenate(parts) + a1, -700, 700)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s)], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s)], [*batch.schema.names, name])
 
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING, threshold: float = THRESHOLD) -> DataFrame:
@@ -205,4 +206,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN
 def keep_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents the classifier rejects."""
     model = fit_quality(training_rows(docs, labels, crc_mod(F.col("doc_id"), 4) != 2, max_rows))
-    return score_documents(docs, model).filter(F.col("score") >= threshold).select(*docs.columns)
+    name = free_name("score", docs.columns)
+    return score_documents(docs, model, name).filter(F.col(name) >= threshold).select(*docs.columns)

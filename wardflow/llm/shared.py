@@ -66,6 +66,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCA
     return F.broadcast(df) if n <= max_rows and (b or 0) <= max_bytes else df
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def uniform(seed: int | Column, *cols: Column) -> Column:
     """Uniform draw in [0, 1) from the first 52 bits of an MD5 digest of the
     key: independent of partitioning, any key type, same value in SQL."""
