@@ -119,6 +119,7 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     seen = F.lit(None).cast("string") if tampered is None else F.when(tampered.isNotNull(), leaf([*fields[:-1], tampered]))
     rows = docs.select(F.when(source.isNull(), "").otherwise(F.concat(F.lit("s"), source)).alias("tree"), "doc_id",
                        leaf(fields).alias("hash"), seen.alias("seen"))
+    rows = materialise(rows, "leaves")                   # hashed once; sampling the ranges reads the table
     rows = number_rows(rows, [F.col("doc_id").asc_nulls_first(), F.col("hash").asc()], ["tree"], "pos", "size")
     rounds, roots = build_tree(rows, "doc_id", "seen")
     roots = materialise(roots, "subroots")
