@@ -3,37 +3,45 @@
 Texts are equal when identical after replacing each run of white space by
 one space.  A text's key is the first 60 bits of its SHA-256.  The directory
 starts as one bucket and doubles until no bucket holds more than
-``capacity`` distinct texts (or its keys can't be told apart).  Copies are first
-combined where they are read, batch by batch, so a text that makes up a large
-part of the table reaches its owner as a few rows.  An owner task takes whole
-buckets, i.e. key ranges, in key order; texts that share a key are chained and
-told apart by comparing their bytes.  Entries and directory are Parquet
-tables in the cluster's shared folder.
-
-Defined cases: null text is the empty text; a null ``doc_id`` sorts after all
-others (``keep_id`` is null only if all ids of a group are); of rows repeated
-with one id and text exactly one stays; an empty table gives no rows; extra
-columns are ignored.
+``capacity`` distinct texts (or its keys can't be told apart): a table of key
+prefixes, split level by level from counts of distinct keys.  It also deals
+the work: contiguous buckets are packed, by their counts, into one owner task
+each; owners take whole buckets, in key order, chain texts that share a key
+and tell them apart by comparing their bytes.
+
+Copies are combined where they are read, over ``CACHE_BYTES`` of the texts
+seen last, so a text that makes up a large part of the table reaches its owner
+about once per partition.  Entries and directory are Parquet tables in the
+cluster's shared folder.
+
+Defined cases: null text is the empty text; very long texts are compared
+whole; a null ``doc_id`` sorts after all others (``keep_id`` is null only if
+all ids of a group are); of rows repeated with one id and text exactly one
+stays; an empty table gives no rows; extra columns, whatever their names, are
+ignored.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.llm.shared import SPACE, bounded_broadcast, materialise
+from wardflow.operators.ranks import running
 
 KEY_BITS = 60
 #: distinct texts of a bucket before it is split; about 100 MB of text at 3 kB each
 CAPACITY = 32_768
 #: directory slots up to this many are broadcast; more are joined by a shuffle
 MAX_BROADCAST_SLOTS = 1_000_000
+#: texts in which a task looks for copies before it sends them on
+CACHE_BYTES = 32 << 20
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2048
 
 
 def normalised(text: Column) -> Column:
@@ -48,7 +56,7 @@ def _key(sha: Column) -> Column:
 class ExactIndex:
     """``rows``: (doc_id, row_no, sha, key) of every input row;
     ``entries``: (bucket, key, chain_no, sha, keep_id, group_size), one per
-    distinct text; ``directory``: (prefix, local_depth, bucket)."""
+    distinct text; ``directory``: (prefix, local_depth, bucket, owner)."""
 
     rows: DataFrame
     entries: DataFrame
@@ -56,50 +64,80 @@ class ExactIndex:
     depth: int
 
 
-def split_directory(prefix_counts: dict[int, int], bits: int, capacity: int) -> tuple[list[tuple[int, int, int]], int]:
-    """Directory doubling: from one bucket of depth 0, split each overfull
-    bucket by its next bit until all hold at most ``capacity`` texts or
-    ``bits`` are used.  Returns ``(prefix, local depth, bucket)`` for each
-    prefix of the final depth, and that depth."""
-    counts = np.zeros(1 << bits, np.int64)
-    for p, n in prefix_counts.items():
-        counts[p] = n
-    leaves, todo = [], [(0, 0)]
-    while todo:
-        p, d = todo.pop()
-        width = bits - d
-        if d < bits and counts[p << width:(p + 1) << width].sum() > capacity:
-            todo += [(2 * p + 1, d + 1), (2 * p, d + 1)]
-        else:
-            leaves.append((p, d))
-    depth = max(d for _, d in leaves)
-    out = []
-    for bucket, (p, d) in enumerate(leaves):
-        out += [((p << (depth - d)) + i, d, bucket) for i in range(1 << (depth - d))]
-    return out, depth
+def split_directory(counts: DataFrame, bits: int, capacity: int) -> DataFrame:
+    """Buckets ``(start, local_depth, n)`` from counts ``(p, n)`` of distinct
+    keys per prefix of ``bits`` bits: a bucket that holds more than
+    ``capacity`` gives way to its two halves, at most ``bits`` times.
+    ``start`` is the bucket's first prefix of ``bits`` bits."""
+    each = counts.select("n", F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("d"), "p")
+    nodes = each.groupBy("d", F.expr(f"shiftright(p, {bits} - d)").alias("p")).agg(F.sum("n").alias("n"))
+    full = nodes.filter((F.col("n") > capacity) & (F.col("d") < bits))
+    halves = full.select((F.col("d") + 1).alias("hd"), F.explode(F.array(F.col("p") * 2, F.col("p") * 2 + 1)).alias("hp"))
+    root = counts.sparkSession.range(1).select(F.lit(0).alias("hd"), F.lit(0).cast("long").alias("hp"))
+    found = root.unionByName(halves).join(nodes, (F.col("hd") == F.col("d")) & (F.col("hp") == F.col("p")), "left")
+    found = found.select(F.col("hd").alias("local_depth"), F.col("hp"), F.coalesce("n", F.lit(0)).alias("n"))
+    leaves = found.filter((F.col("n") <= capacity) | (F.col("local_depth") == bits))
+    return leaves.select(F.expr(f"shiftleft(hp, {bits} - local_depth)").alias("start"), "local_depth", "n")
+
+
+def pack_owners(buckets: DataFrame, owners: int) -> DataFrame:
+    """``buckets`` with ``owner``: contiguous buckets of about equal counts."""
+    b = running(buckets, [F.col("start").asc()], {"upto": ("sum", "n")})
+    total = b.agg(F.max("upto").alias("t")).select("t").scalar()
+    share = F.greatest(F.ceil(total / F.lit(owners)), F.lit(1))
+    return b.withColumn("owner", F.floor((F.col("upto") - F.col("n")) / share).cast("int")).drop("upto")
 
 
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Copies within a batch become one row: smallest id and count."""
+    """Copies among the texts seen last become one row: smallest id and
+    count.  What falls out of the cache, and the rest at the end, is sent on."""
+    seen: OrderedDict[str, list] = OrderedDict()         # sha: [key, text, smallest id, rows]
+    held = 0
+    out: list[list] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        nonlocal out, size
+        cols = list(zip(*[(e[0], s, e[1], e[2], e[3]) for s, e in out]))
+        out, size = [], 0
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()))],
+                                          ["key", "sha", "norm", "doc_id", "n"])
+
     for b in batches:
-        text = pc.dictionary_encode(b.column("norm"))
-        code = text.indices.to_numpy(zero_copy_only=False)
-        n = len(text.dictionary)
-        first = np.zeros(n, np.int64)
-        first[code[::-1]] = np.arange(len(code))[::-1]
-        ids = pa.table({"c": code, "doc_id": b.column("doc_id")}).group_by("c").aggregate([("doc_id", "min")])
-        order = np.argsort(ids.column("c").to_numpy())
-        yield pa.RecordBatch.from_arrays(
-            [b.column("key").take(pa.array(first)), b.column("sha").take(pa.array(first)), text.dictionary.cast(pa.string()),
-             ids.column("doc_id_min").combine_chunks().take(pa.array(order)),
-             pa.array(np.bincount(code, minlength=n), pa.int64())], ["key", "sha", "norm", "doc_id", "n"])
+        for key, sha, text, doc_id in zip(*[b.column(c).to_pylist() for c in ("key", "sha", "norm", "doc_id")]):
+            e = seen.get(sha)
+            if e is not None and e[1] == text:
+                e[2] = doc_id if e[2] is None else e[2] if doc_id is None else min(e[2], doc_id)
+                e[3] += 1
+                seen.move_to_end(sha)
+                continue
+            if e is not None:                            # another text of this hash
+                out.append((sha, seen.pop(sha)))
+                held -= len(e[1])
+                size += len(e[1])
+            seen[sha] = [key, text, doc_id, 1]
+            held += len(text)
+            while held > CACHE_BYTES and len(seen) > 1:
+                old, e = seen.popitem(last=False)
+                held -= len(e[1])
+                size += len(e[1])
+                out.append((old, e))
+                if size > BATCH_BYTES or len(out) >= BATCH_ROWS:
+                    yield batch()
+    for old, e in seen.items():
+        out.append((old, e))
+        size += len(e[1])
+        if size > BATCH_BYTES or len(out) >= BATCH_ROWS:
+            yield batch()
+    if out:
+        yield batch()
 
 
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Owner task: rows in key order; one entry per distinct text.  Holds the
     chain of the current key only."""
     names = ["bucket", "key", "chain_no", "sha", "keep_id", "group_size"]
-    types = [pa.int32(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
     now, chain = None, []          # entries: [bytes, sha, smallest id, rows]
     out: list[tuple] = []
 
@@ -140,22 +178,21 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY) -> ExactIndex:
     rows = materialise(d.select("doc_id", F.monotonically_increasing_id().alias("row_no"), "sha", "key"), "rows")
     total = rows.count()
     bits = max(1, (2 * total // capacity + 1).bit_length() + 2)
-    prefix = F.shiftright("key", KEY_BITS - bits).cast("int")
     # distinct keys per prefix: copies don't fill a bucket
-    counts = rows.select("key").distinct().groupBy(prefix.alias("p")).count()
-    slots, depth = split_directory({r[0]: r[1] for r in counts.collect()}, bits, capacity)
-    spark = docs.sparkSession
-    directory = materialise(spark.createDataFrame(slots, "prefix int, local_depth int, bucket int"), "directory")
-    buckets = 1 + max(b for _, _, b in slots)
-    # owners: a power of two, so that each has the keys of one leading bit pattern
-    owner_bits = (max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))) - 1).bit_length()
-    owner = F.shiftright("key", KEY_BITS - owner_bits).cast("int")
+    counts = rows.select("key").distinct().groupBy(F.shiftright("key", KEY_BITS - bits).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    buckets = split_directory(materialise(counts, "counts"), bits, capacity)
+    owners = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * total // capacity)
+    buckets = materialise(pack_owners(materialise(buckets, "buckets"), owners), "packed")
+    depth, last = buckets.agg(F.max("local_depth"), F.max("owner")).first()
+    # the directory proper: each prefix of the global depth with its bucket
+    slot = F.explode(F.sequence(F.shiftright("start", bits - depth), F.shiftright("start", bits - depth) + F.expr(f"shiftleft(1L, {depth} - local_depth)") - 1))
+    directory = materialise(buckets.select(slot.alias("prefix"), "local_depth", F.col("start").alias("bucket"), "owner"), "directory")
     combined = d.mapInArrow(_combine, "key long, sha string, norm string, doc_id long, n long")
-    slot = F.shiftright("key", KEY_BITS - depth).cast("int") if depth else F.lit(0)
-    owned = (combined.join(bounded_broadcast(directory.select("prefix", "bucket"), MAX_BROADCAST_SLOTS), slot == F.col("prefix"))
-             .repartitionById(1 << owner_bits, owner).sortWithinPartitions("key"))
+    own = F.shiftright("key", KEY_BITS - depth) if depth else F.lit(0).cast("long")
+    owned = (combined.join(bounded_broadcast(directory.select("prefix", "bucket", "owner"), MAX_BROADCAST_SLOTS), own == F.col("prefix"))
+             .repartitionById(last + 1, "owner").sortWithinPartitions("key"))
     entries = owned.select("bucket", "key", "sha", "norm", "doc_id", "n").mapInArrow(
-        _chain, "bucket int, key long, chain_no int, sha string, keep_id long, group_size long")
+        _chain, "bucket long, key long, chain_no int, sha string, keep_id long, group_size long")
     return ExactIndex(rows, materialise(entries, "entries"), directory, depth)
 
 
