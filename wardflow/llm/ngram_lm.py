@@ -16,8 +16,10 @@ search among the contexts of its word.
 Counts cover the whole training part of the table and no executor holds more
 than a shard.  A shard is a range of the words' hashes, of about
 ``SHARD_TOKENS`` tokens; the words too frequent for one shard (fewer than
-eight per shard, by counting all words first) are spread by context, their counts
-being sent along.  A map task sends each shard the distinct (word, context,
+eight per shard, by counting all words first) are spread by context, and the
+pairs too frequent for one shard (found by counting those of frequent words)
+by the flush their documents are in; the counts of both are sent along.  A map
+task sends each shard the distinct (word, context,
 document) counts of its documents, training and held-out ones alike; the shard
 counts, builds its levels in a memory-mapped file without a name, and answers
 with a sum per document.  As the smoothed probability is a quotient of a term
@@ -151,6 +153,49 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
 
 
+def _tokens(words: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word, context and document of every token of documents with ``n``
+    words each, end marks included."""
+    at = np.concatenate([[0], np.cumsum(n + 1)])
+    word = np.full(at[-1], END)
+    inside = np.ones(at[-1], bool)
+    inside[at[1:] - 1] = False
+    word[inside] = words
+    context = np.full(at[-1], BEGIN)
+    context[1:] = word[:-1]
+    context[at[:-1]] = BEGIN
+    return word, context, np.repeat(np.arange(len(n)), n + 1)
+
+
+def _names(h: np.ndarray) -> np.ndarray:
+    """Word hashes that are no mark."""
+    return np.where((h == END) | (h == BEGIN), h + np.uint64(1 << 20), h)
+
+
+def _pair_key(word: np.ndarray, context: np.ndarray) -> np.ndarray:
+    return mix(word ^ mix(context + np.uint64(LANES[2])))
+
+
+def _count_pairs(hot: np.ndarray):
+    """Counts of the pairs of which both sides are frequent, batch by batch."""
+    contexts = np.sort(np.append(hot[hot != END], BEGIN))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, off = text_buffers(b.column("text"))
+            parts = []
+            for i, j in slices(off):
+                w = Words(data[off[i]:off[j]], off[i:j + 1] - off[i], lower=True)
+                word, context, _ = _tokens(_names(w.hashes()), np.diff(w.doc))
+                both = np.isin(word, hot) & np.isin(context, contexts)
+                parts.append(np.unique(_pair_key(word[both], context[both]), return_counts=True))
+            key, which = np.unique(np.concatenate([np.zeros(0, np.uint64), *[p[0] for p in parts]]), return_inverse=True)
+            n = np.bincount(which, np.concatenate([np.zeros(0), *[p[1] for p in parts]]), len(key))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
+
+    return count
+
+
 def _pack(*arrays: np.ndarray) -> bytes:
     return np.array([a.nbytes for a in arrays], np.int64).tobytes() + b"".join(a.tobytes() for a in arrays)
 
@@ -165,25 +210,18 @@ SENT = (np.uint64, np.uint32, np.uint64, np.uint16, np.uint16, np.uint32)   # wo
 HELD = np.uint16(1 << 15)
 
 
-def _send(shards: int, hot: np.ndarray):
+def _send(shards: int, hot: np.ndarray, hot_pair: np.ndarray):
     """Rows (shard, kind, flush, blob): kind 0 the counts a shard needs of a
     flush, kind 1 the documents of the flush."""
-    def shard_of(word: np.ndarray, context: np.ndarray) -> np.ndarray:
-        own = word % np.uint64(shards)
-        return np.where(np.isin(word, hot), mix(word ^ context) % np.uint64(shards), own).astype(np.int64)
+    def shard_of(word: np.ndarray, context: np.ndarray, number: int) -> np.ndarray:
+        own = np.where(np.isin(word, hot), mix(word ^ context), word)
+        pair = _pair_key(word, context)
+        return (np.where(np.isin(pair, hot_pair), mix(pair ^ np.uint64(number)), own) % np.uint64(shards)).astype(np.int64)
 
     def flush(number: int, ids: list, held: list, h: list, n: list) -> Iterator[tuple]:
         held, n = np.concatenate(held), np.concatenate(n)
         words = np.concatenate(h)
-        docs, at = len(n), np.concatenate([[0], np.cumsum(n + 1)])
-        word = np.full(at[-1], END)
-        inside = np.ones(at[-1], bool)
-        inside[at[1:] - 1] = False
-        word[inside] = words
-        context = np.full(at[-1], BEGIN)
-        context[1:] = word[:-1]
-        context[at[:-1]] = BEGIN
-        doc = np.repeat(np.arange(docs), n + 1)
+        word, context, doc = _tokens(words, n)
         names, place = np.unique(np.concatenate([word, context]), return_inverse=True)
         w, c = place[:len(word)].astype(np.uint64), place[len(word):].astype(np.uint64)
         bits = np.uint64(max(1, int(len(names) - 1).bit_length()))
@@ -193,7 +231,7 @@ def _send(shards: int, hot: np.ndarray):
         first = np.flatnonzero(np.diff(pair, prepend=pair[0] ^ np.uint64(1)))
         each = np.diff(first, append=len(entry))
         word, context = names[pair[first] >> bits], names[pair[first] & ((np.uint64(1) << bits) - np.uint64(1))]
-        shard = shard_of(word, context)
+        shard = shard_of(word, context, number)
         doc = doc | np.where(held[doc], HELD, np.uint16(0))
         order = np.argsort(shard, kind="stable")
         for s in np.unique(shard):
@@ -228,7 +266,7 @@ def _send(shards: int, hot: np.ndarray):
                     x = w.hashes()
                     ids += b.column("doc_id").slice(a, e - a).to_pylist()
                     held.append(out[a:e])
-                    h.append(np.where((x == END) | (x == BEGIN), x + np.uint64(1 << 20), x))
+                    h.append(_names(x))
                     n.append(np.diff(w.doc))
                     size += len(x)
         if ids:
@@ -237,7 +275,7 @@ def _send(shards: int, hot: np.ndarray):
     return send
 
 
-def _answer(total: int, distinct: int, hot: np.ndarray, hot_count: np.ndarray, mu: float):
+def _answer(total: int, distinct: int, hot: np.ndarray, hot_count: np.ndarray, hot_pair: np.ndarray, pair_count: np.ndarray, mu: float):
     """One shard: counts, builds the trie, answers every flush."""
     norm = total + 0.1 * (distinct + 1)
 
@@ -248,7 +286,9 @@ def _answer(total: int, distinct: int, hot: np.ndarray, hot_count: np.ndarray, m
             parts = [_unpack(x, SENT) for x in asked.blob]
             names, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
             word = np.repeat(place, np.concatenate([p[1] for p in parts]))
-            context = np.concatenate([p[2] for p in parts]) >> np.uint64(64 - CONTEXT_BITS)
+            context = np.concatenate([p[2] for p in parts])
+            key = _pair_key(names[word], context)
+            context = context >> np.uint64(64 - CONTEXT_BITS)
             each = np.concatenate([p[3] for p in parts])
             doc, count = np.concatenate([p[4] for p in parts]), np.concatenate([p[5] for p in parts]).astype(np.float64)
             train = np.where(doc & HELD, 0.0, count)
@@ -256,6 +296,10 @@ def _answer(total: int, distinct: int, hot: np.ndarray, hot_count: np.ndarray, m
             pair, which = np.unique((word.astype(np.uint64) << np.uint64(CONTEXT_BITS)) | context, return_inverse=True)
             of_pair = np.repeat(which, each)
             c_pair = np.bincount(of_pair, train, len(pair))
+            if len(hot_pair):                            # here in part only: the whole count was sent along
+                at = np.minimum(np.searchsorted(hot_pair, key), len(hot_pair) - 1)
+                whole = hot_pair[at] == key
+                c_pair[which[whole]] = pair_count[at[whole]]
             w = (pair >> np.uint64(CONTEXT_BITS)).astype(np.int64)
             c_word = np.bincount(w, c_pair, len(names))
             at = np.searchsorted(hot, names)
@@ -317,7 +361,11 @@ def score_corpus(docs: DataFrame, held_out: int = 0, folds: int = 10, mu: float
         hot[x["h"] & ((1 << 64) - 1)] = x["n"]
     hot_word = np.array(sorted(hot), np.uint64)
     hot_count = np.array([hot[int(x)] for x in hot_word], np.float64)
-    sent = d.mapInArrow(_send(shards, hot_word), "shard int, kind int, flush long, blob binary")
-    answered = sent.groupBy("shard").applyInPandas(_answer(total, distinct, hot_word, hot_count, mu), "flush long, kind int, blob binary")
+    pairs = train.select("text").mapInArrow(_count_pairs(hot_word), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    pairs = {x["h"] & ((1 << 64) - 1): x["n"] for x in pairs.filter(F.col("n") > total // (8 * shards)).collect()}      # fewer than 8 per shard
+    hot_pair = np.array(sorted(pairs), np.uint64)
+    pair_count = np.array([pairs[int(x)] for x in hot_pair], np.float64)
+    sent = d.mapInArrow(_send(shards, hot_word, hot_pair), "shard int, kind int, flush long, blob binary")
+    answered = sent.groupBy("shard").applyInPandas(_answer(total, distinct, hot_word, hot_count, hot_pair, pair_count, mu), "flush long, kind int, blob binary")
     return answered.groupBy("flush").applyInPandas(_gather(total, distinct, documents, mu),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
