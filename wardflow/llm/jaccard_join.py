@@ -205,6 +205,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int =
     members = materialise(members, "members")
     m = members.join(nodes, "sid").select("sid", "n", F.col("doc_id").alias("md"), F.col("tkey").alias("mt"), "keys", "spots")
     texts = d.join(m, F.col("doc_id").eqNullSafe(F.col("md")) & (F.col("tkey") == F.col("mt")))
+    # rows repeated with the node's id and text give its text once, reduced where they are read
+    texts = texts.groupBy("sid").agg(*[F.first(c).alias(c) for c in ("n", "keys", "text", "spots")])
     blocks = F.ceil(F.col("s.size") / F.lit(BLOCK)).cast("int")
     x = texts.select("sid", "n", "keys", "text", F.explode("spots").alias("s"))
     x = x.withColumn("block", F.pmod(F.xxhash64("sid"), blocks).cast("int"))
@@ -232,11 +234,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int =
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each class, the one of smallest doc_id;
-    rows repeated with its id and text are dropped too, rows without words
-    stay."""
+    of rows repeated with its id and text the one whose columns sort first
+    stays, rows without words all stay."""
     columns = docs.columns
     keep = near_duplicates(docs, **options).filter("stays").select(F.col("doc_id").alias("_d"), F.col("tkey").alias("_t"), (F.col("class_size") > 1).alias("_in")).distinct()
     row = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").alias("_id"), _text_key(F.col("text")).alias("_key"))
     kept = row.join(keep, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_t")))
-    once = kept.filter("_in").groupBy("_id", "_key").agg(F.first("row").alias("row")).select("row")
+    once = kept.filter("_in").groupBy("_id", "_key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
     return once.union(kept.filter("NOT _in").select("row")).select("row.*")
