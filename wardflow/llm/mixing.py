@@ -3,16 +3,19 @@
 Every document is repeated a Poisson-distributed number of times whose mean
 is the target repetition rate of its source: the source's share of the target
 size divided by its present size.  The count inverts the Poisson distribution
-at a draw seeded by the document id, so it needs no coordination between
-tasks and is the same after a retry; copies are dealt over the cluster by a
-second draw and sorted by it, a global shuffle.
-
-Defined cases: a null source is a source of its own; null text has size 0;
-rows repeated with one ``doc_id`` get the same count; a source that is not in
-``weights`` (or has weight 0) gets rate 0; a source without any text has rate
-1, as no rate changes its size; an empty table stays empty.  Extra columns
-are carried along (``copy_no`` and ``shuffle_key`` are added; columns of those
-names in the input are replaced).
+at a draw seeded by the document's id and text, so it needs no coordination
+between tasks and is the same after a retry; copies are dealt over the cluster
+by a second draw and sorted by it, a global shuffle.  Rows repeated with one id
+and text share their draws; the row's place in the input joins the second one
+where copies are dealt, so they are spread like all others.
+
+Defined cases: a null source is a source of its own; null text has size 0; a
+null id is an id like others; rows repeated with one id and text get the same
+count; very long texts are carried whole; a source that is not in ``weights``
+(or has weight 0) gets rate 0; a source without any text has rate 1, as no
+rate changes its size; an empty table stays empty.  Extra columns, whatever
+their names, are carried along (``copy_no`` and ``shuffle_key`` are added;
+columns of those names in the input are replaced).
 """
 
 from __future__ import annotations
@@ -73,22 +76,23 @@ def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, temper
     docs = docs.drop("copy_no", "shuffle_key")
     rates = source_rates(docs, weights, temperature, target_size, source)
     pieces = F.greatest(F.ceil(F.col("rate") / F.lit(PIECE)), F.lit(1)).cast("int")
-    table = materialise(rates.select(F.col("source").alias("_source"), pieces.alias("_pieces"),
-                                     distribution(F.col("rate") / pieces).alias("_cdf")), "rates")
-    d = docs.join(bounded_broadcast(table, MAX_BROADCAST_SOURCES), F.col(source).eqNullSafe(F.col("_source")))
+    table = materialise(rates.select(F.col("source").alias("name"), pieces.alias("pieces"), distribution(F.col("rate") / pieces).alias("cdf")), "rates")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(source).alias("of"), F.col(doc_id).alias("id"),
+                       F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), F.monotonically_increasing_id().alias("salt"))
+    d = rows.join(bounded_broadcast(table, MAX_BROADCAST_SOURCES), F.col("of").eqNullSafe(F.col("name")))
     count = F.aggregate(
-        F.transform(F.sequence(F.lit(0), F.col("_pieces") - 1), lambda i: uniform(seed, F.col(doc_id), i)),
-        F.lit(0), lambda n, u: n + F.size(F.filter("_cdf", lambda c: c <= u)))
-    d = (d.withColumn("_n", count).filter("_n > 0")
-         .withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("_n")))))
-    key = F.floor(uniform(seed + 1, F.col(doc_id), F.col("copy_no")) * F.lit(float(1 << 52))).cast("long")
-    return (d.select(*docs.columns, "copy_no", key.alias("shuffle_key"))
-            .repartition("shuffle_key").sortWithinPartitions("shuffle_key"))
+        F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda i: uniform(seed, F.col("id"), F.col("text_md5"), i)),
+        F.lit(0), lambda n, u: n + F.size(F.filter("cdf", lambda c: c <= u)))
+    d = d.withColumn("copies", count).filter("copies > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    key = F.floor(uniform(seed + 1, F.col("id"), F.col("text_md5"), F.col("copy_no")) * F.lit(float(1 << 52))).cast("long")
+    d = d.select("row", "copy_no", key.alias("shuffle_key"), "salt")
+    return (d.repartition("shuffle_key", "salt").sortWithinPartitions("shuffle_key", "salt")
+            .select("row.*", "copy_no", "shuffle_key"))
 
 
 def mix_sql(temperature: float = 0.5, seed: int = 17) -> str:
     """The same mixture in DuckDB SQL, over table ``documents``."""
-    u = "('0x' || substr(md5('{s}|' || coalesce(doc_id::VARCHAR, 'null') || '|' || {i}), 1, 13))::BIGINT"
+    u = "('0x' || substr(md5('{s}|' || coalesce(doc_id::VARCHAR, 'null') || '|' || md5(coalesce(text, '')) || '|' || {i}), 1, 13))::BIGINT"
     return f"""
 WITH s AS (SELECT source, sum(coalesce(length(text), 0))::DOUBLE AS size FROM documents GROUP BY source),
 r AS (SELECT source, CASE WHEN size = 0 THEN 1 ELSE pow(size, {temperature})
