@@ -70,20 +70,20 @@ def preference_format(pairs: DataFrame) -> DataFrame:
 
 
 def neighbour_pairs(turns: DataFrame) -> DataFrame:
-    """Pairs for a table of plain conversations: chosen is the conversation up
-    to its last assistant turn, rejected the same with that reply replaced by
-    the last reply of conversation ``conv_id xor 1`` (empty if there is none).
-    A conversation without assistant turn has equal sides."""
+    """Pairs for a table of plain conversations: chosen is the conversation,
+    rejected the same with its last reply replaced by the last reply of
+    conversation ``conv_id xor 1`` (empty if there is none); turns after the
+    last reply stand, masked, on both sides.  A conversation without
+    assistant turn has equal sides."""
     c = gather_turns(turns)
     last = F.array_max(F.filter(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i + 1)), lambda i: i.isNotNull()))
     c = c.withColumn("last", last)
     c = c.withColumn("reply", F.when(F.col("last").isNotNull(), F.element_at("turns", F.col("last"))["text"]))
     other = c.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("reply").alias("other"))
     c = c.join(other, "conv_id", "left")
-    swapped = F.concat(F.slice("turns", 1, F.col("last") - 1), F.array(F.struct(
-        F.lit("assistant").alias("role"), F.coalesce("other", F.lit("")).alias("text"))))
-    return c.select("conv_id", F.when(F.col("last").isNull(), F.col("turns")).otherwise(F.slice("turns", 1, F.col("last"))).alias("chosen"),
-                    F.when(F.col("last").isNull(), F.col("turns")).otherwise(swapped).alias("rejected"))
+    reply = F.struct(F.lit("assistant").alias("role"), F.coalesce("other", F.lit("")).alias("text"))
+    swapped = F.transform("turns", lambda t, i: F.when(i + 1 == F.col("last"), reply).otherwise(t))
+    return c.select("conv_id", F.col("turns").alias("chosen"), F.when(F.col("last").isNull(), F.col("turns")).otherwise(swapped).alias("rejected"))
 
 
 def spans_text(spans: Column) -> Column:
@@ -94,9 +94,8 @@ CHAT_SQL = """
 WITH t AS (SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
 l AS (SELECT *, list_max(list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant')) AS last FROM t),
-p AS (SELECT l.conv_id, CASE WHEN l.last IS NULL THEN l.turns ELSE l.turns[1:l.last] END AS c,
-        CASE WHEN l.last IS NULL THEN l.turns ELSE list_append(l.turns[1:l.last - 1],
-          {'role': 'assistant', 'text': coalesce(o.turns[o.last].text, '')}) END AS r
+p AS (SELECT l.conv_id, l.turns AS c, CASE WHEN l.last IS NULL THEN l.turns ELSE list_concat(list_append(l.turns[1:l.last - 1],
+          {'role': 'assistant', 'text': coalesce(o.turns[o.last].text, '')}), l.turns[l.last + 1:]) END AS r
       FROM l LEFT JOIN l o ON o.conv_id = xor(l.conv_id, 1)),
 n AS (SELECT *, coalesce(list_min(list_filter(range(1, least(len(c), len(r)) + 1), lambda i: c[i] <> r[i])) - 1, least(len(c), len(r))) AS k FROM p),
 s AS (SELECT conv_id, k, c[1:k] AS common, c[k + 1:] AS c, r[k + 1:] AS r FROM n),
