@@ -6,9 +6,9 @@ lower case.  Path: then up to ``?``, ``#`` or the end.  A url that is null or
 has no ``://`` has both empty, fits no rule and is judged by the model (an
 empty n-gram set: the intercept).  A rule ``host/path`` fits its host and all
 subdomains if the url's path starts with ``/path``; the longest fitting rule
-wins, of equal lengths the alphabetically first.  Rows stay one to one, repeated
-rows included; an empty table gives no rows; other columns of the input are
-not read.
+wins, of equal lengths the alphabetically first.  Very long urls are read whole.
+Rows stay one to one, repeated rows and null ids included; an empty table gives
+no rows; other columns of the input, whatever their names, are not read.
 
 The model is fitted from a small labelled url table (a parameter; at most
 ``MAX_TRAINING_ROWS``, counted).
@@ -16,6 +16,8 @@ The model is fitted from a small labelled url table (a parameter; at most
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -28,26 +30,38 @@ NGRAMS = (3, 4, 5)
 BUCKETS = 1 << 15
 MAX_TRAINING_ROWS = 100_000
 
-# --- fixed values: the labelled url table (1: block), common words of host names,
+# --- fixed values: names of the labelled url table, common words of host names,
 # not taken from any table that is judged ---------------------------------------
 BLOCKED = """online-casino casino-royal my-casino casino-bonus slots-win big-win win-money lotto-win poker-night best-bets
  sport-bets bets-online free-coupons free-money get-free free-spins pills-shop cheap-meds buy-pills cheap-loans cheap-deals
  payday-loan spam-links mail-spam spam-mail link-farm click-farm ad-server ads-click ads-network web-ads track-pixel
  click-track adult-video adult-cam my-adult xxx-tube x-rated click-bait""".split()
 ALLOWED = """news library museum university school weather garden history science cooking travel music painting journal archive
- theatre cinema football mountain river forest city-guide well-known open-source long-read co-op station nation theory
- mother weather-report thinker northern another gathering nothing tenth month ship table notable portion motion
- question education hospital parliament newspaper ministry observatory research recipes photos stories maps books courses
- lectures letters species houses archives states notes words games sports movies""".split()
+ theatre cinema football mountain river forest city-guide well-known open-source long-read co-op question education hospital
+ parliament newspaper ministry observatory research recipes photos stories maps books courses lectures letters species houses
+ archives states notes words games sports movies""".split()
+#: made-up ordinary names besides; most hosts are no common word
+MADE_UP = 400
+
+
+def made_up_name(i: int) -> str:
+    """A pronounceable name from the digest of its number: two to four
+    syllables, some with a hyphen, a digit or a short common word."""
+    d = hashlib.sha256(f"host {i}".encode()).digest()
+    onset, vowel, coda = "bcdfghjklmnprstvw", "aeiou", ["", "", "n", "r", "s", "l", "th", "nd", "st", "ck"]
+    parts = [onset[d[3 * k] % len(onset)] + vowel[d[3 * k + 1] % len(vowel)] + coda[d[3 * k + 2] % len(coda)] for k in range(2 + d[20] % 3)]
+    form = d[21] % 6
+    return "".join(parts) if form < 3 else "-".join(["".join(parts[:2]), "".join(parts[2:])]).strip("-") if form == 3 else (
+        "".join(parts) + str(d[22] % 100) if form == 4 else "".join(parts) + "-" + ALLOWED[d[23] % len(ALLOWED)])
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """Small labelled table ``(url, label)``: each host under several
-    prefixes, domains and neutral paths, so that only the name tells; and
-    ordinary hosts with blocked or ordinary words in paths of the same forms,
+    """Small labelled table ``(url, label)``: each host, made-up ones
+    included, under several prefixes, domains and neutral paths, so that only
+    the name tells; and ordinary hosts with blocked or ordinary words in paths of the same forms,
     so that only the path tells."""
     rows = []
-    for label, names in ((1.0, BLOCKED), (0.0, ALLOWED)):
+    for label, names in ((1.0, BLOCKED), (0.0, ALLOWED + [made_up_name(i) for i in range(MADE_UP)])):
         for i, n in enumerate(names):
             for j in range(4):
                 prefix = ("", "www.", "m.", "blog.")[(i + j) % 4]
