@@ -298,10 +298,30 @@ def test_exact_dedup_matches_hashing(docs, texts, none):
     assert exact_dedup.exact_dedup(none).count() == 0
 
 
-def test_directory_doubling_splits_overfull_buckets_only():
-    slots, depth = exact_dedup.split_directory({0: 5, 1: 5, 6: 1}, 3, 6)
-    assert depth == 3 and len(slots) == 8 and [b for _, _, b in slots][2:4] == [slots[2][2]] * 2
-    assert exact_dedup.split_directory({0: 5}, 3, 6) == ([(0, 0, 0)], 0)
+def plain_directory(counts, bits, capacity):
+    leaves, todo = [], [(0, 0)]
+    while todo:
+        p, d = todo.pop()
+        n = sum(c for q, c in counts.items() if q >> (bits - d) == p)
+        if n > capacity and d < bits:
+            todo += [(2 * p, d + 1), (2 * p + 1, d + 1)]
+        else:
+            leaves.append((p << (bits - d), d, n))
+    return sorted(leaves)
+
+
+def test_directory_doubling_splits_overfull_buckets_only(spark):
+    rng = random.Random(3)
+    for counts in ({0: 5, 1: 5, 6: 1}, {0: 5}, {}, {p: rng.randrange(9) for p in range(8)}, {7: 100}):
+        df = spark.createDataFrame(list(counts.items()), "p long, n long")
+        got = exact_dedup.split_directory(df, 3, 6)
+        assert sorted(tuple(r) for r in got.collect()) == plain_directory(counts, 3, 6)
+        packed = exact_dedup.pack_owners(got, 4).orderBy("start").collect()
+        owners = [r["owner"] for r in packed if r["n"]]
+        assert owners == sorted(owners) and max(owners, default=0) <= 3
+        share = -(-sum(counts.values()) // 4) or 1
+        for o in set(owners):                            # no owner starts a bucket after its share
+            assert sum(r["n"] for r in packed if r["owner"] == o) - [r["n"] for r in packed if r["owner"] == o and r["n"]][-1] < share
 
 
 def test_quality_learns_and_handles_edges(spark, docs, none):
