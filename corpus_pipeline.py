@@ -3,8 +3,9 @@ benchmark decontamination, mixing to source weights.
 
 Each stage works on all documents its predecessor kept, which are written as
 Parquet into the shared folder and read again.  All but the last return the
-columns of ``documents``; the last adds ``copy_no`` and ``shuffle_key``.
-Null, empty and repeated rows are treated as the operators' docstrings say.
+columns of ``documents`` as they came (any others too); the last adds
+``copy_no`` and ``shuffle_key``.  Null, empty, very long and repeated rows are
+treated as the operators' docstrings say.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from wardflow.llm.jaccard_join import drop_near_duplicates
 from wardflow.llm.line_dedup import line_dedup
 from wardflow.llm.mixing import poisson_mix
 from wardflow.llm.quality import keep_quality
-from wardflow.llm.shared import NOT_SPACE, materialise, prepare
+from wardflow.llm.shared import NOT_SPACE, free_name, materialise, prepare
 from wardflow.sources.tables import read_table
 
 
@@ -30,9 +31,10 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs are deleted; a document of which no
     word is left goes, any other stays."""
     prepare(spark)
-    out = line_dedup(docs)
-    out = out.filter((F.size("deleted") == 0) | F.col("text").rlike(NOT_SPACE))
-    cut = F.size("deleted") > 0
+    lines, deleted = (free_name(c, docs.columns) for c in ("n_lines", "deleted"))
+    out = line_dedup(docs, n_lines=lines, deleted=deleted)
+    out = out.filter((F.size(deleted) == 0) | F.col("text").rlike(NOT_SPACE))
+    cut = F.size(deleted) > 0
     return out.select(*[F.when(cut, F.length("text").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c)
                         for c in docs.columns])
 
