@@ -251,7 +251,7 @@ def test_global_scope_fill_and_materialised_imputations(spark):
     assert per[(1, 1)] == 2.0 and per[(2, 1)] == 10.0
     assert glob[(1, 1)] == glob[(2, 2)] == (1.0 + 3.0 + 10.0) / 3
     out = os.path.join(tempfile.mkdtemp(prefix="wf-imp-"), "imputed")
-    QI.materialise_imputations(spark, SMALL, out)
+    QI.materialise_imputations(QI.scenario_panel(spark, SMALL, ["random", "block2"]), out)
     back = spark.read.parquet(out).filter("scenario = 'random' AND method = 'imp_linear'")
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and back.count() > 0

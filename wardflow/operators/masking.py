@@ -9,12 +9,14 @@ with one row per bin (a dense grid).
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardflow.operators import sequence as S
+from wardflow.operators.ranks import number_rows
 from wardflow.sources.io import write_scratch
 
 UNB = Window.unboundedPreceding
@@ -192,3 +194,71 @@ def target_share_block_mask(df: DataFrame, entity: str, t: str, feats: list[str]
                            [{"scenario": "s", "n": n, "only": None, "rate": rate, "seed": seed}], horizon)
     return x.select(entity, t, *feats, *[F.when(F.col("_hit"), F.lit(None)).otherwise(F.col(c)).alias(f"{name_prefix}{c}")
                                          for c in feats])
+
+
+#: passes of the repeated random mask at most; each halves the rate of the one before
+PASSES = 12
+
+
+def random_until_target(df: DataFrame, entity: str, t: str, feats: list[str], rate: float, seed: int) -> DataFrame:
+    """Cells masked at random, pass after pass at half the rate, until at most
+    ``1 - rate`` of the observed cells are left.
+
+    The pass that first hits a cell follows from the cell's own draws, so one
+    aggregate (observed cells per first pass) tells how many passes it takes;
+    no pass is run.  Adds ``m_<feature>``."""
+    def first(c: str, j: int) -> Column:
+        out = F.lit(None).cast("int")
+        for k in reversed(range(PASSES)):
+            u = digest(F.col(entity), F.col(t), j, seed, k) / F.lit(float(1 << DRAW_BITS))
+            out = F.when(u < F.lit(rate / 2 ** k), k).otherwise(out)
+        return F.when(F.col(c).isNotNull(), out)
+
+    x = write_scratch(df.withColumns({f"_first_{c}": first(c, j + 1) for j, c in enumerate(feats)}), "passes")
+    long = x.select(F.explode(F.array(*[F.struct(F.col(c).isNotNull().alias("seen"), F.col(f"_first_{c}").alias("k")) for c in feats])).alias("c"))
+    per = {r["k"]: r["n"] for r in long.filter("c.seen").groupBy("c.k").agg(F.count(F.lit(1)).alias("n")).collect()}    # PASSES + 1 rows
+    left = sum(per.values())
+    goal, passes = left * (1 - rate), 0
+    while passes < PASSES and left > goal:
+        left -= per.get(passes, 0)
+        passes += 1
+    hit = {f"m_{c}": F.when(F.col(f"_first_{c}") < passes, F.lit(None)).otherwise(F.col(c)) for c in feats}
+    return x.withColumns(hit).drop(*[f"_first_{c}" for c in feats])
+
+
+def counted_blocks(df: DataFrame, entity: str, t: str, feats: list[str], n: int, horizon: int, rate: float, seed: int,
+                   only: list[str] | None = None) -> DataFrame:
+    """``floor(rows * rate / n)`` blocks drawn with replacement: an entity by
+    its number, a start bin, and the ``n`` bins from it (the last bin never)
+    masked in ``only`` (default: all features).  ``df`` is a dense wide panel
+    of ``horizon`` bins.  Adds ``m_<feature>``."""
+    entities = number_rows(df.select(entity).distinct(), [F.col(entity).asc()], None, "_no", "_of")
+    sizes = entities.agg(F.max("_of").alias("e")).first()
+    many = sizes["e"] or 0
+    blocks = int(many * horizon * rate / n)
+    u = [digest(seed, F.col("id"), k) / F.lit(float(1 << DRAW_BITS)) for k in (0, 1)]
+    draws = df.sparkSession.range(blocks).select(F.floor(u[0] * many).alias("_no"), F.floor(u[1] * horizon).alias("_t0"))
+    last = F.least(F.col("_t0") + n, F.lit(horizon - 1)) - 1
+    cells = draws.filter(F.col("_t0") < horizon - 1).select("_no", F.explode(F.sequence(F.col("_t0"), last)).alias(t)).distinct()
+    hit = cells.join(entities, "_no").select(entity, t, F.lit(True).alias("_hit"))
+    x = df.join(hit, [entity, t], "left")
+    own = feats if only is None else only
+    return x.withColumns({f"m_{c}": F.when(F.col("_hit") & F.lit(c in own), F.lit(None)).otherwise(F.col(c)) for c in feats}).drop("_hit")
+
+
+def random_cells(df: DataFrame, entity: str, t: str, feats: list[str], rate: float, seed: int) -> DataFrame:
+    """Each observed cell masked with probability ``rate``, once."""
+    return df.withColumns({f"m_{c}": random_mask(c, uniform_hash(F.col(entity), F.col(t), F.lit(j + 1), seed), rate) for j, c in enumerate(feats)})
+
+
+def masked_panel(df: DataFrame, entity: str, t: str, feats: list[str], mask: Callable[..., DataFrame] | None = None, **options) -> DataFrame:
+    """A panel with masked copies ``m_<feature>`` of its features: ``mask`` is
+    any function ``(df, entity, t, feats, **options)`` that adds them --
+    ``random_cells``, ``random_until_target``, ``counted_blocks``,
+    ``target_share_block_mask`` or the caller's own; None masks nothing.  What
+    a mask may do is checked in the plan: it only removes."""
+    x = df.withColumns({f"m_{c}": F.col(c) for c in feats}) if mask is None else mask(df, entity, t, feats, **options)
+    missing = [f"m_{c}" for c in feats if f"m_{c}" not in x.columns]
+    if missing:
+        raise ValueError(f"the mask did not add {missing}")
+    return x.withColumns({f"m_{c}": F.when(F.col(f"m_{c}").isNotNull(), F.col(c)) for c in feats})

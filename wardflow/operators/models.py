@@ -144,6 +144,29 @@ def drop_correlated(corr_rows: list[tuple[str, str, float]], cols: list[str], th
     return kept
 
 
+def select_features(df: DataFrame, cols: list[str], threshold: float, suffixes: tuple[str, ...] = ()) -> list[tuple[str, float, str]]:
+    """``(name, variance, decision)`` of every column: ``correlated`` with any
+    earlier one beyond ``threshold`` in absolute value, ``constant``, ``suffix``
+    (its name ends in one of ``suffixes``) or ``kept``.  One pass gives the
+    p x p moment matrix."""
+    rows = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("_v"))
+    mean = rows.select(*[F.col("_v")[i].alias(f"c{i}") for i in range(len(cols))]).agg(*[F.avg(f"c{i}") for i in range(len(cols))]).first()
+    centred = F.transform("_v", lambda x, i: x - F.get(F.array(*[F.lit(float(m or 0.0)) for m in mean]), i))
+    cells = rows.select(centred.alias("x")).select(F.posexplode("x").alias("i", "a"), "x").select("i", "a", F.posexplode("x").alias("j", "b")).filter("i <= j")
+    s = np.zeros((len(cols), len(cols)))
+    n = 0
+    for r in cells.groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("s"), F.count(F.lit(1)).alias("n")).collect():     # p (p + 1) / 2 rows
+        s[r["i"], r["j"]] = s[r["j"], r["i"]] = r["s"]
+        n = r["n"]
+    var = np.diag(s) / max(n, 1)
+    out = []
+    for j, c in enumerate(cols):
+        near = any(s[i, i] > 0 and s[j, j] > 0 and abs(s[i, j]) > threshold * np.sqrt(s[i, i] * s[j, j]) for i in range(j))
+        decision = "correlated" if near else "constant" if not var[j] > 0 else "suffix" if c.endswith(suffixes) and suffixes else "kept"
+        out.append((c, float(var[j]), decision))
+    return out
+
+
 def vif(df: DataFrame, cols: list[str]) -> list[tuple[str, float]]:
     """Uncentred variance inflation factors ``S_jj * (S^-1)_jj`` where S is
     the second-moment matrix, from ONE aggregate of p(p+1)/2 sums."""

@@ -381,6 +381,30 @@ def outcome_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.join(e, ENTITY).select(*wide.columns, "gender", "age", "admission_type", "unit", "death", "icu_hours", MD.hash_split(F.col(ENTITY)).alias("split"))
 
 
+SELECT_KEYS = [*OUTCOME_FEATURES, "skewness", "kurtosis"]
+SELECT_COLS = [f"{c}_{k}" for c in D for k in SELECT_KEYS]
+CORRELATED = 0.95
+
+
+@query("feature_selection", sql=f"""WITH f AS ({ORACLES["series_profile"]}),
+w AS (SELECT user_id, {", ".join(f"max(CASE WHEN feature = '{c}' THEN {k} END) AS {c}_{k}" for c in D for k in SELECT_KEYS)} FROM f GROUP BY user_id),
+x AS (SELECT * FROM w WHERE {" AND ".join(f"{c} IS NOT NULL" for c in SELECT_COLS)}),
+l AS ({" UNION ALL ".join(f"SELECT user_id, {i} AS i, '{c}' AS name, CAST({c} AS DOUBLE) AS v FROM x" for i, c in enumerate(SELECT_COLS))}),
+v AS (SELECT i, name, var_pop(v) AS variance FROM l GROUP BY i, name),
+c AS (SELECT b.i FROM l a JOIN l b ON a.user_id = b.user_id AND a.i < b.i GROUP BY a.i, b.i
+      HAVING stddev_pop(a.v) > 0 AND stddev_pop(b.v) > 0 AND abs(corr(a.v, b.v)) > {CORRELATED})
+SELECT name, round(variance, 6) AS variance, CASE WHEN i IN (SELECT i FROM c) THEN 'correlated' WHEN NOT variance > 0 THEN 'constant'
+  WHEN ends_with(name, '_skewness') OR ends_with(name, '_kurtosis') THEN 'suffix' ELSE 'kept' END AS decision FROM v""")
+def feature_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series features of all variables: dropped if correlated beyond
+    0.95 with an earlier one (one p x p matrix on the driver), constant, or
+    named by shape only."""
+    f = QM.series_profile(spark, sf_dir)
+    wide = f.groupBy(ENTITY).agg(*[F.max(F.when(F.col("feature") == c, F.col(k))).cast("double").alias(f"{c}_{k}") for c in D for k in SELECT_KEYS])
+    out = MD.select_features(wide.select(*SELECT_COLS).na.drop(), SELECT_COLS, CORRELATED, ("_skewness", "_kurtosis"))
+    return literal_table(spark, [(n, round(v, 6), d) for n, v, d in out], "name string, variance double, decision string")
+
+
 # --------------------------------------------------------------------------
 # panels
 # --------------------------------------------------------------------------

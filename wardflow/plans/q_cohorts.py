@@ -45,7 +45,7 @@ g AS (SELECT user_id, max(heart_rate) AS heart_rate_max, round(avg(heart_rate),
       FROM w GROUP BY user_id)
 SELECT g.*, mv.mode_vent AS mode_vent_mode FROM g LEFT JOIN mv ON g.user_id = mv.user_id AND mv.rn = 1""")
 def summary_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D11 and part of T16 (two variables, no static join or outcome): stays reaching hour 16, hours 0..24 summarised per entity:
+    """D11 and part of T16 (``first_day_table``): stays reaching hour 16, hours 0..24 summarised per entity:
     max / mean / sample std / sum and the most frequent text value (ties ->
     smallest, nulls ignored)."""
     hp = QP.hourly_panel_classwise(spark, sf_dir)
@@ -211,7 +211,7 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 WHERE coalesce(regexp_matches(d.text, '{SEPSIS_PATTERN}'), FALSE) AND d.n_chars IS NOT NULL
 ORDER BY h, d.doc_id LIMIT 50""")
 def sepsis_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part of T18 (no panel or fill step): text-selected cohort joined to outcomes, pseudonymised,
+    """Part of T18 (``sepsis_table``): text-selected cohort joined to outcomes, pseudonymised,
     null rows dropped, reproducible sample."""
     d = read_table(spark, sf_dir, "documents").filter(F.coalesce(F.col("text").rlike(SEPSIS_PATTERN), F.lit(False)))
     lab = read_table(spark, sf_dir, "labels")
@@ -337,7 +337,7 @@ SELECT cl.user_id, cl.day, cl.feature, round((x - m) / s, 6) AS z, {QM._split_sq
 FROM cl JOIN st ON cl.feature = st.feature
 WHERE cl.day < 3 OR cl.day >= {C.COHORT_DAYS - 3}""")
 def sequence_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sequence-model inputs -- train-fitted z-scores, entity split,
+    """Part of T30 (``sequence_frame`` has the targets): train-fitted z-scores, entity split,
     early/late bin slices of the fixed cohort."""
     long = C.cohort_long(spark, sf_dir).withColumnRenamed("original", "x")
     z = MD.standardise_long(long, "feature", "x", fit_on=MD.key_hash(F.col(ENTITY), 42, 100) < 70)
@@ -353,7 +353,7 @@ st AS (SELECT user_id, count(*) AS n_events FROM events GROUP BY user_id)
 SELECT sf.user_id, sf.mean, sf.std, sf.slope, sf.mean_crossings, st.n_events, {QM._split_sql("sf.user_id")} AS split
 FROM sf JOIN st ON sf.user_id = st.user_id""")
 def outcome_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-entity frame joining series features, static columns and
+    """Part of T31 (``outcome_frame`` has all series and the targets): per-entity frame joining series features, static columns and
     the split on the entity key (never by position)."""
     sf = QM.series_features(spark, sf_dir)
     st = read_table(spark, sf_dir, "events").groupBy(ENTITY).agg(F.count(F.lit(1)).alias("n_events"))
@@ -363,7 +363,7 @@ def outcome_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("model_matrix")
 def model_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Modelling matrix -- 24 h summary features, binarised
+    """Parts of T29/L4/K21 (``model_frame``, ``model_features`` and ``feature_selection``): modelling matrix -- 24 h summary features, binarised
     volume, encoded text mode, train-fitted scaling, greedy drop of
     |r| > 0.9 pairs and VIF >= 10 columns (p x p work on the driver), split."""
     s = summary_24h(spark, sf_dir)

@@ -16,8 +16,9 @@ from wardflow.operators.models import hash_split
 from wardflow.plans import common as C
 from wardflow.plans.registry import query
 from wardflow.plans.sql_common import cohort_ctes
-from wardflow.sources.io import write_scratch
-from wardflow.sources.tables import ENTITY
+from wardflow.sources.io import write_partitions, write_scratch
+from wardflow.sources.steps import Steps, fingerprint
+from wardflow.sources.tables import ENTITY, read_table
 
 D = C.DAILY_COLS
 H = C.COHORT_DAYS
@@ -188,7 +189,7 @@ def _err_sql(group: str, src: str) -> str:
 SELECT user_id, day, feature, original,
        CASE WHEN {_u_sql("42")} < {_dbl(RATE)} THEN NULL ELSE original END AS masked FROM cl""")
 def mask_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MCAR mask at rate 0.3 from a deterministic hash per cell."""
+    """J5, one pass of J1: MCAR mask at rate 0.3 from a deterministic hash per cell."""
     long = C.cohort_long(spark, sf_dir)
     u = M.uniform_hash(F.col(ENTITY), F.col("day"), M.feature_index("feature", D), 42)
     return long.select(ENTITY, "day", "feature", "original", M.random_mask("original", u, RATE).alias("masked"))
@@ -197,7 +198,7 @@ def mask_random(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("mask_blocks", sql=f"""WITH {_masked_ctes()}
 SELECT scenario, user_id, day, feature, original, masked FROM m WHERE scenario LIKE 'block%'""")
 def mask_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Block masks of 1-3 bins on all features and 4-bin blocks on
+    """Block masks of 1-3 bins on all features and 4-bin blocks on
     one feature at a time, until 30 % of the cells are gone (last bin never
     masked)."""
     return masked_scenarios(spark, sf_dir, [s[0] for s in SCENARIOS if s[1] == "block"])
@@ -210,7 +211,7 @@ u AS (UNPIVOT (SELECT scenario, original, masked, imp_mean, imp_median, imp_locf
 e AS (SELECT scenario, method, CASE WHEN original IS NOT NULL AND masked IS NULL THEN imputed - original END AS d FROM u)
 {_err_sql("scenario, method", "e")}""")
 def scenario_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eight masking scenarios x four imputers (per-series
+    """Eight masking scenarios x four imputers (per-series
     mean, median, LOCF+NOCB, linear), MAE/RMSE on the indicating mask."""
     imp = imputed_scenarios(spark, sf_dir)
     long = imp.unpivot(["scenario", "original", "masked"], M.METHODS, "method", "imputed")
@@ -294,7 +295,7 @@ SELECT feature, CAST(ceil(original / 10.0) AS BIGINT) AS band, count(*) AS n, ro
        round(avg(CASE WHEN diff BETWEEN -10 AND 10 THEN 1.0 ELSE 0.0 END), 6) AS share_within_10
 FROM cmp GROUP BY feature, CAST(ceil(original / 10.0) AS BIGINT)""")
 def agreement_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Agreement by value band of width 10, mean +- 2 SD, share of
+    """K13 and the bands of K12 (``range_agreement``): agreement by value band of width 10, mean +- 2 SD, share of
     differences within +-10."""
     c = comparison(spark, sf_dir)
     return c.groupBy("feature", F.ceil(F.col("original") / 10.0).cast("bigint").alias("band")).agg(
@@ -363,6 +364,44 @@ def density_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.withColumn("rel_density", r6(F.col("n") / F.max("n").over(w)))
 
 
+def _first_pass_sql(c: str, j: int) -> str:
+    draws = " ".join(f"WHEN {M.digest_sql('user_id', 'day', str(j), '42', str(k))} / {float(1 << M.DRAW_BITS)} < {_dbl(RATE / 2 ** k)} THEN {k}" for k in range(M.PASSES))
+    return f"CASE WHEN {c} IS NOT NULL THEN CASE {draws} END END"
+
+
+@query("mask_random_target", sql=f"""WITH {cohort_ctes()},
+f AS (SELECT user_id, day, {", ".join(D)}, {", ".join(f"{_first_pass_sql(c, j + 1)} AS first_{c}" for j, c in enumerate(D))} FROM cp),
+l AS ({" UNION ALL ".join(f"SELECT first_{c} AS k FROM f WHERE {c} IS NOT NULL" for c in D)}),
+p AS (SELECT i AS k, (SELECT count(*) FROM l) - (SELECT count(*) FROM l WHERE l.k < i) AS remaining FROM range({M.PASSES + 1}) r(i)),
+n AS (SELECT coalesce(min(k), {M.PASSES}) AS passes FROM p WHERE remaining <= (SELECT count(*) FROM l) * (1 - {_dbl(RATE)}))
+SELECT user_id, day, {", ".join(f"CASE WHEN first_{c} < passes THEN NULL ELSE {c} END AS m_{c}" for c in D)} FROM f, n""")
+def mask_random_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random cells masked, again and again at half the rate, until 30 % of
+    the observed ones are gone."""
+    cp = C.cohort_panel(spark, sf_dir).select(ENTITY, "day", *D)
+    out = M.masked_panel(cp, ENTITY, "day", D, M.random_until_target, rate=RATE, seed=42)
+    return out.select(ENTITY, "day", *[f"m_{c}" for c in D])
+
+
+J2_N = 2
+
+
+@query("mask_blocks_counted", sql=f"""WITH {cohort_ctes()},
+e AS (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS no FROM (SELECT DISTINCT user_id FROM cp)),
+d AS (SELECT CAST(floor({M.digest_sql('42', 'i', '0')} / {float(1 << M.DRAW_BITS)} * (SELECT count(*) FROM e)) AS BIGINT) AS no,
+             CAST(floor({M.digest_sql('42', 'i', '1')} / {float(1 << M.DRAW_BITS)} * {H}) AS BIGINT) AS t0
+      FROM (SELECT unnest(range(CAST(floor((SELECT count(*) FROM e) * {H} * {_dbl(RATE)} / {J2_N}) AS BIGINT))) AS i)),
+h AS (SELECT DISTINCT e.user_id, unnest(range(t0, least(t0 + {J2_N}, {H - 1}))) AS day FROM d JOIN e USING (no) WHERE t0 < {H - 1})
+SELECT cp.user_id, cp.day, {", ".join(f"CASE WHEN h.day IS NOT NULL THEN NULL ELSE {c} END AS m_{c}" for c in D)}
+FROM cp LEFT JOIN h ON h.user_id = cp.user_id AND h.day = cp.day""")
+def mask_blocks_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A counted number of two-bin blocks on all features, drawn with
+    replacement (the last bin never masked)."""
+    cp = C.cohort_panel(spark, sf_dir).select(ENTITY, "day", *D)
+    out = M.masked_panel(cp, ENTITY, "day", D, M.counted_blocks, n=J2_N, horizon=H, rate=RATE, seed=42)
+    return out.select(ENTITY, "day", *[f"m_{c}" for c in D])
+
+
 J3_N, J3_SEED = 3, 42
 
 
@@ -431,11 +470,31 @@ def model_imputed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("masked").alias("n_kept"), F.count_if(F.col("masked") != F.col("imputed")).alias("n_changed"))
 
 
-def materialise_imputations(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """All scenarios x methods as ONE Parquet table partitioned by
-    (scenario, method) -- readers prune to the combination they need."""
-    from wardflow.sources.io import write_parquet
-    imp = imputed_scenarios(spark, sf_dir)
-    long = imp.unpivot(["scenario", ENTITY, "day", "feature", "original", "masked"], M.METHODS, "method",
-                       "imputed")
-    write_parquet(long, path, partition_by=["scenario", "method"])
+def materialise_imputations(panel: DataFrame, path: str) -> None:
+    """The scenarios of ``panel`` x methods as ONE Parquet table
+    partitioned by (scenario, method) -- readers prune to the combination they
+    need.  Partitions are overwritten one by one: writing some scenarios anew
+    leaves the others."""
+    wide = M.impute_wide(panel, ["scenario", ENTITY], "day", [f"m_{c}" for c in D])
+    imp = by_feature(wide, ["scenario", ENTITY, "day"], {"original": "{}", "masked": "m_{}"} | {m: m + "_m_{}" for m in M.METHODS})
+    long = imp.unpivot(["scenario", ENTITY, "day", "feature", "original", "masked"], M.METHODS, "method", "imputed")
+    write_partitions(long, path, ["scenario", "method"])
+
+
+@query("imputation_table", sql=f"""WITH {_masked_ctes()},
+{_impute_ctes()},
+u AS (UNPIVOT (SELECT scenario, original, masked, imp_mean, imp_median, imp_locf, imp_linear FROM imp)
+      ON imp_mean, imp_median, imp_locf, imp_linear INTO NAME method VALUE imputed)
+SELECT scenario, method, count(*) AS n_imputed, round(avg(imputed), 6) AS mean_imputed FROM u GROUP BY scenario, method""")
+def imputation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The imputed cells written step by step, a scenario at a time,
+    into one table partitioned by scenario and method (a step that is complete
+    is skipped when the run is repeated), and read back: cells with a value and
+    their mean per partition."""
+    steps = Steps(spark, "imputations " + fingerprint(read_table(spark, sf_dir, "events")))
+    path = steps.path("table")
+    panel = steps.table("panel", lambda: scenario_panel(spark, sf_dir))
+    for name, *_ in SCENARIOS:
+        steps.once(name, lambda name=name: materialise_imputations(panel.filter(F.col("scenario") == name), path))
+    t = spark.read.parquet(path).filter("imputed IS NOT NULL")
+    return t.groupBy("scenario", "method").agg(F.count("imputed").alias("n_imputed"), r6(F.avg("imputed")).alias("mean_imputed"))

@@ -100,7 +100,7 @@ def early_late_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT o_orderkey, o_custkey, {_key_hash_sql("o_orderkey", 42, 1000003)} AS h FROM orders
 ORDER BY h, o_orderkey LIMIT 100""")
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F3, and F5/F6 without replacement or single entities: reproducible sample of 100 rows (smallest key hashes); a
+    """F3 (F5 and F6 are ``draw_with_replacement`` and ``single_entity``): reproducible sample of 100 rows (smallest key hashes); a
     top-k per partition then a merge, never a full sort in one task."""
     o = read_table(spark, sf_dir, "orders")
     h = MD.key_hash(F.col("o_orderkey"), 42, 1_000_003)
@@ -154,7 +154,7 @@ SELECT user_id, {", ".join(f"round({c}, 6) AS {c}" for c in
 
 @query("series_features", sql=_series_sql())
 def series_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L2/L3: statistical and temporal features of each entity's
+    """Parts of L2/L3 (``series_profile`` has all): statistical and temporal features of each entity's
     (interpolated) heart-rate series, grouped by entity (never windows
     spanning two entities)."""
     cp = C.cohort_panel(spark, sf_dir).select(ENTITY, "day", "heart_rate")

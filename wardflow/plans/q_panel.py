@@ -101,7 +101,7 @@ g AS (SELECT u.user_id, h.hour FROM (SELECT DISTINCT user_id FROM hm) u CROSS JO
 SELECT g.user_id, g.hour, {", ".join("hw." + f for f in HF)}
 FROM g LEFT JOIN hw ON g.user_id = hw.user_id AND g.hour = hw.hour""")
 def fixed_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One-week grid (hours 0..167) for every entity with data,
+    """T2/C8 (T6 is ``week_panel``): one-week grid (hours 0..167) for every entity with data,
     wide features left-joined.  The grid is an ``explode(sequence)``
     generator, not a cross join."""
     wide = C.hourly_wide(spark, sf_dir)

@@ -40,7 +40,7 @@ SELECT lang, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg,
        round(CASE WHEN n_pos > 0 AND n_neg > 0 THEN (rs - n_pos * (n_pos + 1) / 2.0) / (n_pos * n_neg) END, 6) AS auc
 FROM g""")
 def roc_auc_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tie-corrected AUC per unit (language), from per-score counts."""
+    """Part of K16 (``roc_curve``, ``roc_auc``): tie-corrected AUC per unit (language), from per-score counts."""
     out = ST.auc_by_group(scored(spark, sf_dir), ["lang"], "score", "y")
     return out.withColumns({"n_pos": F.col("n_pos").cast("bigint"), "n_neg": F.col("n_neg").cast("bigint")})
 
@@ -69,7 +69,7 @@ b AS (SELECT sc.*, CAST(len(list_filter(list_distinct(e.edges), lambda x: x < sc
 SELECT lang, bin, count(*) AS n, round(avg(y), 6) AS observed, round(avg(score), 6) AS predicted
 FROM b GROUP BY lang, bin""")
 def quantile_bins_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decile bins of the predicted score (right-closed, first bin
+    """D19 and part of D20 (``calibration_all``): decile bins of the predicted score (right-closed, first bin
     includes the minimum) and per-unit calibration table."""
     b = ST.quantile_bin(scored(spark, sf_dir), "score", 10)
     return ST.calibration(b, ["lang"], "bin", "score", "y")
@@ -316,7 +316,7 @@ SELECT user_id, bool_or(heart_rate IS NOT NULL) AS any_hr, bool_and(fio2 IS NULL
        CAST(sum(CASE WHEN day BETWEEN 0 AND 7 THEN 1 ELSE 0 END) AS BIGINT) AS n_first_week
 FROM dp GROUP BY user_id""".replace("{dp}", daily_panel_ctes()))
 def entity_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D8/D9/J15, and E18 without its restriction to long stays: any/all over the entity, first/last valid bin,
+    """D8/D9/J15 (E18 is ``long_stay_coverage``): any/all over the entity, first/last valid bin,
     coverage count of the first week."""
     dp = C.daily_panel(spark, sf_dir)
     return dp.groupBy(ENTITY).agg(

@@ -37,7 +37,8 @@ SELECT o_orderkey,
   coalesce(CAST(date_sub('day', in_time, out_time) AS BIGINT), -1) AS los_or_default
 FROM stays""")
 def filters_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One flag column per predicate family
+    """B6-B11/B13/B15/B16/B18/B19/B22/B25/B26 and parts of B12/B14
+    (``drop_empty_rows``): one flag column per predicate family
     (closed / half-open range, IN list, conjunction, null tests, any-of,
     CASE chain, zero-to-null, threshold flag, equality encode, date cut-offs,
     label from text, relabel map, placeholder default)."""
@@ -265,7 +266,7 @@ SELECT o_orderkey, date_sub('day', in_time, death_time) AS death_diff,
        coalesce(date_sub('hour', in_time, death_time) <= 24, FALSE) AS death_within_24h
 FROM d""")
 def horizon_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Death-horizon flags from a death time (closed 'F' stays); an
+    """Parts of H30 (``sequence_frame`` has the targets): death-horizon flags from a death time (closed 'F' stays); an
     unknown death time means not dead (explicit null handling)."""
     s = C.stays(spark, sf_dir)
     death = F.when(F.col("o_orderstatus") == "F", F.col("out_time"))
@@ -288,7 +289,7 @@ SELECT f.o_custkey, l.died, f.main_code, substr(f.main_code, 1, 1) AS category,
        date_sub('day', f.in_time, f.out_time) AS first_los_days
 FROM firstst f JOIN lastst l ON f.o_custkey = l.o_custkey""")
 def diagnosis_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T22/H11, and T26 without its initial-unit rule: died flag from the last discharge, main code and its
+    """T22/H11 and parts of T26 (``initial_unit_diagnosis``): died flag from the last discharge, main code and its
     category from the first stay, length of the first stay in days."""
     s = C.stays(spark, sf_dir)
     last = R.first_per_key(s, ["o_custkey"], [("in_time", True), ("o_orderkey", True)], ["o_orderstatus"])

@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,3 +141,62 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(ensure_checkpoint_dir(spark), "scratch", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Partitioned Parquet sink that replaces the partitions it writes and
+    leaves all others (dynamic partition overwrite)."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def write_metric_table(df: DataFrame, path: str, decimals: int = 3, order_by: list[str] | None = None, sep: str = ",") -> None:
+    """Result-table sink (A11): every floating column rounded, rows in order,
+    one delimited file with a header.  For tables of metrics and counts: the
+    order makes one task write them."""
+    kinds = {"double", "float"}
+    out = df.select(*[F.round(c, decimals).alias(c) if t in kinds or t.startswith("decimal") else F.col(c) for c, t in df.dtypes])
+    out = out.orderBy(*(order_by or out.columns[:1])).coalesce(1)
+    out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+
+
+def read_sources_tolerant(spark: SparkSession, sources: dict[str, str], schema: T.StructType | str, feature_col: str = "feature",
+                          reader: Callable[[str], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Per-feature sources read one by one, each in isolation (A15): the union
+    of those that can be read, in the columns and types of ``schema`` (missing
+    columns are null) with the feature's name, and a log ``(feature, path,
+    ok, error)`` of all.  A source fails if it is missing, is no Parquet file,
+    or has a column of ``schema`` in a type that does not cast safely; its
+    footers are read now, its rows with the union."""
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    read = reader or spark.read.parquet
+    parts, log = [], []
+    for name, path in sorted(sources.items()):
+        try:
+            df = read(path)
+            have = {f.name: f.dataType for f in df.schema.fields}
+            odd = [f.name for f in schema.fields if f.name in have and not _widens(have[f.name], f.dataType)]
+            if odd:
+                raise ValueError(f"columns of another type: {', '.join(odd)}")
+            cols = [(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+            parts.append(df.select(F.lit(name).alias(feature_col), *cols))
+            log.append((name, path, True, None))
+        except Exception as e:                           # whatever this one source does, the others are read
+            log.append((name, path, False, f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"[:500]))
+    full = T.StructType([T.StructField(feature_col, T.StringType()), *schema.fields])
+    out = spark.createDataFrame([], full)
+    for p in parts:
+        out = out.unionByName(p)
+    return out, spark.createDataFrame(log, "feature string, path string, ok boolean, error string")
+
+
+def _widens(a: T.DataType, b: T.DataType) -> bool:
+    """Whether every value of type ``a`` is one of type ``b``."""
+    if a == b or isinstance(a, T.NullType):
+        return True
+    ranks = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+    if type(a) in ranks and type(b) in ranks:
+        return ranks.index(type(a)) <= ranks.index(type(b))
+    if isinstance(b, T.DoubleType):
+        return isinstance(a, (T.ByteType, T.ShortType, T.IntegerType, T.FloatType))
+    return isinstance(b, T.StringType) and isinstance(a, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.BooleanType))
