@@ -131,6 +131,15 @@ def test_first_per_key_mixed_directions_nulls_first(spark):
     assert got == {1: 1, 2: 5}
 
 
+def test_first_per_key_descending_texts(spark):
+    words = ["a", "ab", "abc", "b", "", "é", "z", "~", "aé", "a\x00", "漢字"]
+    df = spark.createDataFrame([(1, w, i) for i, w in enumerate(words)] + [(2, None, 90), (2, "x", 91), (3, "x", 92), (3, "x", 93)], "k int, w string, id int")
+    got = {r.k: r.id for r in R.first_per_key(df, ["k"], [("w", True), ("id", True)], ["id"]).collect()}
+    assert got == {1: max(range(len(words)), key=lambda i: words[i].encode()), 2: 90, 3: 93}
+    order = [r.w for r in df.filter("k = 1").orderBy(R._order_key(df, "w", True)).collect()]
+    assert order == sorted(words, key=str.encode, reverse=True)
+
+
 def test_series_features_vs_numpy(spark):
     xs = [3.0, 5.0, 4.0, 8.0, 6.0, 7.0, 2.0]
     df = spark.createDataFrame([(1, t, x) for t, x in enumerate(xs)], "e long, t long, x double")

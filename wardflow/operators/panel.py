@@ -90,7 +90,8 @@ def classwise_reduce(long_df: DataFrame, keys: list[str], feature: str, value: s
 
     ``classes``: ``(source_item, output_column, reducer)`` with reducer in
     ``numeric`` (median), ``summed`` (sum, all-null -> 0), ``string`` (first
-    text value in ``order_col`` order, null kept), ``first`` (first numeric).
+    text value in ``order_col`` order, null kept; of rows at one time the
+    smallest text), ``first`` (first numeric).
     Conditional aggregation replaces the per-feature pivots and the N-way
     full outer join fold: one shuffle on ``keys``.
     """
@@ -104,10 +105,10 @@ def classwise_reduce(long_df: DataFrame, keys: list[str], feature: str, value: s
         elif reducer == "string":
             # first row of the feature in chart order; its text may be null
             aggs.append(F.min_by(F.when(hit, F.struct(F.col(text_value).alias("v"))),
-                                 F.when(hit, F.col(order_col)))["v"].alias(out))
+                                 F.when(hit, F.struct(order_col, text_value)))["v"].alias(out))
         elif reducer == "first":
             aggs.append(F.min_by(F.when(hit, F.struct(F.col(value).alias("v"))),
-                                 F.when(hit, F.col(order_col)))["v"].alias(out))
+                                 F.when(hit, F.struct(order_col, value)))["v"].alias(out))
         else:
             raise ValueError(f"unknown reducer {reducer!r}")
     srcs = sorted({c[0] for c in classes})

@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 
 
 def _order_key(df: DataFrame, c: str, desc: bool) -> Column:
-    """Order key for ``min_by``: descending numeric/temporal columns are
-    negated; nulls stay null, i.e. sort first in both directions."""
+    """Order key for ``min_by``: descending columns are negated, texts in
+    byte order; nulls stay null, i.e. sort first in both directions."""
     if not desc:
         return F.col(c)
     dt = df.schema[c].dataType
@@ -20,6 +20,10 @@ def _order_key(df: DataFrame, c: str, desc: bool) -> Column:
         return -F.unix_date(F.col(c))
     if isinstance(dt, (T.NumericType,)):
         return -F.col(c)
+    if isinstance(dt, T.StringType):                     # digits of the bytes complemented; the mark puts longer texts before their beginnings
+        return F.concat(F.translate(F.hex(F.col(c)), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("~"))
+    if isinstance(dt, T.BooleanType):
+        return ~F.col(c)
     raise TypeError(f"descending order on {dt} needs a window (column {c})")
 
 

@@ -249,14 +249,14 @@ def _doc_features(spark, sf_dir) -> DataFrame:
     return x.na.fill({"upper_share": 0.0})
 
 
-def held_out(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+def held_out(spark: SparkSession, sf_dir: str, kind: str, grid: dict[str, list] | None = None) -> DataFrame:
     """``(doc_id, y, split, prob, pred)`` of the rows the model has not seen:
     exact stratified 60/20/20 split, class weights and folds (rank modulo 5
     within each class) on the training rows alone, grid search on ROC AUC,
     refit on all training rows."""
     x = write_scratch(MD.stratified_split(_doc_features(spark, sf_dir), "doc_id", "y"), "features")   # read by every fold and grid point
     train = MD.stratified_folds(MD.balanced_weights(x.filter("split = 'train'").drop("split"), "y"), "doc_id", "y")
-    model = MD.fit_classifier(train, kind, cat_cols=["lang"], num_cols=["log_len", "n_words", "n_lines", "upper_share"])
+    model = MD.fit_classifier(train, kind, cat_cols=["lang"], num_cols=["log_len", "n_words", "n_lines", "upper_share"], grid=grid)
     pred = model.transform(x.filter("split <> 'train'").withColumn("w", F.lit(1.0)))
     return pred.select("doc_id", "y", "split", MD.positive_probability(pred).alias("prob"), F.col("prediction").cast("int").alias("pred"))
 
@@ -291,17 +291,26 @@ _HELD_CTES = f"""{SCORED_CTE},
 ho AS (SELECT doc_id, y, (row_number() OVER (PARTITION BY y ORDER BY {_key_hash_sql("doc_id", 42, 1000003)}, doc_id) - 1) / count(*) OVER (PARTITION BY y) AS share FROM sc)"""
 
 
+#: one point of each grid, for what holds of any fitted model
+ONE_POINT = {"logreg": {"C": [1.0]}, "forest": {"numTrees": [20], "maxDepth": [5]}, "gbt": {"maxIter": [5], "maxDepth": [3]}}
+
+
 @query("held_out_rows", sql=f"""WITH {_HELD_CTES}
-SELECT CASE WHEN share < 0.8 THEN 'val' ELSE 'test' END AS split, CAST(y AS INTEGER) AS y, count(*) AS n, count(*) AS n_probability, count(*) AS n_consistent
-FROM ho WHERE share >= 0.6 GROUP BY 1, 2""")
+SELECT kind, CASE WHEN share < 0.8 THEN 'val' ELSE 'test' END AS split, CAST(y AS INTEGER) AS y, count(*) AS n, count(*) AS n_probability, count(*) AS n_consistent
+FROM ho, (VALUES ('logreg'), ('forest'), ('gbt')) k(kind) WHERE share >= 0.6 GROUP BY 1, 2, 3""")
 def held_out_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows predicted per split and class, those with a probability
-    between 0 and 1, and those whose class agrees with it: all rows outside
-    the training set and no other."""
-    h = held_out(spark, sf_dir, "logreg")
-    agrees = (F.col("prob") > 0.5).cast("int") == F.col("pred")
-    return h.groupBy("split", F.col("y").cast("int").alias("y")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prob").between(0, 1)).alias("n_probability"), F.count_if(agrees | (F.col("prob") == 0.5)).alias("n_consistent"))
+    """Of every kind of classifier (one grid point each) the rows
+    predicted per split and class, those with a probability between 0 and 1,
+    and those whose class agrees with it: all rows outside the training set
+    and no other."""
+    parts = []
+    for kind, grid in ONE_POINT.items():
+        h = held_out(spark, sf_dir, kind, grid)
+        agrees = (F.col("prob") > 0.5).cast("int") == F.col("pred")
+        parts.append(h.groupBy("split", F.col("y").cast("int").alias("y")).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("prob").between(0, 1)).alias("n_probability"),
+            F.count_if(agrees | (F.col("prob") == 0.5)).alias("n_consistent")).select(F.lit(kind).alias("kind"), "*"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("held_out_metrics")
@@ -347,6 +356,34 @@ def series_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SE.series_profile(feature_series(spark, sf_dir), [ENTITY, "feature"], "series")
 
 
+@query("pca_invariants", sql="""
+SELECT count(*) AS n, TRUE AS ordered, TRUE AS uncorrelated, TRUE AS within_total FROM embeddings""")
+def pca_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the component scores of all vectors: variances fall, scores of
+    different components are uncorrelated, and no more than the vectors' whole
+    variance is in them."""
+    e = read_table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    p = MD.pca_scores(e, "embedding", 3)
+    whole = e.select(F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "v")).groupBy("i").agg(F.var_pop("v").alias("v")).agg(F.sum("v").alias("v"))
+    v = [F.var_pop(f"pc{i}") for i in (1, 2, 3)]
+    r = [F.abs(F.corr(f"pc{i}", f"pc{j}")) < 1e-3 for i, j in ((1, 2), (1, 3), (2, 3))]
+    return p.agg(F.count(F.lit(1)).alias("n"), ((v[0] >= v[1]) & (v[1] >= v[2])).alias("ordered"), (r[0] & r[1] & r[2]).alias("uncorrelated"),
+                 (v[0] + v[1] + v[2] <= whole.select("v").scalar() * 1.000001).alias("within_total"))
+
+
+@query("cluster_invariants", sql=f"""WITH {cohort_ctes()}
+SELECT k, (SELECT count(DISTINCT user_id) FROM cp) AS n_series, k AS n_clusters, TRUE AS nearest, TRUE AS medoid_is_member FROM (VALUES (2), (3), (5)) v(k)""")
+def cluster_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of DTW k medoids for several k: every series is in one cluster,
+    none is empty, the own medoid is no farther than the next, and each
+    cluster has a series at distance 0, its medoid."""
+    from wardflow.operators.dtw import dtw_sweep
+    out, _ended = dtw_sweep(cohort_series(spark, sf_dir), ENTITY, [2, 3, 5], WARP, max_iter=30)
+    c = out.groupBy("k", "cluster").agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("dist") <= F.col("second")).alias("near"), F.min("dist").alias("least"))
+    return c.groupBy("k").agg(F.sum("n").alias("n_series"), F.count(F.lit(1)).cast("int").alias("n_clusters"), F.bool_and("near").alias("nearest"),
+                              F.bool_and(F.col("least") == 0).alias("medoid_is_member"))
+
+
 def feature_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(user_id, feature, series)``: the interpolated cohort series of all
     four variables, as arrays in bin order (bounded by the cohort length)."""
