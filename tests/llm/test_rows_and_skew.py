@@ -173,6 +173,22 @@ def test_repeated_rows_are_one_node(spark, monkeypatch):
     assert re.search(r"Aggregate \[sid", plan) and "first(text" in plan
 
 
+def test_recall_of_pairs_exactly_at_the_threshold(spark):
+    """139 words, three of them replaced far apart: 120 of 150 shingles are
+    shared, a similarity of 0.8 exactly."""
+    rng, rows, n = random.Random(77), [], 1500
+    for k in range(n):
+        w = [f"w{rng.randrange(10**7)}" for _ in range(139)]
+        v = list(w)
+        for at in (20, 60, 110):
+            v[at] = f"x{k}-{at}"
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    found = got.filter("class_size = 2 AND n_links = 1 AND class_id % 2 = 0 AND doc_id - class_id <= 1").count() / 2
+    print("pairs at 0.8 found:", found, "of", n)
+    assert got.filter("class_size > 2").count() == 0 and found >= 0.99 * n
+
+
 def plain_scores(rows, held=0, folds=10):
     low = [[w.encode().translate(bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")] + [b"\0end"] for _, t in rows]
     train = [zlib.crc32(("" if i is None else str(i)).encode()) % folds != held for i, _ in rows]
