@@ -225,7 +225,8 @@ def test_chat_prefix_masks_and_edges(spark):
     assert set(out) == {0, 1, 5, 6, 7}
     r = out[1]
     assert r["n_common"] == 3 and r["prompt"] == "<|user|>\nhi\n<|assistant|>\nhello\n<|user|>\nmore\n"
-    assert r["chosen"] == "<|assistant|>\nyes\n" and r["rejected"] == "<|assistant|>\nno\n"
+    after = "<|user|>\nbye\n"                           # turns after the last reply stand on both sides
+    assert r["chosen"] == "<|assistant|>\nyes\n" + after and r["rejected"] == "<|assistant|>\nno\n" + after
     s = r["chosen_spans"][0]
     assert r["chosen"][s["start"]:s["end"]] == "yes\n" and r["valid"]
     assert not out[5]["valid"] and not out[6]["valid"] and out[6]["chosen"] == ""
