@@ -115,11 +115,16 @@ def _features(df: DataFrame) -> DataFrame:
 
 
 def fit_url_model(labelled: DataFrame, reg: float = 0.002, max_iter: int = 60) -> LogisticRegressionModel:
-    """Logistic regression on the n-grams of a small labelled table."""
+    """Logistic regression on the n-grams of a small labelled table; both
+    classes weigh the same in all, however many rows they have."""
     if labelled.limit(MAX_TRAINING_ROWS + 1).count() > MAX_TRAINING_ROWS:
         raise ValueError(f"the labelled table has more than {MAX_TRAINING_ROWS} rows")
-    return LogisticRegression(featuresCol="_x", labelCol="label", regParam=reg, maxIter=max_iter,
-                              standardization=False).fit(_features(labelled.select("url", "label")))
+    n = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}      # two classes
+    weight = F.lit(1.0)
+    for label, rows in n.items():
+        weight = F.when(F.col("label") == label, sum(n.values()) / (len(n) * rows)).otherwise(weight)
+    return LogisticRegression(featuresCol="_x", labelCol="label", weightCol="_w", regParam=reg, maxIter=max_iter,
+                              standardization=False).fit(_features(labelled.select("url", "label", weight.alias("_w"))))
 
 
 def judge_urls(urls: DataFrame, labelled: DataFrame, rules: dict[str, str] = RULES, threshold: float = 0.5,
