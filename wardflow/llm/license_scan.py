@@ -173,8 +173,7 @@ def evaluate(tokens: list[str]) -> tuple[float, frozenset[str]]:
             b, a = stack.pop(), stack.pop()
             stack.append((max(a[0], b[0]), a[1] | b[1]) if t == "and" else b if b[0] < a[0] else a)
         else:
-            label = family(t) or "other"
-            # the name of an exception; "with" takes it off again
+            label = family(t) or "other"                 # so too an exception's name, which "with" takes off again
             stack.append((BURDEN[label], frozenset([label])))
     return stack[0]
 
