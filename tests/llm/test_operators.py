@@ -199,6 +199,14 @@ def test_decontamination_tolerates_substitutions(spark, docs, none):
     assert decontaminate.overlaps(none, b).count() == 0 and decontaminate.overlaps(docs, b.filter("false")).count() == 0
 
 
+def test_benchmark_words_are_counted_in_all_documents(spark):
+    n = 45_000                                           # more than any earlier sample held
+    docs = spark.range(n).select(F.col("id").alias("doc"), F.concat(
+        F.lit("Alpha beta alpha other"), F.when(F.col("id") % 3 == 0, " gamma").otherwise("")).alias("text"))
+    items = spark.createDataFrame([(1, "alpha beta gamma delta")], "item int, text string")
+    assert {r["word"]: r["n"] for r in decontaminate.word_counts(docs, items).collect()} == {"alpha": 2 * n, "beta": n, "gamma": n // 3}
+
+
 def test_decontamination_finds_quotations_and_shifted_copies(spark):
     rng = random.Random(8)
     long, mid, odd, small, huge = (sentence(rng, n).split() for n in (59, 45, 15, 5, 200))

@@ -54,8 +54,6 @@ SHORT_SEED = 5
 MAX_BROADCAST_SEEDS = 1_000_000
 #: words in which windows begin that are searched together
 PIECE = 64
-#: documents of the sample that tells how rare a word is
-SAMPLE_DOCS = 20_000
 
 
 def words(text: Column) -> Column:
@@ -90,12 +88,11 @@ def _has_mask(n: int, masks: tuple[str, ...]) -> Column:
 
 
 def word_counts(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``(word, n)``: how often the benchmark's words stand in a sample of
-    about ``SAMPLE_DOCS`` documents.  Only the choice of anchors rests on it,
-    and any choice gives the same overlaps."""
-    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+    """``(word, n)``: how often the benchmark's words stand in all documents.
+    Only the choice of anchors rests on it, and any choice gives the same
+    overlaps."""
     known = materialise(items.select(F.explode(words(F.col("text"))).alias("word")).distinct(), "words")
-    seen = docs.sample(share, seed=1).select(F.explode(words(F.col("text"))).alias("word"))
+    seen = docs.select(F.explode(words(F.col("text"))).alias("word"))
     return seen.join(bounded_broadcast(known, MAX_BROADCAST_SEEDS), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
