@@ -264,3 +264,25 @@ def test_global_scope_fill_and_materialised_imputations(spark):
     back = spark.read.parquet(out).filter("scenario = 'random' AND method = 'imp_linear'")
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and back.count() > 0
+
+
+def test_training_rows_are_dealt_over_the_cores(spark):
+    df = spark.range(42_000).select("id", (F.col("id") % 7).alias("v")).coalesce(1)
+    out = MD.spread(df, "id", "spread")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect())) and out.dtypes == df.dtypes
+    filled = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(filled) == 4 and max(r["count"] for r in filled) < 12_000      # 4 cores; one task had all rows
+    assert MD.spread(df.limit(50), "id", "spread").rdd.getNumPartitions() == 1
+
+
+def test_held_out_models_share_rows_and_shuffle_no_text(spark):
+    from conftest import SMALL
+
+    from wardflow.plans import q_models as QM
+    x, train = QM.split_rows(spark, SMALL)
+    feats = QM._doc_features(spark, SMALL)
+    plan = feats._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join"):].split("\n")[1]
+    assert "log_len" in below and "Project" in below, plan                    # the numbers are made under the join
+    assert x.select(feats.columns).exceptAll(feats).count() == 0 and x.count() == feats.count()
+    assert train.count() == x.filter("split = 'train'").count() and {"w", "fold"} < set(train.columns)

@@ -194,6 +194,20 @@ def balanced_weights(df: DataFrame, label: str, name: str = "w") -> DataFrame:
     return df.join(F.broadcast(w), label)          # one row per class
 
 
+#: a training task has at most so many rows, and at least so many where that leaves a core without one
+MAX_TASK_ROWS, MIN_TASK_ROWS = 50_000, 5_000
+
+
+def spread(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``df`` written once as a table and dealt by ``key`` over the cores, or
+    over more tasks if there are more rows.  A small table that many fits
+    read would otherwise stay in the one or two partitions that its last
+    shuffle was coalesced to, and every tree would be grown by one task."""
+    n = df.count()
+    parts = max(1, n // MAX_TASK_ROWS, min(df.sparkSession.sparkContext.defaultParallelism, n // MIN_TASK_ROWS))
+    return write_scratch(df.repartition(parts, key), name)
+
+
 #: grids of the classifiers; ``C`` is the inverse of the summed penalty, as usual for logistic regression
 GRIDS = {
     "logreg": {"C": [0.01, 0.1, 1.0, 10.0]},

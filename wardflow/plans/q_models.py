@@ -238,24 +238,37 @@ def forest_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _doc_features(spark, sf_dir) -> DataFrame:
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("y"))
-    x = d.join(lab, "doc_id").select(
-        "doc_id", "y", "lang",
+    """Numbers of every labelled document; they are taken before the join, so
+    that no text is shuffled."""
+    d = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "lang",
         F.log1p(F.length("text")).alias("log_len"),
         F.size(F.split("text", r"\s+")).cast("double").alias("n_words"),
         F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
         F.try_divide(F.length(F.regexp_replace("text", "[^A-Z]", "")), F.length("text")).alias("upper_share"))
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("y"))
+    x = d.join(lab, "doc_id").select("doc_id", "y", "lang", "log_len", "n_words", "n_lines", "upper_share")
     return x.na.fill({"upper_share": 0.0})
 
 
-def held_out(spark: SparkSession, sf_dir: str, kind: str, grid: dict[str, list] | None = None) -> DataFrame:
+def split_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All rows with their split, and the training rows with weights and
+    folds, each written once and dealt over the cluster: every fold and grid
+    point reads them, and the texts are read once."""
+    x = write_scratch(_doc_features(spark, sf_dir), "features")
+    x = MD.spread(MD.stratified_split(x, "doc_id", "y"), "doc_id", "split")
+    train = MD.stratified_folds(MD.balanced_weights(x.filter("split = 'train'").drop("split"), "y"), "doc_id", "y")
+    return x, MD.spread(train, "doc_id", "train")
+
+
+def held_out(spark: SparkSession, sf_dir: str, kind: str, grid: dict[str, list] | None = None,
+             rows: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """``(doc_id, y, split, prob, pred)`` of the rows the model has not seen:
     exact stratified 60/20/20 split, class weights and folds (rank modulo 5
     within each class) on the training rows alone, grid search on ROC AUC,
-    refit on all training rows."""
-    x = write_scratch(MD.stratified_split(_doc_features(spark, sf_dir), "doc_id", "y"), "features")   # read by every fold and grid point
-    train = MD.stratified_folds(MD.balanced_weights(x.filter("split = 'train'").drop("split"), "y"), "doc_id", "y")
+    refit on all training rows.  ``rows``: those of :func:`split_rows`, if
+    several models share them."""
+    x, train = rows or split_rows(spark, sf_dir)
     model = MD.fit_classifier(train, kind, cat_cols=["lang"], num_cols=["log_len", "n_words", "n_lines", "upper_share"], grid=grid)
     pred = model.transform(x.filter("split <> 'train'").withColumn("w", F.lit(1.0)))
     return pred.select("doc_id", "y", "split", MD.positive_probability(pred).alias("prob"), F.col("prediction").cast("int").alias("pred"))
