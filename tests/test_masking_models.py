@@ -286,3 +286,21 @@ def test_held_out_models_share_rows_and_shuffle_no_text(spark):
     assert "log_len" in below and "Project" in below, plan                    # the numbers are made under the join
     assert x.select(feats.columns).exceptAll(feats).count() == 0 and x.count() == feats.count()
     assert train.count() == x.filter("split = 'train'").count() and {"w", "fold"} < set(train.columns)
+
+
+def test_all_kinds_of_model_read_one_split(spark, monkeypatch):
+    from wardflow.plans import q_models as QM
+    made, seen = [], []
+
+    def split(*_a):
+        made.append(object())
+        return made[-1]
+
+    def fitted(spark, _dir, kind, _grid, rows=None):
+        seen.append((kind, rows))
+        return spark.createDataFrame([(1, 1.0, "val", 0.9, 1)], "doc_id long, y double, split string, prob double, pred int")
+
+    monkeypatch.setattr(QM, "split_rows", split)
+    monkeypatch.setattr(QM, "held_out", fitted)
+    assert QM.held_out_rows(spark, "unused").count() == 3
+    assert len(made) == 1 and [k for k, _ in seen] == list(QM.ONE_POINT) and all(r is made[0] for _, r in seen)

@@ -316,9 +316,9 @@ def held_out_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     predicted per split and class, those with a probability between 0 and 1,
     and those whose class agrees with it: all rows outside the training set
     and no other."""
-    parts = []
+    parts, rows = [], split_rows(spark, sf_dir)
     for kind, grid in ONE_POINT.items():
-        h = held_out(spark, sf_dir, kind, grid)
+        h = held_out(spark, sf_dir, kind, grid, rows)
         agrees = (F.col("prob") > 0.5).cast("int") == F.col("pred")
         parts.append(h.groupBy("split", F.col("y").cast("int").alias("y")).agg(
             F.count(F.lit(1)).alias("n"), F.count_if(F.col("prob").between(0, 1)).alias("n_probability"),
