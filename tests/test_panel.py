@@ -82,3 +82,11 @@ def test_classwise_reduce_first_keeps_null_and_sum_defaults_zero(spark):
     got = {r.h: (r.num, r.vol, r.txt) for r in out.collect()}
     assert got[0] == (2.0, 0.0, None)     # first text of 't' is null and stays null
     assert got[1] == (2.0, 0.0, None)     # no 's' rows in the hour -> 0, no 't' rows -> null
+
+
+def test_no_window_holds_the_grid_of_reorigin_any(spark):
+    from conftest import SMALL
+
+    from wardflow.plans import q_panel as QP
+    plan = QP.reorigin_any(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Window ")      # what stands higher comes first

@@ -122,9 +122,11 @@ SELECT d.user_id, d.hour - o.t0 AS hour, {", ".join("d." + f for f in HF)}
 FROM d JOIN o ON d.user_id = o.user_id WHERE o.t0 IS NOT NULL AND d.hour >= o.t0""")
 def reorigin_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense hourly grid re-origined at the first hour with any value
-    (leading empty hours dropped, entities without data dropped)."""
-    dense = P.densify(C.hourly_wide(spark, sf_dir), ENTITY, "hour", 0)
-    return P.reorigin(dense, ENTITY, "hour", any_not_null(HF)).select(ENTITY, "hour", *HF)
+    (leading empty hours dropped, entities without data dropped).  An hour
+    that the grid adds has no value, so the origin is found among the observed
+    hours, and no window holds the grid."""
+    observed = C.hourly_wide(spark, sf_dir).filter(F.col("hour") >= 0)
+    return P.densify(P.reorigin(observed, ENTITY, "hour", any_not_null(HF)), ENTITY, "hour", 0).select(ENTITY, "hour", *HF)
 
 
 @query("reorigin_vital", sql=f"""
