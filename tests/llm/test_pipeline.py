@@ -6,8 +6,10 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from wardflow.llm import decontaminate
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -71,3 +73,17 @@ def test_run_carries_all_decisions_on(spark, corpus):
         n = sum(r[3] == s for r in clean.values())
         assert abs(sum(r["source"] == s for r in got) - rate * n) < 4 * (rate * n) ** 0.5
     assert len({r["shuffle_key"] for r in got}) == len(got)
+
+
+def test_benchmark_stage_counts_words_in_all_documents(spark, tmp_path, monkeypatch):
+    n = 45_000                                           # more than any earlier sample held
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit("Alpha beta alpha other"), F.when(F.col("id") % 3 == 0, " gamma").otherwise(""),
+        F.when(F.col("id") == n - 1, " alpha beta gamma delta").otherwise("")).alias("text"))
+    spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    counted, word_counts = [], decontaminate.word_counts
+    monkeypatch.setattr(decontaminate, "word_counts", lambda *tables: counted.append(word_counts(*tables)) or counted[-1])
+    out = corpus_pipeline.benchmark_stage(spark, docs, str(tmp_path))
+    assert out.count() == n - 1 and out.filter(F.col("doc_id") == n - 1).count() == 0
+    (counts,) = counted
+    assert {r["word"]: r["n"] for r in counts.collect()} == {"alpha": 2 * n + 1, "beta": n + 1, "gamma": n // 3 + 1, "delta": 1}
