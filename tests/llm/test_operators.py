@@ -358,3 +358,40 @@ def test_quality_trains_on_one_text_of_each_id(spark):
     assert len(got) == 3 and len({r["fold"] for r in got}) == 3 and sorted(r["y"] for r in got) == [-1.0, 1.0, 1.0]
     again = quality.training_rows(df.repartition(7), labels, F.lit(True)).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+
+
+def test_quality_trains_on_every_label(spark):
+    n = 9_000                                            # more than the earlier bound
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 != 0).cast("int").alias("quality"))
+    got = quality.training_rows(docs, labels, F.lit(True)).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("fold").alias("ids"), F.sum("y").alias("y")).first()
+    assert tuple(got) == (n, n, n / 3)
+
+
+def test_quality_shards_fit_one_model(spark):
+    rng = random.Random(6)
+    good, bad = ([f"{c}{i}" for i in range(60)] for c in "gb")
+    rows = [(f"own{i} " + " ".join(rng.choice(good if (rng.random() < 0.6) == (i % 5 != 0) else bad) for _ in range(25)), 1.0 if i % 5 else -1.0, rng.getrandbits(64) - (1 << 63))
+            for i in range(900)]
+    train = spark.createDataFrame(rows, "text string, y double, fold long")
+    x = {r["fold"]: r["f"] for r in train.mapInArrow(quality._extract, "y double, fold long, f array<int>").collect()}
+    fit = [(np.array(x[f]), y) for _, y, f in rows if f >= quality.ASIDE]
+    texts, y = [f for f, _ in fit], np.array([v for _, v in fit])
+    r = quality.log_count_ratios(texts, y)
+    bound = {c: quality.COST * len(y) / (2 * (y == c).sum()) for c in (1.0, -1.0)}
+
+    def loss(w, b):                                      # of the whole, on scaled indicators
+        return 0.5 * (w @ w + b * b) + sum(bound[c] * max(0.0, 1 - c * (w[f] @ r[f] + b)) for f, c in zip(texts, y))
+
+    best = loss(*quality.dual_coordinate_descent(texts, y, r, epochs=200))
+    features = spark.createDataFrame([(v, f, x[f]) for _, v, f in rows if f >= quality.ASIDE], "y double, fold long, f array<int>")
+    sixth = loss(*quality.dual_coordinate_descent(texts[::6], y[::6], r, epochs=200))
+    for shards in (1, 6):
+        w, b = quality.fit_weights(features, r, bound, shards)
+        assert best * 0.999 <= loss(w, b) < (1.1 * best if shards == 1 else (best + sixth) / 2)
+        dealt = features.repartition(7)
+        again = quality.fit_weights(dealt, r, bound, shards)
+        assert np.allclose(w, again[0], atol=1e-9) and abs(b - again[1]) < 1e-9
+    m = quality.fit_quality(train, sum(map(len, texts)) // 6)
+    p = 1 / (1 + np.exp(-np.array([m[2] * (m[0][f].sum() + m[1]) + m[3] for f in texts])))
+    assert np.mean((p > 0.5) == (y > 0)) > np.mean(y > 0)   # better than the larger class

@@ -5,11 +5,13 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wardflow.llm import decontaminate
+from wardflow.llm import decontaminate, quality
+from wardflow.llm.shared import crc_mod
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -87,3 +89,13 @@ def test_benchmark_stage_counts_words_in_all_documents(spark, tmp_path, monkeypa
     assert out.count() == n - 1 and out.filter(F.col("doc_id") == n - 1).count() == 0
     (counts,) = counted
     assert {r["word"]: r["n"] for r in counts.collect()} == {"alpha": 2 * n + 1, "beta": n + 1, "gamma": n // 3 + 1, "delta": 1}
+
+
+def test_quality_stage_learns_from_every_label(spark, tmp_path, monkeypatch):
+    docs = spark.range(12_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 != 0).cast("int").alias("quality"))
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    seen = []
+    monkeypatch.setattr(quality, "fit_quality", lambda train, *_: seen.append(train.count()) or (np.zeros(1 << quality.BITS), 0.0, 0.0, 30.0))
+    assert corpus_pipeline.quality_stage(spark, docs, str(tmp_path)).count() == 12_000
+    assert seen == [labels.filter(crc_mod(F.col("doc_id"), 4) != 2).count()] and seen[0] > 8_500

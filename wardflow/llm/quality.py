@@ -4,11 +4,19 @@ Indicators of hashed n-grams (words, and one to three consecutive word
 shapes: which kinds of characters a word has, its length class, whether it
 repeats the word before) are scaled by their class log-count ratios; a linear
 hinge-loss model is fitted on them by dual coordinate descent, and its margin
-is mapped to a probability on rows set aside for that.
-
-The model is fitted on at most ``MAX_TRAINING`` labelled documents, those of
-smallest hash of the id, and of rows repeated with an id on the text of
-smallest hash: the one bound, the same at every size.  Whole texts are used, in training and scoring.  Only the text is an input of the score.
+is mapped to a probability on rows set aside for that (a fifth, by a hash of
+the id).
+
+The model learns from every labelled document (of rows repeated with an id,
+from the text of smallest hash): ratios, class costs and probability are sums
+over all of them, and all have a dual variable in one model.  They are dealt by
+a hash of the id to shards of about ``SHARD_FEATURES`` features.  In each of
+``ROUNDS`` rounds every shard descends on its own dual variables from the
+common weights, and the mean of the shards' steps is added to variables and
+weights, which never lowers the dual objective of the whole.  One shard makes
+all its passes in one round.  Memory per task: one shard's features.  Whole
+texts are used, in training and scoring.  Only the text is an input of the
+score.
 
 Defined cases: null text is empty and is scored by the bias alone; labels
 that are null, conflicting (the larger counts) or of unknown documents are
@@ -28,11 +36,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow.llm.shared import crc_mod, free_name
+from wardflow.llm.shared import bounded_broadcast, crc_mod, free_name, materialise
 from wardflow.llm.tokens import LANES, Words, mix, slices, text_buffers
 
 BITS = 18
-MAX_TRAINING = 8_000
+SHARD_FEATURES, ROUNDS = 8_000_000, 6
+MAX_BROADCAST_IDS = 4_000_000
+#: folds below this, a fifth of all, are set aside
+ASIDE = -(1 << 63) + (1 << 64) // 5
+#: weights that are summed together
+CHUNK = 1 << 12
 THRESHOLD = 0.7
 EPOCHS, COST, ALPHA = 12, 0.05, 1.0
 
@@ -81,23 +94,27 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.ListArray.from_arrays(pa.array(fo, pa.int32()), pa.array(f, pa.int32()))], ["y", "fold", "f"])
 
 
+def ratios(count: np.ndarray) -> np.ndarray:
+    """Log ratios of each feature's share in the two classes' ``count``."""
+    count = count + ALPHA
+    count /= count.sum(axis=1, keepdims=True)
+    return np.log(count[1] / count[0])
+
+
 def log_count_ratios(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    count = np.full((2, 1 << BITS), ALPHA)
+    count = np.zeros((2, 1 << BITS))
     for f, c in zip(rows, y):
         count[int(c > 0), f] += 1
-    count /= count.sum(axis=1, keepdims=True)
-    return np.log(count[1] / count[0])
+    return ratios(count)
 
 
-def dual_coordinate_descent(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, cost: float = COST,
-                            epochs: int = EPOCHS, seed: int = 5) -> tuple[np.ndarray, float]:
-    """Linear hinge-loss model on indicators scaled by ``r`` (and a bias
-    feature); both classes carry the same total cost."""
+def descend(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, bound: np.ndarray, w: np.ndarray, b: float, a: np.ndarray,
+            epochs: int, seed: int) -> float:
+    """Passes over the rows in random order; weights ``w`` and dual variables
+    ``a`` (up to ``bound``) change in place, the bias is returned."""
     rng = np.random.default_rng(seed)
     x = [r[f] for f in rows]
     square = np.array([v @ v for v in x]) + 1.0
-    bound = cost * len(y) / (2.0 * np.where(y > 0, (y > 0).sum(), (y < 0).sum()))
-    w, b, a = np.zeros(len(r)), 0.0, np.zeros(len(y))
     for _ in range(epochs):
         for i in rng.permutation(len(y)):
             g = y[i] * (w[rows[i]] @ x[i] + b) - 1.0
@@ -107,70 +124,128 @@ def dual_coordinate_descent(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray
                 w[rows[i]] += step * x[i]
                 b += step
                 a[i] = new
+    return b
+
+
+def dual_coordinate_descent(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, cost: float = COST,
+                            epochs: int = EPOCHS, seed: int = 5) -> tuple[np.ndarray, float]:
+    """Linear hinge-loss model on indicators scaled by ``r`` (and a bias
+    feature); both classes carry the same total cost."""
+    bound = cost * len(y) / (2.0 * np.where(y > 0, (y > 0).sum(), (y < 0).sum()))
+    w = np.zeros(len(r))
+    return w, descend(rows, y, r, bound, w, 0.0, np.zeros(len(y)), epochs, seed)
+
+
+def _add(steps: pa.Table) -> pa.Table:
+    """The sum of the shards' steps in one chunk of the weights."""
+    steps = steps.sort_by("shard")
+    total = sum(np.asarray(v.values.to_numpy()) for v in steps.column("v"))
+    return pa.table({"at": steps.column("at").slice(0, 1), "v": pa.array([total], pa.list_(pa.float64()))})
+
+
+def fit_weights(fit: DataFrame, r: np.ndarray, bound: dict[float, float], shards: int) -> tuple[np.ndarray, float]:
+    """Weights on the scaled indicators and bias of one model over all rows of
+    ``fit`` (``y, fold, f``); ``bound`` is the largest dual variable of each
+    class.  Per round 2**BITS numbers reach the driver; the dual variables stay
+    in the shared folder."""
+    spark = fit.sparkSession
+    rounds = ROUNDS if shards > 1 else 1
+    shard = F.pmod(F.xxhash64(F.lit(7), "fold"), F.lit(shards)).cast("int").alias("shard")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = fit.select("y", "fold", "f", shard).repartition(parts, "shard").sortWithinPartitions("shard", "fold").persist()   # dealt once for all rounds
+    duals = spark.createDataFrame([], "shard int, v array<double>")
+    w, b = np.zeros(1 << BITS), 0.0
+    for k in range(rounds):
+        shared = spark.sparkContext.broadcast((w, b, r))   # 2**BITS numbers each
+
+        def advance(block: pa.Table, dual: pa.Table) -> pa.Table:
+            w, b, r = shared.value
+            block = block.sort_by([("fold", "ascending"), ("y", "ascending")])
+            rows, y = [np.asarray(v.values.to_numpy()) for v in block.column("f")], block.column("y").to_numpy()
+            old = np.asarray(dual.column("v")[0].values.to_numpy()) if dual.num_rows else np.zeros(len(y))
+            new, weights, no = old.copy(), np.array(w), block.column("shard")[0].as_py()
+            bias = descend(rows, y, r, np.where(y > 0, bound[1.0], bound[-1.0]), weights, b, new, EPOCHS // rounds, 5 + k)
+            step = np.append(weights - w, bias - b) / shards
+            at = [i for i in range(0, len(step), CHUNK) if step[i:i + CHUNK].any()]
+            values = [old + (new - old) / shards, *[step[i:i + CHUNK] for i in at]]
+            return pa.table({"shard": pa.array([no] * len(values), pa.int32()), "at": pa.array([-1, *at], pa.int32()),
+                             "v": pa.array(values, pa.list_(pa.float64()))})
+
+        out = materialise(dealt.groupBy("shard").cogroup(duals.groupBy("shard")).applyInArrow(advance, "shard int, at int, v array<double>"), "round")
+        total = np.append(w, b)
+        for c in out.filter("at >= 0").groupBy("at").applyInArrow(_add, "at int, v array<double>").collect():
+            total[c["at"]:c["at"] + CHUNK] += c["v"]
+        w, b, duals = total[:-1], float(total[-1]), out.filter("at < 0").select("shard", "v")
+        shared.unpersist()
+    dealt.unpersist()
     return w, b
 
 
-def calibrate(margin: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and intercept of P(label 1 | margin), Newton with a small
-    penalty; targets are smoothed by the class counts."""
-    pos, neg = (y > 0).sum(), (y < 0).sum()
-    t = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    z, ab = np.stack([margin, np.ones_like(margin)], 1), np.zeros(2)
+def margins(rows: DataFrame, w: np.ndarray, b: float) -> DataFrame:
+    """``y, z``: label and margin of ``rows`` (``y, f``)."""
+    shared = rows.sparkSession.sparkContext.broadcast((w, b))   # 2**BITS numbers
+
+    def margin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, b = shared.value
+        for batch in batches:
+            z = [w[np.asarray(v.values.to_numpy())].sum() + b for v in batch.column("f")]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(z, pa.float64())], ["y", "z"])
+
+    return rows.select("y", "f").mapInArrow(margin, "y double, z double")
+
+
+def calibrate(rows: DataFrame, pos: int, neg: int, rounds: int = 50) -> tuple[float, float]:
+    """Slope and intercept of P(label 1 | margin) over ``rows`` (``y, z``),
+    Newton with a small penalty; targets are smoothed by the class counts."""
+    t, ab = F.when(F.col("y") > 0, (pos + 1) / (pos + 2)).otherwise(1 / (neg + 2)), np.zeros(2)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(z @ ab, -30, 30)))
-        h = (z * (p * (1 - p))[:, None]).T @ z + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, z.T @ (p - t) + 1e-3 * ab)
+        p = 1 / (1 + F.exp(-F.greatest(F.least(F.col("z") * float(ab[0]) + float(ab[1]), F.lit(30.0)), F.lit(-30.0))))
+        m = rows.select("z", (p - t).alias("d"), (p * (1 - p)).alias("h")).agg(
+            F.sum(F.expr("h * z * z")), F.sum(F.expr("h * z")), F.sum("h"), F.sum(F.expr("d * z")), F.sum("d")).first()
+        step = np.linalg.solve(np.array([[m[0], m[1]], [m[1], m[2]]]) + 1e-3 * np.eye(2), np.array(m[3:]) + 1e-3 * ab)
         ab -= step
         if np.abs(step).max() < 1e-9:
             break
     return float(ab[0]), float(ab[1])
 
 
-def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows, y, fold = [], [], []
-    for b in batches:
-        rows += [np.asarray(v.values.to_numpy()) for v in b.column("f")]
-        y += b.column("y").to_pylist()
-        fold += b.column("fold").to_pylist()
-    y, fold = np.array(y, float), np.array(fold)
-    w, b, a0, a1 = np.zeros(1 << BITS), 0.0, 0.0, 0.0
-    if len(y) and (abs(y.sum()) == len(y)):
-        a1 = 30.0 if y[0] > 0 else -30.0
-    elif len(y):
-        order = np.argsort(fold, kind="stable")
-        aside = np.zeros(len(y), bool)
-        aside[order[: len(y) // 5]] = True
-        if len(set(y[aside])) < 2 or len(set(y[~aside])) < 2:
-            aside[:] = False
-        fit = np.flatnonzero(~aside)
-        r = log_count_ratios([rows[i] for i in fit], y[fit])
-        w, b = dual_coordinate_descent([rows[i] for i in fit], y[fit], r)
-        w = w * r
-        test = np.flatnonzero(aside) if aside.any() else fit
-        a0, a1 = calibrate(np.array([w[rows[i]].sum() + b for i in test]), y[test])
-    yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([[b, a0, a1]], pa.list_(pa.float64()))], ["w", "b"])
-
-
-def training_rows(docs: DataFrame, labels: DataFrame, keep: Column, max_rows: int = MAX_TRAINING) -> DataFrame:
-    """``text, y, fold``: at most ``max_rows`` labelled documents, one text
-    (of smallest hash) of each id."""
-    ids = (labels.filter(keep & F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("_q"))
-           .select("_id", "_q", F.xxhash64("_id").alias("_h")).orderBy("_h", "_id").limit(max_rows))
-    x = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))   # bounded by max_rows
+def training_rows(docs: DataFrame, labels: DataFrame, keep: Column) -> DataFrame:
+    """``text, y, fold``: all labelled documents, one text (of smallest hash)
+    of each id."""
+    ids = labels.filter(keep & F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("_q"))
+    x = docs.select("doc_id", "text").join(bounded_broadcast(ids, MAX_BROADCAST_IDS), F.col("doc_id") == F.col("_id"))
     text = F.coalesce("text", F.lit(""))
     x = x.groupBy("_id", "_q").agg(F.min(F.struct(F.xxhash64(text).alias("h"), text.alias("text"))).alias("t"))   # reduced where it is read
     return x.select("t.text", F.when(F.col("_q") > 0, 1.0).otherwise(-1.0).alias("y"), F.xxhash64(F.lit(3), "_id").alias("fold"))
 
 
-def fit_quality(train: DataFrame) -> tuple[np.ndarray, float, float, float]:
-    """Weights, bias, slope and intercept, fitted in one task on the bounded
-    sample; 2**BITS weights reach the driver.  Only the sample's features are
-    shuffled to that task (the table is read by all), in an order of their own."""
-    rows = train.mapInArrow(_extract, "y double, fold long, f array<int>")
-    m = rows.repartition(1).sortWithinPartitions("fold", "y", "f").mapInArrow(_fit, "w binary, b array<double>").first()
-    if m is None:
-        return np.zeros(1 << BITS), 0.0, 0.0, 0.0
-    return np.frombuffer(m["w"], np.float64), *m["b"]
+def fit_quality(train: DataFrame, shard_features: int = SHARD_FEATURES) -> tuple[np.ndarray, float, float, float]:
+    """Weights, bias, slope and intercept, fitted on all rows of ``train``;
+    counts of 2**BITS features and as many weights reach the driver."""
+    rows = materialise(train.mapInArrow(_extract, "y double, fold long, f array<int>"), "features")
+    rows = rows.withColumn("aside", F.col("fold") < ASIDE)
+    size = {(x["aside"], x["y"]): (x["n"], x["f"]) for x in rows.groupBy("aside", "y").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.size("f")).alias("f")).collect()}   # four rows at most
+    classes = {y for _, y in size}
+    if len(classes) < 2:
+        return np.zeros(1 << BITS), 0.0, 0.0, 30.0 * sum(classes)
+    apart = len(size) == 4                               # else both jobs take all rows
+    fit, test = (rows.filter("NOT aside"), rows.filter("aside")) if apart else (rows, rows)
+
+    def total(y: float, for_test: bool) -> np.ndarray:
+        return np.sum([v for (aside, c), v in size.items() if c == y and (not apart or aside == for_test)], axis=0)
+
+    n = {y: int(total(y, False)[0]) for y in classes}
+    features = sum(int(total(y, False)[1]) for y in classes)
+    bound = {y: COST * sum(n.values()) / (2.0 * n[y]) for y in classes}
+    seen = fit.select("y", F.explode("f").alias("f")).groupBy("y", "f").agg(F.count(F.lit(1)).alias("n")).toArrow()   # 2 * 2**BITS rows at most
+    count = np.zeros((2, 1 << BITS))
+    count[(seen.column("y").to_numpy() > 0).astype(int), seen.column("f").to_numpy()] = seen.column("n").to_numpy()
+    r = ratios(count)
+    w, b = fit_weights(fit, r, bound, max(1, -(-features // shard_features)))
+    w = w * r
+    pos, neg = (int(total(y, True)[0]) for y in (1.0, -1.0))
+    return w, b, *calibrate(materialise(margins(test, w, b), "margins"), pos, neg)
 
 
 def score_documents(docs: DataFrame, model: tuple[np.ndarray, float, float, float], name: str = "score") -> DataFrame:
@@ -194,17 +269,17 @@ def score_documents(docs: DataFrame, model: tuple[np.ndarray, float, float, floa
     return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING, threshold: float = THRESHOLD) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, shard_features: int = SHARD_FEATURES, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document; documents
     whose crc32(id) mod 4 is 2 are held out of training."""
-    model = fit_quality(training_rows(docs, labels, crc_mod(F.col("doc_id"), 4) != 2, max_rows))
+    model = fit_quality(training_rows(docs, labels, crc_mod(F.col("doc_id"), 4) != 2), shard_features)
     scored = score_documents(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def keep_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING, threshold: float = THRESHOLD) -> DataFrame:
+def keep_quality(docs: DataFrame, labels: DataFrame, shard_features: int = SHARD_FEATURES, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents the classifier rejects."""
-    model = fit_quality(training_rows(docs, labels, crc_mod(F.col("doc_id"), 4) != 2, max_rows))
+    model = fit_quality(training_rows(docs, labels, crc_mod(F.col("doc_id"), 4) != 2), shard_features)
     name = free_name("score", docs.columns)
     return score_documents(docs, model, name).filter(F.col(name) >= threshold).select(*docs.columns)
